@@ -84,7 +84,7 @@ def days_between(later: Column | str, earlier: Column | str) -> Column:
 
 
 def millis_between(later: Column | str, earlier: Column | str) -> Column:
-    return F.unix_millis(_col(later)) - F.unix_millis(_col(earlier))
+    return F.unix_millis(_col(later).cast("timestamp")) - F.unix_millis(_col(earlier).cast("timestamp"))
 
 
 def latest(*cols: Column | str) -> Column:

@@ -19,6 +19,8 @@ SETTINGS = {
     "spark.sql.files.maxPartitionBytes": str(128 * 1024 * 1024),
     "spark.sql.files.openCostInBytes": str(4 * 1024 * 1024),
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.ui.enabled": "false",
 }
 
