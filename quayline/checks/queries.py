@@ -120,9 +120,9 @@ def csv_ingest(spark: SparkSession, folder: str) -> DataFrame:
                        F.when(F.col("o_totalprice") > 490000, F.lit("one more")))
     path = fresh_path(spark, "orders.csv")
     orders.select(F.regexp_replace(line, ",$", "").alias("value")).write.text(path)
-    schema = T.StructType.fromDDL("o_orderkey BIGINT, o_custkey BIGINT, o_orderdate TIMESTAMP, "
-                                  "o_orderpriority STRING, o_totalprice DOUBLE, o_orderstatus STRING")
-    good, rejected = delimited.ingest(spark, path, schema, names)
+    schema = (T.StructType().add("o_orderkey", "long").add("o_custkey", "long").add("o_orderdate", "timestamp")
+              .add("o_orderpriority", "string").add("o_totalprice", "double").add("o_orderstatus", "string"))
+    good, rejected = delimited.ingest(spark, path, schema, names, header_lines=False)
     return good.withColumn("problem", F.lit(None).cast("string")).unionByName(
         rejected.select(F.split("line", ",")[0].cast("bigint").alias("o_orderkey"), "problem"),
         allowMissingColumns=True)
@@ -151,7 +151,7 @@ def oracle_messages(events: DataFrame) -> DataFrame:
         F.when(op == "D", row).alias("before"), F.when(op != "D", row).alias("after"))
     text = F.to_json(envelope)
     broken = F.when(F.col("value") > 200, F.lit("   ")).when(F.col("value") > 150, F.substring(text, 1, 30))
-    return events.select(F.coalesce(broken, text).alias("value"))
+    return events.select(F.explode(F.array(F.coalesce(broken, text))).alias("value"))  # written once, not per use
 
 
 def mysql_messages(orders: DataFrame) -> DataFrame:
@@ -168,10 +168,11 @@ def mysql_messages(orders: DataFrame) -> DataFrame:
     table = F.when(F.col("o_orderpriority") == "5-LOW", "crm_customer").otherwise("crm_consumer_address_map")
     kind = (F.when(F.col("o_orderpriority") == "1-URGENT", "DELETE")
             .when(F.col("o_orderpriority") == "2-HIGH", "UPDATE").otherwise("INSERT"))
-    return orders.select(F.to_json(F.struct(
+    text = F.to_json(F.struct(
         data.alias("data"), F.lit("crm").alias("database"), F.col("o_orderkey").alias("id"),
-        F.lit(False).alias("isDdl"), table.alias("table"), F.unix_millis(F.col("o_orderdate").cast("timestamp")).alias("ts"),
-        kind.alias("type"))).alias("value"))
+        F.lit(False).alias("isDdl"), table.alias("table"),
+        F.unix_millis(F.col("o_orderdate").cast("timestamp")).alias("ts"), kind.alias("type")))
+    return orders.select(F.explode(F.array(text)).alias("value"))
 
 
 def cdc_oracle_apply(spark: SparkSession, folder: str) -> DataFrame:
@@ -228,7 +229,7 @@ def stream_documents(spark: SparkSession, folder: str) -> DataFrame:
 
 # --- keyed and changelog tables -----------------------------------------------------------------------------------
 
-ACCOUNT = T.StructType.fromDDL("id BIGINT, name STRING, amount DOUBLE")
+ACCOUNT = T.StructType().add("id", "long").add("name", "string").add("amount", "double")
 
 
 def _accounts(spark: SparkSession, folder: str) -> DataFrame:

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import datetime as dt
-from functools import reduce
 
 from pyspark.sql import Column, functions as F
 
@@ -57,13 +56,14 @@ def money(c: Column | str, exact: bool = True) -> Column:
 def parse_time(c: Column | str) -> Column:
     """A text in any of the known layouts, as a timestamp. NULL, not the present time, where none fits."""
     c = _col(c)
-    by_length = reduce(
-        lambda tail, item: tail.when(F.length(c) == item[0], F.try_to_timestamp(c, F.lit(item[1]))),
-        LAYOUT_BY_LENGTH.items(),
-        F.when(c.rlike(PRINTED_PATTERN),
-               F.try_to_timestamp(F.regexp_replace(c, PRINTED_PATTERN, "$1 $2"), F.lit(PRINTED_LAYOUT))),
-    )
-    return by_length
+    parsed = F.when(c.rlike(PRINTED_PATTERN),
+                    F.try_to_timestamp(F.regexp_replace(c, PRINTED_PATTERN, "$1 $2"), F.lit(PRINTED_LAYOUT)))
+    for length, layout in LAYOUT_BY_LENGTH.items():
+        text = c
+        if layout.endswith("ssSSS"):  # the parser finds the fraction only behind a point
+            text, layout = F.concat(F.substring(c, 1, length - 3), F.lit("."), F.substring(c, -3, 3)), layout[:-3] + ".SSS"
+        parsed = parsed.when(F.length(c) == length, F.try_to_timestamp(text, F.lit(layout)))
+    return parsed
 
 
 def from_epoch(c: Column | str) -> Column:

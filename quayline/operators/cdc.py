@@ -74,6 +74,17 @@ def _offset(messages: DataFrame) -> Column:
     return F.col("offset") if "offset" in messages.columns else F.lit(0).cast("bigint")
 
 
+def _unpacked(messages: DataFrame, envelope: str) -> DataFrame:
+    """The fields of each message as columns.
+
+    ``inline`` reads a message once. Plain field access would be merged into every expression behind it, each of which
+    would then read the JSON again.
+    """
+    return messages.where(has_text("value")).select(
+        "value", _offset(messages).alias("event_offset"),
+        F.inline(F.array(F.from_json("value", envelope))))
+
+
 def _finish(parsed: DataFrame, problem: Column) -> DataFrame:
     parsed = parsed.withColumn("problem", problem)
     return parsed.select("table", "op_type", *ORDER, "payload", "problem",
@@ -82,16 +93,14 @@ def _finish(parsed: DataFrame, problem: Column) -> DataFrame:
 
 def parse_oracle(messages: DataFrame) -> DataFrame:
     """Changes captured from Oracle. A delete has no ``after``, so its row is the one ``before``."""
-    parsed = (messages.where(has_text("value"))
-              .select("value", _offset(messages).alias("event_offset"),
-                      F.from_json("value", ORACLE_ENVELOPE).alias("e"))
-              .select("value", "event_offset",
-                      strip_schema(F.col("e.table")).alias("table"),
-                      operation(F.col("e.op_type")).alias("op_type"),
-                      F.col("e.op_ts").alias("event_time"),
-                      _padded(F.col("e.pos")).alias("event_pos"),
-                      F.lit(0).alias("row_no"),
-                      F.coalesce("e.after", "e.before").alias("payload")))
+    parsed = _unpacked(messages, ORACLE_ENVELOPE).select(
+        "value", "event_offset",
+        strip_schema(F.col("table")).alias("table"),
+        operation("op_type").alias("op_type"),
+        F.col("op_ts").alias("event_time"),
+        _padded(F.col("pos")).alias("event_pos"),
+        F.lit(0).alias("row_no"),
+        F.coalesce("after", "before").alias("payload"))
     return _finish(parsed, F.when(F.col("table").isNull(), "unreadable").when(F.col("payload").isNull(), "no row"))
 
 
@@ -100,16 +109,15 @@ def parse_mysql(messages: DataFrame, first_row_only: Iterable[str] = ()) -> Data
 
     For the tables named in ``first_row_only`` only the first element counts.
     """
-    parsed = (messages.where(has_text("value"))
-              .select("value", _offset(messages).alias("event_offset"),
-                      F.from_json("value", MYSQL_ENVELOPE).alias("e"))
-              .where(F.col("e.table").isNull() | (F.size("e.data") != 0))
-              .select("value", "event_offset", "e", F.posexplode_outer("e.data").alias("row_no", "payload"))
+    parsed = (_unpacked(messages, MYSQL_ENVELOPE)
+              .where(F.col("table").isNull() | (F.size("data") != 0))
+              .select("value", "event_offset", "table", "type", "ts", "id",
+                      F.posexplode_outer("data").alias("row_no", "payload"))
               .select("value", "event_offset",
-                      crm_to_tbl(F.col("e.table")).alias("table"),
-                      operation(F.col("e.type")).alias("op_type"),
-                      _padded(F.col("e.ts")).alias("event_time"),
-                      _padded(F.col("e.id")).alias("event_pos"),
+                      crm_to_tbl(F.col("table")).alias("table"),
+                      operation("type").alias("op_type"),
+                      _padded(F.col("ts")).alias("event_time"),
+                      _padded(F.col("id")).alias("event_pos"),
                       F.coalesce("row_no", F.lit(0)).alias("row_no"),
                       "payload"))
     first_row_only = list(first_row_only)

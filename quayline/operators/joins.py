@@ -162,7 +162,8 @@ def widen(job: WideJob, tables: Tables, fact: DataFrame | None = None, columns:
                 df = attach(df, lookup)
         return df
 
-    large = [lookup for lookup in lookups if not _fits_broadcast(tables(lookup.table))] if nested else []
+    small = {name: _fits_broadcast(tables(name)) for name in {lookup.table for lookup in lookups}} if nested else {}
+    large = [lookup for lookup in lookups if not small.get(lookup.table, True)]
     joined = attach_large(base, job.role)
     for lookup in lookups:
         if lookup not in large:

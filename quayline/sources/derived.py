@@ -185,7 +185,9 @@ class DerivedTables:
         self._made: dict[str, DataFrame] = {}
 
     def generic(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        if name not in self._made:
+            self._made[name] = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return self._made[name]
 
     def __call__(self, name: str) -> DataFrame:
         if name not in self._made:
