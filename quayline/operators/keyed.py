@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 
 from quayline.operators.cdc import ORDER, check_operations, last_change
 
-BATCH = "_batch"
+BATCH = "_batch"  # names the folders, and with them the column that tells which batch a change is from
 
 
 def merge(target: DataFrame, changes: DataFrame, key: str = "id", op: str = "op_type",
@@ -116,12 +116,12 @@ class KeyedTable:
     def _complete(self, kind: str) -> list[int]:
         """Numbers of the folders that carry Spark's success marker."""
         hadoop = self.spark._jvm.org.apache.hadoop.fs
-        pattern = hadoop.Path(f"{self.path}/{kind}/n=*/_SUCCESS")
+        pattern = hadoop.Path(f"{self.path}/{kind}/{BATCH}=*/_SUCCESS")
         files = pattern.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf())
-        return sorted(int(str(f.getPath().getParent().getName())[2:]) for f in files.globStatus(pattern) or [])
+        return sorted(int(str(f.getPath().getParent().getName()).split("=")[1]) for f in files.globStatus(pattern) or [])
 
     def _folder(self, kind: str, number: int) -> str:
-        return f"{self.path}/{kind}/n={number}"
+        return f"{self.path}/{kind}/{BATCH}={number}"
 
     def _write(self, df: DataFrame, folder: str) -> None:
         if self.partition_by:
@@ -162,10 +162,10 @@ class KeyedTable:
         if not pending:
             return base
         read = T.StructType([*self.schema.fields, T.StructField("op_type", T.StringType()),
-                             T.StructField("n", T.LongType())])
+                             T.StructField(BATCH, T.LongType())])
         changes = self._read("changes", pending, read)
         if len(pending) > 1:
-            changes = last_change(changes, self.key, ["n"])
+            changes = last_change(changes, self.key, [BATCH])
         if not versions:
             return changes.where(F.col("op_type") != "delete").select(self.schema.names)
         return merge(base, changes, self.key)

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from quayline.operators.cdc import check_tables, has_text, parse, typed_rows, where_json_path
-from quayline.operators.keyed import KeyedTable
+from quayline.operators.keyed import BATCH, KeyedTable
 from quayline.schemas import Table
 
 TABLES_AT_A_TIME = 8
@@ -44,7 +44,7 @@ def apply_batch(messages: DataFrame, batch: int, category: str, root: str, catal
             list(pool.map(write, names))
         if len(names) < len(present):
             (changes.where(F.col("problem").isNotNull()).select("table", "problem", "value")
-             .write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(f"{root}/rejects/n={batch}"))
+             .write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(f"{root}/rejects/{BATCH}={batch}"))
     finally:
         changes.unpersist()
 
