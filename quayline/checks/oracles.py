@@ -17,21 +17,8 @@ def _source(*names: str) -> str:
 
 # --- wide tables: all copies first, then the one with the smallest ids --------------------------------------------
 
-_BILL_TABLES = _source("tbl_express_bill", "tbl_courier", "tbl_customer", "tbl_codes", "tbl_consumer_address_map",
-                       "tbl_address", "tbl_pkg", "tbl_dot", "tbl_company_dot_map", "tbl_company")
-_BILL_JOINS = """
-    FROM tbl_express_bill b
-    LEFT JOIN tbl_courier e ON b.eid = e.id
-    LEFT JOIN tbl_customer c ON b.cid = c.id
-    LEFT JOIN (SELECT * FROM tbl_codes WHERE type = 18) ch ON TRY_CAST(ch.code AS BIGINT) = b.orderChannelId
-    LEFT JOIN (SELECT * FROM tbl_codes WHERE type = 17) te ON TRY_CAST(te.code AS BIGINT) = b.orderTerminalType
-    LEFT JOIN tbl_consumer_address_map m ON m.consumerId = c.id
-    LEFT JOIN tbl_address a ON a.id = m.addressId
-    LEFT JOIN tbl_pkg p ON p.pwBill = b.expressNumber
-    LEFT JOIN tbl_dot d ON d.id = p.pwDotId
-    LEFT JOIN tbl_company_dot_map cd ON cd.dotId = d.id
-    LEFT JOIN tbl_company co ON co.id = cd.companyId"""
-_BILL = f"""{_BILL_TABLES},
+_BILL = _source("tbl_express_bill", "tbl_courier", "tbl_customer", "tbl_codes", "tbl_consumer_address_map",
+                       "tbl_address", "tbl_pkg", "tbl_dot", "tbl_company_dot_map", "tbl_company") + """,
 wide AS (
     SELECT * EXCLUDE (copy) FROM (
     SELECT b.id, b.expressNumber AS express_number, b.cid, c.name AS cname, a.detailAddr AS caddress, b.eid,
@@ -42,7 +29,17 @@ wide AS (
            b.isCollectPackageTimeout AS is_collect_package_timeout, b.timeoutDt AS timeout_dt, c.type,
            b.cdt, b.udt, b.remark, replace(substring(b.cdt, 1, 10), '-', '') AS day,
            row_number() OVER (PARTITION BY b.id ORDER BY m.id, p.id, cd.id) AS copy
-    {_BILL_JOINS}) WHERE copy = 1)"""
+    FROM tbl_express_bill b
+    LEFT JOIN tbl_courier e ON b.eid = e.id
+    LEFT JOIN tbl_customer c ON b.cid = c.id
+    LEFT JOIN (SELECT * FROM tbl_codes WHERE type = 18) ch ON TRY_CAST(ch.code AS BIGINT) = b.orderChannelId
+    LEFT JOIN (SELECT * FROM tbl_codes WHERE type = 17) te ON TRY_CAST(te.code AS BIGINT) = b.orderTerminalType
+    LEFT JOIN tbl_consumer_address_map m ON m.consumerId = c.id
+    LEFT JOIN tbl_address a ON a.id = m.addressId
+    LEFT JOIN tbl_pkg p ON p.pwBill = b.expressNumber
+    LEFT JOIN tbl_dot d ON d.id = p.pwDotId
+    LEFT JOIN tbl_company_dot_map cd ON cd.dotId = d.id
+    LEFT JOIN tbl_company co ON co.id = cd.companyId) WHERE copy = 1)"""
 
 _WAYBILL = _source("tbl_waybill", "tbl_courier", "tbl_dot", "tbl_areas", "tbl_transport_record", "tbl_warehouse",
                    "tbl_transport_tool", "tbl_route", "tbl_company_warehouse_map", "tbl_company", "tbl_customer",
@@ -288,8 +285,6 @@ _DUE = "l_shipdate + to_hours(31 * l_linenumber)"
 
 ORACLES: dict[str, str] = {
     "wide_express_bill": f"WITH {_BILL} SELECT * FROM wide",
-    "wide_express_bill_copies": f"WITH {_BILL_TABLES} SELECT b.id, a.detailAddr AS caddress, "
-                                f"co.companyName AS company_name {_BILL_JOINS}",
     "wide_waybill": f"WITH {_WAYBILL} SELECT * FROM wide",
     "wide_transport_record": f"WITH {_RECORD} SELECT * FROM wide",
     "wide_branch_vehicle": f"WITH {_VEHICLE} SELECT * FROM wide",

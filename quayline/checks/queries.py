@@ -429,7 +429,6 @@ def time_normalise(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "wide_express_bill": _wide(wide.EXPRESS_BILL),
-    "wide_express_bill_copies": _wide(wide.EXPRESS_BILL, collapse=False, columns=["id", "caddress", "company_name"]),
     "wide_waybill": _wide(wide.WAYBILL),
     "wide_transport_record": _wide(wide.TRANSPORT_RECORD),
     "wide_branch_vehicle": _wide(wide.BRANCH_VEHICLE),

@@ -160,14 +160,13 @@ def typed_rows(changes: DataFrame, table: Table, null_numbers_as_zero: bool = Fa
 
 
 def last_change(rows: DataFrame, key: str = "id", order: Sequence[str] = ORDER) -> DataFrame:
-    """One row per key: the change that is last in ``order``.
+    """One row per key: the change that is last in ``order``; of two that tie, the one with the larger values.
 
     Each task first keeps one row per key, so a key that holds much of the input still sends one row per task.
     """
-    rest = [c for c in rows.columns if c != key]
-    return (rows.groupBy(key)
-            .agg(F.max_by(F.struct(*rest), F.struct(*order)).alias("last"))
-            .select(key, *[F.col(f"last.{c}").alias(c) for c in rest]))
+    rest = [*order, *[c for c in rows.columns if c != key and c not in order]]
+    return (rows.groupBy(key).agg(F.max(F.struct(*rest)).alias("last"))
+            .select([F.col(c) if c == key else F.col(f"last.{c}").alias(c) for c in rows.columns]))
 
 
 def upserts(changes: DataFrame) -> DataFrame:

@@ -48,10 +48,9 @@ def to_changelog(changes: DataFrame, version: Column | str, op: str = "op_type")
 
 def final_rows(changelog: DataFrame, key: Sequence[str]) -> DataFrame:
     """Current state: per key the row of the highest version, unless that one deletes."""
-    rest = [c for c in changelog.columns if c not in key]
-    return (changelog.groupBy(*key)
-            .agg(F.max_by(F.struct(*rest), F.struct("version", -F.col("sign"))).alias("last"))
-            .where(F.col("last.sign") > 0)
+    rest = [c for c in changelog.columns if c not in (*key, "sign", "version")]
+    last = F.max(F.struct("version", (-F.col("sign")).alias("deletes"), *rest)).alias("last")
+    return (changelog.groupBy(*key).agg(last).where(F.col("last.deletes") < 0)
             .select(*[F.col(c) if c in key else F.col(f"last.{c}").alias(c)
                       for c in changelog.columns if c not in ("sign", "version")]))
 

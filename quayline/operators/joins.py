@@ -13,8 +13,11 @@ result decide how it is planned:
   no shuffle and their texts have not been shuffled either. And a lookup none of whose columns is asked for cannot
   change the result and is left out of the plan.
 
-Broadcasts are chosen by the planner, which checks the sizes; the same size estimate decides the shape here. Skew on the
-fact side is split by adaptive execution.
+Broadcasts are chosen by the planner, which checks the sizes; the same size estimate decides the shape here. In a join of
+two large sides the foreign keys may be skewed, with much of the fact on one key or on NULL. Adaptive execution splits
+the partition of a hot key. It can do so only where both inputs are shuffled for the join, so such joins carry a second
+key column: constant for real keys, it keeps the planner from reusing the partitions of the reduction above, and for NULL
+keys, which match nothing, it spreads the rows over all partitions.
 """
 
 from __future__ import annotations
@@ -112,12 +115,18 @@ def _fits_broadcast(df: DataFrame) -> bool:
     return int(str(size)) <= int(conf.autoBroadcastJoinThreshold())
 
 
+def _spread(df: DataFrame, key: str) -> Column:
+    """0 for a row with a key; for a row without one a number that depends on the row, and is never 0."""
+    row = F.xxhash64(*df.columns)
+    return F.when(F.col(key).isNull(), F.pmod(row, F.lit(10_000)) + 1).otherwise(F.lit(0).cast("bigint"))
+
+
 def widen(job: WideJob, tables: Tables, fact: DataFrame | None = None, columns: Sequence[str] | None = None,
-          collapse: bool = True, nested: bool = True) -> DataFrame:
+          nested: bool = True) -> DataFrame:
     """Build the wide table of ``job``.
 
-    ``columns`` picks output columns. ``collapse=False`` gives the plain joins with all copies. ``nested=False`` joins
-    every dimension straight to the fact, which is better when the fact is a small slice, one day for instance.
+    ``columns`` picks output columns. ``nested=False`` joins every dimension straight to the fact, which is better when
+    the fact is a small slice, one day for instance.
     """
     output = job.output(columns)
     wants_day = job.day is not None and (columns is None or "day" in columns)
@@ -126,14 +135,14 @@ def widen(job: WideJob, tables: Tables, fact: DataFrame | None = None, columns:
         used |= _references([job.day_column])
     if job.id_role:
         used.add((job.id_role, "id"))
-    lookups = _needed_lookups(job, used) if collapse else list(job.lookups)
+    lookups = _needed_lookups(job, used)
     used |= _references([lookup.to for lookup in lookups])
 
     def columns_of(role: str) -> list[str]:
         return sorted(c for r, c in used if r == role)
 
     fact = tables(job.table) if fact is None else fact
-    if collapse and job.key:
+    if job.key:
         fact = one_per_key(fact, job.key, columns_of(job.role))
     base = fact.select([F.col(c).alias(f"{job.role}__{c}") for c in columns_of(job.role)])
 
@@ -146,7 +155,7 @@ def widen(job: WideJob, tables: Tables, fact: DataFrame | None = None, columns:
             key = key.try_cast("bigint")  # a code that is no number matches nothing
         wanted = columns_of(lookup.role)
         df = df.select(key.alias("_key"), *dict.fromkeys(["id", *wanted]))
-        if collapse and lookup.key != "id":
+        if lookup.key != "id":
             df = one_per_key(df, "_key", wanted)
         return df.select(F.col("_key").alias(f"{lookup.role}___key"),
                          *[F.col(c).alias(f"{lookup.role}__{c}") for c in wanted])
@@ -154,7 +163,11 @@ def widen(job: WideJob, tables: Tables, fact: DataFrame | None = None, columns:
     def attach(left: DataFrame, lookup: Lookup) -> DataFrame:
         target = _flat(lookup.to)
         right = attach_large(dimension(lookup, _is_text(left, target)), lookup.role)
-        return left.join(right, F.col(target) == F.col(f"{lookup.role}___key"), "left")
+        key = f"{lookup.role}___key"
+        found = F.col(target) == F.col(key)
+        if lookup in large:
+            found = found & (_spread(left, target) == F.pmod(F.xxhash64(key), F.lit(1)))
+        return left.join(right, found, "left").drop(key)
 
     def attach_large(df: DataFrame, role: str) -> DataFrame:
         for lookup in large:
@@ -169,7 +182,7 @@ def widen(job: WideJob, tables: Tables, fact: DataFrame | None = None, columns:
         if lookup not in large:
             joined = attach(joined, lookup)
 
-    if collapse and job.id_role:
+    if job.id_role:
         joined = joined.where(F.col(f"{job.id_role}__id").isNotNull())
     selected = [F.expr(_flat(expression)).alias(name) for name, expression in output.items()]
     if wants_day:

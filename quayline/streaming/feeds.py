@@ -27,8 +27,11 @@ def keyed_tables(spark: SparkSession, root: str, catalogue: Mapping[str, Table])
 
 
 def apply_batch(messages: DataFrame, batch: int, category: str, root: str, catalogue: dict[str, Table],
-                null_numbers_as_zero: bool = False) -> None:
-    """Apply one batch of raw messages to the tables under ``root``; bad messages go to ``rejects``."""
+                null_numbers_as_zero: bool = False, compact_every: int = 0) -> None:
+    """Apply one batch of raw messages to the tables under ``root``; bad messages go to ``rejects``.
+
+    With ``compact_every`` the tables a batch has touched are compacted each time that many batches have passed.
+    """
     spark = messages.sparkSession
     changes = check_tables(parse(messages, category), catalogue).persist(StorageLevel.MEMORY_AND_DISK)
     try:
@@ -39,6 +42,8 @@ def apply_batch(messages: DataFrame, batch: int, category: str, root: str, catal
 
         def write(name: str) -> None:
             stored[name].apply(typed_rows(changes, catalogue[name], null_numbers_as_zero), batch)
+            if compact_every and (batch + 1) % compact_every == 0:
+                stored[name].compact()
 
         with ThreadPoolExecutor(TABLES_AT_A_TIME) as pool:
             list(pool.map(write, names))

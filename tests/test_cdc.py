@@ -84,7 +84,7 @@ def test_last_change_wins_by_time_then_position(spark, rows):
 
 def test_last_change_merges_in_each_task_before_the_shuffle(spark):
     plan = cdc.last_change(jobs_of(spark, oracle(after=job(1))))._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("partial_max_by") == 1 and plan.count("Exchange") == 1
+    assert plan.count("partial_max") == 1 and plan.count("Exchange") == 1
 
 
 def mysql(table="crm_customer", data=(), kind="INSERT", ts=1, i=1):

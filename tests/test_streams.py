@@ -34,7 +34,7 @@ def test_change_feed_over_several_batches(spark, rows, tmp_path):
 
     def run():
         feeds.start_change_feed(streams.file_stream(spark, inbox, max_files=1), "oracle", root, state, CATALOGUE,
-                                available_now=True).awaitTermination()
+                                available_now=True, compact_every=2).awaitTermination()
         return rows(feeds.keyed_tables(spark, root, CATALOGUE)["tbl_job"].snapshot().select("id", "jobName"))
 
     assert run() == [(1, "a3"), (3, "c")]
