@@ -115,10 +115,14 @@ def _fits_broadcast(df: DataFrame) -> bool:
     return int(str(size)) <= int(conf.autoBroadcastJoinThreshold())
 
 
-def _spread(df: DataFrame, key: str) -> Column:
-    """0 for a row with a key; for a row without one a number that depends on the row, and is never 0."""
-    row = F.xxhash64(*df.columns)
-    return F.when(F.col(key).isNull(), F.pmod(row, F.lit(10_000)) + 1).otherwise(F.lit(0).cast("bigint"))
+def _constant(key: str) -> Column:
+    """0 for every key, in a form the optimizer does not fold."""
+    return F.pmod(F.xxhash64(key), F.lit(1))
+
+
+def _spread(key: str, row: str) -> Column:
+    """What ``_constant`` gives for a row with a key; for a row without one a number above 0 that depends on ``row``."""
+    return F.when(F.col(key).isNull(), F.pmod(F.xxhash64(row), F.lit(10_000)) + 1).otherwise(_constant(key))
 
 
 def widen(job: WideJob, tables: Tables, fact: DataFrame | None = None, columns: Sequence[str] | None = None,
@@ -133,6 +137,7 @@ def widen(job: WideJob, tables: Tables, fact: DataFrame | None = None, columns:
     used = _references(output.values())
     if wants_day:
         used |= _references([job.day_column])
+    used.add((job.role, job.key or "id"))
     if job.id_role:
         used.add((job.id_role, "id"))
     lookups = _needed_lookups(job, used)
@@ -146,13 +151,16 @@ def widen(job: WideJob, tables: Tables, fact: DataFrame | None = None, columns:
         fact = one_per_key(fact, job.key, columns_of(job.role))
     base = fact.select([F.col(c).alias(f"{job.role}__{c}") for c in columns_of(job.role)])
 
-    def dimension(lookup: Lookup, parent_is_text: bool) -> DataFrame:
+    sources = {job.role: job.table} | {lookup.role: lookup.table for lookup in lookups}
+
+    def dimension(lookup: Lookup) -> DataFrame:
         df = tables(lookup.table)
-        if lookup.code_type is not None:
-            df = df.where(F.col("type") == lookup.code_type)
         key = F.col(lookup.key)
-        if _is_text(df, lookup.key) and not parent_is_text:
+        role, column = lookup.to.split(".")
+        if _is_text(df, lookup.key) and not _is_text(tables(sources[role]), column):
             key = key.try_cast("bigint")  # a code that is no number matches nothing
+        if lookup.code_type is not None:
+            df = df.where(F.col("type") == lookup.code_type)
         wanted = columns_of(lookup.role)
         df = df.select(key.alias("_key"), *dict.fromkeys(["id", *wanted]))
         if lookup.key != "id":
@@ -160,27 +168,29 @@ def widen(job: WideJob, tables: Tables, fact: DataFrame | None = None, columns:
         return df.select(F.col("_key").alias(f"{lookup.role}___key"),
                          *[F.col(c).alias(f"{lookup.role}__{c}") for c in wanted])
 
-    def attach(left: DataFrame, lookup: Lookup) -> DataFrame:
-        target = _flat(lookup.to)
-        right = attach_large(dimension(lookup, _is_text(left, target)), lookup.role)
-        key = f"{lookup.role}___key"
+    def attach(left: DataFrame, lookup: Lookup, row: str) -> DataFrame:
+        target, key = _flat(lookup.to), f"{lookup.role}___key"
+        right = attach_large(dimension(lookup), lookup.role, key)
         found = F.col(target) == F.col(key)
         if lookup in large:
-            found = found & (_spread(left, target) == F.pmod(F.xxhash64(key), F.lit(1)))
+            found = found & (_spread(target, row) == _constant(key))
         return left.join(right, found, "left").drop(key)
 
-    def attach_large(df: DataFrame, role: str) -> DataFrame:
-        for lookup in large:
-            if lookup.to.split(".")[0] == role:
-                df = attach(df, lookup)
+    def attach_large(df: DataFrame, role: str, row: str) -> DataFrame:
+        """Join the large neighbours of a role; those with the same foreign key follow each other and share a shuffle."""
+        neighbours = [lookup for lookup in large if lookup.to.split(".")[0] == role]
+        targets = [lookup.to for lookup in neighbours]
+        for lookup in sorted(neighbours, key=lambda n: targets.index(n.to)):
+            df = attach(df, lookup, row)
         return df
 
     small = {name: _fits_broadcast(tables(name)) for name in {lookup.table for lookup in lookups}} if nested else {}
     large = [lookup for lookup in lookups if not small.get(lookup.table, True)]
-    joined = attach_large(base, job.role)
+    row = f"{job.role}__{job.key or 'id'}"
+    joined = attach_large(base, job.role, row)
     for lookup in lookups:
         if lookup not in large:
-            joined = attach(joined, lookup)
+            joined = attach(joined, lookup, row)
 
     if job.id_role:
         joined = joined.where(F.col(f"{job.id_role}__id").isNotNull())

@@ -13,6 +13,8 @@ import string
 
 from pyspark.sql import DataFrame, SparkSession
 
+from quayline.session import fresh_path
+
 # An order line is known by order and number. Lines that share both are one line: the smallest values stand for it.
 _LINES = """(
     SELECT l_orderkey, l_linenumber, min(l_partkey) AS l_partkey, min(l_suppkey) AS l_suppkey,
@@ -171,6 +173,10 @@ VIEWS = {
 }
 
 
+#: The code dictionary is a few rows made from large tables. It is stored before it is used, so that its size is known.
+STORED = ("tbl_codes",)
+
+
 def generic_names(text: str) -> list[str]:
     """The generic tables a view text reads."""
     return sorted({name for _, name, _, _ in string.Formatter().parse(text) if name})
@@ -192,5 +198,10 @@ class DerivedTables:
     def __call__(self, name: str) -> DataFrame:
         if name not in self._made:
             text = VIEWS[name]
-            self._made[name] = self.spark.sql(text, **{n: self.generic(n) for n in generic_names(text)})
+            made = self.spark.sql(text, **{n: self.generic(n) for n in generic_names(text)})
+            if name in STORED:
+                path = fresh_path(self.spark, name)
+                made.coalesce(1).write.parquet(path)
+                made = self.spark.read.parquet(path)
+            self._made[name] = made
         return self._made[name]
