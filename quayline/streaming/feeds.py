@@ -96,6 +96,19 @@ def start_keyed_sink(rows: DataFrame, table: KeyedTable, name: str, checkpoint:
     return _start(rows, on_batch, name, checkpoint, available_now, output_mode)
 
 
+def start_external_sink(rows: DataFrame, name: str, checkpoint: str, options: Mapping[str, str],
+                        operation: str = "insert", available_now: bool = False) -> StreamingQuery:
+    """Send the rows of every batch to the ``operations`` sink, at least once; without an operation column all are
+    ``operation``."""
+    column = options.get("op", "opType")
+
+    def on_batch(batch: DataFrame, number: int) -> None:
+        batch = batch if column in batch.columns else batch.withColumn(column, F.lit(operation))
+        batch.write.format("operations").mode("append").options(**options).save()
+
+    return _start(rows, on_batch, name, checkpoint, available_now, "update")
+
+
 def start_console(rows: DataFrame, name: str, lines: int = 20) -> StreamingQuery:
     """Print the rows of every batch."""
     return (rows.writeStream.queryName(name).outputMode("append").format("console")
