@@ -370,6 +370,15 @@ ORACLES: dict[str, str] = {
         SELECT id, 'WB' || CAST(id AS VARCHAR) AS waybillNumber, event_id AS routeId, CAST(NULL AS INT) AS transportTool,
                strftime(ts, '%Y-%m-%d %H:%M:%S') AS cdt
         FROM ({_last(_ORACLE_CHANGES, "id", "ts DESC, event_id DESC", "tbl = 'tbl_waybill_line'")})""",
+    "feed_to_kpi": _kpi(
+        _source("tbl_express_bill", "tbl_customer", "tbl_codes") + """,
+        wide AS (
+            SELECT b.id, c.type, CAST(NULL AS BIGINT) AS dot_id, b.orderChannelId AS order_channel_id,
+                   te.code AS order_terminal_type, replace(substring(b.cdt, 1, 10), '-', '') AS day
+            FROM tbl_express_bill b LEFT JOIN tbl_customer c ON b.cid = c.id
+            LEFT JOIN (SELECT * FROM tbl_codes WHERE type = 17) te
+                ON TRY_CAST(te.code AS BIGINT) = b.orderTerminalType)""",
+        summary.EXPRESS_BILL.keys, "id", False),
     "keyed_merge": f"WITH {_KEYED} SELECT * FROM accounts WHERE id NOT IN (SELECT id FROM changes) "
                    "UNION ALL SELECT * FROM fresh",
     "keyed_merge_strict": f"""

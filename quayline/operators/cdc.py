@@ -136,9 +136,15 @@ def parse(messages: DataFrame, category: str) -> DataFrame:
 
 
 def check_tables(changes: DataFrame, catalogue: dict[str, Table]) -> DataFrame:
-    """Mark changes of tables that are not in the catalogue."""
-    unknown = F.col("problem").isNull() & ~F.col("table").isin(list(catalogue))
-    return changes.withColumn("problem", F.when(unknown, "unknown table").otherwise(F.col("problem")))
+    """Mark changes of tables that are not in the catalogue, and rows without a key."""
+    key = F.lit(None)
+    for name in {table.key for table in catalogue.values()}:
+        tables = [t.name for t in catalogue.values() if t.key == name]
+        key = F.when(F.col("table").isin(tables), F.try_element_at("payload", F.lit(name))).otherwise(key)
+    problem = (F.when(F.col("problem").isNotNull(), F.col("problem"))
+               .when(~F.col("table").isin(list(catalogue)), "unknown table")
+               .when(F.trim(key).try_cast("bigint").isNull(), "no key"))
+    return changes.withColumn("problem", problem)
 
 
 def typed_rows(changes: DataFrame, table: Table, null_numbers_as_zero: bool = False) -> DataFrame:

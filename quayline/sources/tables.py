@@ -9,10 +9,24 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from quayline.functions.columns import as_date
+from quayline.operators.keyed import KeyedTable
+from quayline.schemas import Table
 
 
-def load_table(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
+class StoredTables:
+    """``tables(name)`` gives the current rows of a table that a change feed keeps under ``root``."""
+
+    def __init__(self, spark: SparkSession, root: str, catalogue: Mapping[str, Table]):
+        self.spark = spark
+        self.root = root
+        self.catalogue = catalogue
+        self._made: dict[str, DataFrame] = {}
+
+    def __call__(self, name: str) -> DataFrame:
+        if name not in self._made:
+            table = self.catalogue[name]
+            self._made[name] = KeyedTable(self.spark, f"{self.root}/{name}", table.schema, table.key).snapshot()
+        return self._made[name]
 
 
 def day_before(df: DataFrame, as_of: dt.date | str, column: str = "cdt") -> DataFrame:

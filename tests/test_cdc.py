@@ -48,8 +48,8 @@ def test_every_table_of_the_catalogue_is_routed(spark):
 def test_blank_null_broken_and_unknown_messages(spark, rows):
     changes = cdc.check_tables(cdc.parse(messages(
         spark, None, "", "   ", '{"table": "SRC.tb', oracle("SRC.tbl_nowhere", after=job(1)), oracle(after=None),
-        oracle(after=job(5))), "oracle"), CATALOGUE)
-    assert rows(changes.select("table", "problem")) == sorted([
+        oracle(after=job(5)), oracle(after={"job_name": "x"}), oracle(after=job("one"))), "oracle"), CATALOGUE)
+    assert rows(changes.select("table", "problem")) == sorted([("tbl_job", "no key")] * 2 + [
         (None, "unreadable"), ("tbl_nowhere", "unknown table"), ("tbl_job", "no row"), ("tbl_job", None)], key=repr)
     kept = {r["problem"]: r["value"] for r in changes.collect()}
     assert kept[None] is None and kept["unreadable"] == '{"table": "SRC.tb'
@@ -68,7 +68,7 @@ def test_missing_extra_and_unreadable_fields(spark, rows):
     assert rows(jobs_of(spark, *texts).select("id", "jobName", "jobLevel")) == [
         (1, "a", None), (2, "b", None), (3, "camel", None)]
     zeros = jobs_of(spark, *texts, null_numbers_as_zero=True).select("id", "jobLevel")
-    assert rows(zeros) == [(0, 0), (1, 0), (2, 0), (3, 0)]
+    assert rows(zeros) == [(1, 0), (2, 0), (3, 0)]
 
 
 def test_last_change_wins_by_time_then_position(spark, rows):

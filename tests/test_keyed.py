@@ -101,6 +101,15 @@ def test_catalog_ddl(spark):
                    "`cdt` string, `udt` string, `remark` string) USING parquet CLUSTERED BY (`id`) INTO 3 BUCKETS")
 
 
+def test_catalog_table_is_made_once(spark):
+    ddl = keyed.create_table_ddl("quay_job", load_catalogue()["tbl_job"].schema)
+    spark.sql(ddl)
+    spark.sql(ddl)
+    facts = {r["col_name"]: r["data_type"] for r in spark.sql("DESCRIBE EXTENDED quay_job").collect()}
+    assert facts["Num Buckets"] == "3" and facts["Bucket Columns"] == "[`id`]" and facts["jobLevel"] == "bigint"
+    spark.sql("DROP TABLE quay_job")
+
+
 def test_catalog_merge_needs_a_catalog_that_merges(spark, target):
     target.createOrReplaceTempView("quay_target")
     with pytest.raises(PySparkException, match="MERGE INTO"):
