@@ -235,7 +235,7 @@ def row_messages(rows: DataFrame, name: str) -> DataFrame:
     envelope = F.struct(F.lit(f"SRC.{name}").alias("table"), F.lit("I").alias("op_type"),
                         F.lit("2020-01-01 00:00:00").alias("op_ts"), F.col("id").cast("string").alias("pos"),
                         row.alias("after"))
-    return rows.select(F.to_json(envelope).alias("value"))
+    return rows.select(F.explode(F.array(F.to_json(envelope))).alias("value"))
 
 
 def feed_to_kpi(spark: SparkSession, folder: str) -> DataFrame:

@@ -1,3 +1,5 @@
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -32,6 +34,16 @@ def test_null_groups_equal_counts_halves_and_days(spark, rows):
     assert found == loop_form(df, {"A": "a", "B": "b"}, "id")
 
 
+@pytest.mark.parametrize("seed", range(3))
+def test_random_rows_with_a_hot_group(spark, rows, seed):
+    rng = random.Random(seed)
+    data = [(rng.choice(["1", "2", None]), rng.choice([None, i]),
+             "hot" if rng.random() < 0.34 else rng.choice([None, "a", "b", "c"]), rng.choice([None, 1, 2, 3, 4, 5]))
+            for i in range(rng.randint(1, 200))]
+    df = spark.createDataFrame(data, SCHEMA)
+    assert rows(stats_of_group_counts(df, {"A": "a", "B": "b"}, total="id")) == loop_form(df, {"A": "a", "B": "b"}, "id")
+
+
 def test_rows_or_ids_and_sums(spark, rows):
     df = spark.createDataFrame([("1", None, "x", 1), ("1", 2, "y", 1)], SCHEMA)
     assert stats_of_group_counts(df, {"A": "a"}, total="*").first()["total"] == 2

@@ -1,3 +1,5 @@
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -52,6 +54,42 @@ def test_every_shape_gives_the_same_rows(spark, tables, rows, nested, threshold)
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "64m")
 
 
+@pytest.mark.parametrize("seed, threshold", [(1, "64m"), (2, "-1"), (3, "-1")])
+def test_against_all_copies(spark, rows, seed, threshold):
+    """Random tables, a third of the keys hot or NULL: make every copy, keep the one with the smallest ids."""
+    rng = random.Random(seed)
+
+    def key(n):
+        return rng.choice([7, None, rng.randint(1, n)])
+
+    ships = [(i, key(20), key(9), key(9), rng.choice([1, 2, 3, None])) for i in range(1, 120)]
+    owners = [(i, f"owner {i}") for i in range(1, 15)]
+    addresses = [(100 + i, key(20), f"street {i}") for i in range(60)]
+    places = [(i, rng.choice([None, f"place {i}"])) for i in range(1, 9)]
+    codes = [(i, rng.choice([17, 18]), rng.choice(["1", "2", "x", "03"]), f"text {i}") for i in range(12)]
+    expected = []
+    for ship, owner, start, goal, kind in ships:
+        owned = [o for o in owners if o[0] == owner] or [(None, None)]
+        homes = [a for a in addresses if owned[0][0] is not None and a[1] == owned[0][0]] or [(0, None, None)]
+        kinds = [c for c in codes if c[1] == 18 and c[2].isdigit() and int(c[2]) == kind] or [(0, 0, None, None)]
+        names = [next((p[1] for p in places if p[0] == place), None) for place in (start, goal)]
+        best = min((home[0], code[0], home[2], code[3]) for home in homes for code in kinds)
+        expected.append((ship, owned[0][1], best[2], best[3], None if None in names else "".join(names), "20200102"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    try:
+        frames = {
+            "ships": spark.createDataFrame([(*s, "2020-01-02 00:00:00") for s in ships],
+                                           "id long, owner long, start long, goal long, kind int, cdt string"),
+            "owners": spark.createDataFrame(owners, "id long, name string"),
+            "addresses": spark.createDataFrame(addresses, "id long, owner long, street string"),
+            "places": spark.createDataFrame(places, "id long, name string"),
+            "codes": spark.createDataFrame(codes, "id long, type int, code string, codeDesc string"),
+        }
+        assert rows(widen(JOB, frames.__getitem__)) == sorted(expected, key=repr)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "64m")
+
+
 def test_unused_lookups_are_not_joined(tables):
     plan = widen(JOB, tables, columns=["id", "kind"])._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("Join") == 1
