@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark import StorageLevel
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -46,7 +46,7 @@ def apply_batch(messages: DataFrame, batch: int, category: str, root: str, catal
                 stored[name].compact()
 
         with ThreadPoolExecutor(TABLES_AT_A_TIME) as pool:
-            list(pool.map(write, names))
+            list(pool.map(inheritable_thread_target(spark)(write), names))  # jobs stay part of the query
         if len(names) < len(present):
             (changes.where(F.col("problem").isNotNull()).select("table", "problem", "value")
              .write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(f"{root}/rejects/{BATCH}={batch}"))
