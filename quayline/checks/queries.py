@@ -212,8 +212,8 @@ def json_path_filter(spark: SparkSession, folder: str) -> DataFrame:
 def stream_cdc(spark: SparkSession, folder: str) -> DataFrame:
     messages = oracle_messages(table_stream(spark, f"{folder}/events.parquet"))
     root, catalogue = fresh_path(spark, "tables"), load_catalogue()
-    feeds.start_change_feed(messages, "oracle", root, fresh_path(spark, "checkpoint"), catalogue,
-                            available_now=True).awaitTermination()
+    feeds.start_change_feed(messages, "oracle", root, fresh_path(spark, "checkpoint"), catalogue, available_now=True,
+                            tasks=spark.sparkContext.defaultParallelism).awaitTermination()
     return feeds.keyed_tables(spark, root, catalogue)["tbl_vehicle_monitor"].snapshot()
 
 
@@ -244,7 +244,7 @@ def feed_to_kpi(spark: SparkSession, folder: str) -> DataFrame:
     messages = [row_messages(derived(n), n) for n in names]
     root, catalogue = fresh_path(spark, "tables"), load_catalogue()
     for number, batch in enumerate(messages):
-        feeds.apply_batch(batch, number, "oracle", root, catalogue)
+        feeds.apply_batch(batch, number, "oracle", root, catalogue, tasks=spark.sparkContext.defaultParallelism)
     return summary.summarise_source(summary.EXPRESS_BILL, stored.StoredTables(spark, root, catalogue))
 
 

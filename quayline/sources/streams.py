@@ -9,12 +9,16 @@ MAX_OFFSETS_PER_TRIGGER = 100_000
 
 
 def topic_stream(spark: SparkSession, servers: str, topic: str, select: str = "CAST(value AS STRING) AS value",
-                 max_offsets: int = MAX_OFFSETS_PER_TRIGGER, **options: str) -> DataFrame:
-    """A topic as a stream; needs the Kafka connector on the class path."""
+                 max_offsets: int = MAX_OFFSETS_PER_TRIGGER, tasks: int | None = None, **options: str) -> DataFrame:
+    """A topic as a stream; needs the Kafka connector on the class path.
+
+    A batch is read by ``tasks`` tasks (by default as many as run at a time), however few partitions the topic has.
+    """
     return (spark.readStream.format("kafka")
             .option("kafka.bootstrap.servers", servers)
             .option("subscribe", topic)
             .option("maxOffsetsPerTrigger", str(max_offsets))
+            .option("minPartitions", str(tasks or spark.sparkContext.defaultParallelism))
             .options(**options)
             .load()
             .selectExpr(select, "offset"))

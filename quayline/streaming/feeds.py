@@ -27,12 +27,15 @@ def keyed_tables(spark: SparkSession, root: str, catalogue: Mapping[str, Table])
 
 
 def apply_batch(messages: DataFrame, batch: int, category: str, root: str, catalogue: dict[str, Table],
-                null_numbers_as_zero: bool = False, compact_every: int = 0) -> None:
+                null_numbers_as_zero: bool = False, compact_every: int = 0, tasks: int = 0) -> None:
     """Apply one batch of raw messages to the tables under ``root``; bad messages go to ``rejects``.
 
-    With ``compact_every`` the tables a batch has touched are compacted each time that many batches have passed.
+    With ``compact_every`` the tables a batch has touched are compacted each time that many batches have passed. With
+    ``tasks`` the messages are first spread over that many tasks, for sources that come in few pieces.
     """
     spark = messages.sparkSession
+    if tasks:
+        messages = messages.repartition(tasks)
     changes = check_tables(parse(messages, category), catalogue).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         # at most one row per table of the catalogue, and one for the bad messages
