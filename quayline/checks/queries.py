@@ -114,7 +114,8 @@ def csv_ingest(spark: SparkSession, folder: str) -> DataFrame:
     when = F.date_format("o_orderdate", delimited.FILE_TIME)
     late = F.when(F.col("o_orderstatus") == "P", F.lit("")).otherwise(F.col("o_orderstatus"))
     price = (F.when(F.col("o_orderpriority") == "5-LOW", F.lit(""))
-             .when(F.col("o_totalprice") < 20000, F.lit("n/a")).otherwise(F.col("o_totalprice").cast("decimal(18,2)").cast("string")))
+             .when(F.col("o_totalprice") < 20000, F.lit("n/a"))
+             .otherwise(F.col("o_totalprice").cast("decimal(18,2)").cast("string")))
     line = F.concat_ws(",", F.col("o_orderkey"), F.concat(F.lit(" "), F.col("o_custkey"), F.lit(" ")), when,
                        F.col("o_orderpriority"), price, late,
                        F.when(F.col("o_totalprice") > 490000, F.lit("one more")))
@@ -340,7 +341,8 @@ def job_full_and_increment(spark: SparkSession, folder: str) -> DataFrame:
 
 def changelog_final(spark: SparkSession, folder: str) -> DataFrame:
     changes = _account_changes(spark, folder).drop("at")
-    return changelog.final_rows(changelog.to_changelog(changes.withColumnRenamed("seq", "at"), "at").drop("at"), ["id"])
+    log = changelog.to_changelog(changes.withColumnRenamed("seq", "at"), "at").drop("at")
+    return changelog.final_rows(log, ["id"])
 
 
 def changelog_collapsed(spark: SparkSession, folder: str) -> DataFrame:
@@ -461,7 +463,8 @@ QUERIES: dict[str, Query] = {
     wide_customer, kpi_customer, sender_totals, dictionary_decode, kpi_order_daily, distinct_days, group_count,
     incremental_scan, incremental_scan_text, query_by_example, query_by_example_limit, csv_ingest,
     cdc_oracle_apply, cdc_oracle_deletes, cdc_mysql_apply, cdc_mysql_first_row, cdc_route_counts, json_path_filter,
-    stream_cdc, stream_documents, feed_to_kpi, keyed_merge, keyed_merge_strict, keyed_insert_only, keyed_update_only, keyed_delete,
+    stream_cdc, stream_documents, feed_to_kpi, keyed_merge, keyed_merge_strict, keyed_insert_only, keyed_update_only,
+    keyed_delete,
     keyed_delete_report, keyed_update_columns, update_by_query, keyed_table, job_full_and_increment, changelog_final,
     changelog_collapsed, word_count, stream_word_count, search_hits, search_facets, search_count, row_audit,
     row_audit_total, row_audit_distinct, row_audit_expected, calendar_dim, date_slices, date_arithmetic,

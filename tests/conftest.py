@@ -13,7 +13,8 @@ from quayline.session import build_session  # noqa: E402
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
     session = build_session("tests", "local[8]", settings={
-        "spark.sql.warehouse.dir": str(tmp_path_factory.mktemp("warehouse")), "spark.sql.shuffle.partitions": "8", "spark.driver.memory": "8g",
+        "spark.sql.warehouse.dir": str(tmp_path_factory.mktemp("warehouse")),
+        "spark.sql.shuffle.partitions": "8", "spark.driver.memory": "8g",
         "spark.ui.showConsoleProgress": "false"})
     session.sparkContext.setLogLevel("ERROR")
     yield session

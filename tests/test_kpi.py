@@ -80,7 +80,7 @@ def snapshot(spark, rows, as_of="2021-03-10"):
 def test_snapshot_boundaries(spark):
     idle = {9: "2021-03-01", 10: "2021-02-28", 89: "2020-12-11", 90: "2020-12-10", 179: "2020-09-12",
             180: "2020-09-11", 181: "2020-09-10", 269: "2020-06-14", 270: "2020-06-13"}
-    found = snapshot(spark, [(None, day + " 12:00:00", 1, 2, 10.5) for day in idle.values()] + [(None, None, None, None, None)])
+    found = snapshot(spark, [(None, day + " 12:00:00", 1, 2, 10.5) for day in idle.values()] + [(None,) * 5])
     assert (found["customerCount"], found["activeCustomerCount"]) == (10, 1)
     assert found["preserveRate"] == 0.5
     assert (found["sleepCustomerCount"], found["loseCustomerCount"]) == (3, 1)
