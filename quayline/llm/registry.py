@@ -1,11 +1,12 @@
 """The queries of this package and, where SQL can express one, its SQL."""
 
-from quayline.llm import exact, sharding, urls
+from quayline.llm import exact, packing, sharding, urls
 
 QUERIES = {
     "op1_permutation_shards": sharding.op1_permutation_shards,
     "op2_tree_merge_dedup": exact.op2_tree_merge_dedup,
     "op7_hash_prefix_urls": urls.op7_hash_prefix_urls,
+    "op8_linear_grouping_packing": packing.op8_linear_grouping_packing,
 }
 
 ORACLES = {
