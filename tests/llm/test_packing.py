@@ -17,8 +17,18 @@ TEXTS = [
 
 
 def reference(text):
-    from tokenizers import Tokenizer
-    return Tokenizer.from_file(packing.tokenizer_path()).encode(text or "", add_special_tokens=False).ids + [packing.END]
+    return packing.Encoder(packing.tokenizer_files()[0], None).encode(text or "") + [packing.END]
+
+
+def test_both_encoders_agree():
+    plain, fast = packing.Encoder(packing.tokenizer_files()[0], None), packing.Encoder(*packing.tokenizer_files())
+    frames = ("X", "aXb", " X ", "a X b", "aX Xb", "XX", "1X2", "  X\n", "X's", "'Xs", " XX a", "!X!")
+    texts = [f.replace("X", chr(c)) for c in range(0x260) for f in frames]
+    r = random.Random(3)
+    texts += ["".join(r.choices("abcxyzABC '.,!-0123\n\t éß\xa0\x85", k=r.randint(0, 60))) for _ in range(3000)]
+    texts += ["a" * 50_000, "!" * 20_000, " " * 20_000, "x<|endoftext|>y", "漢字 🙂 <|endoftext|>"]
+    assert all(fast.fast.encode_ordinary(t) == plain.encode(t) for t in texts if not fast.UNLIKE.search(t))
+    assert all(fast.encode(t) == plain.encode(t) for t in texts)
 
 
 def test_pieces_are_the_tokens_of_the_text(spark):
