@@ -1,15 +1,17 @@
 """The queries of this package and, where SQL can express one, its SQL."""
 
-from quayline.llm import exact, mixing, neighbours, packing, quality, secrets, sharding, urls
+from quayline.llm import exact, lm, mixing, neighbours, packing, quality, secrets, sharding, shingles, urls
 
 QUERIES = {
     "op1_permutation_shards": sharding.op1_permutation_shards,
     "op2_tree_merge_dedup": exact.op2_tree_merge_dedup,
     "op3_soft_membership_mixing": mixing.op3_soft_membership_mixing,
+    "op4_context_mixing_lm": lm.op4_context_mixing_lm,
     "op5_ownership_secrets": secrets.op5_ownership_secrets,
     "op6_positive_unlabelled_quality": quality.op6_positive_unlabelled_quality,
     "op7_hash_prefix_urls": urls.op7_hash_prefix_urls,
     "op8_linear_grouping_packing": packing.op8_linear_grouping_packing,
+    "op9_signature_tree_join": shingles.op9_signature_tree_join,
     "op10_hash_prefix_forest": neighbours.op10_hash_prefix_forest,
 }
 
