@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 from collections.abc import Iterable
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from quayline.session import fresh_path
@@ -58,3 +59,55 @@ def tree_shape(leaves: int, most: int = 16) -> tuple[int, int]:
     while fan ** rounds < leaves:
         fan += 1
     return fan, rounds
+
+
+def keyed_rows(docs: DataFrame, key: str = "doc_id", text: str = "text") -> tuple[DataFrame, str]:
+    """``docs`` with a column that names its rows, and the column.
+
+    That is the key where all keys are there and differ. Where not, it is the key, or that there is none, with a digest of
+    the text, so that only rows with one key and one text share a name. Names sort as the keys do, rows without one last.
+    """
+    name = free_name(docs.columns, "_name")
+    repeated = docs.groupBy(F.col(f"`{key}`").alias(name)).count().where((F.col("count") > 1) | F.col(name).isNull())
+    if repeated.isEmpty():
+        return docs.withColumn(name, F.col(f"`{key}`")), name
+    kind = docs.schema[key].dataType.simpleString()
+    none = F.expr(f"cast(0 as {kind})") if kind != "string" else F.lit("")
+    return docs.withColumn(name, F.struct(
+        F.col(f"`{key}`").isNull().alias("none"), F.coalesce(F.col(f"`{key}`"), none).alias("key"),
+        F.sha2(whole_text(f"`{text}`"), 256).alias("text"))), name
+
+
+def without(docs: DataFrame, name: str, dropped: DataFrame) -> DataFrame:
+    """The rows of ``docs`` whose ``name`` is not in ``dropped``, without that column."""
+    other = free_name(docs.columns, "_dropped")
+    return docs.join(dropped.select(F.col(name).alias(other)), F.col(name) == F.col(other), "left_anti").drop(name)
+
+
+def one_of_each(docs: DataFrame, name: str) -> DataFrame:
+    """One row per ``name`` where that is not a plain key."""
+    return docs.dropDuplicates([name]) if docs.schema[name].dataType.typeName() == "struct" else docs
+
+
+def planes(numbers: np.ndarray) -> bytes:
+    """Numbers below 2^32 with all first bytes together, then all second ones and so on, as many as are needed: small
+    numbers, and plain compression of larger ones, take little room."""
+    numbers = np.ascontiguousarray(numbers, "<u4")
+    size = max(1, (int(numbers.max(initial=0)).bit_length() + 7) // 8)
+    return bytes([size]) + numbers.view(np.uint8).reshape(-1, 4).T[:size].tobytes()
+
+
+def from_planes(data: bytes) -> np.ndarray:
+    """What ``planes`` was given."""
+    parts = np.frombuffer(data, np.uint8, offset=1).reshape(data[0], -1)
+    out = np.zeros((parts.shape[1], 4), np.uint8)
+    out[:, :data[0]] = parts.T
+    return out.view("<u4").ravel()
+
+
+def by_frequency(codes: np.ndarray, kinds: int) -> tuple[np.ndarray, np.ndarray]:
+    """New codes, the most frequent first, and the old code of each."""
+    order = np.argsort(-np.bincount(codes, minlength=kinds), kind="stable")
+    new = np.empty(kinds, np.int64)
+    new[order] = np.arange(kinds)
+    return new[codes], order

@@ -13,7 +13,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from quayline.llm.common import free_name, shuffle_partitions, single_spaced, table, tree_shape, whole_text, written
+from quayline.llm.common import (
+    keyed_rows, one_of_each, shuffle_partitions, single_spaced, table, tree_shape, whole_text, without, written)
 
 DIGEST = ["_digest", "_bytes", "_tag"]
 BLOCK_BITS = 10  # 1,024 consecutive rows of an input partition belong to one run
@@ -67,21 +68,10 @@ def duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", fan: in
 
 
 def deduplicate(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of ``docs`` that are kept, with all their columns."""
-    found = written(duplicates(docs, key, text).select(F.col(f"`{key}`").alias("_key"), "kept", "text_sha256"), "kept")
-    dropped = found.where(~F.col("kept"))
-    repeated = (found.groupBy("_key", "text_sha256").count().groupBy("_key")
-                .agg(F.count(F.lit(1)).alias("texts"), F.sum("count").alias("rows"))
-                .where((F.col("rows") > 1) | F.col("_key").isNull()))
-    if repeated.isEmpty():  # keys name rows: those of dropped ones suffice
-        return docs.join(dropped.select(F.col("_key").alias(free_name(docs.columns, "_key"))),
-                         docs[key] == F.col(free_name(docs.columns, "_key")), "left_anti")
-    name, sha = free_name(docs.columns, "_key"), free_name(docs.columns, "_sha")
-    kept = found.where("kept").select(F.col("_key").alias(name), F.col("text_sha256").alias(f"{sha}2"))
-    marked = docs.withColumn(sha, F.sha2(single_spaced(whole_text(f"`{text}`")), 256))
-    # here rows with one key and one text are alike; one of them stays
-    return (marked.join(kept, marked[key].eqNullSafe(F.col(name)) & (F.col(sha) == F.col(f"{sha}2")), "left_semi")
-            .dropDuplicates([key, sha]).select(docs.columns))
+    """One row of each group of equal texts, the one with the smallest key, with all its columns."""
+    named, name = keyed_rows(docs, key, text)
+    kept = duplicates(named, name, text).groupBy(name).agg(F.max("kept").alias("kept"))
+    return without(one_of_each(named, name), name, written(kept.where(~F.col("kept")).select(name), "dropped"))
 
 
 def op2_tree_merge_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -28,12 +28,15 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from quayline.llm import signatures
-from quayline.llm.common import shuffle_partitions, table, whole_text, written
+from quayline.llm.common import (
+    by_frequency, from_planes, keyed_rows, one_of_each, planes, shuffle_partitions, table, whole_text, without, written)
 
 WORDS, PERCENT = 5, 75
 BLOCK_BYTES = 4 << 20
 ROUNDS = 3
+WORTH = 0.05  # another round follows one that has found links for such a share of its sets
 LEAF_SETS, LEAF_TOKENS = 512, 1 << 20
+SIGNATURE_BITS = 4096
 CHUNK, PIECE = 256, 8192
 HALF = np.uint64(1 << 63)
 FACTOR = np.uint64(0x9E3779B97F4A7C15)
@@ -87,9 +90,10 @@ def make_blocks(docs: DataFrame, kind: T.DataType) -> DataFrame:
             lengths.append(len(words))
             codes.extend(map(known.__getitem__, words))
         hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, known), np.uint64, len(known))
+        code, order = by_frequency(np.frombuffer(codes, np.int32), len(known))
         return pa.RecordBatch.from_arrays([
             pa.array([first], pa.int64()), pa.array([keys], pa.list_(key_type)), pa.array([lengths], pa.list_(pa.int32())),
-            pa.array([codes.tobytes()], pa.binary()), pa.array([hashes.tobytes()], pa.binary())], schema.names)
+            pa.array([planes(code)], pa.binary()), pa.array([hashes[order].tobytes()], pa.binary())], schema.names)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         first = TaskContext.get().partitionId() << 40
@@ -113,7 +117,7 @@ def make_blocks(docs: DataFrame, kind: T.DataType) -> DataFrame:
 
 
 def _sets(row: dict, words: int) -> list[np.ndarray]:
-    hashes = np.frombuffer(row["hashes"], np.uint64)[np.frombuffer(row["codes"], np.int32)]
+    hashes = np.frombuffer(row["hashes"], np.uint64)[from_planes(row["codes"])]
     return shingle_sets(hashes, np.array(row["lengths"], np.int64), words)
 
 
@@ -292,37 +296,59 @@ def missing_links(sets: DataFrame, united: DataFrame, percent: int) -> DataFrame
     columns = ["token", "chunk", "piece", "class", "component"]
     gathered = told.select(*columns, F.lit(False).alias("asks")).union(asking.select(*columns, F.lit(True).alias("asks")))
 
-    def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """The askers of a chunk come first; what follows meets them in trees of a bounded number of sets."""
-        asking: list[tuple[int, int, np.ndarray]] = []
-        others: list[tuple[int, int, np.ndarray]] = []
-
-        def tree(more: list) -> pa.RecordBatch:
-            rows = sorted([*asking, *more], key=lambda r: (r[1], len(r[2])))
-            found = signatures.links([r[2] for r in rows], np.array([r[1] for r in rows]), percent)
-            return pa.RecordBatch.from_arrays([pa.array([rows[i][1] for i, _ in found], pa.int64()),
-                                               pa.array([rows[j][1] for _, j in found], pa.int64())], ["a", "b"])
-
+    def trees(batches: Iterator[pa.RecordBatch], work) -> Iterator[pa.RecordBatch]:
+        """``work`` on the askers of a chunk, who come first, with as many others at a time as a tree may have."""
+        asking: list[dict] = []
+        others: list[dict] = []
         size, first = 0, True
         for batch in batches:
-            for number, component, asks, tokens in zip(*[batch.column(c).to_pylist() for c in (
-                    "class", "component", "asks", "tokens")]):
-                row = (number, component, np.frombuffer(tokens, np.uint64))
-                if asks:
+            for row in batch.to_pylist():
+                if row["asks"]:
                     asking.append(row)
                     continue
                 others.append(row)
-                size += len(row[2])
+                size += row["size"]
                 if len(others) >= LEAF_SETS or size >= LEAF_TOKENS:
-                    yield tree(others)
+                    yield work(asking, others)
                     others, size, first = [], 0, False
         if asking and (others or first):
-            yield tree(others)
+            yield work(asking, others)
+
+    def ordered(asking: list[dict], others: list[dict]) -> list[dict]:
+        return sorted([*asking, *others], key=lambda r: (r["component"], r["size"]))
+
+    def screen(asking: list[dict], others: list[dict]) -> pa.RecordBatch:
+        rows = ordered(asking, others)
+        fine = signatures.may_link(np.stack([np.frombuffer(r["signature"], np.uint64) for r in rows]),
+                                   np.array([r["size"] for r in rows]), np.array([r["component"] for r in rows]), percent)
+        return pa.RecordBatch.from_pylist([{c: r[c] for c in kept} for r, f in zip(rows, fine) if f], pa.schema(
+            [(c, t) for c, t in zip(kept, (pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.bool_()))]))
+
+    def compare(asking: list[dict], others: list[dict]) -> pa.RecordBatch:
+        rows = ordered(asking, others)
+        of = [r["component"] for r in rows]
+        found = signatures.links([np.frombuffer(r["tokens"], np.uint64) for r in rows], np.array(of), percent)
+        return pa.RecordBatch.from_arrays([pa.array([of[i] for i, _ in found], pa.int64()),
+                                           pa.array([of[j] for _, j in found], pa.int64())], ["a", "b"])
+
+    def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            maps = [signatures.signature(np.frombuffer(t, np.uint64), SIGNATURE_BITS).tobytes()
+                    for t in batch.column(2).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(maps, pa.binary())],
+                                             ["class", "size", "signature"])
 
-    whole = gathered.join(sets.select("class", "tokens"), "class")
-    by = ["token", "chunk", "piece"]
-    return (whole.repartition(shuffle_partitions(sets.sparkSession), *by).sortWithinPartitions(*by, F.desc("asks"))
-            .mapInArrow(_per_group(join, by), "a long, b long").distinct())
+    def grouped(rows: DataFrame, work, schema: str) -> DataFrame:
+        by = ["token", "chunk", "piece"]
+        return (rows.repartition(shuffle_partitions(sets.sparkSession), *by).sortWithinPartitions(*by, F.desc("asks"))
+                .mapInArrow(_per_group(lambda batches: trees(batches, work), by), schema))
+
+    kept = ["token", "chunk", "piece", "class", "component", "asks"]
+    signed = sets.select("class", "size", "tokens").mapInArrow(sign, "class long, size long, signature binary")
+    # whole sets only go where signatures leave a chance
+    chance = written(grouped(gathered.join(signed, "class"), screen, "token long, chunk int, piece int, class long, "
+                             "component long, asks boolean").distinct(), "chances")
+    return grouped(chance.join(sets.select("class", "size", "tokens"), "class"), compare, "a long, b long").distinct()
 
 
 def _per_group(work, by: list[str]):
@@ -362,9 +388,11 @@ def similar_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", wor
     for r in range(ROUNDS):
         part = sets if r == 0 else sets.join(united.where("class = component").select("class"), "class")
         found = written(neighbour_links(part, f"least{r}", percent), "links")
-        if found.isEmpty():
+        number = found.count()
+        if number:
+            united = _unite(united, found)
+        if number < WORTH * part.count():
             break
-        united = _unite(united, found)
     found = written(missing_links(sets, united, percent), "links")
     if not found.isEmpty():
         united = _unite(united, found)
@@ -376,6 +404,14 @@ def similar_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", wor
                     F.coalesce("least", "key").alias("component_id"), "row"))
 
 
+def one_of_each_group(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """One row of each group of similar texts, the one with the smallest key, with all its columns."""
+    named, name = keyed_rows(docs, key, text)
+    groups = similar_groups(named, name, text)
+    dropped = groups.where(F.col(name) != F.col("component_id")).select(name).distinct()
+    return without(one_of_each(named, name), name, written(dropped, "dropped"))
+
+
 def op9_signature_tree_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The group of every document."""
     return similar_groups(table(spark, sf_dir, "documents")).drop("row")

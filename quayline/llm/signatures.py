@@ -29,18 +29,19 @@ class Groups:
         return i
 
 
+def signature(tokens: np.ndarray, bits: int) -> np.ndarray:
+    """The bitmap of a set, as 64-bit words."""
+    bitmap = np.zeros(bits, np.uint8)
+    bitmap[(tokens % np.uint64(bits)).astype(np.int64)] = 1
+    return np.packbits(bitmap).view(np.uint64)
+
+
 class Tree:
     """Signatures of sets in the order given, level by level; similar sets should be neighbours."""
 
-    def __init__(self, sets: list[np.ndarray], component: np.ndarray):
-        self.sets, size = sets, np.array([len(s) for s in sets])
-        bits = 1 << int(np.clip(np.ceil(np.log2(4 * np.median(size) + 1)), 9, 14))
-        bitmap = np.zeros((len(sets), bits), np.uint8)
-        for row, tokens in zip(bitmap, sets):
-            row[(tokens % np.uint64(bits)).astype(np.int64)] = 1
-        lost = size - bitmap.sum(axis=1)
-        packed = np.packbits(bitmap, axis=1).view(np.uint64)
-        self.levels = [(packed, size, size, lost, component, component)]
+    def __init__(self, maps: np.ndarray, size: np.ndarray, component: np.ndarray):
+        lost = size - np.bitwise_count(maps).sum(axis=1, dtype=np.int64)
+        self.levels = [(maps, size, size, lost, component, component)]
         while len(self.levels[-1][0]) > FAN:
             maps, least, most, lost, low, high = self.levels[-1]
             at = np.arange(0, len(maps), FAN)
@@ -92,12 +93,14 @@ def links(sets: list[np.ndarray], component: np.ndarray, percent: int) -> list[t
     used = np.flatnonzero([len(s) > 0 for s in sets])
     if len(used) < 2:
         return []
-    tree = Tree([sets[i] for i in used], np.asarray(component)[used])
-    groups, members, out = Groups(np.asarray(component)[used]), {}, []
+    size, component = np.array([len(sets[i]) for i in used]), np.asarray(component)[used]
+    bits = 1 << int(np.clip(np.ceil(np.log2(4 * np.median(size) + 1)), 9, 14))
+    tree = Tree(np.stack([signature(sets[i], bits) for i in used]), size, component)
+    groups, members, out = Groups(component), {}, []
 
     def tokens(i: int) -> frozenset:
         if i not in members:
-            members[i] = frozenset(tree.sets[i].tolist())
+            members[i] = frozenset(sets[used[i]].tolist())
         return members[i]
 
     root = groups.root
@@ -114,3 +117,13 @@ def links(sets: list[np.ndarray], component: np.ndarray, percent: int) -> list[t
                 groups.parent[max(x, y)] = min(x, y)
                 out.append((int(used[i]), int(used[j])))
     return out
+
+
+def may_link(maps: np.ndarray, size: np.ndarray, component: np.ndarray, percent: int) -> np.ndarray:
+    """Which sets no bound keeps from a link with one of another component, by their signatures alone."""
+    found = np.zeros(len(size), bool)
+    if len(size) > 1:
+        for a, b in Tree(maps, size, component).candidates(percent):
+            found[a[a != b]] = True
+            found[b[a != b]] = True
+    return found
