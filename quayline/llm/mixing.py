@@ -17,9 +17,10 @@ from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from quayline.llm.common import free_name, table, whole_text, written
+from quayline.llm.common import keyed_rows, table, whole_text, without, written
 
 BUCKETS = 1 << 15
+SAMPLE = 20_000  # labelled ids to learn from, 160 kB to broadcast
 SMOOTHING = 0.5
 TEMPERATURE = 0.25  # words of a text are not independent: their evidence counts as that of so many
 STEPS, TOLERANCE = 40, 1e-6
@@ -112,30 +113,30 @@ def mixing_rates(docs: DataFrame, labelled: DataFrame, targets: Mapping[str, flo
     map_of = F.create_map(*[x for i, d in enumerate(domains) for x in (F.lit(d), F.col(f"p{i}"))])
     rated = members.select(F.col("_key").alias(key), "_row", "tokens", map_of.alias("memberships"),
                            F.round(_rate(steps), 9).alias("rate"))
-    chance = F.pmod(F.xxhash64(F.col(key).cast("string"), "tokens"), F.lit(1 << 30)) / F.lit(1 << 30)
+    chance = F.pmod(F.xxhash64(key, "tokens"), F.lit(1 << 30)) / F.lit(1 << 30)
     return rated.withColumn("copies", (F.floor("rate") + F.when(chance < F.col("rate") - F.floor("rate"), 1)
                                        .otherwise(0)).cast("int"))
 
 
-def language_labels(spark: SparkSession, docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The labelled table: texts that ``labels`` lists, with their language as domain."""
-    listed = labels.select(F.col("doc_id").alias("_listed")).distinct()
+def language_labels(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
+    """The labelled table: the texts of about ``sample`` ids that ``labels`` lists, with their language as domain."""
+    listed = labels.select(F.col("doc_id").alias("_listed")).where(F.col("doc_id").isNotNull()).distinct()
+    share = sample / max(1, listed.count())
+    listed = F.broadcast(listed.where(F.pmod(F.xxhash64("_listed"), F.lit(1 << 30)) < F.lit(share * (1 << 30))))
     return docs.join(listed, docs["doc_id"] == F.col("_listed"), "left_semi").select(
         "text", F.col("lang").alias("domain"))
 
 
-def mix(spark: SparkSession, docs: DataFrame, labels: DataFrame, targets: Mapping[str, float] = TARGETS) -> DataFrame:
+def mix(docs: DataFrame, labels: DataFrame, targets: Mapping[str, float] = TARGETS) -> DataFrame:
     """The documents that a mix without repetition uses, with all their columns."""
-    rates = mixing_rates(docs, language_labels(spark, docs, labels), targets)
-    left_out = (written(rates.select("doc_id", "copies"), "copies").where(F.col("copies") == 0)
-                .select(F.col("doc_id").alias(free_name(docs.columns, "_out"))))
-    out = left_out.columns[0]
-    return docs.join(left_out, docs["doc_id"] == F.col(out), "left_anti")
+    named, name = keyed_rows(docs)
+    rates = mixing_rates(named, language_labels(docs, labels), targets, key=name)
+    return without(named, name, written(rates.where(F.col("copies") == 0).select(name).distinct(), "left_out"))
 
 
 def op3_soft_membership_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The mixing rate of every document."""
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
-    rates = mixing_rates(docs, language_labels(spark, docs, labels), TARGETS)
+    rates = mixing_rates(docs, language_labels(docs, labels), TARGETS)
     posterior = [F.round(F.col("memberships")[d], 9).alias(f"p_{d}") for d in sorted(TARGETS)]
     return rates.select("doc_id", "tokens", *posterior, F.round("rate", 6).alias("rate"), "copies")

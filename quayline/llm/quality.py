@@ -177,21 +177,21 @@ def held_out(key: str = "doc_id") -> Column:
     return id_remainder(f"`{key}`", 5) == 0
 
 
-def labelled_model(spark: SparkSession, docs: DataFrame, labels: DataFrame) -> Model | None:
+def labelled_model(docs: DataFrame, labels: DataFrame) -> Model | None:
     """The model that the trusted labels outside the held-out fold give."""
     trusted = labels.where((F.col("quality") == 1) & ~held_out()).select("doc_id")
     return train(docs, trusted, ~held_out())
 
 
-def keep_good(spark: SparkSession, docs: DataFrame, labels: DataFrame) -> DataFrame:
+def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The documents that the classifier does not reject, with all their columns."""
-    scored = score(docs, labelled_model(spark, docs, labels), column="_score")
+    scored = score(docs, labelled_model(docs, labels), column="_score")
     return scored.where(F.col(scored.columns[-1]) >= THRESHOLD).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def op6_positive_unlabelled_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The quality score of every document."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    model = labelled_model(spark, docs, table(spark, sf_dir, "labels"))
+    model = labelled_model(docs, table(spark, sf_dir, "labels"))
     return score(docs, model).select("doc_id", held_out().alias("held_out"), "score",
                                      (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
