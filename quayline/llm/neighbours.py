@@ -6,7 +6,7 @@ tree by binary search to the vectors that share the longest prefix with its own
 one bit at a time, until the prefixes they have reached hold enough vectors. The candidates of all trees are compared
 with the query itself, in double precision, and the best of all shards are the answer.
 
-Queries meet shards in blocks. How many candidates are enough is a share of the shard, so that recall does not depend on
+Queries meet shards in blocks, a group of shards after the other in one task, which keeps the best so far. How many candidates are enough is a share of the shard, so that recall does not depend on
 the number of rows. Inner products are turned into angles by one more coordinate that gives all vectors one length.
 """
 
@@ -19,11 +19,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql import Window as W
 
-from quayline.llm.common import table, written
+from quayline.llm.common import shuffle_partitions, table, written
 
 TREES, BITS = 40, 32
 SHARE = 0.9  # candidates, counted once per tree that finds them, by vectors of the shard
-SHARD, BLOCK = 2048, 512
+SHARD, BLOCK = 2048, 256
+TOGETHER = 64  # shards that a block of queries meets in one task
 SEED = 20
 
 
@@ -100,11 +101,11 @@ class Forest:
                 yield q, i, -s
 
 
-def _packed(df: DataFrame, *group: str) -> DataFrame:
-    """Rows of a group as two binary columns: ids and vectors."""
+def _packed(df: DataFrame, number: str, *group: str) -> DataFrame:
+    """Rows of a group as two binary columns: ids and vectors of the kind ``number``."""
     def pack(keys: tuple[pa.Scalar, ...], batch: pa.Table) -> pa.Table:
         batch = batch.combine_chunks()
-        vectors = batch.column("_vector").combine_chunks().flatten().to_numpy(zero_copy_only=False).astype("<f8")
+        vectors = batch.column("_vector").combine_chunks().flatten().to_numpy(zero_copy_only=False).astype(number)
         ids = batch.column("_id").to_numpy().astype("<i8")
         return pa.table({**{g: pa.array([k.as_py()], pa.int32()) for g, k in zip(group, keys)},
                          "ids": pa.array([ids.tobytes()], pa.binary()), "vectors": pa.array([vectors.tobytes()], pa.binary())})
@@ -122,46 +123,58 @@ def search(rows: DataFrame, queries: DataFrame, key: str = "vec_id", vector: str
     different sizes are never compared. Of equal query rows one counts; repeated rows are candidates each. Empty tables
     give no rows; other columns play no part.
     """
+    kinds = {df.schema[vector].dataType.simpleString() for df in (rows, queries)}
+    number, array = ("<f4", "array<float>") if kinds == {"array<float>"} else ("<f8", "array<double>")
+
     def clean(df: DataFrame) -> DataFrame:
         v = F.col(f"`{vector}`")
         return (df.where(valid(v) & F.col(f"`{key}`").isNotNull())
-                .select(F.col(f"`{key}`").cast("long").alias("_id"), v.cast("array<double>").alias("_vector"))
+                .select(F.col(f"`{key}`").cast("long").alias("_id"), v.cast(array).alias("_vector"))
                 .withColumn("_size", F.size("_vector")))
 
     index, asked = clean(rows), clean(queries).dropDuplicates(["_id", "_vector"])
     shards, blocks = (max(1, -(-df.count() // n)) for df, n in ((index, shard_rows), (asked, block_rows)))
     # repeated ids are spread by their vectors
     dealt = lambda df, n: df.withColumn("_part", F.pmod(F.xxhash64("_id", "_vector"), F.lit(n)).cast("int"))
-    left = written(_packed(dealt(asked, blocks), "_part", "_size"), "queries").select(
+    left = written(_packed(dealt(asked, blocks), number, "_part", "_size"), "queries").select(
         F.col("_part").alias("_block"), "_size", F.col("ids").alias("_q_ids"), F.col("vectors").alias("_q_vectors"),
         F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("_part"))
-    right = written(_packed(dealt(index, shards), "_part", "_size"), "shards")
+    right = written(_packed(dealt(index, shards), number, "_part", "_size"), "shards")
 
     def match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, forest = None, None
+        def result() -> pa.RecordBatch:
+            lines = [(q, own[q], i, s) for q, found in enumerate(best) for i, s in found]
+            at, query, found, score = zip(*lines) if lines else ((), (), (), ())
+            return pa.RecordBatch.from_arrays(
+                [pa.array([task[0]] * len(at), pa.int32()), pa.array(at, pa.int32()), pa.array([task[2]] * len(at), pa.int32()),
+                 pa.array(query, pa.int64()), pa.array(found, pa.int64()), pa.array(score, pa.float64())],
+                ["_block", "_at", "_size", "query_id", "_found", "score"])
+
+        task, own, best = None, np.zeros(0, np.int64), []
         for batch in batches:
             for r in range(batch.num_rows):
                 row = {n: batch.column(n)[r] for n in batch.schema.names}
-                size = row["_size"].as_py()
-                if last != (row["_part"].as_py(), size):
-                    last = (row["_part"].as_py(), size)
-                    ids = np.frombuffer(row["ids"].as_buffer(), "<i8")
-                    forest = Forest(ids, np.frombuffer(row["vectors"].as_buffer(), "<f8").reshape(len(ids), size), trees,
-                                    bits, k + 1)
-                own = np.frombuffer(row["_q_ids"].as_buffer(), "<i8")
-                asked_for = np.frombuffer(row["_q_vectors"].as_buffer(), "<f8").reshape(len(own), size)
-                enough = max(2 * k, int(share * len(forest.vectors)))
-                found = list(forest.nearest(own, asked_for, k, enough))
-                at, got, scores = zip(*found) if found else ((), (), ())
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([row["_block"].as_py()] * len(at), pa.int32()), pa.array(at, pa.int32()),
-                     pa.array([size] * len(at), pa.int32()), pa.array(own[list(at)], pa.int64()),
-                     pa.array(got, pa.int64()), pa.array(scores, pa.float64())],
-                    ["_block", "_at", "_size", "query_id", "_found", "score"])
-
-    pairs = left.join(right, ["_part", "_size"])
-    best = pairs.sortWithinPartitions("_part", "_size").mapInArrow(
-        match, "_block int, _at int, _size int, query_id long, _found long, score double")
+                block, group, size = (row[c].as_py() for c in ("_block", "_group", "_size"))
+                if task != (block, group, size):
+                    if task:
+                        yield result()
+                    task, own = (block, group, size), np.frombuffer(row["_q_ids"].as_buffer(), "<i8")
+                    asked_for = np.frombuffer(row["_q_vectors"].as_buffer(), number).reshape(len(own), size).astype("<f8")
+                    best: list[list[tuple[int, float]]] = [[] for _ in own]
+                ids = np.frombuffer(row["ids"].as_buffer(), "<i8")
+                vectors = np.frombuffer(row["vectors"].as_buffer(), number).reshape(len(ids), size).astype("<f8")
+                forest = Forest(ids, vectors, trees, bits, k + 1)
+                new = [[] for _ in own]
+                for q, i, score in forest.nearest(own, asked_for, k, max(2 * k, int(share * len(forest.vectors)))):
+                    new[q].append((i, score))
+                best = [sorted(a + b, key=lambda f: (-f[1], f[0]))[:k] for a, b in zip(best, new)]
+        if task:
+            yield result()
+
+    by = ["_block", "_group", "_size"]
+    pairs = (left.join(right, ["_part", "_size"]).withColumn("_group", F.expr(f"_part div {TOGETHER}").cast("int"))
+             .repartition(shuffle_partitions(rows.sparkSession), *by).sortWithinPartitions(*by))
+    best = pairs.mapInArrow(match, "_block int, _at int, _size int, query_id long, _found long, score double")
     order = W.partitionBy("_block", "_at", "_size").orderBy(F.col("score").desc(), "_found")
     return (best.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
             .select("query_id", "rank", F.col("_found").alias(key), "score"))
