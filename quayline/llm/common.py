@@ -6,6 +6,7 @@ import math
 from collections.abc import Iterable
 
 import numpy as np
+import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from quayline.session import fresh_path
@@ -90,16 +91,15 @@ def one_of_each(docs: DataFrame, name: str) -> DataFrame:
 
 
 def planes(numbers: np.ndarray) -> bytes:
-    """Numbers below 2^32 with all first bytes together, then all second ones and so on, as many as are needed: small
-    numbers, and plain compression of larger ones, take little room."""
+    """Numbers below 2^32, compressed: all first bytes together, then all second ones and so on, as many as are needed."""
     numbers = np.ascontiguousarray(numbers, "<u4")
     size = max(1, (int(numbers.max(initial=0)).bit_length() + 7) // 8)
-    return bytes([size]) + numbers.view(np.uint8).reshape(-1, 4).T[:size].tobytes()
+    return bytes([size]) + zstandard.compress(numbers.view(np.uint8).reshape(-1, 4).T[:size].tobytes(), 1)
 
 
 def from_planes(data: bytes) -> np.ndarray:
     """What ``planes`` was given."""
-    parts = np.frombuffer(data, np.uint8, offset=1).reshape(data[0], -1)
+    parts = np.frombuffer(zstandard.decompress(data[1:]), np.uint8).reshape(data[0], -1)
     out = np.zeros((parts.shape[1], 4), np.uint8)
     out[:, :data[0]] = parts.T
     return out.view("<u4").ravel()

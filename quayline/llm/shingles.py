@@ -36,7 +36,6 @@ BLOCK_BYTES = 4 << 20
 ROUNDS = 3
 WORTH = 0.05  # another round follows one that has found links for such a share of its sets
 LEAF_SETS, LEAF_TOKENS = 512, 1 << 20
-SIGNATURE_BITS = 4096
 CHUNK, PIECE = 256, 8192
 HALF = np.uint64(1 << 63)
 FACTOR = np.uint64(0x9E3779B97F4A7C15)
@@ -138,11 +137,11 @@ def shared_elsewhere(blocks: DataFrame, ranges: int, words: int) -> DataFrame:
                 tokens, count, ends = _lower_half(_sets(row, words), ranges)
                 if not len(tokens):
                     continue
-                short = tokens.astype(np.uint32)
+                short = (tokens >> np.uint64(32 - ranges.bit_length())).astype(np.uint32)  # the bits below the range's
                 at = np.flatnonzero(np.diff(ends))
                 yield pa.RecordBatch.from_arrays([
                     pa.array(at, pa.int32()), pa.array([row["block"]] * len(at), pa.int64()),
-                    pa.array([short[ends[i]:ends[i + 1]].tobytes() for i in at], pa.binary()),
+                    pa.array([planes(np.diff(short[ends[i]:ends[i + 1]], prepend=np.uint32(0))) for i in at], pa.binary()),
                     pa.array([np.packbits(count[ends[i]:ends[i + 1]] > 1).tobytes() for i in at], pa.binary())],
                     ["range", "block", "tokens", "several"])
 
@@ -151,7 +150,7 @@ def shared_elsewhere(blocks: DataFrame, ranges: int, words: int) -> DataFrame:
         for batch in batches:
             number = batch.column("range")[0].as_py()
             blocks += batch.column("block").to_pylist()
-            tokens += [np.frombuffer(t, np.uint32) for t in batch.column("tokens").to_pylist()]
+            tokens += [np.cumsum(from_planes(t), dtype=np.uint32) for t in batch.column("tokens").to_pylist()]
             several += [np.unpackbits(np.frombuffer(s, np.uint8)) for s in batch.column("several").to_pylist()]
         if number is None:
             return
@@ -260,24 +259,35 @@ def neighbour_links(sets: DataFrame, least: str, percent: int) -> DataFrame:
             .sortWithinPartitions(least, "size", "class").select("class", "tokens").mapInArrow(run, "a long, b long"))
 
 
-def missing_links(sets: DataFrame, united: DataFrame, percent: int) -> DataFrame:
-    """All links between classes of different components, or enough to join what they connect."""
+def first_posts(classes: DataFrame) -> DataFrame:
+    """A row per class and each of its first shingles that another class has among its own, too."""
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            first = [np.frombuffer(f, np.int64) for f in batch.column(2).to_pylist()]
-            times = np.array([len(f) for f in first])
-            row = pa.array(np.repeat(np.arange(len(first)), times))
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(row), batch.column(1).take(row), pa.array(
-                np.concatenate(first) if first else [], pa.int64())], ["class", "component", "token"])
-
-    posts = (sets.select("class", "first").join(united, "class").select("class", "component", "first")
-             .mapInArrow(spread, "class long, component long, token long"))
+            first = [np.frombuffer(f, np.int64) for f in batch.column(1).to_pylist()]
+            row = pa.array(np.repeat(np.arange(len(first)), [len(f) for f in first]))
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(row), pa.array(
+                np.concatenate(first) if first else [], pa.int64())], ["class", "token"])
+
+    posts = classes.select("class", "first").mapInArrow(spread, "class long, token long")
+    common = posts.groupBy("token").agg(F.min("class").alias("low"), F.max("class").alias("high")).where("low != high")
+    return written(posts.join(common.select("token"), "token"), "posts")
+
+
+def _without_equals(lists: DataFrame, by: list[str], *content: str) -> DataFrame:
+    """``by`` of one of the lists with the very same content, for each such content."""
+    same = lists.groupBy(*by).agg(F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64(*content)).alias("who"),
+                                  F.sum(F.xxhash64(*content) % (1 << 31)).alias("who2"))
+    return same.groupBy("n", "who", "who2").agg(F.min(F.struct(*by)).alias("by")).select("by.*")
+
+
+def missing_links(sets: DataFrame, first: DataFrame, united: DataFrame, percent: int) -> DataFrame:
+    """All links between classes of different components, or enough to join what they connect."""
+    posts = written(first.join(united, "class"), "posts")
     # tokens of one component have nothing to find; those with the very same classes find the same
-    lists = (posts.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high"),
-                                        F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("class")).alias("who"),
-                                        F.sum(F.xxhash64("class") % (1 << 31)).alias("who2"))
-             .where("low != high").groupBy("n", "who", "who2").agg(F.min("token").alias("token")))
-    mixed_posts = written(posts.join(lists.select("token"), "token"), "posts")
+    mixed_tokens = (posts.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high"))
+                    .where("low != high").select("token"))
+    several = written(posts.join(mixed_tokens, "token"), "posts")
+    mixed_posts = several.join(_without_equals(several, ["token"], "class"), "token")
     largest = (mixed_posts.groupBy("token", "component").agg(F.count(F.lit(1)).alias("n"))
                .groupBy("token").agg(F.max(F.struct("n", "component")).alias("most"), F.sum("n").alias("all")))
     largest = largest.select(
@@ -319,7 +329,7 @@ def missing_links(sets: DataFrame, united: DataFrame, percent: int) -> DataFrame
 
     def screen(asking: list[dict], others: list[dict]) -> pa.RecordBatch:
         rows = ordered(asking, others)
-        fine = signatures.may_link(np.stack([np.frombuffer(r["signature"], np.uint64) for r in rows]),
+        fine = signatures.may_link([np.frombuffer(r["signature"], np.uint64) for r in rows],
                                    np.array([r["size"] for r in rows]), np.array([r["component"] for r in rows]), percent)
         return pa.RecordBatch.from_pylist([{c: r[c] for c in kept} for r, f in zip(rows, fine) if f], pa.schema(
             [(c, t) for c, t in zip(kept, (pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.bool_()))]))
@@ -333,21 +343,21 @@ def missing_links(sets: DataFrame, united: DataFrame, percent: int) -> DataFrame
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            maps = [signatures.signature(np.frombuffer(t, np.uint64), SIGNATURE_BITS).tobytes()
-                    for t in batch.column(2).to_pylist()]
+            maps = [signatures.signature(np.frombuffer(t, np.uint64)).tobytes() for t in batch.column(2).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(maps, pa.binary())],
                                              ["class", "size", "signature"])
 
     def grouped(rows: DataFrame, work, schema: str) -> DataFrame:
-        by = ["token", "chunk", "piece"]
         return (rows.repartition(shuffle_partitions(sets.sparkSession), *by).sortWithinPartitions(*by, F.desc("asks"))
                 .mapInArrow(_per_group(lambda batches: trees(batches, work), by), schema))
 
-    kept = ["token", "chunk", "piece", "class", "component", "asks"]
+    by = ["token", "chunk", "piece"]
+    kept = [*by, "class", "component", "asks"]
     signed = sets.select("class", "size", "tokens").mapInArrow(sign, "class long, size long, signature binary")
     # whole sets only go where signatures leave a chance
     chance = written(grouped(gathered.join(signed, "class"), screen, "token long, chunk int, piece int, class long, "
                              "component long, asks boolean").distinct(), "chances")
+    chance = chance.join(_without_equals(chance, by, "class", "asks"), by)
     return grouped(chance.join(sets.select("class", "size", "tokens"), "class"), compare, "a long, b long").distinct()
 
 
@@ -381,9 +391,13 @@ def similar_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", wor
     blocks = make_blocks(docs.select(F.col(f"`{key}`").alias("_key"), whole_text(f"`{text}`").alias("_text")), kind)
     ranges = 1 << max(3, (max(1, blocks.count()) - 1).bit_length())
     rows = make_sets(blocks, kind, ranges, words, percent)
-    sets = written(rows.where(F.col("tokens").isNotNull()).groupBy("digest", "size").agg(
-        F.min("row").alias("class"), *[F.any_value(c).alias(c) for c in (
-            "tokens", "first", *[f"least{r}" for r in range(ROUNDS)])]), "classes")
+    classes = written(rows.where(F.col("tokens").isNotNull()).groupBy("digest", "size").agg(
+        F.min("row").alias("class"), *[F.any_value(c).alias(c) for c in ("first", *[f"least{r}" for r in range(ROUNDS)])]),
+        "classes")
+    posts = first_posts(classes)
+    # whole sets only of classes that share a first shingle with another
+    sets = written(posts.select("class").distinct().join(classes.drop("first", "digest"), "class").join(
+        rows.where(F.col("tokens").isNotNull()).select(F.col("row").alias("class"), "tokens"), "class"), "whole_sets")
     united = sets.select("class", F.col("class").alias("component"))
     for r in range(ROUNDS):
         part = sets if r == 0 else sets.join(united.where("class = component").select("class"), "class")
@@ -393,10 +407,11 @@ def similar_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", wor
             united = _unite(united, found)
         if number < WORTH * part.count():
             break
-    found = written(missing_links(sets, united, percent), "links")
+    found = written(missing_links(sets, posts, united, percent), "links")
     if not found.isEmpty():
         united = _unite(united, found)
-    of = sets.select("digest", "size", "class").join(united, "class").select("digest", "size", "component")
+    of = classes.select("digest", "size", "class").join(united, "class", "left").select(
+        "digest", "size", F.coalesce("component", "class").alias("component"))
     marked = rows.select("row", "key", "size", "digest").join(of, ["digest", "size"], "left")
     least = (marked.where(F.col("component").isNotNull()).groupBy("component").agg(F.min("key").alias("least")))
     return (marked.join(least, "component", "left")

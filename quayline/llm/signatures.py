@@ -29,11 +29,27 @@ class Groups:
         return i
 
 
-def signature(tokens: np.ndarray, bits: int) -> np.ndarray:
-    """The bitmap of a set, as 64-bit words."""
+def signature(tokens: np.ndarray, bits: int | None = None) -> np.ndarray:
+    """The bitmap of a set, as 64-bit words; by default eight bits or more per token, within limits."""
+    bits = bits or 1 << int(np.clip(int(8 * len(tokens) - 1).bit_length(), 9, 16))
     bitmap = np.zeros(bits, np.uint8)
     bitmap[(tokens % np.uint64(bits)).astype(np.int64)] = 1
-    return np.packbits(bitmap).view(np.uint64)
+    return np.packbits(bitmap, bitorder="little").view(np.uint64)
+
+
+def folded(maps: list[np.ndarray]) -> np.ndarray:
+    """Bitmaps of different sizes at the smallest of them."""
+    words = min(map(len, maps))
+    return np.stack([np.bitwise_or.reduce(m.reshape(-1, words), axis=0) for m in maps])
+
+
+def windows(size: np.ndarray, percent: int):
+    """Groups of sets whose sizes are alike; every two that are not too different for a link are in one of them."""
+    octave = np.frexp(np.maximum(size, 1))[1]
+    for k in np.unique(octave):
+        inside = np.flatnonzero((octave >= k) & (percent * size < 100 * (1 << int(k))))
+        if len(inside) > 1 and (octave[inside] == k).any():
+            yield inside
 
 
 class Tree:
@@ -90,40 +106,41 @@ class Tree:
 def links(sets: list[np.ndarray], component: np.ndarray, percent: int) -> list[tuple[int, int]]:
     """Pairs of sets with Jaccard similarity of ``percent`` or more, enough of them to join all that such pairs and the
     given components connect; none within a component. Empty sets link with nothing."""
-    used = np.flatnonzero([len(s) > 0 for s in sets])
-    if len(used) < 2:
-        return []
-    size, component = np.array([len(sets[i]) for i in used]), np.asarray(component)[used]
-    bits = 1 << int(np.clip(np.ceil(np.log2(4 * np.median(size) + 1)), 9, 14))
-    tree = Tree(np.stack([signature(sets[i], bits) for i in used]), size, component)
+    size, component = np.array([len(s) for s in sets], np.int64), np.asarray(component)
     groups, members, out = Groups(component), {}, []
+    root = groups.root
 
     def tokens(i: int) -> frozenset:
         if i not in members:
-            members[i] = frozenset(sets[used[i]].tolist())
+            members[i] = frozenset(sets[i].tolist())
         return members[i]
 
-    root = groups.root
-    for a, b in tree.candidates(percent):
-        for i, j in zip(a.tolist(), b.tolist()):
-            if i == j:
-                continue
-            x, y = root(i), root(j)
-            if x == y:
-                continue
-            s, t = tokens(i), tokens(j)
-            common = len(s & t)
-            if 100 * common >= percent * (len(s) + len(t) - common):
-                groups.parent[max(x, y)] = min(x, y)
-                out.append((int(used[i]), int(used[j])))
+    for inside in windows(size, percent):
+        inside = inside[size[inside] > 0]
+        if len(inside) < 2:
+            continue
+        bits = 1 << int(np.clip(np.ceil(np.log2(4 * np.median(size[inside]) + 1)), 9, 14))
+        tree = Tree(np.stack([signature(sets[i], bits) for i in inside]), size[inside], component[inside])
+        for a, b in tree.candidates(percent):
+            for i, j in zip(inside[a].tolist(), inside[b].tolist()):
+                if i == j:
+                    continue
+                x, y = root(i), root(j)
+                if x == y:
+                    continue
+                s, t = tokens(i), tokens(j)
+                common = len(s & t)
+                if 100 * common >= percent * (len(s) + len(t) - common):
+                    groups.parent[max(x, y)] = min(x, y)
+                    out.append((i, j))
     return out
 
 
-def may_link(maps: np.ndarray, size: np.ndarray, component: np.ndarray, percent: int) -> np.ndarray:
+def may_link(maps: list[np.ndarray], size: np.ndarray, component: np.ndarray, percent: int) -> np.ndarray:
     """Which sets no bound keeps from a link with one of another component, by their signatures alone."""
     found = np.zeros(len(size), bool)
-    if len(size) > 1:
-        for a, b in Tree(maps, size, component).candidates(percent):
-            found[a[a != b]] = True
-            found[b[a != b]] = True
+    for inside in windows(size, percent):
+        for a, b in Tree(folded([maps[i] for i in inside]), size[inside], component[inside]).candidates(percent):
+            found[inside[a[a != b]]] = True
+            found[inside[b[a != b]]] = True
     return found
