@@ -329,15 +329,22 @@ def missing_links(sets: DataFrame, first: DataFrame, united: DataFrame, percent:
 
     def screen(asking: list[dict], others: list[dict]) -> pa.RecordBatch:
         rows = ordered(asking, others)
-        fine = signatures.may_link([np.frombuffer(r["signature"], np.uint64) for r in rows],
-                                   np.array([r["size"] for r in rows]), np.array([r["component"] for r in rows]), percent)
-        return pa.RecordBatch.from_pylist([{c: r[c] for c in kept} for r, f in zip(rows, fine) if f], pa.schema(
-            [(c, t) for c, t in zip(kept, (pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.bool_()))]))
+        number, of, asks = (np.array([r[c] for r in rows]) for c in ("class", "component", "asks"))
+        found = [np.zeros((0, 2), np.int64)]
+        for i, j in signatures.may_link([np.frombuffer(r["signature"], np.uint64) for r in rows],
+                                        np.array([r["size"] for r in rows]), of, percent):
+            # who asks wants the other's component; of two that ask, the one with the greater component
+            first = asks[i] & (~asks[j] | (of[i] > of[j]))
+            second = asks[j] & ~first
+            found += [np.c_[number[i[first]], of[j[first]]], np.c_[number[j[second]], of[i[second]]]]
+        pairs = np.unique(np.concatenate(found), axis=0)
+        return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["class", "wanted"])
 
     def compare(asking: list[dict], others: list[dict]) -> pa.RecordBatch:
         rows = ordered(asking, others)
         of = [r["component"] for r in rows]
-        found = signatures.links([np.frombuffer(r["tokens"], np.uint64) for r in rows], np.array(of), percent)
+        found = signatures.links([np.frombuffer(r["tokens"], np.uint64) for r in rows], np.array(of), percent,
+                                 np.array([r["asks"] for r in rows]))
         return pa.RecordBatch.from_arrays([pa.array([of[i] for i, _ in found], pa.int64()),
                                            pa.array([of[j] for _, j in found], pa.int64())], ["a", "b"])
 
@@ -347,18 +354,25 @@ def missing_links(sets: DataFrame, first: DataFrame, united: DataFrame, percent:
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(maps, pa.binary())],
                                              ["class", "size", "signature"])
 
-    def grouped(rows: DataFrame, work, schema: str) -> DataFrame:
+    def grouped(rows: DataFrame, by: list[str], work, schema: str) -> DataFrame:
         return (rows.repartition(shuffle_partitions(sets.sparkSession), *by).sortWithinPartitions(*by, F.desc("asks"))
                 .mapInArrow(_per_group(lambda batches: trees(batches, work), by), schema))
 
-    by = ["token", "chunk", "piece"]
-    kept = [*by, "class", "component", "asks"]
     signed = sets.select("class", "size", "tokens").mapInArrow(sign, "class long, size long, signature binary")
-    # whole sets only go where signatures leave a chance
-    chance = written(grouped(gathered.join(signed, "class"), screen, "token long, chunk int, piece int, class long, "
-                             "component long, asks boolean").distinct(), "chances")
-    chance = chance.join(_without_equals(chance, by, "class", "asks"), by)
-    return grouped(chance.join(sets.select("class", "size", "tokens"), "class"), compare, "a long, b long").distinct()
+    by = ["token", "chunk", "piece"]
+    # which class may link with which component, by signatures: whole sets go only there, a component's once
+    wanted = written(grouped(gathered.join(signed, "class"), by, screen, "class long, wanted long").distinct(), "wanted")
+    many = (wanted.groupBy("wanted").agg(F.ceil(F.count(F.lit(1)) / F.lit(LEAF_SETS)).cast("int").alias("chunks"))
+            .join(united.groupBy(F.col("component").alias("wanted")).agg(
+                F.ceil(F.count(F.lit(1)) / F.lit(PIECE)).cast("int").alias("pieces")), "wanted"))
+    asking = (wanted.join(many, "wanted").join(united, "class").withColumn("chunk", spot("chunks"))
+              .withColumn("piece", F.explode(F.sequence(F.lit(0), F.col("pieces") - 1))).withColumn("asks", F.lit(True)))
+    told = (united.join(many, united["component"] == many["wanted"]).withColumn("piece", spot("pieces"))
+            .withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))).withColumn("asks", F.lit(False)))
+    by = ["wanted", "chunk", "piece"]
+    columns = [*by, "class", "component", "asks"]
+    whole = asking.select(*columns).union(told.select(*columns)).join(sets.select("class", "size", "tokens"), "class")
+    return grouped(whole, by, compare, "a long, b long").distinct()
 
 
 def _per_group(work, by: list[str]):

@@ -52,60 +52,75 @@ def windows(size: np.ndarray, percent: int):
             yield inside
 
 
+def depth(sets: int) -> int:
+    """How many levels a tree of so many sets has."""
+    levels = 1
+    while sets > FAN:
+        sets, levels = -(-sets // FAN), levels + 1
+    return levels
+
+
 class Tree:
     """Signatures of sets in the order given, level by level; similar sets should be neighbours."""
 
-    def __init__(self, maps: np.ndarray, size: np.ndarray, component: np.ndarray):
+    def __init__(self, maps: np.ndarray, size: np.ndarray, component: np.ndarray, depth: int = 0):
         lost = size - np.bitwise_count(maps).sum(axis=1, dtype=np.int64)
         self.levels = [(maps, size, size, lost, component, component)]
-        while len(self.levels[-1][0]) > FAN:
+        while len(self.levels[-1][0]) > FAN or len(self.levels) < depth:
             maps, least, most, lost, low, high = self.levels[-1]
             at = np.arange(0, len(maps), FAN)
             self.levels.append((
                 np.bitwise_or.reduceat(maps, at, axis=0), np.minimum.reduceat(least, at), np.maximum.reduceat(most, at),
                 np.maximum.reduceat(lost, at), np.minimum.reduceat(low, at), np.maximum.reduceat(high, at)))
 
-    def kept(self, level: int, a: np.ndarray, b: np.ndarray, percent: int) -> np.ndarray:
-        """Which of the node pairs may hold two sets that link and are in different components."""
-        maps, least, most, lost, low, high = self.levels[level]
-        greater = np.maximum(least[a], least[b])
-        # of two linked sets the smaller has at least so many percent of the greater's tokens
-        fine = 100 * np.minimum(most[a], most[b]) >= percent * greater
-        fine &= ~((low[a] == high[a]) & (low[b] == high[b]) & (low[a] == low[b]))
-        at = np.flatnonzero(fine)
-        common = np.bitwise_count(maps[a[at]] & maps[b[at]]).sum(axis=1, dtype=np.int64) + np.minimum(lost[a[at]], lost[b[at]])
-        need = percent * (least[a[at]] + least[b[at]]) if level == 0 else (100 + percent) * percent * greater[at] // 100
-        fine[at] = (100 + percent) * common >= need
-        return fine
-
-    def candidates(self, percent: int):
-        """Pairs of sets that no bound excludes, some at a time."""
-        top = len(self.levels) - 1
-        a, b = np.triu_indices(len(self.levels[top][0]))
-        stack = [(top, a, b)]
-        while stack:
-            level, a, b = stack.pop()
-            if len(a) > PAIRS_AT_A_TIME:
-                stack.append((level, a[PAIRS_AT_A_TIME:], b[PAIRS_AT_A_TIME:]))
-                a, b = a[:PAIRS_AT_A_TIME], b[:PAIRS_AT_A_TIME]
-            fine = self.kept(level, a, b, percent)
-            a, b = a[fine], b[fine]
-            if not len(a):
-                continue
-            if level == 0:
-                yield a, b
-                continue
-            child = np.arange(FAN)
-            x = np.repeat(a * FAN, FAN * FAN) + np.tile(np.repeat(child, FAN), len(a))
-            y = np.repeat(b * FAN, FAN * FAN) + np.tile(np.tile(child, FAN), len(b))
-            size = len(self.levels[level - 1][0])
-            fine = (x < size) & (y < size) & (x <= y if level > 1 else x < y)
-            stack.append((level - 1, x[fine], y[fine]))
-
-
-def links(sets: list[np.ndarray], component: np.ndarray, percent: int) -> list[tuple[int, int]]:
+
+def _kept(one: tuple, two: tuple, a: np.ndarray, b: np.ndarray, percent: int, leaves: bool) -> np.ndarray:
+    """Which pairs of nodes, of the same level of one tree or two, may hold two sets that link and are in different
+    components."""
+    maps, least, most, lost, low, high = one
+    maps2, least2, most2, lost2, low2, high2 = two
+    greater = np.maximum(least[a], least2[b])
+    # of two linked sets the smaller has at least so many percent of the greater's tokens
+    fine = 100 * np.minimum(most[a], most2[b]) >= percent * greater
+    fine &= ~((low[a] == high[a]) & (low2[b] == high2[b]) & (low[a] == low2[b]))
+    at = np.flatnonzero(fine)
+    common = np.bitwise_count(maps[a[at]] & maps2[b[at]]).sum(axis=1, dtype=np.int64) + np.minimum(lost[a[at]], lost2[b[at]])
+    need = percent * (least[a[at]] + least2[b[at]]) if leaves else (100 + percent) * percent * greater[at] // 100
+    fine[at] = (100 + percent) * common >= need
+    return fine
+
+
+def candidates(one: Tree, percent: int, two: Tree | None = None):
+    """Pairs of sets that no bound excludes, some at a time: of one tree, or of two of the same depth."""
+    top, same = len(one.levels) - 1, two is None
+    two = two or one
+    x, y = np.arange(len(one.levels[top][0])), np.arange(len(two.levels[top][0]))
+    a, b = np.triu_indices(len(x)) if same else (np.repeat(x, len(y)), np.tile(y, len(x)))
+    stack, child = [(top, a, b)], np.arange(FAN)
+    while stack:
+        level, a, b = stack.pop()
+        if len(a) > PAIRS_AT_A_TIME:
+            stack.append((level, a[PAIRS_AT_A_TIME:], b[PAIRS_AT_A_TIME:]))
+            a, b = a[:PAIRS_AT_A_TIME], b[:PAIRS_AT_A_TIME]
+        fine = _kept(one.levels[level], two.levels[level], a, b, percent, level == 0)
+        a, b = a[fine], b[fine]
+        if not len(a):
+            continue
+        if level == 0:
+            yield a, b
+            continue
+        x = np.repeat(a * FAN, FAN * FAN) + np.tile(np.repeat(child, FAN), len(a))
+        y = np.repeat(b * FAN, FAN * FAN) + np.tile(np.tile(child, FAN), len(b))
+        fine = (x < len(one.levels[level - 1][0])) & (y < len(two.levels[level - 1][0]))
+        if same:
+            fine &= x <= y if level > 1 else x < y
+        stack.append((level - 1, x[fine], y[fine]))
+
+
+def links(sets: list[np.ndarray], component: np.ndarray, percent: int, asks: np.ndarray | None = None) -> list[tuple[int, int]]:
     """Pairs of sets with Jaccard similarity of ``percent`` or more, enough of them to join all that such pairs and the
-    given components connect; none within a component. Empty sets link with nothing."""
+    given components connect; none within a component. Empty sets link with nothing. With ``asks`` only pairs count of
+    which exactly one asks."""
     size, component = np.array([len(s) for s in sets], np.int64), np.asarray(component)
     groups, members, out = Groups(component), {}, []
     root = groups.root
@@ -117,12 +132,14 @@ def links(sets: list[np.ndarray], component: np.ndarray, percent: int) -> list[t
 
     for inside in windows(size, percent):
         inside = inside[size[inside] > 0]
-        if len(inside) < 2:
+        parts = [inside] if asks is None else [inside[asks[inside]], inside[~asks[inside]]]
+        if len(inside) < 2 or not min(map(len, parts)):
             continue
         bits = 1 << int(np.clip(np.ceil(np.log2(4 * np.median(size[inside]) + 1)), 9, 14))
-        tree = Tree(np.stack([signature(sets[i], bits) for i in inside]), size[inside], component[inside])
-        for a, b in tree.candidates(percent):
-            for i, j in zip(inside[a].tolist(), inside[b].tolist()):
+        made = [np.stack([signature(sets[i], bits) for i in part]) for part in parts]
+        trees = [Tree(m, size[part], component[part], depth(max(map(len, parts)))) for m, part in zip(made, parts)]
+        for a, b in candidates(trees[0], percent, *trees[1:]):
+            for i, j in zip(parts[0][a].tolist(), parts[-1][b].tolist()):
                 if i == j:
                     continue
                 x, y = root(i), root(j)
@@ -136,11 +153,9 @@ def links(sets: list[np.ndarray], component: np.ndarray, percent: int) -> list[t
     return out
 
 
-def may_link(maps: list[np.ndarray], size: np.ndarray, component: np.ndarray, percent: int) -> np.ndarray:
-    """Which sets no bound keeps from a link with one of another component, by their signatures alone."""
-    found = np.zeros(len(size), bool)
+def may_link(maps: list[np.ndarray], size: np.ndarray, component: np.ndarray, percent: int):
+    """Pairs of sets of different components that no bound keeps from a link, by their signatures alone."""
     for inside in windows(size, percent):
-        for a, b in Tree(folded([maps[i] for i in inside]), size[inside], component[inside]).candidates(percent):
-            found[inside[a[a != b]]] = True
-            found[inside[b[a != b]]] = True
-    return found
+        tree = Tree(folded([maps[i] for i in inside]), size[inside], component[inside])
+        for a, b in candidates(tree, percent):
+            yield inside[a[a != b]], inside[b[a != b]]
