@@ -7,7 +7,7 @@ from collections.abc import Iterable
 
 import numpy as np
 import zstandard
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from quayline.session import fresh_path
 
@@ -62,6 +62,12 @@ def tree_shape(leaves: int, most: int = 16) -> tuple[int, int]:
     return fan, rounds
 
 
+def key_type(docs: DataFrame, key: str) -> T.DataType:
+    """The key's type, with parts that may be NULL, as Arrow data have them."""
+    kind = docs.schema[key].dataType
+    return T.StructType([T.StructField(f.name, f.dataType) for f in kind]) if isinstance(kind, T.StructType) else kind
+
+
 def keyed_rows(docs: DataFrame, key: str = "doc_id", text: str = "text") -> tuple[DataFrame, str]:
     """``docs`` with a column that names its rows, and the column.
 

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql import Window as W
 
-from quayline.llm.common import table, whole_text, written
+from quayline.llm.common import key_type, table, whole_text, written
 
 CAPACITY = 1024
 END = 2
@@ -88,7 +88,7 @@ def pieces(docs: DataFrame, key: str = "doc_id", text: str = "text", tokenizer:
     ``payload`` says which: the token ids, or only their checksum where that is all a caller needs.
     """
     files = tokenizer or tokenizer_files()
-    kind = docs.schema[key].dataType
+    kind = key_type(docs, key)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(*files).encode

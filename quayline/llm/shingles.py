@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from quayline.llm import signatures
 from quayline.llm.common import (
-    by_frequency, from_planes, keyed_rows, one_of_each, planes, shuffle_partitions, table, whole_text, without, written)
+    by_frequency, from_planes, key_type, keyed_rows, one_of_each, planes, shuffle_partitions, table, whole_text, without, written)
 
 WORDS, PERCENT = 5, 75
 BLOCK_BYTES = 4 << 20
@@ -78,7 +78,7 @@ def may_miss(size: int, percent: int) -> int:
 def make_blocks(docs: DataFrame, kind: T.DataType) -> DataFrame:
     """Texts in blocks, as numbers of words and the words' hashes."""
     from pyspark.sql.pandas.types import to_arrow_type
-    key_type = to_arrow_type(kind)
+    arrow_key = to_arrow_type(kind)
 
     def block(first: int, keys: list, texts: list[str]) -> pa.RecordBatch:
         known: defaultdict[bytes, int] = defaultdict()
@@ -91,7 +91,7 @@ def make_blocks(docs: DataFrame, kind: T.DataType) -> DataFrame:
         hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, known), np.uint64, len(known))
         code, order = by_frequency(np.frombuffer(codes, np.int32), len(known))
         return pa.RecordBatch.from_arrays([
-            pa.array([first], pa.int64()), pa.array([keys], pa.list_(key_type)), pa.array([lengths], pa.list_(pa.int32())),
+            pa.array([first], pa.int64()), pa.array([keys], pa.list_(arrow_key)), pa.array([lengths], pa.list_(pa.int32())),
             pa.array([planes(code)], pa.binary()), pa.array([hashes[order].tobytes()], pa.binary())], schema.names)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -401,7 +401,7 @@ def similar_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", wor
     reachable by links, one's own included (NULL keys come last). Repeated rows link with each other. An empty table gives
     no rows; other columns play no part. ``row`` numbers the rows.
     """
-    kind = docs.schema[key].dataType
+    kind = key_type(docs, key)
     blocks = make_blocks(docs.select(F.col(f"`{key}`").alias("_key"), whole_text(f"`{text}`").alias("_text")), kind)
     ranges = 1 << max(3, (max(1, blocks.count()) - 1).bit_length())
     rows = make_sets(blocks, kind, ranges, words, percent)
