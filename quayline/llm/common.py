@@ -9,8 +9,12 @@ import numpy as np
 import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
+from quayline.llm.scratch import remove_folder
 from quayline.session import fresh_path
 
+#: At most about 100 MB as a hash table, with a digest in each name.
+BROADCAST_NAMES = 500_000
+
 #: Runs of white space that are not one single blank, the only ones that normalising has to touch.
 ODD_WHITE = r"[\x09-\x0D][\x20\x09-\x0D]*|\x20[\x20\x09-\x0D]+"
 
@@ -23,7 +27,15 @@ def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` as a table in the shared folder, read back: cuts the lineage, and what reads it twice sees equal rows."""
     path = fresh_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    table = df.sparkSession.read.schema(df.schema).parquet(path)
+    table._written_to = path
+    return table
+
+
+def forget(*tables: DataFrame) -> None:
+    """Remove tables that ``written`` has made, once nothing that is still to run reads them."""
+    for t in tables:
+        remove_folder(t.sparkSession, t._written_to)
 
 
 def whole_text(column: str = "text") -> Column:
@@ -86,9 +98,15 @@ def keyed_rows(docs: DataFrame, key: str = "doc_id", text: str = "text") -> tupl
 
 
 def without(docs: DataFrame, name: str, dropped: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose ``name`` is not in ``dropped``, without that column."""
+    """The rows of ``docs`` whose ``name`` is not in ``dropped``, without that column.
+
+    The names are counted: up to ``BROADCAST_NAMES`` go to every task, which saves a shuffle of the texts; more are joined.
+    """
     other = free_name(docs.columns, "_dropped")
-    return docs.join(dropped.select(F.col(name).alias(other)), F.col(name) == F.col(other), "left_anti").drop(name)
+    names = dropped.select(F.col(name).alias(other))
+    if dropped.count() <= BROADCAST_NAMES:
+        names = F.broadcast(names)
+    return docs.join(names, F.col(name) == F.col(other), "left_anti").drop(name)
 
 
 def one_of_each(docs: DataFrame, name: str) -> DataFrame:

@@ -29,14 +29,14 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from quayline.llm import signatures
 from quayline.llm.common import (
-    by_frequency, from_planes, key_type, keyed_rows, one_of_each, planes, shuffle_partitions, table, whole_text, without, written)
+    by_frequency, forget, from_planes, key_type, keyed_rows, one_of_each, planes, shuffle_partitions, table, whole_text, without, written)
 
 WORDS, PERCENT = 5, 75
 BLOCK_BYTES = 4 << 20
 ROUNDS = 3
 WORTH = 0.05  # another round follows one that has found links for such a share of its sets
 LEAF_SETS, LEAF_TOKENS = 512, 1 << 20
-CHUNK, PIECE = 256, 8192
+CHUNK, PIECE = 1024, 8192
 HALF = np.uint64(1 << 63)
 FACTOR = np.uint64(0x9E3779B97F4A7C15)
 
@@ -213,9 +213,8 @@ def components(pairs: DataFrame) -> DataFrame:
     Ids take over the smallest of their neighbours' components, and then that of the id they have taken over.
     """
     both = written(pairs.select("a", "b").union(pairs.select("b", "a")).where("a != b").distinct(), "edges")
-    now = both.groupBy(F.col("a").alias("id")).agg(F.least("id", F.min("b")).alias("component"))
+    now = written(both.groupBy(F.col("a").alias("id")).agg(F.least("id", F.min("b")).alias("component")), "components")
     while True:
-        now = written(now, "components")
         near = both.join(now, F.col("a") == F.col("id")).groupBy(F.col("b").alias("id")).agg(
             F.min("component").alias("near"))
         own = now.join(near, "id").select("id", "component", F.least("component", "near").alias("better"))
@@ -307,10 +306,10 @@ def missing_links(sets: DataFrame, first: DataFrame, united: DataFrame, percent:
     gathered = told.select(*columns, F.lit(False).alias("asks")).union(asking.select(*columns, F.lit(True).alias("asks")))
 
     def trees(batches: Iterator[pa.RecordBatch], work) -> Iterator[pa.RecordBatch]:
-        """``work`` on the askers of a chunk, who come first, with as many others at a time as a tree may have."""
+        """``work`` on the askers of a chunk, who come first, alone and with as many others at a time as a tree may have."""
         asking: list[dict] = []
         others: list[dict] = []
-        size, first = 0, True
+        size = 0
         for batch in batches:
             for row in batch.to_pylist():
                 if row["asks"]:
@@ -320,9 +319,11 @@ def missing_links(sets: DataFrame, first: DataFrame, united: DataFrame, percent:
                 size += row["size"]
                 if len(others) >= LEAF_SETS or size >= LEAF_TOKENS:
                     yield work(asking, others)
-                    others, size, first = [], 0, False
-        if asking and (others or first):
+                    others, size = [], 0
+        if asking and others:
             yield work(asking, others)
+        if asking and asking[0]["piece"] == 0:
+            yield work(asking, [])
 
     def ordered(asking: list[dict], others: list[dict]) -> list[dict]:
         return sorted([*asking, *others], key=lambda r: (r["component"], r["size"]))
@@ -332,7 +333,7 @@ def missing_links(sets: DataFrame, first: DataFrame, united: DataFrame, percent:
         number, of, asks = (np.array([r[c] for r in rows]) for c in ("class", "component", "asks"))
         found = [np.zeros((0, 2), np.int64)]
         for i, j in signatures.may_link([np.frombuffer(r["signature"], np.uint64) for r in rows],
-                                        np.array([r["size"] for r in rows]), of, percent):
+                                        np.array([r["size"] for r in rows]), of, percent, asks if others else None):
             # who asks wants the other's component; of two that ask, the one with the greater component
             first = asks[i] & (~asks[j] | (of[i] > of[j]))
             second = asks[j] & ~first
@@ -405,6 +406,7 @@ def similar_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", wor
     blocks = make_blocks(docs.select(F.col(f"`{key}`").alias("_key"), whole_text(f"`{text}`").alias("_text")), kind)
     ranges = 1 << max(3, (max(1, blocks.count()) - 1).bit_length())
     rows = make_sets(blocks, kind, ranges, words, percent)
+    forget(blocks)
     classes = written(rows.where(F.col("tokens").isNotNull()).groupBy("digest", "size").agg(
         F.min("row").alias("class"), *[F.any_value(c).alias(c) for c in ("first", *[f"least{r}" for r in range(ROUNDS)])]),
         "classes")
@@ -412,6 +414,8 @@ def similar_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", wor
     # whole sets only of classes that share a first shingle with another
     sets = written(posts.select("class").distinct().join(classes.drop("first", "digest"), "class").join(
         rows.where(F.col("tokens").isNotNull()).select(F.col("row").alias("class"), "tokens"), "class"), "whole_sets")
+    marks = written(rows.select("row", "key", "size", "digest"), "marks")
+    forget(rows)
     united = sets.select("class", F.col("class").alias("component"))
     for r in range(ROUNDS):
         part = sets if r == 0 else sets.join(united.where("class = component").select("class"), "class")
@@ -426,7 +430,7 @@ def similar_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", wor
         united = _unite(united, found)
     of = classes.select("digest", "size", "class").join(united, "class", "left").select(
         "digest", "size", F.coalesce("component", "class").alias("component"))
-    marked = rows.select("row", "key", "size", "digest").join(of, ["digest", "size"], "left")
+    marked = marks.join(of, ["digest", "size"], "left")
     least = (marked.where(F.col("component").isNotNull()).groupBy("component").agg(F.min("key").alias("least")))
     return (marked.join(least, "component", "left")
             .select(F.col("key").alias(key), F.col("size").alias("n_shingles"),

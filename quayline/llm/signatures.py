@@ -153,9 +153,15 @@ def links(sets: list[np.ndarray], component: np.ndarray, percent: int, asks: np.
     return out
 
 
-def may_link(maps: list[np.ndarray], size: np.ndarray, component: np.ndarray, percent: int):
-    """Pairs of sets of different components that no bound keeps from a link, by their signatures alone."""
+def may_link(maps: list[np.ndarray], size: np.ndarray, component: np.ndarray, percent: int, asks: np.ndarray | None = None):
+    """Pairs of sets of different components that no bound keeps from a link, by their signatures alone. With ``asks`` only
+    pairs of one that asks and, second, one that does not."""
     for inside in windows(size, percent):
-        tree = Tree(folded([maps[i] for i in inside]), size[inside], component[inside])
-        for a, b in candidates(tree, percent):
-            yield inside[a[a != b]], inside[b[a != b]]
+        parts = [inside] if asks is None else [inside[asks[inside]], inside[~asks[inside]]]
+        if min(map(len, parts)):
+            flat = folded([maps[i] for part in parts for i in part])
+            made = np.split(flat, [len(parts[0])])
+            trees = [Tree(m, size[part], component[part], depth(max(map(len, parts)))) for m, part in zip(made, parts)]
+            for a, b in candidates(trees[0], percent, *trees[1:]):
+                i, j = parts[0][a], parts[-1][b]
+                yield i[i != j], j[i != j]
