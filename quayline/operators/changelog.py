@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
-# How Spark types are called in the DDL of the changelog store.
+# How Spark types are called in the changelog store.
 STORE_TYPES = {
     "tinyint": "Int8",
     "smallint": "Int16",
@@ -31,31 +31,54 @@ def store_type(data_type: T.DataType) -> str:
     return STORE_TYPES[data_type.simpleString()]
 
 
-def changelog_ddl(table: str, schema: T.StructType, key: str, op: str = "opType") -> str:
-    """DDL of the store's changelog table for rows of ``schema``; the operation column is not kept."""
-    columns = ", ".join(f"{f.name} {store_type(f.dataType)}" for f in schema.fields if f.name != op)
-    return (f"CREATE TABLE IF NOT EXISTS {table} ({columns}, sign Int8, version Int64) "
-            f"ENGINE = VersionedCollapsingMergeTree(sign, version) ORDER BY {key}")
+def store_columns(schema: T.StructType, op: str = "opType") -> dict[str, str]:
+    """The store's types of a changelog table for rows of ``schema``; the operation column is not kept."""
+    kept = {f.name: store_type(f.dataType) for f in schema.fields if f.name != op}
+    return kept | {"sign": "Int8", "version": "Int64"}
 
 
-def to_changelog(changes: DataFrame, version: Column | str, op: str = "op_type") -> DataFrame:
-    """Changes as changelog rows: a delete has sign -1, all others +1; the operation column goes."""
+def to_changelog(changes: DataFrame, version: Column | str, op: str = "op_type", key: Sequence[str] = (),
+                 before: DataFrame | None = None) -> DataFrame:
+    """Changes as changelog rows: a delete has sign -1, all others +1; the operation column goes.
+
+    Without ``key`` every change is one row, and the state is that of the highest version per key. With ``key`` a version
+    that is a column becomes the log's, and the log can also be collapsed: each row that ends, by an update or a delete, is written again with sign -1 and its own version.
+    What ends is the key's row before, in the changes or in ``before``, the changelog so far; a delete of nothing is none.
+    """
+    deletes = F.col(op) == "delete"
+    kept = [c for c in changes.columns if c != op and (not key or c != version)]
     version = F.col(version) if isinstance(version, str) else version
-    sign = F.when(F.col(op) == "delete", F.lit(-1)).otherwise(F.lit(1)).cast("tinyint")
-    return changes.select(*[c for c in changes.columns if c != op], sign.alias("sign"),
-                          version.cast("bigint").alias("version"))
+    if not key:
+        return changes.select(*kept, F.when(deletes, F.lit(-1)).otherwise(F.lit(1)).cast("tinyint").alias("sign"),
+                              version.cast("bigint").alias("version"))
+    rows = changes.select(*kept, deletes.alias("_deletes"), version.cast("bigint").alias("version"))
+    if before is not None:
+        old = final_rows(before, key, keep_version=True)
+        rows = rows.unionByName(old.select(*kept, F.lit(False).alias("_deletes"), "version").withColumn("_old", F.lit(True)),
+                                allowMissingColumns=True)
+    else:
+        rows = rows.withColumn("_old", F.lit(None).cast("boolean"))
+    back = Window.partitionBy(*key).orderBy("version", "_deletes")
+    row = F.struct(*kept, "version", "_deletes")
+    each = rows.select("*", F.lag(row).over(back).alias("_ends"))
+    ends = each.where(~F.col("_ends._deletes")).select(
+        *[F.col(f"_ends.{c}").alias(c) for c in kept], F.lit(-1).cast("tinyint").alias("sign"), "_ends.version")
+    begins = each.where(~F.col("_deletes") & F.col("_old").isNull()).select(
+        *kept, F.lit(1).cast("tinyint").alias("sign"), "version")
+    return begins.unionByName(ends)
 
 
-def final_rows(changelog: DataFrame, key: Sequence[str]) -> DataFrame:
+def final_rows(changelog: DataFrame, key: Sequence[str], keep_version: bool = False) -> DataFrame:
     """Current state: per key the row of the highest version, unless that one deletes."""
     rest = [c for c in changelog.columns if c not in (*key, "sign", "version")]
     last = F.max(F.struct("version", (-F.col("sign")).alias("deletes"), *rest)).alias("last")
+    wanted = [c for c in changelog.columns if c not in (*key, "sign") and (keep_version or c != "version")]
     return (changelog.groupBy(*key).agg(last).where(F.col("last.deletes") < 0)
-            .select(*[F.col(c) if c in key else F.col(f"last.{c}").alias(c)
-                      for c in changelog.columns if c not in ("sign", "version")]))
+            .select(*key, *[F.col(f"last.{c}").alias(c) for c in wanted]))
 
 
-def collapsed_rows(changelog: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Rows that are left when each -1 cancels a +1 with equal ``columns``; ``copies`` says how many."""
-    return (changelog.groupBy(*columns).agg(F.sum("sign").alias("copies"))
-            .where(F.col("copies") > 0))
+def collapsed_rows(changelog: DataFrame) -> DataFrame:
+    """What is left of a log with cancel rows when each -1 has cancelled the +1 of equal content and version."""
+    content = [c for c in changelog.columns if c != "sign"]
+    return (changelog.groupBy(*content).agg(F.sum("sign").alias("copies")).where(F.col("copies") > 0)
+            .drop("copies", "version"))

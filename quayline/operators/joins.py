@@ -28,6 +28,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+from quayline.session import fits_broadcast
+
 Tables = Callable[[str], DataFrame]
 
 _REFERENCE = re.compile(r"\b([a-z_]\w*)\.(\w+)\b")
@@ -108,21 +110,14 @@ def _is_text(df: DataFrame, name: str) -> bool:
     return isinstance(df.schema[name].dataType, T.StringType)
 
 
-def _fits_broadcast(df: DataFrame) -> bool:
-    """Whether the planner's size estimate is below its own broadcast threshold."""
-    conf = df.sparkSession._jsparkSession.sessionState().conf()
-    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    return int(str(size)) <= int(conf.autoBroadcastJoinThreshold())
-
-
-def _constant(key: str) -> Column:
+def constant_key(key: str) -> Column:
     """0 for every key, in a form the optimizer does not fold."""
     return F.pmod(F.xxhash64(key), F.lit(1))
 
 
-def _spread(key: str, row: str) -> Column:
-    """What ``_constant`` gives for a row with a key; for a row without one a number above 0 that depends on ``row``."""
-    return F.when(F.col(key).isNull(), F.pmod(F.xxhash64(row), F.lit(10_000)) + 1).otherwise(_constant(key))
+def spread_key(key: str, row: str) -> Column:
+    """What ``constant_key`` gives for a row with a key; for a row without one a number above 0 that depends on ``row``."""
+    return F.when(F.col(key).isNull(), F.pmod(F.xxhash64(row), F.lit(10_000)) + 1).otherwise(constant_key(key))
 
 
 def widen(job: WideJob, tables: Tables, fact: DataFrame | None = None, columns: Sequence[str] | None = None,
@@ -173,7 +168,7 @@ def widen(job: WideJob, tables: Tables, fact: DataFrame | None = None, columns:
         right = attach_large(dimension(lookup), lookup.role, key)
         found = F.col(target) == F.col(key)
         if lookup in large:
-            found = found & (_spread(target, row) == _constant(key))
+            found = found & (spread_key(target, row) == constant_key(key))
         return left.join(right, found, "left").drop(key)
 
     def attach_large(df: DataFrame, role: str, row: str) -> DataFrame:
@@ -184,7 +179,7 @@ def widen(job: WideJob, tables: Tables, fact: DataFrame | None = None, columns:
             df = attach(df, lookup, row)
         return df
 
-    small = {name: _fits_broadcast(tables(name)) for name in {lookup.table for lookup in lookups}} if nested else {}
+    small = {name: fits_broadcast(tables(name)) for name in {lookup.table for lookup in lookups}} if nested else {}
     large = [lookup for lookup in lookups if not small.get(lookup.table, True)]
     row = f"{job.role}__{job.key or 'id'}"
     joined = attach_large(base, job.role, row)

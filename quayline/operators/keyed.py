@@ -4,18 +4,20 @@ The merge functions take the current rows and the changes as DataFrames. ``Keyed
 a compacted base with one row per key and, beside it, the changes of every batch since. A batch costs a write of its own
 rows, whatever the size of the table; reading lets the latest change of a key hide its base row; ``compact`` folds the
 changes in. A batch always writes the same folder, so a replay after a failure replaces what the first attempt left,
-and only folders that Spark has marked as complete are read. One job at a time may write a table.
+and only folders that Spark has marked as complete are read. Several feeds and jobs may write a table in turn.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from quayline.operators.cdc import ORDER, check_operations, last_change
+from quayline.session import finished_folders
 
-BATCH = "_batch"  # names the folders, and with them the column that tells which batch a change is from
+FEED, BATCH, ARRIVAL = "_feed", "_batch", "_arrival"  # name the folders, and with them columns of the changes
 
 
 def merge(target: DataFrame, changes: DataFrame, key: str = "id", op: str = "op_type",
@@ -43,14 +45,15 @@ def merge(target: DataFrame, changes: DataFrame, key: str = "id", op: str = "op_
     return target.join(changes.select(key), key, "left_anti").select(target.columns).unionByName(rows)
 
 
-def insert_only(target: DataFrame, rows: DataFrame, key: str = "id") -> DataFrame:
-    """Add the rows whose key is new."""
-    new = rows.join(target.select(key), key, "left_anti")
+def insert_only(target: DataFrame, rows: DataFrame, key: str = "id", order: Sequence[str] = ()) -> DataFrame:
+    """Add the rows whose key is new. Of several with one key the last in ``order`` counts, of equals the greatest."""
+    new = last_change(rows, key, order).join(target.select(key), key, "left_anti")
     return target.unionByName(new.select(target.columns))
 
 
-def update_only(target: DataFrame, rows: DataFrame, key: str = "id") -> DataFrame:
-    """Replace the rows whose key exists."""
+def update_only(target: DataFrame, rows: DataFrame, key: str = "id", order: Sequence[str] = ()) -> DataFrame:
+    """Replace the rows whose key exists. Of several with one key the last in ``order`` counts, of equals the greatest."""
+    rows = last_change(rows, key, order)
     known = rows.join(target.select(key), key, "left_semi").select(target.columns)
     return target.join(rows.select(key), key, "left_anti").select(target.columns).unionByName(known)
 
@@ -67,8 +70,11 @@ def delete_report(target: DataFrame, keys: DataFrame, key: str = "id") -> DataFr
             .agg(F.count("_there").alias("found"), F.count_if(F.col("_there").isNull()).alias("not_found")))
 
 
-def update_columns(target: DataFrame, patch: DataFrame, columns: Sequence[str], key: str = "id") -> DataFrame:
-    """Overwrite some columns of the rows whose key is in ``patch``."""
+def update_columns(target: DataFrame, patch: DataFrame, columns: Sequence[str], key: str = "id",
+                   order: Sequence[str] = ()) -> DataFrame:
+    """Overwrite some columns of the rows whose key is in ``patch``; of several patches of a key the last in ``order``
+    counts, of equals the greatest."""
+    patch = last_change(patch.select(*dict.fromkeys([key, *order, *columns])), key, order)
     patch = patch.select(key, F.lit(True).alias("_patched"), *[F.col(c).alias(f"_new_{c}") for c in columns])
     joined = target.join(patch, key, "left")
     return joined.select([
@@ -102,8 +108,20 @@ def create_table_ddl(name: str, schema: T.StructType, keys: Sequence[str] = ("id
             f"CLUSTERED BY ({by}) INTO {buckets} BUCKETS")
 
 
+def create_table(spark: SparkSession, name: str, schema: T.StructType, keys: Sequence[str] = ("id",), buckets: int = 3,
+                 provider: str = "parquet") -> DataFrame:
+    """The catalog table of that name, made first if it is not there."""
+    spark.sql(create_table_ddl(name, schema, keys, buckets, provider))
+    return spark.table(name)
+
+
 class KeyedTable:
-    """The current state of one table under a folder."""
+    """The current state of one table under a folder.
+
+    Every writer, a streaming query or a job, has a name, its *feed*, and numbers its own batches. A batch also gets a
+    number of arrival over all feeds, which its rows carry: of two changes of a key the one that arrived later counts, and
+    inside a batch the one that is later in ``order``. A base lists the last batch of each feed that it holds.
+    """
 
     def __init__(self, spark: SparkSession, path: str, schema: T.StructType, key: str = "id",
                  partition_by: Sequence[str] = ()):
@@ -113,15 +131,22 @@ class KeyedTable:
         self.key = key
         self.partition_by = list(partition_by)
 
-    def _complete(self, kind: str) -> list[int]:
-        """Numbers of the folders that carry Spark's success marker."""
-        hadoop = self.spark._jvm.org.apache.hadoop.fs
-        pattern = hadoop.Path(f"{self.path}/{kind}/{BATCH}=*/_SUCCESS")
-        files = pattern.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf())
-        return sorted(int(str(f.getPath().getParent().getName()).split("=")[1]) for f in files.globStatus(pattern) or [])
+    def _changes(self) -> list[tuple[int, str, int, str]]:
+        """Arrival, feed, batch and folder of every complete batch."""
+        found = finished_folders(self.spark, f"{self.path}/changes/{FEED}=*/{BATCH}=*/{ARRIVAL}=*")
+        parts = [(f, dict(p.split("=", 1) for p in f.split("/")[-3:])) for f in found]
+        return sorted((int(p[ARRIVAL]), p[FEED], int(p[BATCH]), f) for f, p in parts)
 
-    def _folder(self, kind: str, number: int) -> str:
-        return f"{self.path}/{kind}/{BATCH}={number}"
+    def _bases(self) -> list[int]:
+        return sorted(int(f.rsplit("=", 1)[1]) for f in finished_folders(self.spark, f"{self.path}/base/{ARRIVAL}=*"))
+
+    def _held(self, base: int) -> dict[str, int]:
+        """The last batch of each feed in a base; a row a feed."""
+        rows = self.spark.read.schema("feed string, batch long").parquet(f"{self.path}/held/{ARRIVAL}={base}").collect()
+        return {r["feed"]: r["batch"] for r in rows}
+
+    def _next_arrival(self) -> int:
+        return 1 + max([a for a, *_ in self._changes()] + self._bases(), default=0)
 
     def _write(self, df: DataFrame, folder: str) -> None:
         if self.partition_by:
@@ -129,50 +154,73 @@ class KeyedTable:
             df = df.hint("rebalance", *self.partition_by)
         df.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(
             *self.partition_by).parquet(folder)
-
-    def _read(self, kind: str, numbers: Sequence[int], schema: T.StructType) -> DataFrame:
-        if not numbers:
-            return self.spark.createDataFrame([], schema)
-        parts = [self._folder(kind, n) for n in numbers]
-        return self.spark.read.schema(schema).option("basePath", f"{self.path}/{kind}").parquet(*parts)
-
-    def apply(self, changes: DataFrame, batch: int, order: Sequence[str] | None = ORDER) -> None:
-        """Record the changes of a batch. ``order=None`` says that no key changes twice in it."""
+        if not finished_folders(self.spark, folder):
+            raise RuntimeError(f"{folder} was written without a success marker, so it would not be read")
+
+    def _write_base(self, rows: DataFrame, arrival: int, held: Mapping[str, int]) -> None:
+        (self.spark.createDataFrame(list(held.items()), "feed string, batch long").coalesce(1)
+         .write.mode("overwrite").parquet(f"{self.path}/held/{ARRIVAL}={arrival}"))
+        self._write(rows, f"{self.path}/base/{ARRIVAL}={arrival}")
+
+    def apply(self, changes: DataFrame, batch: int, order: Sequence[str] | None = ORDER, feed: str = "main") -> None:
+        """Record the changes of a feed's batch. ``order=None`` says that no key changes twice in it.
+
+        The newest batch of a feed may be repeated, which replaces what the first attempt left; an older one raises.
+        """
+        if not re.fullmatch(r"[\w.-]+", feed):
+            raise ValueError(f"not a name for a feed: {feed!r}")
+        own = {b: a for a, f, b, _ in self._changes() if f == feed}
+        if own and batch < max(own):
+            raise ValueError(f"batch {batch} of feed {feed} after its batch {max(own)}: another checkpoint needs another feed")
         changes = check_operations(changes)
         if order:
             changes = last_change(changes, self.key, order)
-        self._write(changes.select(*self.schema.names, "op_type"), self._folder("changes", batch))
+        arrival = own.get(batch) or self._next_arrival()
+        self._write(changes.select(*self.schema.names, "op_type"),
+                    f"{self.path}/changes/{FEED}={feed}/{BATCH}={batch}/{ARRIVAL}={arrival}")
 
-    def upsert(self, rows: DataFrame) -> None:
-        """Record rows, one per key, as the next batch."""
-        done = self._complete("changes") + self._complete("base")
-        self.apply(rows.withColumn("op_type", F.lit("update")), max(done, default=-1) + 1, order=None)
+    def upsert(self, rows: DataFrame, feed: str = "upsert") -> None:
+        """Record rows, one per key, as the feed's next batch."""
+        own = [b for _, f, b, _ in self._changes() if f == feed]
+        self.apply(rows.withColumn("op_type", F.lit("update")), max(own, default=-1) + 1, order=None, feed=feed)
 
     def replace(self, rows: DataFrame) -> None:
-        """Make ``rows`` the whole table."""
-        done = self._complete("changes") + self._complete("base")
-        self._write(rows.select(self.schema.names), self._folder("base", max(done, default=-1) + 1))
+        """Make ``rows`` the whole table; what arrived before is gone, what arrives later counts."""
+        held = {f: b for _, f, b, _ in self._changes()}  # a feed's batches arrive in order
+        self._write_base(rows.select(self.schema.names), self._next_arrival(), held)
 
-    def snapshot(self) -> DataFrame:
-        """The current rows."""
-        versions = self._complete("base")
-        version = versions[-1] if versions else -1
-        base = self._read("base", versions[-1:], self.schema).select(self.schema.names)
-        pending = [n for n in self._complete("changes") if n > version]
+    def _pending(self, base: int | None) -> list[tuple[int, str, int, str]]:
+        held = self._held(base) if base is not None else {}
+        return [c for c in self._changes() if c[2] > held.get(c[1], -1)]
+
+    def pending(self) -> int:
+        """How many batches a compaction would fold in."""
+        return len(self._pending(max(self._bases(), default=None)))
+
+    def _state(self, base: int | None, pending: Sequence[tuple[int, str, int, str]]) -> DataFrame:
+        rows = (self.spark.createDataFrame([], self.schema) if base is None else self.spark.read.schema(self.schema)
+                .parquet(f"{self.path}/base/{ARRIVAL}={base}").select(self.schema.names))
         if not pending:
-            return base
+            return rows
         read = T.StructType([*self.schema.fields, T.StructField("op_type", T.StringType()),
-                             T.StructField(BATCH, T.LongType())])
-        changes = self._read("changes", pending, read)
+                             T.StructField(FEED, T.StringType()), T.StructField(ARRIVAL, T.LongType())])
+        changes = (self.spark.read.schema(read).option("basePath", f"{self.path}/changes")
+                   .parquet(*[folder for *_, folder in pending]))
         if len(pending) > 1:
-            changes = last_change(changes, self.key, [BATCH])
-        if not versions:
+            changes = last_change(changes, self.key, [ARRIVAL, FEED])
+        if base is None:
             return changes.where(F.col("op_type") != "delete").select(self.schema.names)
-        return merge(base, changes, self.key)
+        return merge(rows, changes.select(*self.schema.names, "op_type"), self.key)
+
+    def snapshot(self) -> DataFrame:
+        """The current rows."""
+        base = max(self._bases(), default=None)
+        return self._state(base, self._pending(base))
 
     def compact(self) -> None:
-        """Fold all recorded changes into a new base."""
-        pending = self._complete("changes")
-        versions = self._complete("base")
-        if pending and pending[-1] > max(versions, default=-1):
-            self._write(self.snapshot(), self._folder("base", pending[-1]))
+        """Fold all recorded changes into a new base. It rewrites the table: use ``merge_into`` where a catalog has it."""
+        base = max(self._bases(), default=None)
+        pending = self._pending(base)
+        if pending:
+            held = (self._held(base) if base is not None else {}) | {f: b for _, f, b, _ in pending}
+            self._write_base(self._state(base, pending), self._next_arrival(), held)

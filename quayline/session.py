@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 #: Settings every job runs with. The time zone is semantic (it decides which day a timestamp falls on), so it is a
 #: parameter of ``build_session``. Shuffle partitions start high and are merged by adaptive execution, which also
@@ -57,3 +57,29 @@ def shared_dir(spark: SparkSession) -> str:
 def fresh_path(spark: SparkSession, name: str) -> str:
     """A path in the shared folder that nothing has used yet."""
     return f"{shared_dir(spark).rstrip('/')}/quayline-{uuid.uuid4().hex}/{name}"
+
+
+# What the DataFrame API does not offer is asked for here, and nowhere else.
+
+
+def finished_folders(spark: SparkSession, pattern: str) -> list[str]:
+    """The folders of a glob pattern that carry Spark's success marker; raises where markers are switched off."""
+    conf = spark._jsparkSession.sessionState().newHadoopConf()
+    if not conf.getBoolean("mapreduce.fileoutputcommitter.marksuccessfuljobs", True):
+        raise RuntimeError("tables need mapreduce.fileoutputcommitter.marksuccessfuljobs, which is off")
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{pattern}/_SUCCESS")
+    return [f.getPath().getParent().toString() for f in path.getFileSystem(conf).globStatus(path) or []]
+
+
+def fits_broadcast(df: DataFrame) -> bool:
+    """Whether the planner's size estimate is below its own broadcast threshold; yes where no planner can be asked."""
+    if not hasattr(df, "_jdf"):
+        return True
+    conf = df.sparkSession._jsparkSession.sessionState().conf()
+    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    return int(str(size)) <= int(conf.autoBroadcastJoinThreshold())
+
+
+def stream_id(batch: DataFrame) -> str | None:
+    """The id of the streaming query whose batch this is; it belongs to the checkpoint and outlives restarts."""
+    return batch.sparkSession._jsparkSession.sparkContext().getLocalProperty("sql.streaming.queryId")

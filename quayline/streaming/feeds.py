@@ -15,10 +15,12 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from quayline.operators.cdc import check_tables, has_text, parse, typed_rows, where_json_path
-from quayline.operators.keyed import BATCH, KeyedTable
+from quayline.operators.keyed import BATCH, FEED, KeyedTable
 from quayline.schemas import Table
+from quayline.session import finished_folders, stream_id
 
 TABLES_AT_A_TIME = 8
+REJECTS = "rejects"
 
 
 def keyed_tables(spark: SparkSession, root: str, catalogue: Mapping[str, Table]) -> dict[str, KeyedTable]:
@@ -26,17 +28,21 @@ def keyed_tables(spark: SparkSession, root: str, catalogue: Mapping[str, Table])
     return {name: KeyedTable(spark, f"{root}/{name}", table.schema, table.key) for name, table in catalogue.items()}
 
 
-def apply_batch(messages: DataFrame, batch: int, category: str, root: str, catalogue: dict[str, Table],
-                null_numbers_as_zero: bool = False, compact_every: int = 0, tasks: int = 0) -> None:
-    """Apply one batch of raw messages to the tables under ``root``; bad messages go to ``rejects``.
+def apply_batch(messages: DataFrame, batch: int, category: str, root: str, catalogue: Mapping[str, Table],
+                null_numbers_as_zero: bool = False, compact_every: int = 0, tasks: int = 0, feed: str = "main",
+                deletes: bool = True) -> None:
+    """Apply one batch of a feed's raw messages to the tables under ``root``; bad messages go to ``rejects``.
 
-    With ``compact_every`` the tables a batch has touched are compacted each time that many batches have passed. With
-    ``tasks`` the messages are first spread over that many tasks, for sources that come in few pieces.
+    With ``compact_every`` a table is compacted as soon as it has so many batches of its own to fold in. With ``tasks`` the
+    messages are first spread over that many tasks, for sources that come in few pieces. Without ``deletes`` a deleted row
+    stays, with its last content.
     """
     spark = messages.sparkSession
     if tasks:
         messages = messages.repartition(tasks)
-    changes = check_tables(parse(messages, category), catalogue).persist(StorageLevel.MEMORY_AND_DISK)
+    # sorted, so that the rows of a table lie together in the cache and the other blocks are skipped
+    changes = (check_tables(parse(messages, category), catalogue).sortWithinPartitions("table")
+               .persist(StorageLevel.MEMORY_AND_DISK))
     try:
         # at most one row per table of the catalogue, and one for the bad messages
         present = changes.groupBy(F.when(F.col("problem").isNull(), F.col("table")).alias("table")).count().collect()
@@ -44,49 +50,48 @@ def apply_batch(messages: DataFrame, batch: int, category: str, root: str, catal
         stored = keyed_tables(spark, root, catalogue)
 
         def write(name: str) -> None:
-            stored[name].apply(typed_rows(changes, catalogue[name], null_numbers_as_zero), batch)
-            if compact_every and (batch + 1) % compact_every == 0:
+            rows = typed_rows(changes, catalogue[name], null_numbers_as_zero)
+            if not deletes:
+                rows = rows.withColumn("op_type", F.lit("update"))
+            stored[name].apply(rows, batch, feed=feed)
+            if compact_every and stored[name].pending() >= compact_every:
                 stored[name].compact()
 
         with ThreadPoolExecutor(TABLES_AT_A_TIME) as pool:
             list(pool.map(inheritable_thread_target(spark)(write), names))  # jobs stay part of the query
         if len(names) < len(present):
-            (changes.where(F.col("problem").isNotNull()).select("table", "problem", "value")
-             .write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(f"{root}/rejects/{BATCH}={batch}"))
+            (changes.where(F.col("problem").isNotNull()).select("table", "problem", "value").write.mode("overwrite")
+             .option("partitionOverwriteMode", "static").parquet(f"{root}/{REJECTS}/{FEED}={feed}/{BATCH}={batch}"))
     finally:
         changes.unpersist()
 
 
-def start_change_feed(messages: DataFrame, category: str, root: str, checkpoint: str, catalogue: dict[str, Table],
+def rejects(spark: SparkSession, root: str) -> DataFrame:
+    """The messages of all feeds that could not be used."""
+    schema = f"table string, problem string, value string, {FEED} string, {BATCH} long"
+    if not finished_folders(spark, f"{root}/{REJECTS}/{FEED}=*/{BATCH}=*"):
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(f"{root}/{REJECTS}")
+
+
+def start_change_feed(messages: DataFrame, category: str, root: str, checkpoint: str, catalogue: Mapping[str, Table],
                       available_now: bool = False, **options) -> StreamingQuery:
-    """Keep the tables under ``root`` up to date from a stream of raw messages."""
+    """Keep the tables under ``root`` up to date from a stream of raw messages; the checkpoint names the feed."""
     def on_batch(batch: DataFrame, number: int) -> None:
-        apply_batch(batch, number, category, root, catalogue, **options)
+        apply_batch(batch, number, category, root, catalogue, feed=stream_id(batch) or "main", **options)
 
     return _start(messages, on_batch, f"changes-{category}", checkpoint, available_now)
 
 
 def start_document_feed(messages: DataFrame, tables: Mapping[str, Table], root: str, checkpoint: str,
                         schema_prefix: str = "", honour_deletes: bool = False,
-                        available_now: bool = False) -> StreamingQuery:
+                        available_now: bool = False, **options) -> StreamingQuery:
     """Keep searchable copies of some tables; messages of other tables are dropped before they are parsed.
 
     A deleted row stays searchable, with its last content, unless ``honour_deletes`` is set.
     """
     wanted = where_json_path(messages, "$.table", [schema_prefix + name for name in tables])
-
-    def on_batch(batch: DataFrame, number: int) -> None:
-        changes = parse(batch, "oracle").persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            for name, table in tables.items():
-                rows = typed_rows(changes, table)
-                if not honour_deletes:
-                    rows = rows.withColumn("op_type", F.lit("update"))
-                KeyedTable(batch.sparkSession, f"{root}/{name}", table.schema, table.key).apply(rows, number)
-        finally:
-            changes.unpersist()
-
-    return _start(wanted, on_batch, "documents", checkpoint, available_now)
+    return start_change_feed(wanted, "oracle", root, checkpoint, tables, available_now, deletes=honour_deletes, **options)
 
 
 def start_keyed_sink(rows: DataFrame, table: KeyedTable, name: str, checkpoint: str,
@@ -94,33 +99,19 @@ def start_keyed_sink(rows: DataFrame, table: KeyedTable, name: str, checkpoint:
     """Keep a keyed table equal to a streaming result, such as an aggregate, whose keys change once per batch."""
     def on_batch(batch: DataFrame, number: int) -> None:
         batch = batch if "op_type" in batch.columns else batch.withColumn("op_type", F.lit("update"))
-        table.apply(batch, number, order=None)
+        table.apply(batch, number, order=None, feed=stream_id(batch) or "main")
 
     return _start(rows, on_batch, name, checkpoint, available_now, output_mode)
 
 
-def start_external_sink(rows: DataFrame, name: str, checkpoint: str, options: Mapping[str, str],
-                        operation: str = "insert", available_now: bool = False) -> StreamingQuery:
-    """Send the rows of every batch to the ``operations`` sink, at least once; without an operation column all are
-    ``operation``."""
-    column = options.get("op", "opType")
-
-    def on_batch(batch: DataFrame, number: int) -> None:
-        batch = batch if column in batch.columns else batch.withColumn(column, F.lit(operation))
-        batch.write.format("operations").mode("append").options(**options).save()
-
-    return _start(rows, on_batch, name, checkpoint, available_now, "update")
-
-
-def start_console(rows: DataFrame, name: str, lines: int = 20) -> StreamingQuery:
-    """Print the rows of every batch."""
-    return (rows.writeStream.queryName(name).outputMode("append").format("console")
-            .option("numRows", lines).option("truncate", "false").start())
-
-
-def await_any(spark: SparkSession) -> None:
-    """Wait until one of the running queries ends; a failed one raises."""
-    spark.streams.awaitAnyTermination()
+def start_console(rows: DataFrame, name: str, lines: int = 20, kind: str = "console", checkpoint: str | None = None,
+                  available_now: bool = False) -> StreamingQuery:
+    """Print the rows of every batch; ``kind="memory"`` keeps them as a table of that name instead."""
+    writer = (rows.writeStream.queryName(name).outputMode("append").format(kind)
+              .option("numRows", lines).option("truncate", "false"))
+    if checkpoint:
+        writer = writer.option("checkpointLocation", checkpoint)
+    return (writer.trigger(availableNow=True) if available_now else writer).start()
 
 
 def _start(rows: DataFrame, on_batch: Callable[[DataFrame, int], None], name: str, checkpoint: str,
@@ -132,7 +123,18 @@ def _start(rows: DataFrame, on_batch: Callable[[DataFrame, int], None], name: st
     return writer.start()
 
 
-def word_counts(lines: DataFrame, column: str = "value") -> DataFrame:
-    """How often each word occurs; words are what white space separates. Works on tables and streams."""
-    words = lines.where(has_text(column)).select(F.explode(F.split(F.trim(column), r"[ \t\n\u000B\f\r]+")).alias("word"))
-    return words.groupBy("word").count()
+def word_counts(lines: DataFrame, column: str = "value", event_time: str | None = None, late: str = "1 hour",
+                window: str = "1 day") -> DataFrame:
+    """How often each word occurs; words are what white space separates. Works on tables and streams.
+
+    With ``event_time`` words are counted per ``window``, and a stream forgets a window that is ``late`` behind the newest
+    event, so that its state does not grow without end.
+    """
+    words = F.explode(F.split(F.trim(column), r"[ \t\n\u000B\f\r]+")).alias("word")
+    lines = lines.where(has_text(column))
+    if event_time is None:
+        return lines.select(words).groupBy("word").count()
+    if lines.isStreaming:
+        lines = lines.withWatermark(event_time, late)
+    return (lines.select(event_time, words).groupBy(F.window(event_time, window).alias("window"), "word").count()
+            .select(F.col("window.start").alias("window_start"), "word", "count"))

@@ -70,11 +70,14 @@ def test_table_life(spark, rows, partition_by):
     table.apply(changes(spark, (1, "z", 3, "update", 1), (2, None, None, "delete", 1)), 1, order=["seq"])
     state = [(1, "z", 3)]
     assert rows(table.snapshot()) == state
-    for batch, again in ((1, (2, None, None, "delete", 1)), (0, (2, "b", 2, "insert", 1))):  # replay
-        table.apply(changes(spark, (1, "z" if batch else "a", 3 if batch else 1, "update", 1), again), batch, order=["seq"])
+    again = changes(spark, (1, "z", 3, "update", 1), (2, None, None, "delete", 1))
+    for _ in range(2):  # replay, before and after a compaction
+        table.apply(again, 1, order=["seq"])
         assert rows(table.snapshot()) == state
-    table.compact()
-    assert rows(table.snapshot()) == state
+        table.compact()
+        assert rows(table.snapshot()) == state and table.pending() == 0
+    with pytest.raises(ValueError, match="batch 0 of feed main"):  # another checkpoint would begin again
+        table.apply(changes(spark, (2, "b", 2, "insert", 1)), 0, order=["seq"])
     table.apply(changes(spark, (2, "back", 5, "insert", 1)), 2, order=["seq"])
     table.upsert(spark.createDataFrame([(3, "c", 3)], SCHEMA))
     assert rows(table.snapshot()) == [(1, "z", 3), (2, "back", 5), (3, "c", 3)]
@@ -82,19 +85,61 @@ def test_table_life(spark, rows, partition_by):
     assert rows(table.snapshot()) == [(9, "i", 9)]
 
 
+def test_feeds_jobs_and_compaction_lose_nothing(spark, rows):
+    table = keyed.KeyedTable(spark, fresh_path(spark, "t"), spark.createDataFrame([], SCHEMA).schema)
+    for batch in range(3):
+        table.apply(changes(spark, (batch, "stream", batch, "insert", 1)), batch, order=["seq"], feed="a")
+    table.upsert(spark.createDataFrame([(1, "job", 1), (7, "job", 7)], SCHEMA))
+    table.apply(changes(spark, (2, "later", 2, "update", 1)), 3, order=["seq"], feed="a")
+    state = [(0, "stream", 0), (1, "job", 1), (2, "later", 2), (7, "job", 7)]
+    assert rows(table.snapshot()) == state
+    table.compact()
+    table.apply(changes(spark, (8, "b", 8, "insert", 1)), 0, order=["seq"], feed="b")  # a new checkpoint
+    assert rows(table.snapshot()) == [*state, (8, "b", 8)]
+    table.replace(spark.createDataFrame([(9, "all", 9)], SCHEMA))
+    assert rows(table.snapshot()) == [(9, "all", 9)]
+    table.apply(changes(spark, (1, "after", 1, "insert", 1)), 4, order=["seq"], feed="a")
+    assert rows(table.snapshot()) == [(1, "after", 1), (9, "all", 9)]
+    with pytest.raises(ValueError, match="not a name"):
+        table.apply(changes(spark, (1, "x", 1, "insert", 1)), 0, feed="a/b")
+
+
+def _move(spark, old, new):
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    hadoop.Path(old).getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).rename(
+        hadoop.Path(old), hadoop.Path(new))
+
+
 def test_an_unfinished_batch_is_not_read(spark, rows):
     table = keyed.KeyedTable(spark, fresh_path(spark, "t"), spark.createDataFrame([], SCHEMA).schema)
     table.apply(changes(spark, (1, "a", 1, "insert", 1)), 0, order=["seq"])
-    hadoop = spark._jvm.org.apache.hadoop.fs
     table.apply(changes(spark, (1, "half", 1, "update", 1)), 1, order=["seq"])
-    marker = hadoop.Path(f"{table.path}/changes/_batch=1/_SUCCESS")
-    marker.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).rename(
-        marker, hadoop.Path(f"{table.path}/changes/_batch=1/_started"))
+    folder = f"{table.path}/changes/_feed=main/_batch=1/_arrival=2"
+    _move(spark, f"{folder}/_SUCCESS", f"{folder}/_started")
     assert rows(table.snapshot()) == [(1, "a", 1)]
     table.apply(changes(spark, (1, "whole", 1, "update", 1)), 1, order=["seq"])
     assert rows(table.snapshot()) == [(1, "whole", 1)]
 
 
+def test_missing_markers_raise(spark):
+    table = keyed.KeyedTable(spark, fresh_path(spark, "t"), spark.createDataFrame([], SCHEMA).schema)
+    spark.conf.set("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false")
+    try:
+        with pytest.raises(RuntimeError, match="marksuccessfuljobs"):
+            table.apply(changes(spark, (1, "a", 1, "insert", 1)), 0, order=["seq"])
+        with pytest.raises(RuntimeError, match="marksuccessfuljobs"):
+            table.snapshot()
+    finally:
+        spark.conf.unset("mapreduce.fileoutputcommitter.marksuccessfuljobs")
+
+
+def test_keys_stay_unique(spark, rows, target):
+    new = spark.createDataFrame([(3, "C", 3), (3, "D", 4), (4, "E", 5), (4, "E", 5)], SCHEMA)
+    assert rows(keyed.insert_only(target, new, order=["n"])) == [(1, "a", 1), (2, "b", 2), (3, "c", None), (4, "E", 5)]
+    assert rows(keyed.update_only(target, new)) == [(1, "a", 1), (2, "b", 2), (3, "D", 4)]
+    assert rows(keyed.update_columns(target, new, ["n"])) == [(1, "a", 1), (2, "b", 2), (3, "c", 4)]
+
+
 def test_catalog_ddl(spark):
     ddl = keyed.create_table_ddl("quay_job", load_catalogue()["tbl_job"].schema)
     assert ddl == ("CREATE TABLE IF NOT EXISTS quay_job (`id` bigint NOT NULL, `jobName` string, `jobLevel` bigint, "
@@ -102,9 +147,8 @@ def test_catalog_ddl(spark):
 
 
 def test_catalog_table_is_made_once(spark):
-    ddl = keyed.create_table_ddl("quay_job", load_catalogue()["tbl_job"].schema)
-    spark.sql(ddl)
-    spark.sql(ddl)
+    for _ in range(2):
+        assert keyed.create_table(spark, "quay_job", load_catalogue()["tbl_job"].schema).count() == 0
     facts = {r["col_name"]: r["data_type"] for r in spark.sql("DESCRIBE EXTENDED quay_job").collect()}
     assert facts["Num Buckets"] == "3" and facts["Bucket Columns"] == "[`id`]" and facts["jobLevel"] == "bigint"
     spark.sql("DROP TABLE quay_job")
@@ -123,14 +167,24 @@ def test_changelog(spark, rows):
     assert log.schema["sign"].dataType.simpleString() == "tinyint"
     assert log.schema["version"].dataType.simpleString() == "bigint"
     assert rows(changelog.final_rows(log, ["id"])) == [(1, "b", 1), (3, "d", 3)]
-    assert rows(changelog.collapsed_rows(log, ["id", "name"])) == [(1, "a", 1), (1, "b", 1)]
 
 
-def test_changelog_ddl(spark):
+def test_collapsed_log_equals_the_final_rows(spark, rows):
+    all_changes = [(1, "a", 1, "insert", 1), (1, "b", 1, "update", 2), (2, "c", 2, "insert", 3), (2, None, None, "delete", 4),
+                   (3, None, None, "delete", 5), (3, "d", 3, "insert", 6), (1, "b", 1, "update", 7), (4, None, None, "delete", 8)]
+    expected = [(1, "b", 1), (3, "d", 3)]
+    for cut in range(len(all_changes) + 1):
+        first, later = (spark.createDataFrame(c, CHANGES) for c in (all_changes[:cut], all_changes[cut:]))
+        log = changelog.to_changelog(first, "seq", key=["id"])
+        log = log.unionByName(changelog.to_changelog(later, "seq", key=["id"], before=log))
+        assert rows(changelog.collapsed_rows(log)) == expected
+        assert {r["sign"] for r in log.collect()} == {1, -1}
+
+
+def test_changelog_types(spark):
     frame = spark.createDataFrame([], "word string, total int, price decimal(10,2), at timestamp, opType string")
-    assert changelog.changelog_ddl("t", frame.schema, "word") == (
-        "CREATE TABLE IF NOT EXISTS t (word String, total Int32, price Decimal(10, 2), at DateTime, "
-        "sign Int8, version Int64) ENGINE = VersionedCollapsingMergeTree(sign, version) ORDER BY word")
+    assert changelog.store_columns(frame.schema) == {
+        "word": "String", "total": "Int32", "price": "Decimal(10, 2)", "at": "DateTime", "sign": "Int8", "version": "Int64"}
 
 
 def test_job_modes(spark, rows):

@@ -50,12 +50,46 @@ def test_a_repeated_batch_changes_nothing(spark, rows):
     root = fresh_path(spark, "tables")
     first = spark.createDataFrame([(oracle(after=job(1, "a")),), (oracle(after=job(2, "b")),)], "value string")
     second = spark.createDataFrame([(oracle(op="D", before=job(1), pos="2"),), ("bad",)], "value string")
-    for number, batch in ((0, first), (1, second), (1, second), (0, first)):
+    for number, batch in ((0, first), (0, first), (1, second), (1, second)):
         feeds.apply_batch(batch, number, "oracle", root, CATALOGUE)
     assert rows(feeds.keyed_tables(spark, root, CATALOGUE)["tbl_job"].snapshot().select("id", "jobName")) == [(2, "b")]
     assert spark.read.parquet(f"{root}/rejects").count() == 1
 
 
+def test_two_feeds_keep_their_rejects_and_a_new_checkpoint_is_applied(spark, rows, tmp_path):
+    root = fresh_path(spark, "tables")
+    for category, name, lines in (("oracle", "a", [oracle(after=job(1, "a")), "bad"]), ("mysql", "b", ["worse"]),
+                                  ("oracle", "c", [oracle(op="U", after=job(1, "c"), pos="0"), oracle(after=job(2, "c"))])):
+        put(str(tmp_path / name), "1", lines)
+        feeds.start_change_feed(streams.file_stream(spark, str(tmp_path / name)), category, root, fresh_path(spark, "state"),
+                                CATALOGUE, available_now=True, compact_every=1).awaitTermination()
+    assert rows(feeds.rejects(spark, root).select("value")) == [("bad",), ("worse",)]
+    assert rows(feeds.keyed_tables(spark, root, CATALOGUE)["tbl_job"].snapshot().select("id", "jobName")) == [(1, "c"), (2, "c")]
+    assert feeds.rejects(spark, fresh_path(spark, "empty")).count() == 0
+
+
+def test_a_table_touched_now_and_then_is_compacted(spark):
+    root = fresh_path(spark, "tables")
+    for number in range(6):
+        lines = [oracle(after=job(number))] if number % 2 == 0 else [oracle("SRC.tbl_department", after={"id": 1})]
+        feeds.apply_batch(spark.createDataFrame([(x,) for x in lines], "value string"), number, "oracle", root, CATALOGUE,
+                          compact_every=2)
+    table = feeds.keyed_tables(spark, root, CATALOGUE)["tbl_job"]
+    assert table.pending() == 1 and len(table._bases()) == 1 and table.snapshot().count() == 3
+
+
+def test_word_windows_equal_batch(spark, rows, tmp_path):
+    lines = spark.createDataFrame([("a b", "2020-01-01 10:00:00"), ("a", "2020-01-01 23:00:00"), ("a", "2020-01-02 00:00:00")],
+                                  "value string, at string").selectExpr("value", "to_timestamp(at) AS at")
+    lines.write.parquet(str(tmp_path / "in"))
+    counts = feeds.word_counts(streams.table_stream(spark, str(tmp_path / "in") + "/"), event_time="at")
+    query = counts.writeStream.format("memory").queryName("quay_windows").outputMode("update").option(
+        "checkpointLocation", fresh_path(spark, "state")).trigger(availableNow=True).start()
+    query.awaitTermination()
+    found = rows(spark.table("quay_windows").selectExpr("date_format(window_start, 'd') AS d", "word", "count"))
+    assert found == [("1", "a", 2), ("1", "b", 1), ("2", "a", 1)]
+
+
 def test_mysql_feed(spark, rows, tmp_path):
     inbox, root = str(tmp_path / "in"), fresh_path(spark, "tables")
     put(inbox, "1", [mysql(data=[{"id": "1", "name": "a", "reg_dt": "2020-01-01 00:00:00"}, {"id": "2", "name": "b"}]),
