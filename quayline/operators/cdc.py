@@ -6,12 +6,12 @@ change per key inside ``foreachBatch``). A parsed change has these columns:
 ``table``        table name as the catalogue knows it
 ``op_type``      insert, update or delete
 ``event_time``   commit time at the source, as text
-``event_pos``    log position at the source, zero-padded
-``event_offset`` offset of the message in its topic, 0 where the input has none
+``event_pos``    log position at the source: its length without leading zeros, and the text
+``event_partition``, ``event_offset``  where the message is in its topic, 0 where the input has none
 ``row_no``       index of the row in a message that carries several
 ``payload``      the row, as a map from source column name to text
 ``problem``      why the message cannot be used, NULL for a good one
-``value``        the message itself, only where there is a problem
+``value``        the message itself; ``check_tables`` keeps it only where there is a problem
 """
 
 from __future__ import annotations
@@ -38,7 +38,7 @@ OPERATIONS = {
 }
 
 #: What decides which of two changes of a key is the later one.
-ORDER = ("event_time", "event_pos", "event_offset", "row_no")
+ORDER = ("event_time", "event_pos", "event_partition", "event_offset", "row_no")
 
 
 def has_text(c: Column | str) -> Column:
@@ -66,12 +66,15 @@ def crm_to_tbl(table: Column | str) -> Column:
     return F.regexp_replace(table, "^crm_", "tbl_")
 
 
-def _padded(c: Column) -> Column:
-    return F.lpad(c.cast("string"), 20, "0")
+def number_order(c: Column) -> Column:
+    """Orders digits of any length as numbers: first by length, then as text."""
+    digits = F.ltrim(F.trim(c.cast("string")), F.lit("0"))
+    return F.when(c.isNotNull(), F.struct(F.length(digits).alias("length"), digits.alias("text")))
 
 
-def _offset(messages: DataFrame) -> Column:
-    return F.col("offset") if "offset" in messages.columns else F.lit(0).cast("bigint")
+def _place(messages: DataFrame) -> list[Column]:
+    return [(F.col(name) if name in messages.columns else F.lit(0)).cast("bigint").alias(f"event_{name}")
+            for name in ("partition", "offset")]
 
 
 def _unpacked(messages: DataFrame, envelope: str) -> DataFrame:
@@ -81,43 +84,44 @@ def _unpacked(messages: DataFrame, envelope: str) -> DataFrame:
     would then read the JSON again.
     """
     return messages.where(has_text("value")).select(
-        "value", _offset(messages).alias("event_offset"),
+        "value", *_place(messages),
         F.inline(F.array(F.from_json("value", envelope))))
 
 
 def _finish(parsed: DataFrame, problem: Column) -> DataFrame:
     parsed = parsed.withColumn("problem", problem)
-    return parsed.select("table", "op_type", *ORDER, "payload", "problem",
-                         F.when(F.col("problem").isNotNull(), F.col("value")).alias("value"))
+    return parsed.select("table", "op_type", *ORDER, "payload", "problem", "value")
 
 
 def parse_oracle(messages: DataFrame) -> DataFrame:
     """Changes captured from Oracle. A delete has no ``after``, so its row is the one ``before``."""
     parsed = _unpacked(messages, ORACLE_ENVELOPE).select(
-        "value", "event_offset",
+        "value", "event_partition", "event_offset",
         strip_schema(F.col("table")).alias("table"),
         operation("op_type").alias("op_type"),
         F.col("op_ts").alias("event_time"),
-        _padded(F.col("pos")).alias("event_pos"),
+        number_order(F.col("pos")).alias("event_pos"),
         F.lit(0).alias("row_no"),
         F.coalesce("after", "before").alias("payload"))
     return _finish(parsed, F.when(F.col("table").isNull(), "unreadable").when(F.col("payload").isNull(), "no row"))
 
 
 def parse_mysql(messages: DataFrame, first_row_only: Iterable[str] = ()) -> DataFrame:
-    """Changes captured from MySQL: one change per element of ``data``, none for an empty ``data``.
+    """Changes captured from MySQL: one change per element of ``data``, none for an empty ``data`` and for a change of
+    the table itself. A ``data`` that is missing or no list is a problem of the message.
 
     For the tables named in ``first_row_only`` only the first element counts.
     """
     parsed = (_unpacked(messages, MYSQL_ENVELOPE)
-              .where(F.col("table").isNull() | (F.size("data") != 0))
-              .select("value", "event_offset", "table", "type", "ts", "id",
+              .where(F.col("table").isNull() | F.col("data").isNull() | (F.size("data") > 0))
+              .where(~F.coalesce("isDdl", F.lit(False)) | (F.size(F.coalesce("data", F.array())) > 0))
+              .select("value", "event_partition", "event_offset", "table", "type", "ts", "id",
                       F.posexplode_outer("data").alias("row_no", "payload"))
-              .select("value", "event_offset",
+              .select("value", "event_partition", "event_offset",
                       crm_to_tbl(F.col("table")).alias("table"),
                       operation("type").alias("op_type"),
-                      _padded(F.col("ts")).alias("event_time"),
-                      _padded(F.col("id")).alias("event_pos"),
+                      number_order(F.col("ts")).alias("event_time"),
+                      number_order(F.col("id")).alias("event_pos"),
                       F.coalesce("row_no", F.lit(0)).alias("row_no"),
                       "payload"))
     first_row_only = list(first_row_only)
@@ -144,7 +148,7 @@ def check_tables(changes: DataFrame, catalogue: dict[str, Table]) -> DataFrame:
     problem = (F.when(F.col("problem").isNotNull(), F.col("problem"))
                .when(~F.col("table").isin(list(catalogue)), "unknown table")
                .when(F.trim(key).try_cast("bigint").isNull(), "no key"))
-    return changes.withColumn("problem", problem)
+    return changes.withColumn("problem", problem).withColumn("value", F.when(F.col("problem").isNotNull(), F.col("value")))
 
 
 def typed_rows(changes: DataFrame, table: Table, null_numbers_as_zero: bool = False) -> DataFrame:

@@ -1,7 +1,7 @@
 """The source-table catalogue: names, typed columns, keys and the names the columns have at the source.
 
-The catalogue is a parameter, not code: a text with one heading per table and, below it, the column list of the
-change events and the column list of the source database. ``FIXTURES.md`` of this repository is the default.
+The catalogue is a parameter, not code: a text with a line per table and, indented below it, a line per column.
+``catalogue.txt`` of this package is the default.
 """
 
 from __future__ import annotations
@@ -9,11 +9,12 @@ from __future__ import annotations
 import functools
 import re
 from dataclasses import dataclass
+from importlib import resources
 from pathlib import Path
 
 from pyspark.sql import types as T
 
-DEFAULT_CATALOGUE = Path(__file__).resolve().parent.parent / "FIXTURES.md"
+DEFAULT_CATALOGUE = "catalogue.txt"
 
 # The enumeration kept by each type number of the code dictionary.
 CODE_TYPES = {
@@ -87,25 +88,28 @@ class Table:
 
 
 def parse_catalogue(text: str) -> dict[str, Table]:
-    """Read every ``### `table` `` section that lists an event schema and a source DDL."""
-    tables: dict[str, Table] = {}
-    for section in re.split(r"^### ", text, flags=re.MULTILINE)[1:]:
-        name = re.match(r"`(\w+)`", section)
-        events = re.search(r"^- Event schema[^:]*(?::\d[^:]*)?: (.+)$", section, flags=re.MULTILINE)
-        source = re.search(r"^- Source DDL[^:]*(?::\d[^:]*)?: (.+)$", section, flags=re.MULTILINE)
-        if not (name and events and source):
+    """Read a catalogue: a line with a table's name, then an indented line per column; raises on any other line."""
+    tables: dict[str, list[Column]] = {}
+    columns: list[Column] | None = None
+    for number, line in enumerate(text.splitlines(), 1):
+        if not line.strip() or line.startswith("#"):
             continue
-        event_columns = re.findall(r"(\w+) (\w+)(?:, |$)", events[1])
-        source_columns = re.findall(r"(\w+) (\w+(?:\([\d,]+\))?)(?:, |$)", source[1])
-        if len(event_columns) != len(source_columns):
-            raise ValueError(f"{name[1]}: {len(event_columns)} event columns, {len(source_columns)} source columns")
-        tables[name[1]] = Table(name[1], tuple(
-            Column(event, _EVENT_TYPES[event_type], source_column, source_type)
-            for (event, event_type), (source_column, source_type) in zip(event_columns, source_columns)))
-    return tables
+        column = re.fullmatch(r"\s+(\w+) (\w+) (\w+) (\w+(?:\([\d,]+\))?)", line)
+        if column and columns is not None and column[2] in _EVENT_TYPES:
+            columns.append(Column(column[1], _EVENT_TYPES[column[2]], column[3], column[4]))
+        elif re.fullmatch(r"\w+", line) and line not in tables:
+            columns = tables[line] = []
+        else:
+            raise ValueError(f"catalogue line {number} is neither a new table nor a column: {line!r}")
+    empty = [name for name, found in tables.items() if "id" not in [c.name for c in found]]
+    if empty:
+        raise ValueError(f"tables without their key: {empty}")
+    return {name: Table(name, tuple(found)) for name, found in tables.items()}
 
 
 @functools.lru_cache
-def load_catalogue(path: str | Path = DEFAULT_CATALOGUE) -> dict[str, Table]:
-    """The catalogue kept in a text file. It is metadata, read on the driver."""
+def load_catalogue(path: str | Path | None = None) -> dict[str, Table]:
+    """The catalogue kept in a text file, by default the one of this package. It is metadata, read on the driver."""
+    if path is None:
+        return parse_catalogue(resources.files("quayline").joinpath(DEFAULT_CATALOGUE).read_text(encoding="utf-8"))
     return parse_catalogue(Path(path).read_text(encoding="utf-8"))

@@ -1,4 +1,4 @@
-"""Message streams: one text column ``value`` (and ``offset`` from a topic)."""
+"""Message streams: one text column ``value`` (and ``partition`` and ``offset`` from a topic)."""
 
 from __future__ import annotations
 
@@ -21,7 +21,7 @@ def topic_stream(spark: SparkSession, servers: str, topic: str, select: str = "C
             .option("minPartitions", str(tasks or spark.sparkContext.defaultParallelism))
             .options(**options)
             .load()
-            .selectExpr(select, "offset"))
+            .selectExpr(select, "partition", "offset"))
 
 
 def file_stream(spark: SparkSession, folder: str, max_files: int | None = None) -> DataFrame:
@@ -37,7 +37,14 @@ def table_stream(spark: SparkSession, path: str, max_files: int | None = None) -
     reader = spark.readStream.schema(spark.read.parquet(path).schema)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    return reader.parquet(f"{path[:-1]}[{path[-1]}]")  # a stream takes a single file only as a pattern
+    folder, _, name = path.rstrip("/").rpartition("/")
+    return reader.option("pathGlobFilter", name).parquet(folder) if _is_file(spark, path) else reader.parquet(path)
+
+
+def _is_file(spark: SparkSession, path: str) -> bool:
+    """Whether the path itself is the one file that a scan of it reads."""
+    files = spark.read.parquet(path).inputFiles()
+    return [f.rstrip("/").rpartition("/")[2] for f in files] == [path.rstrip("/").rpartition("/")[2]]
 
 
 def socket_stream(spark: SparkSession, host: str, port: int) -> DataFrame:

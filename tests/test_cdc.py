@@ -127,3 +127,35 @@ def test_one_third_of_the_changes_on_one_key(spark):
     last = cdc.last_change(changes, order=["seq"])
     assert last.count() == changes.select("id").distinct().count()
     assert last.where("id = 0").first()["seq"] == 29_997
+
+
+def test_positions_of_any_length_decide(spark, rows):
+    digits = ["9", "10", "00000000000000000000000000000011", "1" * 21, "1" * 20 + "2", "9" * 19]
+    order = sorted(range(len(digits)), key=lambda i: int(digits[i]))
+    for a, b in zip(order, order[1:]):
+        for pair in ((a, b), (b, a)):
+            found = cdc.last_change(jobs_of(spark, *[oracle(after=job(1, str(i)), pos=digits[i]) for i in pair]))
+            assert rows(found.select("jobName")) == [(str(b),)]
+
+
+def test_the_topic_partition_comes_before_the_offset(spark, rows):
+    messages = spark.createDataFrame([(oracle(after=job(1, "a")), 1, 5), (oracle(after=job(1, "b")), 2, 1)],
+                                     "value string, partition int, offset long")
+    found = cdc.last_change(cdc.typed_rows(cdc.parse(messages, "oracle"), CATALOGUE["tbl_job"]))
+    assert rows(found.select("jobName")) == [("b",)]
+
+
+def test_mysql_messages_without_usable_rows_are_problems(spark, rows):
+    texts = [mysql(data=None), '{"table": "crm_customer", "type": "INSERT", "data": 7}',
+             '{"table": "crm_customer", "type": "INSERT", "data": "x"}', mysql(data=[]), mysql(data=[{"id": "1"}]),
+             '{"table": "crm_customer", "isDdl": true, "data": null, "type": "ALTER"}', "{half"]
+    changes = cdc.check_tables(cdc.parse(messages(spark, *texts), "mysql"), CATALOGUE)
+    assert rows(changes.select("problem")) == sorted([("no row",)] * 3 + [(None,), ("unreadable",)], key=repr)
+
+
+def test_a_catalogue_that_does_not_parse_raises():
+    from quayline.schemas import parse_catalogue
+    assert list(parse_catalogue("# note\n\nt\n  id bigint id NUMBER(19,0)\n")) == ["t"]
+    for bad in ("t\n  id bigint id", "  id bigint id NUMBER(19,0)", "t\n  id number id NUMBER(19,0)", "a b", "t\n", "t\n  id bigint id X\nt\n"):
+        with pytest.raises(ValueError):
+            parse_catalogue(bad)
