@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 from quayline.plans import summary
-from quayline.sources.derived import VIEWS, generic_names
+from quayline.schemas import load_catalogue
+from quayline.checks.derived import VIEWS, generic_names
 
 
 def _source(*names: str) -> str:
@@ -203,11 +204,49 @@ def _last(changes: str, key: str, order: str, where: str = "TRUE") -> str:
             f"FROM ({changes}) WHERE {where}) WHERE back = 1")
 
 
-_VEHICLE_MONITOR = f"""
-    SELECT id, event_id AS deliveryRecord, CAST(NULL AS BIGINT) AS empid, event_type AS expressBillId,
-           strftime(ts, '%Y-%m-%d %H:%M:%S') AS cdt, CAST(NULL AS VARCHAR) AS udt, CAST(NULL AS VARCHAR) AS remark
-    FROM ({_last(_ORACLE_CHANGES, "id", "ts DESC, event_id DESC", "tbl = 'tbl_vehicle_monitor'")})
-    WHERE op <> 'delete'"""
+def _rows(name: str, source: str, **given: str) -> str:
+    """Rows of a source table with all its columns, NULL where nothing is given."""
+    kinds = {"bigint": "BIGINT", "int": "INT", "double": "DOUBLE", "string": "VARCHAR"}
+    columns = ", ".join(f"{given.get(c.name, 'CAST(NULL AS ' + kinds[c.type.simpleString()] + ')')} AS {c.name}"
+                        for c in load_catalogue()[name].columns)
+    return f"SELECT '{name}' AS \"table\", {columns} FROM ({source})"
+
+
+def _oracle_rows(where: str) -> str:
+    """The two tables that the Oracle messages are of."""
+    last = {n: _last(_ORACLE_CHANGES, "id", "ts DESC, event_id DESC", f"tbl = '{n}'")
+            for n in ("tbl_vehicle_monitor", "tbl_waybill_line")}
+    at = "strftime(ts, '%Y-%m-%d %H:%M:%S')"
+    return " UNION ALL BY NAME ".join((
+        _rows("tbl_vehicle_monitor", f"SELECT * FROM ({last['tbl_vehicle_monitor']}) WHERE {where}", id="id",
+              deliveryRecord="event_id", expressBillId="event_type", cdt=at),
+        _rows("tbl_waybill_line", f"SELECT * FROM ({last['tbl_waybill_line']}) WHERE {where}", id="id",
+              waybillNumber="'WB' || CAST(id AS VARCHAR)", routeId="event_id", cdt=at)))
+
+
+def _mysql_rows(changes: str) -> str:
+    """The two tables that the MySQL messages are of."""
+    last = {n: _last(changes, "id", "moment DESC, seq DESC, i DESC", f"tbl = '{n}'")
+            for n in ("tbl_consumer_address_map", "tbl_customer")}
+    return " UNION ALL BY NAME ".join((
+        _rows("tbl_consumer_address_map", f"SELECT * FROM ({last['tbl_consumer_address_map']}) WHERE op <> 'delete'",
+              id="id", consumerId="consumerId", addressId="addressId", remark="remark"),
+        _rows("tbl_customer", f"SELECT * FROM ({last['tbl_customer']}) WHERE op <> 'delete'", id="id", remark="remark")))
+
+
+_BROKEN_CHANGES = f"SELECT * FROM ({_MYSQL_CHANGES}) WHERE seq % 50 NOT IN (1, 2, 3, 4)"
+_ORACLE_REJECTS = f"""
+    SELECT 'tbl_nowhere' AS "table", 'unknown table' AS problem, count(*) AS messages
+    FROM ({_ORACLE_CHANGES}) WHERE tbl = 'tbl_nowhere' HAVING count(*) > 0
+    UNION ALL SELECT NULL, 'unreadable', count(*) FROM events WHERE value > 150 AND value <= 200 HAVING count(*) > 0"""
+_MYSQL_REJECTS = """
+    SELECT CASE o_orderpriority WHEN '5-LOW' THEN 'tbl_customer' ELSE 'tbl_consumer_address_map' END AS "table",
+           'no row' AS problem, count(*) AS messages FROM orders WHERE o_orderkey % 50 IN (1, 2) GROUP BY 1
+    UNION ALL SELECT NULL, 'unreadable', count(*) FROM orders WHERE o_orderkey % 50 = 4 HAVING count(*) > 0"""
+_BOTH_REJECTS = f"""
+    SELECT "table", problem, CAST(sum(messages) AS BIGINT) AS messages
+    FROM (SELECT * FROM ({_ORACLE_REJECTS}) UNION ALL SELECT * FROM ({_MYSQL_REJECTS})) GROUP BY ALL"""
+_APPLIED = f"{_oracle_rows("op <> 'delete'")} UNION ALL BY NAME SELECT * FROM ({_ORACLE_REJECTS})"
 
 # --- keyed tables -------------------------------------------------------------------------------------------------
 
@@ -220,7 +259,8 @@ _ACCOUNT_CHANGES = """
 _KEYED = f"""
     accounts AS ({_ACCOUNTS}), changes AS ({_ACCOUNT_CHANGES}),
     last AS ({_last(_ACCOUNT_CHANGES, "id", "moment DESC, seq DESC")}),
-    fresh AS (SELECT id, name, amount FROM last WHERE op <> 'delete')"""
+    fresh AS (SELECT id, name, amount FROM last WHERE op <> 'delete'),
+    versions AS ({_last(_ACCOUNT_CHANGES, "id", "moment DESC, seq DESC", "op <> 'delete'")})"""
 
 # --- words and search ---------------------------------------------------------------------------------------------
 
@@ -346,15 +386,24 @@ ORACLES: dict[str, str] = {
         FROM (SELECT *, CASE WHEN o_totalprice > 490000 THEN 'too many values'
                              WHEN o_totalprice < 20000 AND o_orderpriority <> '5-LOW' THEN 'unreadable value'
                         END AS problem FROM orders)""",
-    "cdc_oracle_apply": _VEHICLE_MONITOR,
+    "cdc_oracle_apply": _APPLIED,
     "cdc_oracle_deletes": f"""
         SELECT id, event_id AS routeId, 0 AS transportTool
         FROM ({_last(_ORACLE_CHANGES, "id", "ts DESC, event_id DESC", "tbl = 'tbl_waybill_line'")})
         WHERE op = 'delete'""",
-    "cdc_mysql_apply": f"""
-        SELECT id, consumerId, addressId, CAST(NULL AS VARCHAR) AS cdt, CAST(NULL AS VARCHAR) AS udt, remark
-        FROM ({_last(_MYSQL_CHANGES, "id", "moment DESC, seq DESC, i DESC", "tbl = 'tbl_consumer_address_map'")})
-        WHERE op <> 'delete'""",
+    "cdc_mysql_apply": f"{_mysql_rows(_MYSQL_CHANGES)} UNION ALL BY NAME SELECT NULL::VARCHAR AS problem, "
+                       "NULL::BIGINT AS messages WHERE FALSE",
+    "two_feeds": f"""{_oracle_rows("op <> 'delete'")} UNION ALL BY NAME {_mysql_rows(_BROKEN_CHANGES)}
+        UNION ALL BY NAME SELECT * FROM ({_BOTH_REJECTS})""",
+    "cdc_rejects": _BOTH_REJECTS,
+    "cdc_order": """
+        SELECT o_custkey AS id, CAST(o_orderkey AS VARCHAR) AS jobName
+        FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey % 7 DESC, o_orderkey) AS back
+              FROM orders) WHERE back = 1""",
+    "cdc_pass_through": "SELECT props AS value, event_id FROM events",
+    "cdc_unknown_operations": """
+        SELECT CASE event_type WHEN 'error' THEN 'truncate' END AS op_type, count(*) AS rows
+        FROM events WHERE event_type IN ('error', 'signup') GROUP BY 1""",
     "cdc_mysql_first_row": f"SELECT tbl AS \"table\", op AS op_type, count(*) AS changes FROM ({_MYSQL_CHANGES}) "
                            "WHERE tbl <> 'tbl_customer' OR i = 0 GROUP BY ALL",
     "cdc_route_counts": f"""
@@ -365,20 +414,10 @@ ORACLES: dict[str, str] = {
                        WHERE value > 150 AND value <= 200) WHERE changes > 0""",
     "json_path_filter": "SELECT event_id, props FROM events "
                         "WHERE json_extract_string(props, '$.k') IN ('7', '42', '69')",
-    "stream_cdc": _VEHICLE_MONITOR,
-    "stream_documents": f"""
-        SELECT id, 'WB' || CAST(id AS VARCHAR) AS waybillNumber, event_id AS routeId, CAST(NULL AS INT) AS transportTool,
-               strftime(ts, '%Y-%m-%d %H:%M:%S') AS cdt
-        FROM ({_last(_ORACLE_CHANGES, "id", "ts DESC, event_id DESC", "tbl = 'tbl_waybill_line'")})""",
-    "feed_to_kpi": _kpi(
-        _source("tbl_express_bill", "tbl_customer", "tbl_codes") + """,
-        wide AS (
-            SELECT b.id, c.type, CAST(NULL AS BIGINT) AS dot_id, b.orderChannelId AS order_channel_id,
-                   te.code AS order_terminal_type, replace(substring(b.cdt, 1, 10), '-', '') AS day
-            FROM tbl_express_bill b LEFT JOIN tbl_customer c ON b.cid = c.id
-            LEFT JOIN (SELECT * FROM tbl_codes WHERE type = 17) te
-                ON TRY_CAST(te.code AS BIGINT) = b.orderTerminalType)""",
-        summary.EXPRESS_BILL.keys, "id", False),
+    "stream_cdc": _APPLIED,
+    "stream_documents": f"{_oracle_rows('TRUE')} UNION ALL BY NAME SELECT NULL::VARCHAR AS problem, "
+                        "NULL::BIGINT AS messages WHERE FALSE",
+    "feed_to_kpi": _kpi_of(_BILL, summary.EXPRESS_BILL),
     "keyed_merge": f"WITH {_KEYED} SELECT * FROM accounts WHERE id NOT IN (SELECT id FROM changes) "
                    "UNION ALL SELECT * FROM fresh",
     "keyed_merge_strict": f"""
@@ -389,30 +428,62 @@ ORACLES: dict[str, str] = {
         SELECT f.* FROM fresh f LEFT JOIN decisive d ON f.id = d.id
         WHERE d.op = 'insert' OR (d.op IS NULL AND f.id IN (SELECT id FROM accounts))""",
     "keyed_insert_only": f"WITH {_KEYED} SELECT * FROM accounts UNION ALL "
-                         "SELECT * FROM fresh WHERE id NOT IN (SELECT id FROM accounts)",
+                         "SELECT id, name, amount FROM versions WHERE id NOT IN (SELECT id FROM accounts)",
     "keyed_update_only": f"WITH {_KEYED} SELECT a.id, CASE WHEN f.id IS NULL THEN a.name ELSE f.name END AS name, "
                          "CASE WHEN f.id IS NULL THEN a.amount ELSE f.amount END AS amount "
-                         "FROM accounts a LEFT JOIN fresh f ON a.id = f.id",
+                         "FROM accounts a LEFT JOIN versions f ON a.id = f.id",
     "keyed_delete": f"WITH {_KEYED} SELECT * FROM accounts WHERE id NOT IN (SELECT id FROM fresh)",
     "keyed_delete_report": f"WITH {_KEYED} SELECT count(a.id) AS found, count(*) - count(a.id) AS not_found "
                            "FROM (SELECT DISTINCT id FROM changes) c LEFT JOIN accounts a ON a.id = c.id",
     "keyed_update_columns": f"WITH {_KEYED} SELECT a.id, a.name, "
                             "CASE WHEN f.id IS NULL THEN a.amount ELSE f.amount END AS amount "
-                            "FROM accounts a LEFT JOIN fresh f ON a.id = f.id",
+                            "FROM accounts a LEFT JOIN versions f ON a.id = f.id",
     "update_by_query": f"SELECT id, CASE WHEN amount < 0 THEN 'owes: ' || name ELSE name END AS name, "
                        f"CASE WHEN amount < 0 THEN 0.0 ELSE amount END AS amount FROM ({_ACCOUNTS})",
     "keyed_table": f"WITH {_KEYED} SELECT * FROM fresh",
+    "keyed_load_and_feed": f"""
+        WITH accounts AS ({_ACCOUNTS}),
+        steps AS (
+            SELECT id, name, amount, 'insert' AS op, 0 AS step FROM accounts
+            UNION ALL SELECT id, name, amount, op, 1
+            FROM ({_last(_ACCOUNT_CHANGES, "id", "moment DESC, seq DESC", "year(moment) < 1996")})
+            UNION ALL SELECT id, 'by hand', amount, 'update', 2 FROM accounts WHERE id % 3 = 0
+            UNION ALL SELECT id, name, amount, op, 3
+            FROM ({_last(_ACCOUNT_CHANGES, "id", "moment DESC, seq DESC", "year(moment) BETWEEN 1996 AND 1998")})
+            UNION ALL SELECT id, name, amount, op, 4
+            FROM ({_last(_ACCOUNT_CHANGES, "id", "moment DESC, seq DESC", "year(moment) > 1998")}))
+        SELECT id, name, amount
+        FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY step DESC) AS back FROM steps)
+        WHERE back = 1 AND op <> 'delete'""",
     "job_full_and_increment": f"""
         WITH {_BILL}
-        SELECT id, express_number || CASE day WHEN '19980615' THEN '-again' ELSE '' END AS express_number, cid, cname,
-               type, order_channel_name, cdt, day FROM wide""",
+        SELECT * REPLACE (CASE day WHEN '19980615' THEN coalesce(remark, '') || '-again' ELSE remark END AS remark,
+                          coalesce(day, 'none') AS day) FROM wide""",
+    "kpi_of_a_day": f"SELECT * FROM ({_kpi_of(_BILL, summary.EXPRESS_BILL)}) WHERE id = '19980615'",
     "changelog_final": f"""
         SELECT id, name, amount FROM ({_last(_ACCOUNT_CHANGES, "id", "seq DESC")}) WHERE op <> 'delete'""",
     "changelog_collapsed": f"""
-        SELECT id, name, CAST(sum(CASE op WHEN 'delete' THEN -1 ELSE 1 END) AS BIGINT) AS copies
-        FROM ({_ACCOUNT_CHANGES}) GROUP BY id, name HAVING sum(CASE op WHEN 'delete' THEN -1 ELSE 1 END) > 0""",
+        SELECT id, name, amount FROM ({_last(_ACCOUNT_CHANGES, "id", "seq DESC")}) WHERE op <> 'delete'""",
     "word_count": _WORDS,
     "stream_word_count": _WORDS,
+    "stream_word_count_windows": r"""
+        SELECT window_start, word, count(*) AS count FROM (
+            SELECT date_trunc('day', ts) AS window_start,
+                   unnest(regexp_split_to_array(trim(event_type || ' ' || props), '[ \t\n\x0B\f\r]+')) AS word
+            FROM events WHERE event_type || ' ' || props IS NOT NULL)
+        GROUP BY ALL""",
+    "stream_to_memory": "SELECT event_id, event_type FROM events WHERE event_type = 'error'",
+    "rows_to_frame": "SELECT r_name AS name, count(*) AS nations FROM nation JOIN region ON n_regionkey = r_regionkey GROUP BY 1",
+    "sorted_wide": f"""
+        WITH {_BILL}
+        SELECT id, cdt, row_number() OVER (PARTITION BY substring(cdt, 1, 10) ORDER BY cdt NULLS FIRST, id) AS n FROM wide""",
+    "day_texts": """
+        SELECT CASE strftime(o_orderdate, '%Y%m%d') WHEN '19980616' THEN '1998-06-16' WHEN '19980615' THEN '1998-06-15'
+               ELSE 'other' END AS day, count(*) AS orders FROM orders GROUP BY 1""",
+    "value_rendering": """
+        SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS o_orderdate, trim(o_orderpriority) AS o_orderpriority,
+               CAST(o_custkey AS VARCHAR) AS o_custkey, trim(o_orderstatus) AS o_orderstatus FROM orders""",
+    "csv_ingest_header": "SELECT c_custkey, c_mktsegment, c_nationkey FROM customer",
     "search_hits": f"SELECT doc_id, lang, {_marked()} AS text FROM ({_FOUND})",
     "search_facets": f"""
         WITH found AS ({_FOUND})

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
 from quayline.functions import calendar as cal, columns as fc
 from quayline.operators import audit, cdc, changelog, joins, keyed, kpi, search
@@ -12,8 +13,8 @@ from quayline.plans import jobs, summary, wide
 from quayline.schemas import CODE_TYPES, load_catalogue
 from quayline.session import fresh_path
 from quayline.sources import delimited, tables as stored
-from quayline.sources.derived import DerivedTables
-from quayline.sources.streams import table_stream
+from quayline.checks.derived import DerivedTables
+from quayline.sources.streams import file_stream, table_stream
 from quayline.streaming import feeds
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -176,10 +177,38 @@ def mysql_messages(orders: DataFrame) -> DataFrame:
     return orders.select(F.explode(F.array(text)).alias("value"))
 
 
+def _with_rejects(parts: dict[str, DataFrame], rejected: DataFrame) -> DataFrame:
+    """Rows of several tables, each with all its columns, and the messages that could not be used, by problem."""
+    counts = rejected.groupBy("table", "problem").agg(F.count(F.lit(1)).alias("messages"))
+    for name, rows in parts.items():
+        counts = counts.unionByName(rows.withColumn("table", F.lit(name)), allowMissingColumns=True)
+    return counts
+
+
+def _applied(messages: DataFrame, category: str, *names: str) -> DataFrame:
+    """All tables that the messages are of, after the last change of each key, and the rejects."""
+    changes = cdc.check_tables(cdc.parse(messages, category), load_catalogue())
+    rows = {n: cdc.upserts(cdc.last_change(cdc.typed_rows(changes, load_catalogue()[n]))).drop(*cdc.ORDER) for n in names}
+    return _with_rejects(rows, changes.where(F.col("problem").isNotNull()))
+
+
+def _stored(spark: SparkSession, root: str, *names: str) -> DataFrame:
+    """The stored tables under a root, and the rejects of all feeds."""
+    tables = feeds.keyed_tables(spark, root, load_catalogue())
+    return _with_rejects({n: tables[n].snapshot() for n in names}, feeds.rejects(spark, root))
+
+
 def cdc_oracle_apply(spark: SparkSession, folder: str) -> DataFrame:
-    changes = cdc.parse(oracle_messages(_read(spark, folder, "events")), "oracle")
-    rows = cdc.typed_rows(changes, load_catalogue()["tbl_vehicle_monitor"])
-    return cdc.upserts(cdc.last_change(rows)).drop(*cdc.ORDER)
+    return _applied(oracle_messages(_read(spark, folder, "events")), "oracle", "tbl_vehicle_monitor", "tbl_waybill_line")
+
+
+def broken_mysql_messages(orders: DataFrame) -> DataFrame:
+    """The same with some messages that have no rows, rows of the wrong kind, nothing, or half a text."""
+    text, part = F.col("value"), F.get_json_object("value", "$.id").cast("bigint") % 50
+    kind = F.regexp_replace(text, r'"data":\[.*\],"database"', '"data":7,"database"')
+    return mysql_messages(orders).select(
+        F.when(part == 1, F.regexp_replace(text, r'"data":\[.*\],"database"', '"database"')).when(part == 2, kind)
+        .when(part == 3, F.lit("  ")).when(part == 4, F.substring(text, 1, 40)).otherwise(text).alias("value"))
 
 
 def cdc_oracle_deletes(spark: SparkSession, folder: str) -> DataFrame:
@@ -190,9 +219,7 @@ def cdc_oracle_deletes(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def cdc_mysql_apply(spark: SparkSession, folder: str) -> DataFrame:
-    changes = cdc.parse(mysql_messages(_read(spark, folder, "orders")), "mysql")
-    rows = cdc.typed_rows(changes, load_catalogue()["tbl_consumer_address_map"])
-    return cdc.upserts(cdc.last_change(rows)).drop(*cdc.ORDER)
+    return _applied(mysql_messages(_read(spark, folder, "orders")), "mysql", "tbl_consumer_address_map", "tbl_customer")
 
 
 def cdc_mysql_first_row(spark: SparkSession, folder: str) -> DataFrame:
@@ -215,7 +242,59 @@ def stream_cdc(spark: SparkSession, folder: str) -> DataFrame:
     root, catalogue = fresh_path(spark, "tables"), load_catalogue()
     feeds.start_change_feed(messages, "oracle", root, fresh_path(spark, "checkpoint"), catalogue, available_now=True,
                             tasks=spark.sparkContext.defaultParallelism).awaitTermination()
-    return feeds.keyed_tables(spark, root, catalogue)["tbl_vehicle_monitor"].snapshot()
+    return _stored(spark, root, "tbl_vehicle_monitor", "tbl_waybill_line")
+
+
+def two_feeds(spark: SparkSession, folder: str) -> DataFrame:
+    """An Oracle and a MySQL stream into one warehouse: its tables, and the rejects of both."""
+    root, catalogue, tasks = fresh_path(spark, "tables"), load_catalogue(), spark.sparkContext.defaultParallelism
+    for category, name, messages in (("oracle", "events", oracle_messages), ("mysql", "orders", broken_mysql_messages)):
+        feeds.start_change_feed(messages(table_stream(spark, f"{folder}/{name}.parquet")), category, root,
+                                fresh_path(spark, "checkpoint"), catalogue, available_now=True, tasks=tasks).awaitTermination()
+    return _stored(spark, root, "tbl_vehicle_monitor", "tbl_waybill_line", "tbl_consumer_address_map", "tbl_customer")
+
+
+def cdc_rejects(spark: SparkSession, folder: str) -> DataFrame:
+    """The messages of both tools that cannot be used, by problem."""
+    parts = [cdc.check_tables(cdc.parse(messages, category), load_catalogue()) for category, messages in (
+        ("oracle", oracle_messages(_read(spark, folder, "events"))),
+        ("mysql", broken_mysql_messages(_read(spark, folder, "orders"))))]
+    return (parts[0].select("table", "problem").unionByName(parts[1].select("table", "problem"))
+            .where(F.col("problem").isNotNull()).groupBy("table", "problem").agg(F.count(F.lit(1)).alias("messages")))
+
+
+def cdc_order(spark: SparkSession, folder: str) -> DataFrame:
+    """The last change of each key where positions of 19 to 25 digits decide: commit times are equal."""
+    messages = _read(spark, folder, "orders").select(F.to_json(F.struct(
+        F.lit("SRC.tbl_job").alias("table"), F.lit("U").alias("op_type"), F.lit("2020-01-01 00:00:00").alias("op_ts"),
+        _long_position().alias("pos"), F.create_map(
+            F.lit("id"), F.col("o_custkey").cast("string"), F.lit("job_name"), F.col("o_orderkey").cast("string"))
+        .alias("after"))).alias("value"))
+    rows = cdc.typed_rows(cdc.parse(messages, "oracle"), load_catalogue()["tbl_job"])
+    return cdc.last_change(rows).select("id", "jobName")
+
+
+def _long_position() -> Column:
+    """A number that falls with the order's key, of 19 to 25 digits, some with zeros in front."""
+    digits = F.concat(F.lit("9"), F.repeat(F.lit("0"), (F.col("o_orderkey") % 7).cast("int")),
+                      F.lpad((F.lit(10 ** 9) - F.col("o_orderkey")).cast("string"), 18, "0"))
+    return F.when(F.col("o_orderpriority") == "5-LOW", F.lpad(digits, 25, "0")).otherwise(digits)
+
+
+def cdc_pass_through(spark: SparkSession, folder: str) -> DataFrame:
+    """Messages of a category that nobody knows go on as they are."""
+    messages = _read(spark, folder, "events").select(F.col("props").alias("value"), "event_id")
+    return cdc.parse(messages, "audit")
+
+
+def cdc_unknown_operations(spark: SparkSession, folder: str) -> DataFrame:
+    """The rows that a merge would refuse, found before it: their operation is none of the three."""
+    kind = F.col("event_type")
+    rows = _read(spark, folder, "events").select(
+        "event_id", F.when(kind == "error", "truncate").when(kind != "signup", "insert").alias("op_type"))
+    known = rows.where(F.col("op_type").isin(*set(cdc.OPERATIONS.values())))
+    refused = rows.join(cdc.check_operations(known), "event_id", "left_anti")
+    return refused.groupBy("op_type").agg(F.count(F.lit(1)).alias("rows"))
 
 
 def stream_documents(spark: SparkSession, folder: str) -> DataFrame:
@@ -224,8 +303,7 @@ def stream_documents(spark: SparkSession, folder: str) -> DataFrame:
     wanted = {n: catalogue[n] for n in ("tbl_vehicle_monitor", "tbl_waybill_line")}
     feeds.start_document_feed(messages, wanted, root, fresh_path(spark, "checkpoint"), schema_prefix="SRC.",
                               available_now=True).awaitTermination()
-    return feeds.keyed_tables(spark, root, wanted)["tbl_waybill_line"].snapshot().select(
-        "id", "waybillNumber", "routeId", "transportTool", "cdt")
+    return _stored(spark, root, *wanted)
 
 
 def row_messages(rows: DataFrame, name: str) -> DataFrame:
@@ -240,12 +318,13 @@ def row_messages(rows: DataFrame, name: str) -> DataFrame:
 
 
 def feed_to_kpi(spark: SparkSession, folder: str) -> DataFrame:
-    """From change events through stored tables and the wide table to the KPIs; tables nothing was sent for are empty."""
-    derived, names = DerivedTables(spark, folder), ("tbl_express_bill", "tbl_customer", "tbl_codes")
-    messages = [row_messages(derived(n), n) for n in names]
+    """From a stream of change events of all ten tables through stored tables and the wide table to the KPIs."""
+    derived, inbox = DerivedTables(spark, folder), fresh_path(spark, "messages")
+    for name in dict.fromkeys([wide.EXPRESS_BILL.table, *[lookup.table for lookup in wide.EXPRESS_BILL.lookups]]):
+        row_messages(derived(name), name).write.mode("append").text(inbox)
     root, catalogue = fresh_path(spark, "tables"), load_catalogue()
-    for number, batch in enumerate(messages):
-        feeds.apply_batch(batch, number, "oracle", root, catalogue, tasks=spark.sparkContext.defaultParallelism)
+    feeds.start_change_feed(file_stream(spark, inbox), "oracle", root, fresh_path(spark, "checkpoint"), catalogue,
+                            available_now=True, tasks=spark.sparkContext.defaultParallelism).awaitTermination()
     return summary.summarise_source(summary.EXPRESS_BILL, stored.StoredTables(spark, root, catalogue))
 
 
@@ -269,6 +348,11 @@ def _account_changes(spark: SparkSession, folder: str) -> DataFrame:
         F.col("o_orderdate").alias("at"), F.col("o_orderkey").alias("seq"))
 
 
+def _account_versions(spark: SparkSession, folder: str) -> DataFrame:
+    """All inserts and updates: keys come several times."""
+    return cdc.upserts(_account_changes(spark, folder))
+
+
 def _account_rows(spark: SparkSession, folder: str) -> DataFrame:
     return cdc.upserts(cdc.last_change(_account_changes(spark, folder), order=["at", "seq"])).drop("at", "seq")
 
@@ -282,11 +366,11 @@ def keyed_merge_strict(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def keyed_insert_only(spark: SparkSession, folder: str) -> DataFrame:
-    return keyed.insert_only(_accounts(spark, folder), _account_rows(spark, folder))
+    return keyed.insert_only(_accounts(spark, folder), _account_versions(spark, folder), order=["at", "seq"])
 
 
 def keyed_update_only(spark: SparkSession, folder: str) -> DataFrame:
-    return keyed.update_only(_accounts(spark, folder), _account_rows(spark, folder))
+    return keyed.update_only(_accounts(spark, folder), _account_versions(spark, folder), order=["at", "seq"])
 
 
 def keyed_delete(spark: SparkSession, folder: str) -> DataFrame:
@@ -298,7 +382,7 @@ def keyed_delete_report(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def keyed_update_columns(spark: SparkSession, folder: str) -> DataFrame:
-    return keyed.update_columns(_accounts(spark, folder), _account_rows(spark, folder), ["amount"])
+    return keyed.update_columns(_accounts(spark, folder), _account_versions(spark, folder), ["amount"], order=["at", "seq"])
 
 
 def update_by_query(spark: SparkSession, folder: str) -> DataFrame:
@@ -320,23 +404,46 @@ def keyed_table(spark: SparkSession, folder: str) -> DataFrame:
     return table.snapshot()
 
 
-def job_full_and_increment(spark: SparkSession, folder: str) -> DataFrame:
-    """The bill job: a full load into its table, then the increment of one day on top."""
+def keyed_load_and_feed(spark: SparkSession, folder: str) -> DataFrame:
+    """A full load, a feed's batch, an upsert, more of the feed, a compaction, another feed that starts at batch 0."""
+    changes, year = _account_changes(spark, folder), F.year("at")
+    table = keyed.KeyedTable(spark, fresh_path(spark, "accounts"), ACCOUNT)
+    table.replace(_accounts(spark, folder))
+    table.apply(changes.where(year < 1996), 7, order=["at", "seq"], feed="first")
+    table.upsert(_accounts(spark, folder).where("id % 3 = 0").withColumn("name", F.lit("by hand")))
+    table.apply(changes.where(year.between(1996, 1998)), 8, order=["at", "seq"], feed="first")
+    table.compact()
+    table.apply(changes.where(year > 1998), 0, order=["at", "seq"], feed="second")
+    return table.snapshot()
+
+
+def _bill_table(spark: SparkSession, folder: str) -> keyed.KeyedTable:
+    """The bill job with all its columns: a full load into its table, stored by day, then one day's increment on top."""
     tables = DerivedTables(spark, folder)
-    names = ["id", "express_number", "cid", "cname", "type", "order_channel_name", "cdt", "day"]
 
     def process(bills: DataFrame) -> DataFrame:
-        return wide.wide_table(wide.EXPRESS_BILL, tables, bills, columns=names)
+        return wide.wide_table(wide.EXPRESS_BILL, tables, bills).withColumn("day", F.coalesce("day", F.lit("none")))
 
     path = fresh_path(spark, wide.EXPRESS_BILL.name)
 
     def target(result: DataFrame) -> keyed.KeyedTable:
-        return keyed.KeyedTable(spark, path, result.schema)
+        return keyed.KeyedTable(spark, path, result.schema, partition_by=["day"])
 
     bills = tables("tbl_express_bill")
     jobs.run_job(jobs.Job("bills", process, "full"), bills, target, "1998-06-16")
-    again = bills.withColumn("expressNumber", F.concat("expressNumber", F.lit("-again")))
-    return jobs.run_job(jobs.Job("bills", process, "incremental"), again, target, "1998-06-16").snapshot()
+    again = bills.withColumn("remark", F.concat(F.coalesce("remark", F.lit("")), F.lit("-again")))
+    return jobs.run_job(jobs.Job("bills", process, "incremental"), again, target, "1998-06-16")
+
+
+def job_full_and_increment(spark: SparkSession, folder: str) -> DataFrame:
+    return _bill_table(spark, folder).snapshot()
+
+
+def kpi_of_a_day(spark: SparkSession, folder: str) -> DataFrame:
+    """The bill KPIs of one day, which read only that day of the stored table."""
+    table = _bill_table(spark, folder)
+    table.compact()
+    return summary.summarise(summary.EXPRESS_BILL, table.snapshot().where(F.col("day") == "19980615"))
 
 
 def changelog_final(spark: SparkSession, folder: str) -> DataFrame:
@@ -346,8 +453,11 @@ def changelog_final(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def changelog_collapsed(spark: SparkSession, folder: str) -> DataFrame:
-    changes = _account_changes(spark, folder).select("id", "name", "op_type", "seq")
-    return changelog.collapsed_rows(changelog.to_changelog(changes, "seq"), ["id", "name"])
+    """The same changes as a log with cancel rows, made in two steps, and collapsed."""
+    changes = _account_changes(spark, folder).drop("at")
+    first = changelog.to_changelog(changes.where("seq < 3000"), "seq", key=["id"])
+    later = changelog.to_changelog(changes.where("seq >= 3000"), "seq", key=["id"], before=first)
+    return changelog.collapsed_rows(first.unionByName(later))
 
 
 # --- words, search, audit -----------------------------------------------------------------------------------------
@@ -365,6 +475,63 @@ def stream_word_count(spark: SparkSession, folder: str) -> DataFrame:
     return table.snapshot()
 
 
+def stream_word_count_windows(spark: SparkSession, folder: str) -> DataFrame:
+    """Words of event properties per day, by a stream that forgets days that are over."""
+    events = table_stream(spark, f"{folder}/events.parquet").select(
+        F.col("ts").cast("timestamp").alias("ts"), F.concat("event_type", F.lit(" "), "props").alias("text"))
+    counts = feeds.word_counts(events, "text", event_time="ts", late="400 days")
+    rows = counts.withColumn("key", F.concat_ws(" ", F.unix_seconds(F.col("window_start").cast("timestamp")), "word"))
+    table = keyed.KeyedTable(spark, fresh_path(spark, "windows"), rows.schema, key="key")
+    feeds.start_keyed_sink(rows, table, "windows", fresh_path(spark, "checkpoint"), available_now=True).awaitTermination()
+    return table.snapshot().drop("key")
+
+
+def stream_to_memory(spark: SparkSession, folder: str) -> DataFrame:
+    """What a stream prints: the rows of every batch, kept by the sink that has the console's interface."""
+    name = f"quay_{uuid.uuid4().hex}"
+    rows = table_stream(spark, f"{folder}/events.parquet").select("event_id", "event_type").where("event_type = 'error'")
+    feeds.start_console(rows, name, kind="memory", checkpoint=fresh_path(spark, "checkpoint"), available_now=True).awaitTermination()
+    return spark.table(name)
+
+
+def rows_to_frame(spark: SparkSession, folder: str) -> DataFrame:
+    """A handful of rows in memory next to a table: regions by name, with the nations of each."""
+    wanted = spark.createDataFrame([(r["r_name"], r["r_regionkey"]) for r in _read(spark, folder, "region").collect()],
+                                   "name string, key int")
+    return (_read(spark, folder, "nation").join(F.broadcast(wanted), F.col("n_regionkey") == F.col("key"))
+            .groupBy("name").agg(F.count(F.lit(1)).alias("nations")))
+
+
+def sorted_wide(spark: SparkSession, folder: str) -> DataFrame:
+    """The wide table in the order of its time, shown by the number of each row."""
+    rows = wide.wide_table(wide.EXPRESS_BILL, DerivedTables(spark, folder), ordered=True, columns=["id", "cdt"])
+    numbered = rows.orderBy("cdt", "id").withColumn("_at", F.monotonically_increasing_id())
+    return numbered.select("id", "cdt", (F.row_number().over(Window.partitionBy(F.substring("cdt", 1, 10)).orderBy("_at"))).alias("n"))
+
+
+def day_texts(spark: SparkSession, folder: str) -> DataFrame:
+    """Which orders are of the day, and the day before, a date; both as the texts that the jobs use."""
+    today, yesterday = fc.day_key("1998-06-16"), fc.day_key("1998-06-15")
+    day = fc.day_of_time("o_orderdate")
+    return (_read(spark, folder, "orders").select(F.when(day == today, fc.day_text("1998-06-16")).when(
+        day == yesterday, fc.day_text("1998-06-15")).otherwise("other").alias("day"))
+        .groupBy("day").agg(F.count(F.lit(1)).alias("orders")))
+
+
+def value_rendering(spark: SparkSession, folder: str) -> DataFrame:
+    """Values as the text that a store is sent."""
+    names = ("o_orderdate", "o_orderpriority", "o_custkey", "o_orderstatus")
+    return _read(spark, folder, "orders").select("o_orderkey", *[fc.render_text(c).alias(c) for c in names])
+
+
+def csv_ingest_header(spark: SparkSession, folder: str) -> DataFrame:
+    """Customers written as files that each start with the same header, and read by it."""
+    path, names = fresh_path(spark, "customers.csv"), ["c_mktsegment", "c_custkey", "c_nationkey"]
+    _read(spark, folder, "customer").select(*names).write.option("header", True).csv(path)
+    schema = T.StructType().add("c_custkey", "long").add("c_mktsegment", "string").add("c_nationkey", "integer")
+    return delimited.ingest(spark, path, schema)[0]
+
+
 def search_hits(spark: SparkSession, folder: str) -> DataFrame:
     return search.hits(_read(spark, folder, "documents").select("doc_id", "lang", "text"), "text", TERMS)
 
@@ -461,11 +628,13 @@ QUERIES: dict[str, Query] = {
     "kpi_branch_vehicle": _kpi(summary.BRANCH_VEHICLE),
 } | {f.__name__: f for f in (
     wide_customer, kpi_customer, sender_totals, dictionary_decode, kpi_order_daily, distinct_days, group_count,
-    incremental_scan, incremental_scan_text, query_by_example, query_by_example_limit, csv_ingest,
+    incremental_scan, incremental_scan_text, query_by_example, query_by_example_limit, csv_ingest, csv_ingest_header,
     cdc_oracle_apply, cdc_oracle_deletes, cdc_mysql_apply, cdc_mysql_first_row, cdc_route_counts, json_path_filter,
-    stream_cdc, stream_documents, feed_to_kpi, keyed_merge, keyed_merge_strict, keyed_insert_only, keyed_update_only,
+    stream_cdc, two_feeds, cdc_rejects, cdc_order, cdc_pass_through, cdc_unknown_operations, stream_documents, feed_to_kpi, keyed_merge, keyed_merge_strict, keyed_insert_only, keyed_update_only,
     keyed_delete,
-    keyed_delete_report, keyed_update_columns, update_by_query, keyed_table, job_full_and_increment, changelog_final,
-    changelog_collapsed, word_count, stream_word_count, search_hits, search_facets, search_count, row_audit,
+    keyed_delete_report, keyed_update_columns, update_by_query, keyed_table, keyed_load_and_feed, job_full_and_increment,
+    kpi_of_a_day, changelog_final,
+    changelog_collapsed, word_count, stream_word_count, stream_word_count_windows, stream_to_memory, rows_to_frame,
+    sorted_wide, day_texts, value_rendering, search_hits, search_facets, search_count, row_audit,
     row_audit_total, row_audit_distinct, row_audit_expected, calendar_dim, date_slices, date_arithmetic,
     time_normalise)}

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from quayline.functions.columns import day_of_text, day_of_time, money
-from quayline.operators.joins import Lookup, Tables, WideJob, widen
+from quayline.operators.joins import Lookup, Tables, WideJob, constant_key, spread_key, widen
 from quayline.schemas import CODE_TYPES
 
 # The joins and the output columns below are fixed values: they define the tables other jobs read.
@@ -166,9 +166,9 @@ TRANSPORT_RECORD = WideJob(
         "record.owDriver2Id AS ow_driver2_id",
         "record.owDriver3Id AS ow_driver3_id",
         "record.routeId AS route_id",
-        "CAST(record.distance AS INT) AS distance",
-        "CAST(record.duration AS INT) AS duration",
-        "CAST(record.state AS INT) AS state",
+        "TRY_CAST(record.distance AS INT) AS distance",
+        "TRY_CAST(record.duration AS INT) AS duration",
+        "TRY_CAST(record.state AS INT) AS state",
         "record.startVehicleDt AS start_vehicle_dt",
         "record.predictArrivalsDt AS predict_arrivals_dt",
         "record.actualArrivalsDt AS actual_arrivals_dt",
@@ -209,7 +209,7 @@ BRANCH_VEHICLE = WideJob(
         "tool.id",
         "tool.brand",
         "tool.model",
-        "CAST(tool.type AS INT) AS type",
+        "TRY_CAST(tool.type AS INT) AS type",
         "tool_type.codeDesc AS type_name",
         "TRY_CAST(tool.givenLoad AS INT) AS given_load",
         "tool.loadCnUnit AS load_cn_unit",
@@ -260,7 +260,8 @@ def sender_totals(senders: DataFrame, packages: DataFrame, exact: bool = True) -
     """First and last shipment, number of shipments and total amount of each customer, over all time."""
     packages = packages.select(F.col("id").alias("package_id"), F.col("cdt").alias("package_cdt"), "actualAmount")
     return (senders.select("id", "ciid", "pkgId")
-            .join(packages, F.col("pkgId") == F.col("package_id"), "left")
+            .join(packages, (F.col("pkgId") == F.col("package_id"))
+                  & (spread_key("pkgId", "id") == constant_key("package_id")), "left")  # NULL keys on all partitions
             .groupBy("ciid")
             .agg(F.min("id").alias("first_sender_id"),
                  F.max("id").alias("last_sender_id"),
@@ -281,7 +282,7 @@ def customer_wide(tables: Tables, customers: DataFrame | None = None, exact: boo
     wide = (customers
             .join(totals, customers["id"] == totals["ciid"], "left")
             .join(types, customers["type"] == types["type_code"], "left")
-            .select("id", "name", "tel", "mobile", F.col("type").cast("int").alias("type"), "type_name",
+            .select("id", "name", "tel", "mobile", F.col("type").try_cast("int").alias("type"), "type_name",
                     F.col("isOwnReg").alias("is_own_reg"), F.col("regDt").alias("regdt"),
                     F.col("regChannelId").alias("reg_channel_id"), "state", "cdt", "udt",
                     F.col("lastLoginDt").alias("last_login_dt"), "remark",

@@ -1,12 +1,10 @@
-"""Tables of other databases over JDBC: a typed scan, and a row sink driven by an operation column."""
+"""Tables of other databases over JDBC: typed scans."""
 
 from __future__ import annotations
 
-import importlib
-from collections.abc import Iterator, Mapping
+from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, SparkSession, types as T
-from pyspark.sql.datasource import DataSource, DataSourceWriter, WriterCommitMessage
+from pyspark.sql import DataFrame, SparkSession
 
 # Column types of the external store and the Spark types they are read as.
 SPARK_TYPES = {
@@ -86,71 +84,3 @@ def external_table(spark: SparkSession, url: str, table: str, **options) -> Data
 def external_query(spark: SparkSession, url: str, query: str, **extra: str) -> DataFrame:
     """The result of a query that the external database runs."""
     return spark.read.format("jdbc").options(url=url, query=query, **extra).load()
-
-
-class OperationSink(DataSource):
-    """``format("operations")``: write rows to a database by what their operation column says.
-
-    Options: ``connect`` (``module:function`` that opens a DB-API connection), ``target``, ``table``, ``key`` and
-    ``op`` (the operation column, ``opType`` unless given). Each task sends its statements in row order, in groups of
-    ``batch`` rows, and commits once at its end; an unknown operation fails the write.
-    """
-
-    @classmethod
-    def name(cls) -> str:
-        return "operations"
-
-    def writer(self, schema: T.StructType, overwrite: bool) -> DataSourceWriter:
-        if overwrite:
-            raise ValueError("the operations sink can only append")
-        return OperationWriter(schema, dict(self.options))
-
-
-class OperationWriter(DataSourceWriter):
-    def __init__(self, schema: T.StructType, options: dict[str, str]):
-        missing = {"connect", "target", "table", "key"} - options.keys()
-        if missing:
-            raise ValueError(f"missing options: {', '.join(sorted(missing))}")
-        self.op = options.get("op", options.get("optype", "opType"))
-        self.key = options["key"]
-        self.table = options["table"]
-        self.connect = options["connect"]
-        self.target = options["target"]
-        self.batch = int(options.get("batch", 1000))
-        self.columns = [f.name for f in schema.fields if f.name != self.op]
-
-    def statement(self, operation: str) -> tuple[str, list[str]]:
-        """The statement of an operation and the columns whose values it takes."""
-        others = [c for c in self.columns if c != self.key]
-        if operation == "insert":
-            marks = ", ".join("?" for _ in self.columns)
-            return f"INSERT INTO {self.table} ({', '.join(self.columns)}) VALUES ({marks})", self.columns
-        if operation == "update":
-            sets = ", ".join(f"{c} = ?" for c in others)
-            return f"UPDATE {self.table} SET {sets} WHERE {self.key} = ?", [*others, self.key]
-        if operation == "delete":
-            return f"DELETE FROM {self.table} WHERE {self.key} = ?", [self.key]
-        raise ValueError(f"unknown operation: {operation}")
-
-    def write(self, rows: Iterator[T.Row]) -> WriterCommitMessage:
-        module, _, function = self.connect.partition(":")
-        connection = getattr(importlib.import_module(module), function)(self.target)
-        cursor = connection.cursor()
-        pending: list[tuple] = []
-        sql = None
-
-        def send() -> None:
-            if pending:
-                cursor.executemany(sql, pending)
-                pending.clear()
-
-        for row in rows:
-            statement, columns = self.statement(row[self.op])
-            if statement != sql or len(pending) >= self.batch:
-                send()
-                sql = statement
-            pending.append(tuple(row[c] for c in columns))
-        send()
-        connection.commit()
-        connection.close()
-        return WriterCommitMessage()

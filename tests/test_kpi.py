@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from quayline.operators.kpi import customer_snapshot, distinct_days, group_count, stats_of_group_counts
 from quayline.plans import summary
-from quayline.sources.derived import DerivedTables
+from quayline.checks.derived import DerivedTables
 
 SCHEMA = "day string, id long, a string, b long"
 

@@ -1,5 +1,4 @@
 import datetime as dt
-import json
 import os
 
 import pytest
@@ -10,8 +9,8 @@ from quayline.operators import audit, search
 from quayline.schemas import load_catalogue
 from quayline.session import fresh_path, shared_dir
 from quayline.sources import delimited, external, tables
-from quayline.sources.streams import file_stream
-from quayline.streaming import feeds
+
+
 
 
 def write(folder, **files):
@@ -80,40 +79,6 @@ def test_external_types_and_scan_options():
         external.scan_options("jdbc:x", "t", partition_column="a")
 
 
-def test_operation_sink(spark, tmp_path):
-    spark.dataSource.register(external.OperationSink)
-    df = spark.createDataFrame([("a", 1, "insert"), ("b", 2, "insert"), ("a", 3, "update"), ("b", None, "delete")],
-                               "category string, total int, opType string").coalesce(1)
-    target = str(tmp_path / "out")
-
-    def save(frame):
-        (frame.write.format("operations").mode("append").option("connect", "dbapi_stub:connect")
-         .option("target", target).option("table", "t").option("key", "category").save())
-
-    save(df)
-    sent = [json.load(open(os.path.join(target, f), encoding="utf-8")) for f in os.listdir(target)]
-    assert [s for s in sent if s] == [[
-        ["INSERT INTO t (category, total) VALUES (?, ?)", [["a", 1], ["b", 2]]],
-        ["UPDATE t SET total = ? WHERE category = ?", [[3, "a"]]],
-        ["DELETE FROM t WHERE category = ?", [["b"]]]]]
-    with pytest.raises(Exception, match="unknown operation: upsert"):
-        save(df.withColumn("opType", F.lit("upsert")))
-
-
-def test_stream_into_the_operation_sink(spark, tmp_path):
-    spark.dataSource.register(external.OperationSink)
-    inbox, target = tmp_path / "in", str(tmp_path / "out")
-    inbox.mkdir()
-    (inbox / "1").write_text("a b a\n")
-    counts = feeds.word_counts(file_stream(spark, str(inbox)))
-    feeds.start_external_sink(counts, "quay_words", fresh_path(spark, "state"), {
-        "connect": "dbapi_stub:connect", "target": target, "table": "t", "key": "word"},
-        available_now=True).awaitTermination()
-    sent = [json.load(open(os.path.join(target, f), encoding="utf-8")) for f in os.listdir(target)]
-    assert sorted(r for part in sent for _, values in part for r in values) == [["a", 2], ["b", 1]]
-    assert {sql for part in sent for sql, _ in part} == {"INSERT INTO t (word, count) VALUES (?, ?)"}
-
-
 def test_search(spark, rows):
     docs = spark.createDataFrame([(1, "The cat and THE the", "en"), (2, "theatre; bathe", "en"), (3, "thé the.", "fr"),
                                   (4, None, "fr"), (5, "a+b", None)], "id long, text string, lang string")

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from quayline.operators.joins import Lookup, WideJob, dictionary_slice, widen
 from quayline.plans import wide
 from quayline.functions.columns import day_of_time
-from quayline.sources.derived import DerivedTables
+from quayline.checks.derived import DerivedTables
 
 JOB = WideJob(
     name="shipments", role="ship", table="ships",
