@@ -1,3 +1,5 @@
+import re
+
 import pytest
 from pyspark.errors import PySparkException
 
@@ -206,3 +208,13 @@ def test_job_modes(spark, rows):
         run_job(Job("j", upper, "sometimes"), source, target, "2020-01-03")
     with pytest.raises(PySparkException):
         run_job(Job("j", lambda df: df.selectExpr("id", "raise_error('broken') AS name")), source, target, "2020-01-03")
+
+
+def test_a_day_of_a_stored_table_reads_one_day(spark, rows):
+    table = keyed.KeyedTable(spark, fresh_path(spark, "t"), spark.createDataFrame([], SCHEMA).schema, partition_by=["name"])
+    table.replace(spark.createDataFrame([(i, f"d{i % 5}", i) for i in range(50)], SCHEMA))
+    day = table.snapshot().where("name = 'd3'")
+    plan = day._jdf.queryExecution().executedPlan().toString()
+    filters = re.search(r"PartitionFilters: \[(.*?)\], PushedFilters", plan)
+    assert filters and "= d3" in filters[1]
+    assert day.count() == 10
