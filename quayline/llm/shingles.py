@@ -5,11 +5,12 @@
    lets it miss can't be in any link; the others, and only they, go on with their whole sets.
 2. Equal sets are one class from here on.
 3. Classes are sorted by a minimum hash, which puts similar ones side by side, and every run of neighbours is joined in a
-   signature tree; then again for one class of each component found, by another minimum hash. Large groups of near copies
+   signature tree; then again, by another minimum hash, for links between the components found. Large groups of near copies
    shrink to a component or a few before any pair of them is formed.
 4. What links may still be missing? Those between different components. Two linked classes share one of their first
    shingles, in an order that puts the rarer first. So classes of different components that share one are gathered, and
-   joined in signature trees; of such a gathering the largest component is only compared with the rest.
+   joined in signature trees; of such a gathering the largest component is only compared with the rest, and a pair only
+   counts in the gathering of the smallest first shingle that it shares.
 
 Step 4 is exact for all pairs; step 3 only saves it work.
 """
@@ -33,8 +34,8 @@ from quayline.llm.common import (
 
 WORDS, PERCENT = 5, 75
 BLOCK_BYTES = 4 << 20
-ROUNDS = 3
-WORTH = 0.05  # another round follows one that has found links for such a share of its sets
+ROUNDS = 4
+WORTH = 0.002  # another round follows one that has found links for such a share of its sets
 LEAF_SETS, LEAF_TOKENS = 512, 1 << 20
 CHUNK, PIECE = 1024, 8192
 HALF = np.uint64(1 << 63)
@@ -233,12 +234,12 @@ def _unite(classes: DataFrame, found: DataFrame) -> DataFrame:
 
 
 def neighbour_links(sets: DataFrame, least: str, percent: int) -> DataFrame:
-    """Links found in runs of sets that are neighbours by a minimum hash and their size."""
+    """Links between components found in runs of sets that are neighbours by a minimum hash and their size."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids, sets, size = [], [], 0
 
         def leaf() -> pa.RecordBatch:
-            found = signatures.links(sets, np.arange(len(sets)), percent)
+            found = signatures.links(sets, np.array(ids), percent)
             return pa.RecordBatch.from_arrays([pa.array([ids[i] for i, _ in found], pa.int64()),
                                                pa.array([ids[j] for _, j in found], pa.int64())], ["a", "b"])
 
@@ -254,8 +255,8 @@ def neighbour_links(sets: DataFrame, least: str, percent: int) -> DataFrame:
             yield leaf()
 
     parts = shuffle_partitions(sets.sparkSession)
-    return (sets.select("class", "tokens", least, "size").repartitionByRange(parts, least, "size", "class")
-            .sortWithinPartitions(least, "size", "class").select("class", "tokens").mapInArrow(run, "a long, b long"))
+    return (sets.select("component", "tokens", least, "size", "class").repartitionByRange(parts, least, "size", "class")
+            .sortWithinPartitions(least, "size", "class").select("component", "tokens").mapInArrow(run, "a long, b long"))
 
 
 def first_posts(classes: DataFrame) -> DataFrame:
@@ -331,9 +332,18 @@ def missing_links(sets: DataFrame, first: DataFrame, united: DataFrame, percent:
     def screen(asking: list[dict], others: list[dict]) -> pa.RecordBatch:
         rows = ordered(asking, others)
         number, of, asks = (np.array([r[c] for r in rows]) for c in ("class", "component", "asks"))
-        found = [np.zeros((0, 2), np.int64)]
+        found, token, smaller = [np.zeros((0, 2), np.int64)], rows[0]["token"], {}
+
+        def before(i: int) -> frozenset:
+            if i not in smaller:
+                first = np.frombuffer(rows[i]["first"], np.int64)
+                smaller[i] = frozenset(first[first < token].tolist())
+            return smaller[i]
+
         for i, j in signatures.may_link([np.frombuffer(r["signature"], np.uint64) for r in rows],
                                         np.array([r["size"] for r in rows]), of, percent, asks if others else None):
+            new = np.array([before(x).isdisjoint(before(y)) for x, y in zip(i.tolist(), j.tolist())], bool)
+            i, j = i[new], j[new]
             # who asks wants the other's component; of two that ask, the one with the greater component
             first = asks[i] & (~asks[j] | (of[i] > of[j]))
             second = asks[j] & ~first
@@ -352,14 +362,15 @@ def missing_links(sets: DataFrame, first: DataFrame, united: DataFrame, percent:
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             maps = [signatures.signature(np.frombuffer(t, np.uint64)).tobytes() for t in batch.column(2).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(maps, pa.binary())],
-                                             ["class", "size", "signature"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(maps, pa.binary()), batch.column(3)],
+                                             ["class", "size", "signature", "first"])
 
     def grouped(rows: DataFrame, by: list[str], work, schema: str) -> DataFrame:
         return (rows.repartition(shuffle_partitions(sets.sparkSession), *by).sortWithinPartitions(*by, F.desc("asks"))
                 .mapInArrow(_per_group(lambda batches: trees(batches, work), by), schema))
 
-    signed = sets.select("class", "size", "tokens").mapInArrow(sign, "class long, size long, signature binary")
+    signed = sets.select("class", "size", "tokens", "first").mapInArrow(
+        sign, "class long, size long, signature binary, first binary")
     by = ["token", "chunk", "piece"]
     # which class may link with which component, by signatures: whole sets go only there, a component's once
     wanted = written(grouped(gathered.join(signed, "class"), by, screen, "class long, wanted long").distinct(), "wanted")
@@ -404,7 +415,7 @@ def similar_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", wor
     """
     kind = key_type(docs, key)
     blocks = make_blocks(docs.select(F.col(f"`{key}`").alias("_key"), whole_text(f"`{text}`").alias("_text")), kind)
-    ranges = 1 << max(3, (max(1, blocks.count()) - 1).bit_length())
+    ranges = 1 << max(3, (blocks.count() // 8).bit_length())
     rows = make_sets(blocks, kind, ranges, words, percent)
     forget(blocks)
     classes = written(rows.where(F.col("tokens").isNotNull()).groupBy("digest", "size").agg(
@@ -412,18 +423,18 @@ def similar_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", wor
         "classes")
     posts = first_posts(classes)
     # whole sets only of classes that share a first shingle with another
-    sets = written(posts.select("class").distinct().join(classes.drop("first", "digest"), "class").join(
+    sets = written(posts.select("class").distinct().join(classes.drop("digest"), "class").join(
         rows.where(F.col("tokens").isNotNull()).select(F.col("row").alias("class"), "tokens"), "class"), "whole_sets")
     marks = written(rows.select("row", "key", "size", "digest"), "marks")
     forget(rows)
     united = sets.select("class", F.col("class").alias("component"))
     for r in range(ROUNDS):
-        part = sets if r == 0 else sets.join(united.where("class = component").select("class"), "class")
+        part = sets.withColumn("component", F.col("class")) if r == 0 else sets.join(united, "class")
         found = written(neighbour_links(part, f"least{r}", percent), "links")
         number = found.count()
         if number:
             united = _unite(united, found)
-        if number < WORTH * part.count():
+        if number < WORTH * sets.count():
             break
     found = written(missing_links(sets, posts, united, percent), "links")
     if not found.isEmpty():
