@@ -97,15 +97,18 @@ def keyed_rows(docs: DataFrame, key: str = "doc_id", text: str = "text") -> tupl
         F.sha2(whole_text(f"`{text}`"), 256).alias("text"))), name
 
 
+def small_or_joined(rows: DataFrame) -> DataFrame:
+    """Rows that are joined by a key, with a few numbers or a digest each: broadcast up to a checked number of them."""
+    return F.broadcast(rows) if rows.count() <= BROADCAST_NAMES else rows
+
+
 def without(docs: DataFrame, name: str, dropped: DataFrame) -> DataFrame:
     """The rows of ``docs`` whose ``name`` is not in ``dropped``, without that column.
 
     The names are counted: up to ``BROADCAST_NAMES`` go to every task, which saves a shuffle of the texts; more are joined.
     """
     other = free_name(docs.columns, "_dropped")
-    names = dropped.select(F.col(name).alias(other))
-    if dropped.count() <= BROADCAST_NAMES:
-        names = F.broadcast(names)
+    names = small_or_joined(dropped.select(F.col(name).alias(other)))
     return docs.join(names, F.col(name) == F.col(other), "left_anti").drop(name)
 
 

@@ -30,7 +30,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from quayline.llm import signatures
 from quayline.llm.common import (
-    by_frequency, forget, from_planes, key_type, keyed_rows, one_of_each, planes, shuffle_partitions, table, whole_text, without, written)
+    by_frequency, forget, from_planes, key_type, keyed_rows, one_of_each, planes, shuffle_partitions, small_or_joined, table,
+    whole_text, without, written)
 
 WORDS, PERCENT = 5, 75
 BLOCK_BYTES = 4 << 20
@@ -282,7 +283,7 @@ def _without_equals(lists: DataFrame, by: list[str], *content: str) -> DataFrame
 
 def missing_links(sets: DataFrame, first: DataFrame, united: DataFrame, percent: int) -> DataFrame:
     """All links between classes of different components, or enough to join what they connect."""
-    posts = written(first.join(united, "class"), "posts")
+    posts = written(first.join(small_or_joined(united), "class"), "posts")
     # tokens of one component have nothing to find; those with the very same classes find the same
     mixed_tokens = (posts.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high"))
                     .where("low != high").select("token"))
@@ -336,8 +337,7 @@ def missing_links(sets: DataFrame, first: DataFrame, united: DataFrame, percent:
 
         def before(i: int) -> frozenset:
             if i not in smaller:
-                first = np.frombuffer(rows[i]["first"], np.int64)
-                smaller[i] = frozenset(first[first < token].tolist())
+                smaller[i] = frozenset(t for t in rows[i]["first"] if t < token)
             return smaller[i]
 
         for i, j in signatures.may_link([np.frombuffer(r["signature"], np.uint64) for r in rows],
@@ -362,15 +362,15 @@ def missing_links(sets: DataFrame, first: DataFrame, united: DataFrame, percent:
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             maps = [signatures.signature(np.frombuffer(t, np.uint64)).tobytes() for t in batch.column(2).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(maps, pa.binary()), batch.column(3)],
-                                             ["class", "size", "signature", "first"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(maps, pa.binary())],
+                                             ["class", "size", "signature"])
 
     def grouped(rows: DataFrame, by: list[str], work, schema: str) -> DataFrame:
         return (rows.repartition(shuffle_partitions(sets.sparkSession), *by).sortWithinPartitions(*by, F.desc("asks"))
                 .mapInArrow(_per_group(lambda batches: trees(batches, work), by), schema))
 
-    signed = sets.select("class", "size", "tokens", "first").mapInArrow(
-        sign, "class long, size long, signature binary, first binary")
+    signed = (sets.select("class", "size", "tokens").mapInArrow(sign, "class long, size long, signature binary")
+              .join(first.groupBy("class").agg(F.collect_list("token").alias("first")), "class"))
     by = ["token", "chunk", "piece"]
     # which class may link with which component, by signatures: whole sets go only there, a component's once
     wanted = written(grouped(gathered.join(signed, "class"), by, screen, "class long, wanted long").distinct(), "wanted")
@@ -423,13 +423,13 @@ def similar_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", wor
         "classes")
     posts = first_posts(classes)
     # whole sets only of classes that share a first shingle with another
-    sets = written(posts.select("class").distinct().join(classes.drop("digest"), "class").join(
+    sets = written(posts.select("class").distinct().join(classes.drop("first", "digest"), "class").join(
         rows.where(F.col("tokens").isNotNull()).select(F.col("row").alias("class"), "tokens"), "class"), "whole_sets")
     marks = written(rows.select("row", "key", "size", "digest"), "marks")
     forget(rows)
     united = sets.select("class", F.col("class").alias("component"))
     for r in range(ROUNDS):
-        part = sets.withColumn("component", F.col("class")) if r == 0 else sets.join(united, "class")
+        part = sets.withColumn("component", F.col("class")) if r == 0 else sets.join(small_or_joined(united), "class")
         found = written(neighbour_links(part, f"least{r}", percent), "links")
         number = found.count()
         if number:
