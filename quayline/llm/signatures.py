@@ -30,8 +30,8 @@ class Groups:
 
 
 def signature(tokens: np.ndarray, bits: int | None = None) -> np.ndarray:
-    """The bitmap of a set, as 64-bit words; by default eight bits or more per token, within limits."""
-    bits = bits or 1 << int(np.clip(int(8 * len(tokens) - 1).bit_length(), 9, 16))
+    """The bitmap of a set, as 64-bit words; by default four bits or more per token, within limits."""
+    bits = bits or 1 << int(np.clip(int(4 * len(tokens) - 1).bit_length(), 9, 16))
     bitmap = np.zeros(bits, np.uint8)
     bitmap[(tokens % np.uint64(bits)).astype(np.int64)] = 1
     return np.packbits(bitmap, bitorder="little").view(np.uint64)
