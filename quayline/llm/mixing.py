@@ -47,13 +47,19 @@ def word_table(labelled: DataFrame, domain: str, text: str, domains: list[str])
         F.log((F.col(f"n{i}") + SMOOTHING) / (total[i] + SMOOTHING * BUCKETS)).alias(f"w{i}") for i in range(len(domains))])
 
 
-def memberships(docs: DataFrame, labelled: DataFrame, domains: list[str], domain: str = "domain", key: str = "doc_id",
-                text: str = "text") -> DataFrame:
-    """Per row of ``docs`` its key, ``_row``, ``tokens`` and posterior probabilities ``p0``, ``p1`` and so on."""
-    prior = {r["d"]: r["count"] for r in labelled.where(F.col(f"`{domain}`").isin(domains))
+def labelled_rows(labelled: DataFrame, domains: list[str], domain: str = "domain") -> dict[str, int]:
+    """How many rows teach each domain; all of ``domains`` with 0 where none teaches any."""
+    found = {r["d"]: r["count"] for r in labelled.where(F.col(f"`{domain}`").isin(domains))
              .groupBy(F.col(f"`{domain}`").alias("d")).count().collect()}
-    known = sum(prior.values())
-    start = [math.log((prior.get(d, 0) + SMOOTHING) / (known + SMOOTHING * len(domains))) for d in domains]
+    return {d: found[d] for d in domains if d in found} or dict.fromkeys(domains, 0)
+
+
+def memberships(docs: DataFrame, labelled: DataFrame, prior: Mapping[str, int], domain: str = "domain", key: str = "doc_id",
+                text: str = "text") -> DataFrame:
+    """Per row of ``docs`` its key, ``_row``, ``tokens`` and posterior probabilities ``p0``, ``p1`` and so on of the domains
+    in ``prior``, which has their labelled rows."""
+    domains, known = list(prior), sum(prior.values())
+    start = [math.log((n + SMOOTHING) / (known + SMOOTHING * len(domains))) for n in prior.values()]
     rows = word_rows(docs.select(F.col(f"`{key}`").alias("_key"), F.monotonically_increasing_id().alias("_row"),
                                  whole_text(f"`{text}`").alias("_text")), "_text", "_key", "_row")
     table_of = F.broadcast(word_table(labelled, domain, text, domains))  # BUCKETS rows
@@ -102,15 +108,21 @@ def mixing_rates(docs: DataFrame, labelled: DataFrame, targets: Mapping[str, flo
 
     ``labelled`` has a text and a domain; rows whose domain is NULL or not in ``targets`` teach nothing. ``copies`` is the
     rate, rounded up or down by a hash of key and text in proportion to its fraction. A NULL text counts as empty; a text
-    without words has the prior memberships and no tokens, so it moves no sum. A target with no tokens at hand is left
-    out and the others keep their proportions. Repeated rows get equal rates and copies. An empty table gives no rows.
+    without words has the prior memberships and no tokens, so it moves no sum. A target that no labelled
+    row teaches, or with no tokens at hand, is left out and the others keep their proportions; its memberships are 0. Where
+    nothing is taught at all memberships are even, and without ``total`` every rate is 1. Repeated rows get equal rates and
+    copies. An empty table gives no rows.
     """
     domains = sorted(targets)
     if not domains or any(not targets[d] >= 0 for d in domains) or not sum(targets.values()) > 0:
         raise ValueError("targets need weights that are not negative and not all zero")
-    members = memberships(docs, labelled, domains, domain, key, text)
-    steps, _, _ = solve(members, [targets[d] for d in domains], total)
-    map_of = F.create_map(*[x for i, d in enumerate(domains) for x in (F.lit(d), F.col(f"p{i}"))])
+    prior = labelled_rows(labelled, domains, domain)
+    there = list(prior)  # smoothing would lend a domain that nobody has seen a little of every text
+    members = memberships(docs, labelled, prior, domain, key, text)
+    learned = total is not None or sum(prior.values())
+    steps = solve(members, [targets[d] for d in there], total)[0] if learned else []
+    map_of = F.create_map(*[x for d in domains for x in (
+        F.lit(d), F.col(f"p{there.index(d)}") if d in there else F.lit(0.0))])
     rated = members.select(F.col("_key").alias(key), "_row", "tokens", map_of.alias("memberships"),
                            F.round(_rate(steps), 9).alias("rate"))
     chance = F.pmod(F.xxhash64(key, "tokens"), F.lit(1 << 30)) / F.lit(1 << 30)

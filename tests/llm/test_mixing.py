@@ -57,3 +57,18 @@ def test_mix_returns_documents(spark, folder):
     assert {r["doc_id"] for r in kept.collect()} == {r["doc_id"] for r in rates.where("copies > 0").collect()}
     double = docs.union(docs)
     assert mixing.mix(double, labels).count() % 2 == 0
+
+
+def two_of_three(spark):
+    """1,000 texts of two languages with words of their own, and a third language that no row has."""
+    rows = [(i, " ".join(f"{'xy'[i % 2]}{(i * 7 + j) % 50}" for j in range(20)) + f" new{i}", "xy"[i % 2]) for i in range(1000)]
+    return spark.createDataFrame(rows, "doc_id long, text string, domain string")
+
+
+def test_domain_without_labelled_rows_is_left_out_of_the_default_total(spark):
+    docs = two_of_three(spark)
+    found = mixing.mixing_rates(docs, docs.where("doc_id < 200"), {"absent": 1, "x": 1, "y": 1}).toPandas()
+    assert all(m["absent"] == 0 and abs(sum(m.values()) - 1) < 1e-9 for m in found["memberships"])
+    assert (found["rate"] > 0.95).all() and found["copies"].mean() > 0.95  # x and y are there in equal parts
+    untaught = mixing.mixing_rates(docs, docs.limit(0), {"x": 1, "y": 3}).toPandas()
+    assert (untaught["copies"] == 1).all()
