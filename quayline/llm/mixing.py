@@ -5,6 +5,7 @@ from a labelled table, predicts how probable each domain is for a text. Every do
 should be used, so that the expected tokens of each domain meet a target: with t tokens, rate r and posterior p(k) a
 document adds t r p(k) to domain k. The rates minimise sum over k of (tokens(k) - target(k))^2 / mass(k) with r >= 0, by
 projected gradient steps from rate 1. Scaled by the domains' mass, a step of 1 always descends: no step size to choose.
+A mix that keeps everything has rates of 1 at least and repeats the documents of scarce domains instead.
 
 A step needs one sum per domain over all documents; the sums so far, a few numbers a step, are all the driver keeps, and
 rates are recomputed from them. Everything is SQL functions.
@@ -15,9 +16,10 @@ from __future__ import annotations
 import math
 from collections.abc import Mapping
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from quayline.llm.common import keyed_rows, table, whole_text, without, written
+from quayline.llm.common import free_name, keyed_rows, small_or_joined, table, whole_text, without, written
 
 BUCKETS = 1 << 15
 SAMPLE = 20_000  # labelled ids to learn from, 160 kB to broadcast
@@ -73,19 +75,35 @@ def memberships(docs: DataFrame, labelled: DataFrame, prior: Mapping[str, int],
         (p / sum(parts)).alias(f"p{i}") for i, p in enumerate(parts)]), "memberships")
 
 
-def _rate(steps: list[list[float]]) -> Column:
+def _rate(steps: list[list[float]], least: float = 0.0) -> Column:
     """The rate after some steps, each a list of what a full member of a domain loses."""
     rate = F.lit(1.0)
     for step in steps:
-        rate = F.greatest(F.lit(0.0), rate - sum(F.col(f"p{i}") * F.lit(e) for i, e in enumerate(step)))
+        rate = F.greatest(F.lit(least), rate - sum(F.col(f"p{i}") * F.lit(e) for i, e in enumerate(step)))
     return rate
 
 
+def whole_step(members: DataFrame, share: list[float]) -> list[float] | None:
+    """The one step to the rates that meet the shares exactly with as few tokens as rates of 1 at least allow.
+
+    Rates that are linear in the memberships meet a target if the memberships' second moments, weighted by tokens, map the
+    factors of the domains to it. None where that asks for a factor that is not positive.
+    """
+    k = range(len(share))
+    pairs = members.agg(*[F.sum(F.col("tokens") * F.col(f"p{i}") * F.col(f"p{j}")) for i in k for j in k]).first()
+    try:
+        factors = np.linalg.solve(np.reshape([x or 0.0 for x in pairs], (len(share), -1)), share)
+    except np.linalg.LinAlgError:
+        return None
+    return [1 - float(f"{x:.12g}") for x in factors / factors.min()] if factors.min() > 0 else None
+
+
 def solve(members: DataFrame, weights: list[float], total: float | None = None,
-          steps: int = STEPS) -> tuple[list[list[float]], list[float], list[float]]:
+          steps: int = STEPS, keep_all: bool = False) -> tuple[list[list[float]], list[float], list[float]]:
     """The steps that lead to the rates, the targets and the domains' tokens at the end.
 
-    Without ``total`` the targets are the most tokens for which no domain has to be repeated.
+    Without ``total`` the targets are the most tokens for which no domain has to be repeated or, with ``keep_all``, the
+    fewest for which no document has to be left out. ``keep_all`` holds every rate at 1 or more.
     """
     sums = lambda rate: [x or 0.0 for x in members.agg(*[
         F.sum(F.col("tokens") * rate * F.col(f"p{i}")) for i in range(len(weights))]).first()]
@@ -94,16 +112,21 @@ def solve(members: DataFrame, weights: list[float], total: float | None = None,
     if not sum(share):
         return [], [0.0] * len(weights), mass
     share = [w / sum(share) for w in share]
-    total = min(m / w for w, m in zip(share, mass) if w) if total is None else total
+    least = 1.0 if keep_all else 0.0
+    if keep_all and total is None and all(share) and (step := whole_step(members, share)):
+        now = sums(_rate([step], least))
+        return [step], [w * sum(now) for w in share], now
+    if total is None:
+        total = (max if keep_all else min)(m / w for w, m in zip(share, mass) if w)
     target, now, taken = [w * total for w in share], mass, []
     while len(taken) < steps and sum(abs(a - b) for a, b in zip(now, target)) > TOLERANCE * total:
         taken.append([float(f"{(a - b) / m:.12g}") if m > 0 else 0.0 for a, b, m in zip(now, target, mass)])
-        now = sums(_rate(taken))
+        now = sums(_rate(taken, least))
     return taken, target, now
 
 
 def mixing_rates(docs: DataFrame, labelled: DataFrame, targets: Mapping[str, float], domain: str = "domain",
-                 key: str = "doc_id", text: str = "text", total: float | None = None) -> DataFrame:
+                 key: str = "doc_id", text: str = "text", total: float | None = None, keep_all: bool = False) -> DataFrame:
     """``key``, ``tokens``, a map of ``memberships``, ``rate`` and ``copies`` for every row of ``docs``.
 
     ``labelled`` has a text and a domain; rows whose domain is NULL or not in ``targets`` teach nothing. ``copies`` is the
@@ -111,7 +134,8 @@ def mixing_rates(docs: DataFrame, labelled: DataFrame, targets: Mapping[str, flo
     without words has the prior memberships and no tokens, so it moves no sum. A target that no labelled
     row teaches, or with no tokens at hand, is left out and the others keep their proportions; its memberships are 0. Where
     nothing is taught at all memberships are even, and without ``total`` every rate is 1. Repeated rows get equal rates and
-    copies. An empty table gives no rows.
+    copies. An empty table gives no rows. With ``keep_all`` every row has a copy at least, and scarce domains have more;
+    a target of 0 then counts its rows once.
     """
     domains = sorted(targets)
     if not domains or any(not targets[d] >= 0 for d in domains) or not sum(targets.values()) > 0:
@@ -120,11 +144,11 @@ def mixing_rates(docs: DataFrame, labelled: DataFrame, targets: Mapping[str, flo
     there = list(prior)  # smoothing would lend a domain that nobody has seen a little of every text
     members = memberships(docs, labelled, prior, domain, key, text)
     learned = total is not None or sum(prior.values())
-    steps = solve(members, [targets[d] for d in there], total)[0] if learned else []
+    steps = solve(members, [targets[d] for d in there], total, keep_all=keep_all)[0] if learned else []
     map_of = F.create_map(*[x for d in domains for x in (
         F.lit(d), F.col(f"p{there.index(d)}") if d in there else F.lit(0.0))])
     rated = members.select(F.col("_key").alias(key), "_row", "tokens", map_of.alias("memberships"),
-                           F.round(_rate(steps), 9).alias("rate"))
+                           F.round(_rate(steps, 1.0 if keep_all else 0.0), 9).alias("rate"))
     chance = F.pmod(F.xxhash64(key, "tokens"), F.lit(1 << 30)) / F.lit(1 << 30)
     return rated.withColumn("copies", (F.floor("rate") + F.when(chance < F.col("rate") - F.floor("rate"), 1)
                                        .otherwise(0)).cast("int"))
@@ -139,16 +163,24 @@ def language_labels(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) ->
         "text", F.col("lang").alias("domain"))
 
 
-def mix(docs: DataFrame, labels: DataFrame, targets: Mapping[str, float] = TARGETS) -> DataFrame:
-    """The documents that a mix without repetition uses, with all their columns."""
+def mix(docs: DataFrame, labels: DataFrame, targets: Mapping[str, float] = TARGETS, keep_all: bool = False) -> DataFrame:
+    """The documents that a mix without repetition uses, with all their columns; with ``keep_all`` all documents, each as
+    often as it has copies."""
     named, name = keyed_rows(docs)
-    rates = mixing_rates(named, language_labels(docs, labels), targets, key=name)
-    return without(named, name, written(rates.where(F.col("copies") == 0).select(name).distinct(), "left_out"))
+    rates = mixing_rates(named, language_labels(docs, labels), targets, key=name, keep_all=keep_all)
+    if not keep_all:
+        return without(named, name, written(rates.where(F.col("copies") == 0).select(name).distinct(), "left_out"))
+    other, times = free_name(named.columns, "_repeated"), free_name(named.columns, "_copies")
+    repeated = small_or_joined(written(rates.where(F.col("copies") > 1).select(
+        F.col(name).alias(other), F.col("copies").alias(times)).distinct(), "repeated"))
+    every = F.explode(F.sequence(F.lit(1), F.coalesce(F.col(times), F.lit(1)))).alias(times)
+    return named.join(repeated, F.col(name) == F.col(other), "left").select(
+        *[F.col(f"`{c}`") for c in docs.columns], every).drop(times)
 
 
 def op3_soft_membership_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The mixing rate of every document."""
+    """The mixing rate of every document, 1 at least."""
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
-    rates = mixing_rates(docs, language_labels(docs, labels), TARGETS)
+    rates = mixing_rates(docs, language_labels(docs, labels), TARGETS, keep_all=True)
     posterior = [F.round(F.col("memberships")[d], 9).alias(f"p_{d}") for d in sorted(TARGETS)]
     return rates.select("doc_id", "tokens", *posterior, F.round("rate", 6).alias("rate"), "copies")

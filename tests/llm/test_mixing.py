@@ -72,3 +72,32 @@ def test_domain_without_labelled_rows_is_left_out_of_the_default_total(spark):
     assert (found["rate"] > 0.95).all() and found["copies"].mean() > 0.95  # x and y are there in equal parts
     untaught = mixing.mixing_rates(docs, docs.limit(0), {"x": 1, "y": 3}).toPandas()
     assert (untaught["copies"] == 1).all()
+
+
+def test_every_document_stays_and_scarce_domains_are_repeated(spark, folder):
+    folder = folder.replace("0.001", "0.01")
+    docs, labels = (spark.read.parquet(f"{folder}/{t}.parquet") for t in ("documents", "labels"))
+    rates = mixing.op3_soft_membership_mixing(spark, folder)
+    assert "Python" not in rates._jdf.queryExecution().executedPlan().toString()
+    rows = rates.toPandas()
+    assert len(rows) == docs.count() and (rows["copies"] >= 1).all() and rows["rate"].min() == 1
+    p = rows[[f"p_{d}" for d in sorted(mixing.TARGETS)]].to_numpy()
+    used = (rows["tokens"] * rows["rate"]).to_numpy() @ p
+    assert np.allclose(used / used.sum(), [mixing.TARGETS[d] for d in sorted(mixing.TARGETS)], rtol=1e-4)
+    for some in (docs, docs.union(docs)):
+        kept = mixing.mix(some, labels, keep_all=True)
+        assert kept.columns == docs.columns and some.exceptAll(kept).count() == 0
+    copies = dict(zip(rows["doc_id"], rows["copies"]))
+    found = mixing.mix(docs, labels, keep_all=True).groupBy("doc_id").count().collect()
+    assert {r["doc_id"]: r["count"] for r in found} == copies
+
+
+def test_a_domain_of_one_in_a_thousand_costs_no_documents(spark):
+    docs = two_of_three(spark).union(spark.createDataFrame([(1000, " ".join(f"z{j}" for j in range(20)), "z")], "doc_id long, text string, domain string"))
+    found = mixing.mixing_rates(docs, docs, {"absent": 1, "x": 2, "y": 2, "z": 1}, keep_all=True).toPandas()
+    assert (found["copies"] >= 1).all()
+    p = np.array([[m[d] for d in "xyz"] for m in found["memberships"]])
+    used = (found["tokens"] * found["rate"]).to_numpy() @ p
+    assert np.allclose(used / used.sum(), [0.4, 0.4, 0.2], rtol=1e-4)
+    untaught = mixing.mixing_rates(docs, docs.limit(0), {"x": 1, "y": 3}, total=6.0, keep_all=True).toPandas()
+    assert (untaught["copies"] >= 1).all() and len(mixing.mixing_rates(docs.limit(0), docs, {"x": 1}, keep_all=True).collect()) == 0
