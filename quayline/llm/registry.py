@@ -1,6 +1,7 @@
 """The queries of this package and, where SQL can express one, its SQL."""
 
-from quayline.llm import exact, lm, mixing, neighbours, packing, quality, secrets, sharding, shingles, urls
+from quayline.llm import (
+    collocations, exact, lm, mixing, neighbours, packing, quality, secrets, sharding, shingles, urls, whitening, wordpieces)
 
 QUERIES = {
     "op1_permutation_shards": sharding.op1_permutation_shards,
@@ -13,9 +14,13 @@ QUERIES = {
     "op8_linear_grouping_packing": packing.op8_linear_grouping_packing,
     "op9_signature_tree_join": shingles.op9_signature_tree_join,
     "op10_hash_prefix_forest": neighbours.op10_hash_prefix_forest,
+    "op11_block_whitening": whitening.op11_block_whitening,
+    "op12_piece_backtracking": wordpieces.op12_piece_backtracking,
+    "op13_prefix_free_collocations": collocations.op13_prefix_free_collocations,
 }
 
 ORACLES = {
     "op2_tree_merge_dedup": exact.OP2_SQL,
     "op7_hash_prefix_urls": urls.OP7_SQL,
+    "op13_prefix_free_collocations": collocations.OP13_SQL,
 }

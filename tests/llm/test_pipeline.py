@@ -92,7 +92,7 @@ def test_stages_take_awkward_documents(spark, tmp_path):
 
 def test_every_operator_is_registered():
     names = contract.queries()
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
     assert set(QUERIES) | {"pipeline"} <= set(names) and set(ORACLES) <= set(contract.oracle_sql())
 
 
