@@ -29,7 +29,7 @@ AT_LEAST = 100
 TOP = 2000
 EVERY = 24  # one place in so many is a trigger
 LIMIT = 2_000_000  # numbered words or phrases that are broadcast: 16 MB of numbers, some 60 MB of words
-BYTES_AT_A_TIME = 4 << 20
+BYTES_AT_A_TIME = 1 << 19
 
 WORD, BLANK, BREAK = 0, 1, 2
 KIND = np.zeros(256, np.uint8)
