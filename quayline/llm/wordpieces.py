@@ -312,18 +312,31 @@ def model_file() -> str:
     return public_tokenizers.path("piece_bpe_32k.model")
 
 
+def _encode_rows(texts: pa.Array, path: str) -> pa.Array:
+    encode, parts = model(path).encode, [pa.array([], pa.list_(pa.int32()))]
+    for at in range(0, len(texts), DOCS_AT_A_TIME):
+        ids = [encode(text or "") for text in texts.slice(at, DOCS_AT_A_TIME).to_pylist()]
+        ends = np.cumsum([0, *map(len, ids)]) // 4
+        parts.append(pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.frombuffer(b"".join(ids), "<i4"))))
+    return pa.concat_arrays(parts)
+
+
+def _decode_rows(rows: pa.Array, path: str) -> pa.Array:
+    parts = [pa.array([], pa.string())]
+    for at in range(0, len(rows), DOCS_AT_A_TIME):
+        some = rows.slice(at, DOCS_AT_A_TIME)
+        ends = np.cumsum(some.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))
+        parts.append(model(path).decode_all(some.flatten().to_numpy(zero_copy_only=False), ends))
+    return pa.concat_arrays(parts)
+
+
 def encoded(text: Column, path: str | None = None) -> Column:
     """The token ids of a text, without begin or end ids; NULL and the empty text have none."""
     path = path or model_file()
 
     @F.arrow_udf("array<int>")
     def encode(texts: pa.Array) -> pa.Array:
-        encode_one, parts = model(path).encode, [pa.array([], pa.list_(pa.int32()))]
-        for at in range(0, len(texts), DOCS_AT_A_TIME):
-            ids = [encode_one(text or "") for text in texts.slice(at, DOCS_AT_A_TIME).to_pylist()]
-            ends = np.cumsum([0, *map(len, ids)]) // 4
-            parts.append(pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.frombuffer(b"".join(ids), "<i4"))))
-        return pa.concat_arrays(parts)
+        return _encode_rows(texts, path)
 
     return encode(text)
 
@@ -334,19 +347,27 @@ def decoded(ids: Column, path: str | None = None) -> Column:
 
     @F.arrow_udf("string")
     def decode(rows: pa.Array) -> pa.Array:
-        parts = [pa.array([], pa.string())]
-        for at in range(0, len(rows), DOCS_AT_A_TIME):
-            some = rows.slice(at, DOCS_AT_A_TIME)
-            ends = np.cumsum(some.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))
-            parts.append(model(path).decode_all(some.flatten().to_numpy(zero_copy_only=False), ends))
-        return pa.concat_arrays(parts)
+        return _decode_rows(rows, path)
 
     return decode(ids)
 
 
+def round_trip(text: Column, path: str | None = None) -> Column:
+    """``ids`` and ``text``: what ``encoded`` gives and what ``decoded`` makes of that, from one encoding."""
+    path = path or model_file()
+
+    @F.arrow_udf("ids array<int>, text string")
+    def both(texts: pa.Array) -> pa.Array:
+        ids = _encode_rows(texts, path)
+        return pa.StructArray.from_arrays([ids, _decode_rows(ids, path)], ["ids", "text"])
+
+    return both(text)
+
+
 def op12_piece_backtracking(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's number of tokens and digests of its ids and of the text that they decode to."""
-    ids = table(spark, sf_dir, "documents").select("doc_id", encoded(whole_text()).alias("_ids"))
-    return ids.select(
-        "doc_id", F.size("_ids").cast("long").alias("n_tokens"),
-        F.sha2(F.array_join("_ids", ","), 256).alias("ids_sha256"), F.sha2(decoded(F.col("_ids")), 256).alias("decoded_sha256"))
+    docs = table(spark, sf_dir, "documents").select("doc_id", round_trip(whole_text()).alias("_found"))
+    return docs.select(
+        "doc_id", F.size("_found.ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join("_found.ids", ","), 256).alias("ids_sha256"),
+        F.sha2(F.col("_found.text"), 256).alias("decoded_sha256"))

@@ -2,7 +2,9 @@
 
 import hashlib
 import random
+from array import array
 
+import numpy as np
 import pytest
 import sentencepiece
 from hypothesis import given, settings, strategies as st
@@ -19,6 +21,10 @@ TEXTS = [
     "zq" * 20_000 + "é" * 99, "퟿�", "'" * 77]
 
 
+def ids_of(model, text):
+    return list(array("i", model.encode(text)))
+
+
 def test_awkward_texts_with_other_columns(spark):
     docs = spark.createDataFrame([(i, t, i) for i, t in enumerate(TEXTS)], "doc_id long, text string, ids int")
     rows = (docs.repartition(3).withColumn("found", wordpieces.encoded(F.col("text")))
@@ -27,6 +33,8 @@ def test_awkward_texts_with_other_columns(spark):
     for r in rows:
         assert r["ids"] == r["doc_id"] and r["found"] == LIBRARY.encode(r["text"] or "")
         assert r["back"] == LIBRARY.decode(r["found"])
+    both = docs.select("doc_id", wordpieces.round_trip(F.col("text")).alias("x")).select("doc_id", "x.*").collect()
+    assert {(r["doc_id"], tuple(r["ids"]), r["text"]) for r in both} == {(r["doc_id"], tuple(r["found"]), r["back"]) for r in rows}
     assert docs.limit(0).withColumn("found", wordpieces.encoded(F.col("text"))).collect() == []
     assert spark.sql("select cast(null as array<int>) ids").select(wordpieces.decoded(F.col("ids"))).first()[0] == ""
 
@@ -36,7 +44,7 @@ def test_awkward_texts_with_other_columns(spark):
                  st.lists(st.sampled_from(sorted(MODEL.ids)), max_size=8).map("".join)))
 def test_any_text(text):
     text = text.encode("utf-8", "ignore").decode()
-    ids = MODEL.encode(text).tolist()
+    ids = ids_of(MODEL, text)
     assert ids == LIBRARY.encode(text) and MODEL.decode(ids) == LIBRARY.decode(ids)
 
 
@@ -46,13 +54,28 @@ def test_any_ids(ids):
     assert MODEL.decode(ids) == LIBRARY.decode(ids)
 
 
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.lists(st.one_of(st.integers(0, 31_999), st.integers(0, 300)), max_size=9), max_size=9))
+def test_any_rows_of_ids(rows):
+    flat, ends = np.array([i for r in rows for i in r], np.int32), np.cumsum([len(r) for r in rows], dtype=np.int64)
+    assert MODEL.decode_all(flat, ends).to_pylist() == [LIBRARY.decode(r) for r in rows]
+
+
+def test_pairs_replay_as_they_merge():
+    r, names = random.Random(8), sorted(MODEL.ids)
+    short = [p for p in names if len(p) <= 3 and p.isascii()]
+    pairs = [r.choices(names, k=2) for _ in range(20_000)] + [r.choices(short, k=2) for _ in range(60_000)]
+    fits = [MODEL._fits(MODEL.ids[a], MODEL.ids[b]) for a, b in pairs]
+    assert fits == [MODEL.merged(a + b) == [a, b] for a, b in pairs] and 1_000 < sum(fits) < 79_000
+
+
 def test_forgetting_changes_nothing(monkeypatch):
     monkeypatch.setattr(wordpieces, "REMEMBERED", 2)
     small, r = wordpieces.Model(PATH), random.Random(5)
     for _ in range(300):
         text = "".join(r.choices("abcdeinorst  -", k=r.randint(0, 50)))
-        assert small.encode(text).tolist() == LIBRARY.encode(text)
-    assert len(small.known_words) <= 2 and len(small.known_pairs) <= 2
+        assert ids_of(small, text) == LIBRARY.encode(text)
+    assert len(small.known_words) <= 2 and small.known_pairs.size <= 2
 
 
 def test_a_search_that_has_to_step_back():
@@ -62,7 +85,7 @@ def test_a_search_that_has_to_step_back():
     longest = {t: max((t[:n] for n in range(1, 20) if t[:n] in MODEL.ids), key=len) for t in words}
     steps = [t for t in words if MODEL.merged(t)[0] != longest[t]]
     assert len(steps) > 500
-    assert all(MODEL._encode_word(t) == tuple(MODEL.ids[p] for p in MODEL.merged(t)) for t in steps)
+    assert all(MODEL._search(t) == [MODEL.ids[p] for p in MODEL.merged(t)] for t in steps)
 
 
 def test_other_models_raise(tmp_path):
