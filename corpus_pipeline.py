@@ -32,8 +32,8 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def target_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents that the mix of languages uses."""
-    return mixing.mix(docs, table(spark, sf_dir, "labels"))
+    """All documents, those of scarce languages as often as the mix of languages asks for."""
+    return mixing.mix(docs, table(spark, sf_dir, "labels"), keep_all=True)
 
 
 def packed_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
