@@ -12,7 +12,7 @@ sequences are needed. Only how many pieces have each length matters for that, at
 4. What is left over and all small pieces go, longest first, to the sequence with the least room that fits.
 
 The result is a list of ranges, "of length l the pieces ranked a to b go to the sequences c to c + b - a at an offset",
-whose size depends on the capacity alone. Pieces are ranked within their length by counts per task, not by a sort of all.
+whose size depends on the capacity alone. Pieces are ranked within their length by counts per task, and not shuffled.
 """
 
 from __future__ import annotations
@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql import Window as W
 
-from quayline.llm.common import key_type, table, whole_text, written
+from quayline.llm.common import key_type, small_or_joined, table, whole_text, written
 
 CAPACITY = 1024
 END = 2
@@ -83,19 +83,20 @@ def tokenizer_files() -> tuple[str, str]:
 
 def pieces(docs: DataFrame, key: str = "doc_id", text: str = "text", tokenizer: tuple[str, str | None] | None = None,
            capacity: int = CAPACITY, end: int = END, payload: str = "ids") -> DataFrame:
-    """The pieces of every document: ``_key``, ``piece``, ``start``, ``length`` and ``ids`` or ``ids_crc32``.
+    """The pieces of every document: ``_key``, ``piece``, ``start``, ``length``, ``_rank`` and ``ids`` or ``ids_crc32``.
 
-    ``payload`` says which: the token ids, or only their checksum where that is all a caller needs.
+    ``payload`` says which: the token ids, or only their checksum where that is all a caller needs. The rank counts the
+    pieces of one length that the same task made before.
     """
     files = tokenizer or tokenizer_files()
     kind = key_type(docs, key)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(*files).encode
+        encode, seen = encoder(*files).encode, [0] * (capacity + 1)
         for batch in batches:
             texts, keys = batch.column(1), batch.column(0)
             for at in range(0, len(texts), DOCS_AT_A_TIME):
-                row, number, start, length, value = [], [], [], [], []
+                row, number, start, length, value, rank = [], [], [], [], [], []
                 for i, text in enumerate(texts.slice(at, DOCS_AT_A_TIME).to_pylist(), at):
                     ids = array("I", encode(text))
                     ids.append(end)
@@ -106,18 +107,20 @@ def pieces(docs: DataFrame, key: str = "doc_id", text: str = "text", tokenizer:
                         number.append(number[-1] + 1 if begin else 0)
                         start.append(begin)
                         length.append(stop - begin)
+                        rank.append(seen[stop - begin])
+                        seen[stop - begin] += 1
                         part = np.array(ids[begin:stop], "<u4")
                         value.append(zlib.crc32(part) if payload == "ids_crc32" else part.view("<i4"))
                         begin, stop = stop, stop + capacity
                 yield pa.RecordBatch.from_arrays(
                     [keys.take(pa.array(row, pa.int64())), pa.array(number, pa.int32()), pa.array(start, pa.int64()),
-                     pa.array(length, pa.int32()),
+                     pa.array(length, pa.int32()), pa.array(rank, pa.int64()),
                      pa.array(value, pa.int64() if payload == "ids_crc32" else pa.list_(pa.int32()))],
-                    ["_key", "piece", "start", "length", payload])
+                    ["_key", "piece", "start", "length", "_rank", payload])
 
     schema = T.StructType([
         T.StructField("_key", kind), T.StructField("piece", T.IntegerType()), T.StructField("start", T.LongType()),
-        T.StructField("length", T.IntegerType()),
+        T.StructField("length", T.IntegerType()), T.StructField("_rank", T.LongType()),
         T.StructField(payload, T.LongType() if payload == "ids_crc32" else T.ArrayType(T.IntegerType()))])
     return docs.select(F.col(f"`{key}`"), whole_text(f"`{text}`").alias("_text")).mapInArrow(cut, schema)
 
@@ -252,7 +255,7 @@ def pack(docs: DataFrame, key: str = "doc_id", text: str = "text", tokenizer: tu
     kept. Only documents longer than the capacity are cut; their first piece may be shorter, and pieces of one document
     may lie in any sequences. An empty table gives no rows; other columns play no part.
     """
-    bucket, rank = "_bucket", "_rank"
+    bucket = "_bucket"
     found = written(pieces(docs, key, text, tokenizer, capacity, end, payload)
                     .withColumn(bucket, F.spark_partition_id()), "pieces")
     counts = written(found.groupBy("length", bucket).agg(F.count(F.lit(1)).alias("_count")), "lengths")
@@ -269,8 +272,8 @@ def pack(docs: DataFrame, key: str = "doc_id", text: str = "text", tokenizer: tu
 
     before = counts.select("length", bucket, F.coalesce(F.sum("_count").over(
         W.partitionBy("length").orderBy(bucket).rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("_before"))
-    ranked = (found.withColumn(rank, F.row_number().over(W.partitionBy("length", bucket).orderBy("_key", "piece")) - 1)
-              .join(before, ["length", bucket]).withColumn("_place", place("length", F.col(rank) + F.col("_before"))))
+    ranked = (found.join(small_or_joined(written(before, "before")), ["length", bucket])
+              .withColumn("_place", place("length", F.col("_rank") + F.col("_before"))))
     return ranked.select(F.col("_key").alias(key), "piece", "start", "length", payload, "_place.sequence_id",
                          F.col("_place.offset").alias("offset"))
 
