@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from quayline.plans import summary
 from quayline.schemas import load_catalogue
+from quayline.checks import search_queries
 from quayline.checks.derived import VIEWS, generic_names
 
 
@@ -531,4 +532,4 @@ ORACLES: dict[str, str] = {
                              WHEN event_type = 'purchase' THEN CAST(CAST(ts AS DATE) AS TIMESTAMP)
                              WHEN event_type = 'signup' OR value > 50 THEN date_trunc('milliseconds', ts)
                              WHEN value > 20 THEN date_trunc('second', ts) END AS moment FROM events)""",
-}
+} | search_queries.ORACLES

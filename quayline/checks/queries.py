@@ -13,6 +13,7 @@ from quayline.plans import jobs, summary, wide
 from quayline.schemas import CODE_TYPES, load_catalogue
 from quayline.session import fresh_path
 from quayline.sources import delimited, tables as stored
+from quayline.checks import search_queries
 from quayline.checks.derived import DerivedTables
 from quayline.sources.streams import file_stream, table_stream
 from quayline.streaming import feeds
@@ -637,4 +638,4 @@ QUERIES: dict[str, Query] = {
     changelog_collapsed, word_count, stream_word_count, stream_word_count_windows, stream_to_memory, rows_to_frame,
     sorted_wide, day_texts, value_rendering, search_hits, search_facets, search_count, row_audit,
     row_audit_total, row_audit_distinct, row_audit_expected, calendar_dim, date_slices, date_arithmetic,
-    time_normalise)}
+    time_normalise)} | search_queries.QUERIES
