@@ -13,8 +13,9 @@ from quayline.plans import jobs, summary, wide
 from quayline.schemas import CODE_TYPES, load_catalogue
 from quayline.session import fresh_path
 from quayline.sources import delimited, tables as stored
-from quayline.checks import search_queries
+from quayline.checks import change_queries, search_queries
 from quayline.checks.derived import DerivedTables
+from quayline.checks.messages import mysql_messages, oracle_messages, with_rejects
 from quayline.sources.streams import file_stream, table_stream
 from quayline.streaming import feeds
 
@@ -134,69 +135,17 @@ def csv_ingest(spark: SparkSession, folder: str) -> DataFrame:
 # --- change events ------------------------------------------------------------------------------------------------
 
 
-def oracle_messages(events: DataFrame) -> DataFrame:
-    """An event stream as Oracle change messages: of two tables, of an unknown one, and broken ones."""
-    kind = F.col("event_type")
-    op = F.when(kind == "view", "U").when(kind == "error", "D").when(kind == "purchase", "X").otherwise("I")
-    table = (F.when(kind == "signup", "SRC.tbl_nowhere").when(F.col("user_id") % 2 == 0, "SRC.tbl_vehicle_monitor")
-             .otherwise("SRC.tbl_waybill_line"))
-    row = F.create_map(
-        F.lit("id"), F.col("user_id").cast("string"),
-        F.lit("delivery_record"), F.col("event_id").cast("string"),
-        F.lit("express_bill__id"), kind,
-        F.lit("route_id"), F.col("event_id").cast("string"),
-        F.lit("waybill_number"), F.concat(F.lit("WB"), F.col("user_id")),
-        F.lit("transport_tool"), F.lit("none"),
-        F.lit("cdt"), F.date_format("ts", "yyyy-MM-dd HH:mm:ss"))
-    envelope = F.struct(
-        table.alias("table"), op.alias("op_type"), F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("op_ts"),
-        F.col("event_id").cast("string").alias("pos"),
-        F.when(op == "D", row).alias("before"), F.when(op != "D", row).alias("after"))
-    text = F.to_json(envelope)
-    broken = F.when(F.col("value") > 200, F.lit("   ")).when(F.col("value") > 150, F.substring(text, 1, 30))
-    return events.select(F.explode(F.array(F.coalesce(broken, text))).alias("value"))  # written once, not per use
-
-
-def mysql_messages(orders: DataFrame) -> DataFrame:
-    """Orders as MySQL change messages: three address maps per order, none for a cancelled one."""
-    def row(i: int) -> Column:
-        return F.create_map(
-            F.lit("id"), (F.col("o_custkey") * 3 + i).cast("string"),
-            F.lit("consumer_id"), F.col("o_custkey").cast("string"),
-            F.lit("address_id"), (F.col("o_orderkey") + i).cast("string"),
-            F.lit("remark"), F.col("o_orderpriority"))
-
-    data = F.when(F.col("o_orderstatus") == "P", F.array().cast("array<map<string,string>>")).otherwise(
-        F.array(row(0), row(1), row(2)))
-    table = F.when(F.col("o_orderpriority") == "5-LOW", "crm_customer").otherwise("crm_consumer_address_map")
-    kind = (F.when(F.col("o_orderpriority") == "1-URGENT", "DELETE")
-            .when(F.col("o_orderpriority") == "2-HIGH", "UPDATE").otherwise("INSERT"))
-    text = F.to_json(F.struct(
-        data.alias("data"), F.lit("crm").alias("database"), F.col("o_orderkey").alias("id"),
-        F.lit(False).alias("isDdl"), table.alias("table"),
-        F.unix_millis(F.col("o_orderdate").cast("timestamp")).alias("ts"), kind.alias("type")))
-    return orders.select(F.explode(F.array(text)).alias("value"))
-
-
-def _with_rejects(parts: dict[str, DataFrame], rejected: DataFrame) -> DataFrame:
-    """Rows of several tables, each with all its columns, and the messages that could not be used, by problem."""
-    counts = rejected.groupBy("table", "problem").agg(F.count(F.lit(1)).alias("messages"))
-    for name, rows in parts.items():
-        counts = counts.unionByName(rows.withColumn("table", F.lit(name)), allowMissingColumns=True)
-    return counts
-
-
 def _applied(messages: DataFrame, category: str, *names: str) -> DataFrame:
     """All tables that the messages are of, after the last change of each key, and the rejects."""
     changes = cdc.check_tables(cdc.parse(messages, category), load_catalogue())
     rows = {n: cdc.upserts(cdc.last_change(cdc.typed_rows(changes, load_catalogue()[n]))).drop(*cdc.ORDER) for n in names}
-    return _with_rejects(rows, changes.where(F.col("problem").isNotNull()))
+    return with_rejects(rows, changes.where(F.col("problem").isNotNull()))
 
 
 def _stored(spark: SparkSession, root: str, *names: str) -> DataFrame:
     """The stored tables under a root, and the rejects of all feeds."""
     tables = feeds.keyed_tables(spark, root, load_catalogue())
-    return _with_rejects({n: tables[n].snapshot() for n in names}, feeds.rejects(spark, root))
+    return with_rejects({n: tables[n].snapshot() for n in names}, feeds.rejects(spark, root))
 
 
 def cdc_oracle_apply(spark: SparkSession, folder: str) -> DataFrame:
@@ -409,7 +358,7 @@ def keyed_load_and_feed(spark: SparkSession, folder: str) -> DataFrame:
     """A full load, a feed's batch, an upsert, more of the feed, a compaction, another feed that starts at batch 0."""
     changes, year = _account_changes(spark, folder), F.year("at")
     table = keyed.KeyedTable(spark, fresh_path(spark, "accounts"), ACCOUNT)
-    table.replace(_accounts(spark, folder))
+    table.replace(_accounts(spark, folder).unionByName(_accounts(spark, folder).where("id % 5 = 0")))  # some keys twice
     table.apply(changes.where(year < 1996), 7, order=["at", "seq"], feed="first")
     table.upsert(_accounts(spark, folder).where("id % 3 = 0").withColumn("name", F.lit("by hand")))
     table.apply(changes.where(year.between(1996, 1998)), 8, order=["at", "seq"], feed="first")
@@ -431,9 +380,9 @@ def _bill_table(spark: SparkSession, folder: str) -> keyed.KeyedTable:
         return keyed.KeyedTable(spark, path, result.schema, partition_by=["day"])
 
     bills = tables("tbl_express_bill")
-    jobs.run_job(jobs.Job("bills", process, "full"), bills, target, "1998-06-16")
+    jobs.run_job(jobs.Job("bills", process, "full", unique=True), bills, target, "1998-06-16")
     again = bills.withColumn("remark", F.concat(F.coalesce("remark", F.lit("")), F.lit("-again")))
-    return jobs.run_job(jobs.Job("bills", process, "incremental"), again, target, "1998-06-16")
+    return jobs.run_job(jobs.Job("bills", process, "incremental", unique=True), again, target, "1998-06-16")
 
 
 def job_full_and_increment(spark: SparkSession, folder: str) -> DataFrame:
@@ -638,4 +587,4 @@ QUERIES: dict[str, Query] = {
     changelog_collapsed, word_count, stream_word_count, stream_word_count_windows, stream_to_memory, rows_to_frame,
     sorted_wide, day_texts, value_rendering, search_hits, search_facets, search_count, row_audit,
     row_audit_total, row_audit_distinct, row_audit_expected, calendar_dim, date_slices, date_arithmetic,
-    time_normalise)} | search_queries.QUERIES
+    time_normalise)} | search_queries.QUERIES | change_queries.QUERIES

@@ -39,6 +39,9 @@ OPERATIONS = {
 
 #: What decides which of two changes of a key is the later one.
 ORDER = ("event_time", "event_pos", "event_partition", "event_offset", "row_no")
+ORDER_TYPE = (T.StructType().add("event_time", "string")
+              .add("event_pos", T.StructType().add("length", "integer").add("text", "string"))
+              .add("event_partition", "long").add("event_offset", "long").add("row_no", "integer"))
 
 
 def has_text(c: Column | str) -> Column:

@@ -14,10 +14,11 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from quayline.operators.cdc import ORDER, check_operations, last_change
-from quayline.session import finished_folders
+from quayline.operators.cdc import ORDER, ORDER_TYPE, check_operations, last_change
+from quayline.session import finished_folders, remove_folder
 
-FEED, BATCH, ARRIVAL = "_feed", "_batch", "_arrival"  # name the folders, and with them columns of the changes
+FEED, BATCH, ARRIVAL, BASE = "_feed", "_batch", "_arrival", "_base"  # name the folders, and with them columns of the changes
+PLACE = "_place"  # a row's place in the order of events
 
 
 def merge(target: DataFrame, changes: DataFrame, key: str = "id", op: str = "op_type",
@@ -121,33 +122,42 @@ class KeyedTable:
     Every writer, a streaming query or a job, has a name, its *feed*, and numbers its own batches. A batch also gets a
     number of arrival over all feeds, which its rows carry: of two changes of a key the one that arrived later counts, and
     inside a batch the one that is later in ``order``. A base lists the last batch of each feed that it holds.
+
+    With ``by_event`` the event order decides across batches too: rows and deletes are stored with their place in it
+    (``ORDER``), so an event that comes late can't undo a newer one. A deleted key then stays as a mark until a compaction
+    is told to forget it; rows without a place, such as a full load, are older than any event.
+
+    Changes lie in the generation of the base they follow. A compaction begins a new generation; only the last two are ever
+    listed, so that what another writer adds meanwhile is seen, and listings don't grow with the table's age.
     """
 
     def __init__(self, spark: SparkSession, path: str, schema: T.StructType, key: str = "id",
-                 partition_by: Sequence[str] = ()):
+                 partition_by: Sequence[str] = (), by_event: bool = False):
         self.spark = spark
         self.path = path.rstrip("/")
         self.schema = T.StructType([T.StructField(f.name, f.dataType, True) for f in schema.fields])
         self.key = key
         self.partition_by = list(partition_by)
+        self.by_event = by_event
 
-    def _changes(self) -> list[tuple[int, str, int, str]]:
+    def _generations(self) -> list[int]:
+        """The last two bases, 0 standing for none."""
+        return ([0] + sorted(int(f.rsplit("=", 1)[1]) for f in finished_folders(self.spark, f"{self.path}/base/{ARRIVAL}=*")))[-2:]
+
+    def _changes(self, generations: Sequence[int]) -> list[tuple[int, str, int, str]]:
         """Arrival, feed, batch and folder of every complete batch."""
-        found = finished_folders(self.spark, f"{self.path}/changes/{FEED}=*/{BATCH}=*/{ARRIVAL}=*")
+        own = ",".join(map(str, generations))
+        found = finished_folders(self.spark, f"{self.path}/changes/{BASE}={{{own}}}/{FEED}=*/{BATCH}=*/{ARRIVAL}=*")
         parts = [(f, dict(p.split("=", 1) for p in f.split("/")[-3:])) for f in found]
         return sorted((int(p[ARRIVAL]), p[FEED], int(p[BATCH]), f) for f, p in parts)
 
-    def _bases(self) -> list[int]:
-        return sorted(int(f.rsplit("=", 1)[1]) for f in finished_folders(self.spark, f"{self.path}/base/{ARRIVAL}=*"))
-
     def _held(self, base: int) -> dict[str, int]:
         """The last batch of each feed in a base; a row a feed."""
+        if not base:
+            return {}
         rows = self.spark.read.schema("feed string, batch long").parquet(f"{self.path}/held/{ARRIVAL}={base}").collect()
         return {r["feed"]: r["batch"] for r in rows}
 
-    def _next_arrival(self) -> int:
-        return 1 + max([a for a, *_ in self._changes()] + self._bases(), default=0)
-
     def _write(self, df: DataFrame, folder: str) -> None:
         if self.partition_by:
             # Even files per partition value; adaptive execution splits a value that holds most of the rows.
@@ -162,6 +172,16 @@ class KeyedTable:
          .write.mode("overwrite").parquet(f"{self.path}/held/{ARRIVAL}={arrival}"))
         self._write(rows, f"{self.path}/base/{ARRIVAL}={arrival}")
 
+    def _stored_type(self) -> T.StructType:
+        extra = [T.StructField(PLACE, ORDER_TYPE), T.StructField("op_type", T.StringType())] if self.by_event else []
+        return T.StructType([*self.schema.fields, *extra])
+
+    def feed_batches(self, feed: str) -> list[int]:
+        """The numbers of a feed's batches that can still be told apart, the last one among them."""
+        generations = self._generations()
+        held = self._held(generations[-1])
+        return sorted({b for _, f, b, _ in self._changes(generations) if f == feed} | ({held[feed]} if feed in held else set()))
+
     def apply(self, changes: DataFrame, batch: int, order: Sequence[str] | None = ORDER, feed: str = "main") -> None:
         """Record the changes of a feed's batch. ``order=None`` says that no key changes twice in it.
 
@@ -169,58 +189,123 @@ class KeyedTable:
         """
         if not re.fullmatch(r"[\w.-]+", feed):
             raise ValueError(f"not a name for a feed: {feed!r}")
-        own = {b: a for a, f, b, _ in self._changes() if f == feed}
-        if own and batch < max(own):
-            raise ValueError(f"batch {batch} of feed {feed} after its batch {max(own)}: another checkpoint needs another feed")
+        generations = self._generations()
+        held, known = self._held(generations[-1]), self._changes(generations)
+        own = {b: (a, folder) for a, f, b, folder in known if f == feed}
+        last = max([*own, held.get(feed, -1)])
+        if batch < last:
+            raise ValueError(f"batch {batch} of feed {feed} after its batch {last}: another checkpoint needs another feed")
+        if batch == held.get(feed):
+            return  # the base holds it
         changes = check_operations(changes)
         if order:
             changes = last_change(changes, self.key, order)
-        arrival = own.get(batch) or self._next_arrival()
-        self._write(changes.select(*self.schema.names, "op_type"),
-                    f"{self.path}/changes/{FEED}={feed}/{BATCH}={batch}/{ARRIVAL}={arrival}")
-
-    def upsert(self, rows: DataFrame, feed: str = "upsert") -> None:
-        """Record rows, one per key, as the feed's next batch."""
-        own = [b for _, f, b, _ in self._changes() if f == feed]
-        self.apply(rows.withColumn("op_type", F.lit("update")), max(own, default=-1) + 1, order=None, feed=feed)
-
-    def replace(self, rows: DataFrame) -> None:
-        """Make ``rows`` the whole table; what arrived before is gone, what arrives later counts."""
-        held = {f: b for _, f, b, _ in self._changes()}  # a feed's batches arrive in order
-        self._write_base(rows.select(self.schema.names), self._next_arrival(), held)
-
-    def _pending(self, base: int | None) -> list[tuple[int, str, int, str]]:
-        held = self._held(base) if base is not None else {}
-        return [c for c in self._changes() if c[2] > held.get(c[1], -1)]
+        if self.by_event:
+            changes = changes.withColumn(PLACE, _place(changes))
+        arrival = 1 + max([a for a, *_ in known] + generations)
+        folder = f"{self.path}/changes/{BASE}={generations[-1]}/{FEED}={feed}/{BATCH}={batch}/{ARRIVAL}={arrival}"
+        names = [*self.schema.names, *([PLACE] if self.by_event else []), "op_type"]
+        self._write(changes.select(names), own[batch][1] if batch in own else folder)
+
+    def upsert(self, rows: DataFrame, feed: str = "upsert", order: Sequence[str] = (), unique: bool = False) -> None:
+        """Record rows as the feed's next batch. Of several with one key the last in ``order`` counts, of equals the
+        greatest; ``unique`` says that there are none."""
+        if not unique:
+            rows = last_change(rows, self.key, order)
+        self.apply(rows.withColumn("op_type", F.lit("update")), max(self.feed_batches(feed), default=-1) + 1,
+                   order=None, feed=feed)
+
+    def replace(self, rows: DataFrame, order: Sequence[str] = (), unique: bool = False) -> None:
+        """Make ``rows`` the whole table; what arrived before is gone, what arrives later counts. Keys as in ``upsert``."""
+        generations = self._generations()
+        known = self._changes(generations)
+        held = self._held(generations[-1]) | {f: b for _, f, b, _ in known}  # a feed's batches arrive in order
+        if not unique:
+            rows = last_change(rows, self.key, order)
+        if self.by_event:
+            rows = rows.withColumn(PLACE, _place(rows)).withColumn("op_type", F.lit("update"))
+        self._write_base(rows.select(self._stored_type().names), 1 + max([a for a, *_ in known] + generations), held)
+
+    def _pending(self, generations: Sequence[int]) -> list[tuple[int, str, int, str]]:
+        held = self._held(generations[-1])
+        return [c for c in self._changes(generations) if c[2] > held.get(c[1], -1)]
 
     def pending(self) -> int:
         """How many batches a compaction would fold in."""
-        return len(self._pending(max(self._bases(), default=None)))
+        return len(self._pending(self._generations()))
 
-    def _state(self, base: int | None, pending: Sequence[tuple[int, str, int, str]]) -> DataFrame:
-        rows = (self.spark.createDataFrame([], self.schema) if base is None else self.spark.read.schema(self.schema)
-                .parquet(f"{self.path}/base/{ARRIVAL}={base}").select(self.schema.names))
+    def _read_changes(self, folders: Sequence[str]) -> DataFrame:
+        place = [T.StructField(PLACE, ORDER_TYPE)] if self.by_event else []
+        read = T.StructType([*self.schema.fields, *place, T.StructField("op_type", T.StringType()),
+                             T.StructField(FEED, T.StringType()), T.StructField(ARRIVAL, T.LongType())])
+        rows = self.spark.read.schema(read).option("basePath", f"{self.path}/changes").parquet(*folders)
+        return rows.select(read.names)
+
+    def changes_of(self, feed: str, batch: int) -> DataFrame:
+        """The recorded changes of a feed's batch; none where a base holds them already."""
+        folders = [folder for _, f, b, folder in self._changes(self._generations()) if (f, b) == (feed, batch)]
+        names = [*self.schema.names, "op_type"]
+        if folders:
+            return self._read_changes(folders).select(names)
+        return self.spark.createDataFrame([], self.schema).withColumn("op_type", F.lit(""))
+
+    def _state(self, base: int, pending: Sequence[tuple[int, str, int, str]], parts: DataFrame | None = None) -> DataFrame:
+        """The rows, with ``by_event`` also the marks of deleted ones."""
+        names = self._stored_type().names
+        rows = (self.spark.read.schema(self._stored_type()).parquet(f"{self.path}/base/{ARRIVAL}={base}").select(names)
+                if base else self.spark.createDataFrame([], self._stored_type()))
+        if parts is not None:
+            rows = rows.join(parts, self.partition_by, "left_semi")
         if not pending:
             return rows
-        read = T.StructType([*self.schema.fields, T.StructField("op_type", T.StringType()),
-                             T.StructField(FEED, T.StringType()), T.StructField(ARRIVAL, T.LongType())])
-        changes = (self.spark.read.schema(read).option("basePath", f"{self.path}/changes")
-                   .parquet(*[folder for *_, folder in pending]))
+        changes = self._read_changes([folder for *_, folder in pending])
+        if self.by_event:
+            keys = changes.select(self.key).distinct()
+            older = rows.join(keys, self.key, "left_semi").withColumns({
+                FEED: F.lit(None).cast("string"), ARRIVAL: F.lit(0).cast("long")})
+            latest = last_change(changes.unionByName(older), self.key, [PLACE, ARRIVAL, FEED]).select(names)
+            return rows.join(keys, self.key, "left_anti").select(names).unionByName(latest)
         if len(pending) > 1:
             changes = last_change(changes, self.key, [ARRIVAL, FEED])
-        if base is None:
-            return changes.where(F.col("op_type") != "delete").select(self.schema.names)
-        return merge(rows, changes.select(*self.schema.names, "op_type"), self.key)
-
-    def snapshot(self) -> DataFrame:
-        """The current rows."""
-        base = max(self._bases(), default=None)
-        return self._state(base, self._pending(base))
-
-    def compact(self) -> None:
-        """Fold all recorded changes into a new base. It rewrites the table: use ``merge_into`` where a catalog has it."""
-        base = max(self._bases(), default=None)
-        pending = self._pending(base)
+        if not base:
+            changes = changes.where(F.col("op_type") != "delete").select(self.schema.names)
+            return changes if parts is None else changes.join(parts, self.partition_by, "left_semi")
+        merged = merge(rows, changes.select(*self.schema.names, "op_type"), self.key)
+        return merged if parts is None else merged.join(parts, self.partition_by, "left_semi")
+
+    def snapshot(self, parts: DataFrame | None = None) -> DataFrame:
+        """The current rows. ``parts`` asks only for those whose partition columns are among its own; for a table whose rows
+        never change their partition."""
+        generations = self._generations()
+        rows = self._state(generations[-1], self._pending(generations), parts)
+        return rows.where(F.col("op_type") != "delete").select(self.schema.names) if self.by_event else rows
+
+    def compact(self, forget_before: str | None = None) -> None:
+        """Fold all recorded changes into a new base. It rewrites the table: use ``merge_into`` where a catalog has it.
+
+        With ``by_event`` the marks of keys deleted before the event time ``forget_before`` go; later events must not be
+        older than that.
+        """
+        generations = self._generations()
+        pending = self._pending(generations)
         if pending:
-            held = (self._held(base) if base is not None else {}) | {f: b for _, f, b, _ in pending}
-            self._write_base(self._state(base, pending), self._next_arrival(), held)
+            held = self._held(generations[-1]) | {f: b for _, f, b, _ in pending}
+            rows = self._state(generations[-1], pending)
+            if self.by_event and forget_before is not None:
+                rows = rows.where(~((F.col("op_type") == "delete") & (F.coalesce(F.col(PLACE)["event_time"], F.lit("")) < forget_before)))
+            self._write_base(rows, 1 + max([a for a, *_ in pending] + generations), held)
+
+    def vacuum(self) -> None:
+        """Remove generations before the last two. Frames made from them can't be read any more."""
+        kept = self._generations()
+        bases = [int(f.rsplit("=", 1)[1]) for f in finished_folders(self.spark, f"{self.path}/base/{ARRIVAL}=*")]
+        for base in [0, *bases]:
+            if base < min(kept):
+                for folder in (f"base/{ARRIVAL}={base}", f"held/{ARRIVAL}={base}", f"changes/{BASE}={base}"):
+                    remove_folder(self.spark, f"{self.path}/{folder}")
+
+
+def _place(rows: DataFrame) -> Column:
+    """A row's place in the order of events; columns that are not there count as NULL."""
+    fields = [(F.col(f.name) if f.name in rows.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in ORDER_TYPE]
+    return F.struct(*fields)

@@ -14,11 +14,12 @@ from quayline.sources.tables import load_fact
 
 @dataclass(frozen=True)
 class Job:
-    """``process`` turns the source rows into the rows of the target table."""
+    """``process`` turns the source rows into the rows of the target table; ``unique`` says that their keys differ."""
 
     name: str
     process: Callable[[DataFrame], DataFrame]
     mode: str = "full"
+    unique: bool = False
 
 
 def run_job(job: Job, source: DataFrame, target: Callable[[DataFrame], KeyedTable], as_of: dt.date | str) -> KeyedTable:
@@ -29,7 +30,7 @@ def run_job(job: Job, source: DataFrame, target: Callable[[DataFrame], KeyedTabl
     result = job.process(load_fact(source, job.mode, as_of))
     table = target(result)
     if job.mode == "full":
-        table.replace(result)
+        table.replace(result, unique=job.unique)
     else:
-        table.upsert(result)
+        table.upsert(result, unique=job.unique)
     return table

@@ -71,6 +71,12 @@ def finished_folders(spark: SparkSession, pattern: str) -> list[str]:
     return [f.getPath().getParent().toString() for f in path.getFileSystem(conf).globStatus(path) or []]
 
 
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Remove a folder of the shared file system, if it is there."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(folder, True)
+
+
 def fits_broadcast(df: DataFrame) -> bool:
     """Whether the planner's size estimate is below its own broadcast threshold; yes where no planner can be asked."""
     if not hasattr(df, "_jdf"):

@@ -16,7 +16,8 @@ from quayline.schemas import Table
 class StoredTables:
     """``tables(name)`` gives the current rows of a table that a change feed keeps under ``root``."""
 
-    def __init__(self, spark: SparkSession, root: str, catalogue: Mapping[str, Table]):
+    def __init__(self, spark: SparkSession, root: str, catalogue: Mapping[str, Table], by_event: bool = False):
+        self.by_event = by_event
         self.spark = spark
         self.root = root
         self.catalogue = catalogue
@@ -25,7 +26,8 @@ class StoredTables:
     def __call__(self, name: str) -> DataFrame:
         if name not in self._made:
             table = self.catalogue[name]
-            self._made[name] = KeyedTable(self.spark, f"{self.root}/{name}", table.schema, table.key).snapshot()
+            self._made[name] = KeyedTable(
+                self.spark, f"{self.root}/{name}", table.schema, table.key, by_event=self.by_event).snapshot()
         return self._made[name]
 
 

@@ -23,19 +23,21 @@ TABLES_AT_A_TIME = 8
 REJECTS = "rejects"
 
 
-def keyed_tables(spark: SparkSession, root: str, catalogue: Mapping[str, Table]) -> dict[str, KeyedTable]:
+def keyed_tables(spark: SparkSession, root: str, catalogue: Mapping[str, Table],
+                 by_event: bool = False) -> dict[str, KeyedTable]:
     """The stored tables of a catalogue, each in its folder."""
-    return {name: KeyedTable(spark, f"{root}/{name}", table.schema, table.key) for name, table in catalogue.items()}
+    return {name: KeyedTable(spark, f"{root}/{name}", table.schema, table.key, by_event=by_event)
+            for name, table in catalogue.items()}
 
 
 def apply_batch(messages: DataFrame, batch: int, category: str, root: str, catalogue: Mapping[str, Table],
                 null_numbers_as_zero: bool = False, compact_every: int = 0, tasks: int = 0, feed: str = "main",
-                deletes: bool = True) -> None:
+                deletes: bool = True, by_event: bool = False) -> None:
     """Apply one batch of a feed's raw messages to the tables under ``root``; bad messages go to ``rejects``.
 
     With ``compact_every`` a table is compacted as soon as it has so many batches of its own to fold in. With ``tasks`` the
     messages are first spread over that many tasks, for sources that come in few pieces. Without ``deletes`` a deleted row
-    stays, with its last content.
+    stays, with its last content. With ``by_event`` an event that comes batches too late can't undo a newer one.
     """
     spark = messages.sparkSession
     if tasks:
@@ -47,7 +49,7 @@ def apply_batch(messages: DataFrame, batch: int, category: str, root: str, catal
         # at most one row per table of the catalogue, and one for the bad messages
         present = changes.groupBy(F.when(F.col("problem").isNull(), F.col("table")).alias("table")).count().collect()
         names = [r["table"] for r in present if r["table"] is not None]
-        stored = keyed_tables(spark, root, catalogue)
+        stored = keyed_tables(spark, root, catalogue, by_event)
 
         def write(name: str) -> None:
             rows = typed_rows(changes, catalogue[name], null_numbers_as_zero)

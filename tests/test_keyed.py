@@ -116,7 +116,7 @@ def test_an_unfinished_batch_is_not_read(spark, rows):
     table = keyed.KeyedTable(spark, fresh_path(spark, "t"), spark.createDataFrame([], SCHEMA).schema)
     table.apply(changes(spark, (1, "a", 1, "insert", 1)), 0, order=["seq"])
     table.apply(changes(spark, (1, "half", 1, "update", 1)), 1, order=["seq"])
-    folder = f"{table.path}/changes/_feed=main/_batch=1/_arrival=2"
+    folder = f"{table.path}/changes/_base=0/_feed=main/_batch=1/_arrival=2"
     _move(spark, f"{folder}/_SUCCESS", f"{folder}/_started")
     assert rows(table.snapshot()) == [(1, "a", 1)]
     table.apply(changes(spark, (1, "whole", 1, "update", 1)), 1, order=["seq"])

@@ -75,7 +75,7 @@ def test_a_table_touched_now_and_then_is_compacted(spark):
         feeds.apply_batch(spark.createDataFrame([(x,) for x in lines], "value string"), number, "oracle", root, CATALOGUE,
                           compact_every=2)
     table = feeds.keyed_tables(spark, root, CATALOGUE)["tbl_job"]
-    assert table.pending() == 1 and len(table._bases()) == 1 and table.snapshot().count() == 3
+    assert table.pending() == 1 and table._generations()[-1] > 0 and table.snapshot().count() == 3
 
 
 def test_word_windows_equal_batch(spark, rows, tmp_path):
