@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from quayline.plans import summary
 from quayline.schemas import load_catalogue
-from quayline.checks import change_queries, search_queries
+from quayline.checks import change_queries, search_queries, store_queries
 from quayline.checks.derived import VIEWS, generic_names
 
 
@@ -533,4 +533,4 @@ ORACLES: dict[str, str] = {
                              WHEN event_type = 'signup' OR value > 50 THEN date_trunc('milliseconds', ts)
                              WHEN value > 20 THEN date_trunc('second', ts) END AS moment FROM events)""",
 } | search_queries.ORACLES
-ORACLES |= change_queries.oracles(ORACLES)
+ORACLES |= change_queries.oracles(ORACLES) | store_queries.oracles(ORACLES)

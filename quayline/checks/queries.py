@@ -13,7 +13,7 @@ from quayline.plans import jobs, summary, wide
 from quayline.schemas import CODE_TYPES, load_catalogue
 from quayline.session import fresh_path
 from quayline.sources import delimited, tables as stored
-from quayline.checks import change_queries, search_queries
+from quayline.checks import change_queries, search_queries, store_queries
 from quayline.checks.derived import DerivedTables
 from quayline.checks.messages import mysql_messages, oracle_messages, with_rejects
 from quayline.sources.streams import file_stream, table_stream
@@ -587,4 +587,4 @@ QUERIES: dict[str, Query] = {
     changelog_collapsed, word_count, stream_word_count, stream_word_count_windows, stream_to_memory, rows_to_frame,
     sorted_wide, day_texts, value_rendering, search_hits, search_facets, search_count, row_audit,
     row_audit_total, row_audit_distinct, row_audit_expected, calendar_dim, date_slices, date_arithmetic,
-    time_normalise)} | search_queries.QUERIES | change_queries.QUERIES
+    time_normalise)} | search_queries.QUERIES | change_queries.QUERIES | store_queries.QUERIES

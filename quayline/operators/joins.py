@@ -23,7 +23,7 @@ keys, which match nothing, it spreads the rows over all partitions.
 from __future__ import annotations
 
 import re
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
@@ -121,11 +121,12 @@ def spread_key(key: str, row: str) -> Column:
 
 
 def widen(job: WideJob, tables: Tables, fact: DataFrame | None = None, columns: Sequence[str] | None = None,
-          nested: bool = True) -> DataFrame:
+          nested: bool = True, co_located: Mapping[str, str] | None = None) -> DataFrame:
     """Build the wide table of ``job``.
 
     ``columns`` picks output columns. ``nested=False`` joins every dimension straight to the fact, which is better when
-    the fact is a small slice, one day for instance.
+    the fact is a small slice, one day for instance. ``co_located`` names the column by which a stored table lies in
+    buckets: a join on it takes the dimension as it lies, and does without the means against skew, which need a shuffle.
     """
     output = job.output(columns)
     wants_day = job.day is not None and (columns is None or "day" in columns)
@@ -167,7 +168,7 @@ def widen(job: WideJob, tables: Tables, fact: DataFrame | None = None, columns:
         target, key = _flat(lookup.to), f"{lookup.role}___key"
         right = attach_large(dimension(lookup), lookup.role, key)
         found = F.col(target) == F.col(key)
-        if lookup in large:
+        if lookup in large and (co_located or {}).get(lookup.table) != lookup.key:
             found = found & (spread_key(target, row) == constant_key(key))
         return left.join(right, found, "left").drop(key)
 

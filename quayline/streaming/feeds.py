@@ -18,6 +18,7 @@ from quayline.operators.cdc import check_tables, has_text, parse, typed_rows, wh
 from quayline.operators.keyed import BATCH, FEED, KeyedTable
 from quayline.schemas import Table
 from quayline.session import finished_folders, stream_id
+from quayline.streaming.supervision import observed
 
 TABLES_AT_A_TIME = 8
 REJECTS = "rejects"
@@ -39,12 +40,19 @@ def apply_batch(messages: DataFrame, batch: int, category: str, root: str, catal
     messages are first spread over that many tasks, for sources that come in few pieces. Without ``deletes`` a deleted row
     stays, with its last content. With ``by_event`` an event that comes batches too late can't undo a newer one.
     """
-    spark = messages.sparkSession
     if tasks:
         messages = messages.repartition(tasks)
+    apply_changes(check_tables(parse(messages, category), catalogue), batch, root, catalogue, null_numbers_as_zero,
+                  compact_every, feed, deletes, by_event)
+
+
+def apply_changes(changes: DataFrame, batch: int, root: str, catalogue: Mapping[str, Table],
+                  null_numbers_as_zero: bool = False, compact_every: int = 0, feed: str = "main", deletes: bool = True,
+                  by_event: bool = False) -> None:
+    """``apply_batch`` for messages that are parsed and checked."""
+    spark = changes.sparkSession
     # sorted, so that the rows of a table lie together in the cache and the other blocks are skipped
-    changes = (check_tables(parse(messages, category), catalogue).sortWithinPartitions("table")
-               .persist(StorageLevel.MEMORY_AND_DISK))
+    changes = changes.sortWithinPartitions("table").persist(StorageLevel.MEMORY_AND_DISK)
     try:
         # at most one row per table of the catalogue, and one for the bad messages
         present = changes.groupBy(F.when(F.col("problem").isNull(), F.col("table")).alias("table")).count().collect()
@@ -77,12 +85,19 @@ def rejects(spark: SparkSession, root: str) -> DataFrame:
 
 
 def start_change_feed(messages: DataFrame, category: str, root: str, checkpoint: str, catalogue: Mapping[str, Table],
-                      available_now: bool = False, **options) -> StreamingQuery:
-    """Keep the tables under ``root`` up to date from a stream of raw messages; the checkpoint names the feed."""
+                      available_now: bool = False, tasks: int = 0, name: str | None = None, **options) -> StreamingQuery:
+    """Keep the tables under ``root`` up to date from a stream of raw messages; the checkpoint names the feed.
+
+    Every batch counts its rows and rejects as it is read (``supervision.FeedMetrics``).
+    """
+    if tasks:
+        messages = messages.repartition(tasks)
+    changes = observed(check_tables(parse(messages, category), catalogue))
+
     def on_batch(batch: DataFrame, number: int) -> None:
-        apply_batch(batch, number, category, root, catalogue, feed=stream_id(batch) or "main", **options)
+        apply_changes(batch, number, root, catalogue, feed=stream_id(batch) or "main", **options)
 
-    return _start(messages, on_batch, f"changes-{category}", checkpoint, available_now)
+    return _start(changes, on_batch, name or f"changes-{category}", checkpoint, available_now)
 
 
 def start_document_feed(messages: DataFrame, tables: Mapping[str, Table], root: str, checkpoint: str,
