@@ -403,8 +403,9 @@ ORACLES: dict[str, str] = {
               FROM orders) WHERE back = 1""",
     "cdc_pass_through": "SELECT props AS value, event_id FROM events",
     "cdc_unknown_operations": """
-        SELECT CASE event_type WHEN 'error' THEN 'truncate' END AS op_type, count(*) AS rows
-        FROM events WHERE event_type IN ('error', 'signup') GROUP BY 1""",
+        SELECT CASE WHEN event_type = 'error' THEN 'truncate' WHEN event_type <> 'signup' THEN 'insert' END AS op_type,
+               count(*) AS rows, bool_or(event_type IN ('error', 'signup')) AS refused
+        FROM events GROUP BY 1""",
     "cdc_mysql_first_row": f"SELECT tbl AS \"table\", op AS op_type, count(*) AS changes FROM ({_MYSQL_CHANGES}) "
                            "WHERE tbl <> 'tbl_customer' OR i = 0 GROUP BY ALL",
     "cdc_route_counts": f"""
@@ -471,13 +472,16 @@ ORACLES: dict[str, str] = {
         SELECT window_start, word, count(*) AS count FROM (
             SELECT date_trunc('day', ts) AS window_start,
                    unnest(regexp_split_to_array(trim(event_type || ' ' || props), '[ \t\n\x0B\f\r]+')) AS word
-            FROM events WHERE event_type || ' ' || props IS NOT NULL)
+            FROM events WHERE event_type || ' ' || props IS NOT NULL AND (
+                event_id % 10 <> 0 OR date_trunc('day', ts) + INTERVAL 1 DAY > (
+                    SELECT max(ts) - INTERVAL 1 HOUR FROM events WHERE event_id % 10 <> 0)))
         GROUP BY ALL""",
-    "stream_to_memory": "SELECT event_id, event_type FROM events WHERE event_type = 'error'",
+    "stream_to_memory": "SELECT event_id, event_type, value FROM events",
     "rows_to_frame": "SELECT r_name AS name, count(*) AS nations FROM nation JOIN region ON n_regionkey = r_regionkey GROUP BY 1",
     "sorted_wide": f"""
         WITH {_BILL}
-        SELECT id, cdt, row_number() OVER (PARTITION BY substring(cdt, 1, 10) ORDER BY cdt NULLS FIRST, id) AS n FROM wide""",
+        SELECT cdt, count(*) AS rows, row_number() OVER (ORDER BY cdt NULLS FIRST) AS first_place,
+               row_number() OVER (ORDER BY cdt NULLS FIRST) AS last_place FROM wide GROUP BY cdt""",
     "day_texts": """
         SELECT CASE strftime(o_orderdate, '%Y%m%d') WHEN '19980616' THEN '1998-06-16' WHEN '19980615' THEN '1998-06-15'
                ELSE 'other' END AS day, count(*) AS orders FROM orders GROUP BY 1""",
