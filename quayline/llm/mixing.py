@@ -84,7 +84,7 @@ def _rate(steps: list[list[float]], least: float = 0.0) -> Column:
 
 
 def whole_step(members: DataFrame, share: list[float]) -> list[float] | None:
-    """The one step to the rates that meet the shares exactly with as few tokens as rates of 1 at least allow.
+    """A step to rates that meet the shares with as few tokens as linear rates of 1 at least allow; it tells how many.
 
     Rates that are linear in the memberships meet a target if the memberships' second moments, weighted by tokens, map the
     factors of the domains to it. None where that asks for a factor that is not positive.
@@ -103,7 +103,8 @@ def solve(members: DataFrame, weights: list[float], total: float | None = None,
     """The steps that lead to the rates, the targets and the domains' tokens at the end.
 
     Without ``total`` the targets are the most tokens for which no domain has to be repeated or, with ``keep_all``, the
-    fewest for which no document has to be left out. ``keep_all`` holds every rate at 1 or more.
+    fewest for which no document has to be left out. ``keep_all`` projects every rate to 1 or more, else to 0 or more.
+    The descent begins at rates of 1 and ends when the domains miss their targets by ``TOLERANCE`` of the total together.
     """
     sums = lambda rate: [x or 0.0 for x in members.agg(*[
         F.sum(F.col("tokens") * rate * F.col(f"p{i}")) for i in range(len(weights))]).first()]
@@ -114,8 +115,7 @@ def solve(members: DataFrame, weights: list[float], total: float | None = None,
     share = [w / sum(share) for w in share]
     least = 1.0 if keep_all else 0.0
     if keep_all and total is None and all(share) and (step := whole_step(members, share)):
-        now = sums(_rate([step], least))
-        return [step], [w * sum(now) for w in share], now
+        total = sum(sums(_rate([step], least)))
     if total is None:
         total = (max if keep_all else min)(m / w for w, m in zip(share, mass) if w)
     target, now, taken = [w * total for w in share], mass, []

@@ -101,3 +101,23 @@ def test_a_domain_of_one_in_a_thousand_costs_no_documents(spark):
     assert np.allclose(used / used.sum(), [0.4, 0.4, 0.2], rtol=1e-4)
     untaught = mixing.mixing_rates(docs, docs.limit(0), {"x": 1, "y": 3}, total=6.0, keep_all=True).toPandas()
     assert (untaught["copies"] >= 1).all() and len(mixing.mixing_rates(docs.limit(0), docs, {"x": 1}, keep_all=True).collect()) == 0
+
+
+def test_the_query_follows_the_projected_gradient(spark, folder):
+    """The rates of op3 are those of the same descent in NumPy, from rates of 1, projected to 1 at least."""
+    folder = folder.replace("0.001", "0.01")
+    docs, labels = (spark.read.parquet(f"{folder}/{t}.parquet") for t in ("documents", "labels"))
+    found = mixing.op3_soft_membership_mixing(spark, folder).toPandas()
+    labelled, domains = mixing.language_labels(docs, labels), sorted(mixing.TARGETS)
+    prior = mixing.labelled_rows(labelled, domains, "domain")
+    assert list(prior) == domains
+    members = mixing.memberships(docs, labelled, prior, "domain", "doc_id", "text")
+    steps, target, now = mixing.solve(members, [mixing.TARGETS[d] for d in domains], keep_all=True)
+    assert 1 <= len(steps) < mixing.STEPS
+    assert sum(abs(a - b) for a, b in zip(now, target)) <= mixing.TOLERANCE * sum(target)
+    rows = members.toPandas().set_index("_key").loc[found["doc_id"]]
+    p, tokens = rows[[f"p{i}" for i in range(len(domains))]].to_numpy(), rows["tokens"].to_numpy(float)
+    mass, rate = tokens @ p, np.ones(len(p))
+    for _ in steps:
+        rate = np.maximum(1, rate - p @ (((tokens * rate) @ p - target) / mass))
+    assert np.allclose(found["rate"], rate, atol=2e-6) and rate.max() > 1.5
