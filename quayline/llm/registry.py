@@ -22,5 +22,6 @@ QUERIES = {
 ORACLES = {
     "op2_tree_merge_dedup": exact.OP2_SQL,
     "op7_hash_prefix_urls": urls.OP7_SQL,
+    "op9_signature_tree_join": shingles.OP9_SQL,
     "op13_prefix_free_collocations": collocations.OP13_SQL,
 }

@@ -449,3 +449,28 @@ def one_of_each_group(docs: DataFrame, key: str = "doc_id", text: str = "text")
 def op9_signature_tree_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The group of every document."""
     return similar_groups(table(spark, sf_dir, "documents")).drop("row")
+
+
+OP9_SQL = r"""
+WITH RECURSIVE words AS (
+    SELECT doc_id, list_filter(regexp_split_to_array(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'),
+        lambda w: w <> '') AS w
+    FROM documents),
+shingles AS (
+    SELECT DISTINCT doc_id, hash(shingle) AS short, shingle FROM (
+        SELECT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+            ELSE list_transform(generate_series(1, len(w) - 4), lambda i: array_to_string(w[i:i + 4], ' ')) END) AS shingle
+        FROM words)),
+sizes AS (SELECT doc_id, count(*) AS size FROM shingles GROUP BY doc_id),
+common AS (
+    SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS n FROM shingles a JOIN shingles b
+    ON a.short = b.short AND a.shingle = b.shingle AND a.doc_id < b.doc_id GROUP BY ALL),
+links AS (
+    SELECT x, y FROM common JOIN sizes a ON a.doc_id = x JOIN sizes b ON b.doc_id = y
+    WHERE 100 * n >= 75 * (a.size + b.size - n)),
+pairs AS (SELECT x, y FROM links UNION SELECT y, x FROM links),
+reached AS (SELECT x, y FROM pairs UNION SELECT r.x, b.y FROM reached r JOIN pairs b ON r.y = b.x)
+SELECT d.doc_id, coalesce(any_value(s.size), 0) AS n_shingles, least(d.doc_id, min(r.y)) AS component_id
+FROM documents d LEFT JOIN sizes s USING (doc_id) LEFT JOIN reached r ON r.x = d.doc_id GROUP BY d.doc_id
+"""
