@@ -255,7 +255,7 @@ class KeyedTable:
         rows = (self.spark.read.schema(self._stored_type()).parquet(f"{self.path}/base/{ARRIVAL}={base}").select(names)
                 if base else self.spark.createDataFrame([], self._stored_type()))
         if parts is not None:
-            rows = rows.join(parts, self.partition_by, "left_semi")
+            rows = rows.join(parts, parts.columns, "left_semi")
         if not pending:
             return rows
         changes = self._read_changes([folder for *_, folder in pending])
@@ -269,13 +269,13 @@ class KeyedTable:
             changes = last_change(changes, self.key, [ARRIVAL, FEED])
         if not base:
             changes = changes.where(F.col("op_type") != "delete").select(self.schema.names)
-            return changes if parts is None else changes.join(parts, self.partition_by, "left_semi")
+            return changes if parts is None else changes.join(parts, parts.columns, "left_semi")
         merged = merge(rows, changes.select(*self.schema.names, "op_type"), self.key)
-        return merged if parts is None else merged.join(parts, self.partition_by, "left_semi")
+        return merged if parts is None else merged.join(parts, parts.columns, "left_semi")
 
     def snapshot(self, parts: DataFrame | None = None) -> DataFrame:
-        """The current rows. ``parts`` asks only for those whose partition columns are among its own; for a table whose rows
-        never change their partition."""
+        """The current rows. ``parts`` asks only for those that have its values in its columns, which the key must decide: a row
+        that changed them would not be seen. Where they partition the table, only their folders of the base are read."""
         generations = self._generations()
         rows = self._state(generations[-1], self._pending(generations), parts)
         return rows.where(F.col("op_type") != "delete").select(self.schema.names) if self.by_event else rows

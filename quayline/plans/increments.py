@@ -158,12 +158,16 @@ def kpis_of_counts(job: SummaryJob, counts: DataFrame) -> DataFrame:
 
 
 class KpiState:
-    """The group sizes and the KPI rows of a job, stored under a folder and changed by differences."""
+    """The group sizes and the KPI rows of a job, stored under a folder and changed by differences.
 
-    def __init__(self, job: SummaryJob, source: DataFrame, path: str):
+    ``by_day`` stores the sizes in a folder per day, which pays where a day has many groups.
+    """
+
+    def __init__(self, job: SummaryJob, source: DataFrame, path: str, by_day: bool = False):
         spark, self.job = source.sparkSession, job
         empty = group_counts(job, source)
-        self.counts = KeyedTable(spark, f"{path}/counts", self._keyed(empty).schema, partition_by=["day"])
+        self.counts = KeyedTable(spark, f"{path}/counts", self._keyed(empty).schema,
+                                  partition_by=["day"] if by_day else [])
         self.kpis = KeyedTable(spark, f"{path}/kpis", kpis_of_counts(job, empty).schema)
 
     @staticmethod

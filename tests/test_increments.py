@@ -77,10 +77,11 @@ def wide_rows(spark, *rows):
     return spark.createDataFrame(rows, "id long, day string, type int, dot_id long, order_channel_id long, order_terminal_type string")
 
 
-def test_kpi_state_by_hand(spark, rows):
+@pytest.mark.parametrize("by_day", [False, True])
+def test_kpi_state_by_hand(spark, rows, by_day):
     job = summary.EXPRESS_BILL
     first = wide_rows(spark, (1, "a", 1, None, 1, "x"), (2, "a", 1, 5, 1, None), (3, "a", 2, 5, 1, "x"), (4, "b", 1, 1, 1, "x"), (5, None, 1, 1, 1, "x"))
-    state = increments.KpiState(job, first, fresh_path(spark, "kpi"))
+    state = increments.KpiState(job, first, fresh_path(spark, "kpi"), by_day)
     state.load(first)
     assert rows(state.kpis.snapshot()) == rows(summary.summarise(job, first))
     # a row moves to a new day, one goes with its day, one gets a value instead of NULL
