@@ -6,6 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
+from quayline.session import fresh_path
+
 # How Spark types are called in the changelog store.
 STORE_TYPES = {
     "tinyint": "Int8",
@@ -58,9 +60,7 @@ def to_changelog(changes: DataFrame, version: Column | str, op: str = "op_type",
                                 allowMissingColumns=True)
     else:
         rows = rows.withColumn("_old", F.lit(None).cast("boolean"))
-    back = Window.partitionBy(*key).orderBy("version", "_deletes")
-    row = F.struct(*kept, "version", "_deletes")
-    each = rows.select("*", F.lag(row).over(back).alias("_ends"))
+    each = with_row_before(rows, key, ["version", "_deletes"], [*kept, "version", "_deletes"], "_ends")
     ends = each.where(~F.col("_ends._deletes")).select(
         *[F.col(f"_ends.{c}").alias(c) for c in kept], F.lit(-1).cast("tinyint").alias("sign"), "_ends.version")
     begins = each.where(~F.col("_deletes") & F.col("_old").isNull()).select(
@@ -68,6 +68,27 @@ def to_changelog(changes: DataFrame, version: Column | str, op: str = "op_type",
     return begins.unionByName(ends)
 
 
+def with_row_before(rows: DataFrame, key: Sequence[str], order: Sequence[str], columns: Sequence[str], name: str,
+                    blocks: int = 0) -> DataFrame:
+    """``rows`` with the ``columns`` of the row before, of the same key in ``order``, as the struct ``name``.
+
+    A key may have any number of rows: they are dealt into even blocks by key and order, and every block is looked at by
+    itself, with the last row of the key's block before it in front. Adaptive execution decides how many, or ``blocks``.
+    """
+    path = fresh_path(rows.sparkSession, "blocks")  # stored, as another sample would deal them differently
+    dealt = rows.repartitionByRange(*([blocks] if blocks else []), *key, *order)
+    dealt.withColumn("_block", F.spark_partition_id()).write.parquet(path)
+    schema = T.StructType([*rows.schema.fields, T.StructField("_block", T.IntegerType())])
+    dealt = rows.sparkSession.read.schema(schema).parquet(path)
+    last = dealt.groupBy(*key, "_block").agg(F.max_by(F.struct(*columns), F.struct(*order)).alias("_row"))
+    following = F.lead("_block").over(Window.partitionBy(*key).orderBy("_block"))  # a row per block
+    carried = last.withColumn("_block", following).where(F.col("_block").isNotNull()).select(
+        "_block", *key, *[F.col(f"_row.{c}").alias(c) for c in columns if c not in key], F.lit(True).alias("_carried"))
+    whole = dealt.withColumn("_carried", F.lit(False)).unionByName(carried, allowMissingColumns=True)
+    back = Window.partitionBy(*key, "_block").orderBy(F.col("_carried").desc(), *order)
+    return whole.withColumn(name, F.lag(F.struct(*columns)).over(back)).where(~F.col("_carried")).drop("_carried", "_block")
+
+
 def final_rows(changelog: DataFrame, key: Sequence[str], keep_version: bool = False) -> DataFrame:
     """Current state: per key the row of the highest version, unless that one deletes."""
     rest = [c for c in changelog.columns if c not in (*key, "sign", "version")]

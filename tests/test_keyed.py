@@ -2,6 +2,7 @@ import re
 
 import pytest
 from pyspark.errors import PySparkException
+from pyspark.sql import Window, functions as F
 
 from quayline.operators import changelog, keyed
 from quayline.plans.jobs import Job, run_job
@@ -218,3 +219,17 @@ def test_a_day_of_a_stored_table_reads_one_day(spark, rows):
     filters = re.search(r"PartitionFilters: \[(.*?)\], PushedFilters", plan)
     assert filters and "= d3" in filters[1]
     assert day.count() == 10
+
+
+def test_the_row_before_of_a_hot_key(spark, rows):
+    """A key with most of the rows is looked at in blocks, and every row still has the one before it."""
+    data = [(None if i % 50 == 0 else 1 if i % 3 else i % 7, i * 37 % 1009, f"v{i}") for i in range(900)]
+    df = spark.createDataFrame(data, "id long, seq long, name string")
+    df = df.unionByName(spark.createDataFrame([(1, -1, None)], df.schema))
+    found = changelog.with_row_before(df, ["id"], ["seq"], ["seq", "name"], "back", blocks=8)
+    expected = df.withColumn("back", F.lag(F.struct("seq", "name")).over(Window.partitionBy("id").orderBy("seq")))
+    assert found.columns == expected.columns and rows(found) == rows(expected)
+    blocks = spark.read.parquet(found.inputFiles()[0].rsplit("/", 1)[0]).groupBy("id", "_block").count()
+    assert blocks.where("id = 1").count() > 3 and blocks.agg({"count": "max"}).first()[0] < 400
+    assert rows(changelog.with_row_before(df, ["id"], ["seq"], ["seq", "name"], "back")) == rows(expected)
+    assert changelog.with_row_before(df.limit(0), ["id"], ["seq"], ["seq"], "back").collect() == []
