@@ -537,4 +537,5 @@ ORACLES: dict[str, str] = {
                              WHEN event_type = 'signup' OR value > 50 THEN date_trunc('milliseconds', ts)
                              WHEN value > 20 THEN date_trunc('second', ts) END AS moment FROM events)""",
 } | search_queries.ORACLES
+ORACLES["changelog_stored"] = ORACLES["changelog_final"]
 ORACLES |= change_queries.oracles(ORACLES) | store_queries.oracles(ORACLES)

@@ -412,6 +412,16 @@ def changelog_final(spark: SparkSession, folder: str) -> DataFrame:
     return changelog.final_rows(log, ["id"])
 
 
+def changelog_stored(spark: SparkSession, folder: str) -> DataFrame:
+    """The log in a catalog table that is made from its schema, in buckets by key, and filled in two batches; its final state."""
+    log = changelog.to_changelog(_account_changes(spark, folder).drop("at"), "seq")
+    name = f"quay_{uuid.uuid4().hex}_log"
+    for part in ("seq < 3000", "seq >= 3000"):
+        table = keyed.create_table(spark, name, log.schema, ["id"], path=fresh_path(spark, "log"))  # the second time it is there
+        log.where(part).select(table.columns).write.insertInto(name)
+    return changelog.final_rows(spark.table(name).drop("seq"), ["id"])
+
+
 def changelog_collapsed(spark: SparkSession, folder: str) -> DataFrame:
     """The same changes as a log with cancel rows, made in two steps, and collapsed."""
     changes = _account_changes(spark, folder).drop("at")
@@ -602,7 +612,7 @@ QUERIES: dict[str, Query] = {
     keyed_delete,
     keyed_delete_report, keyed_update_columns, update_by_query, keyed_table, keyed_load_and_feed, job_full_and_increment,
     kpi_of_a_day, changelog_final,
-    changelog_collapsed, word_count, stream_word_count, stream_word_count_windows, stream_to_memory, rows_to_frame,
+    changelog_stored, changelog_collapsed, word_count, stream_word_count, stream_word_count_windows, stream_to_memory, rows_to_frame,
     sorted_wide, day_texts, value_rendering, search_hits, search_facets, search_count, row_audit,
     row_audit_total, row_audit_distinct, row_audit_expected, calendar_dim, date_slices, date_arithmetic,
     time_normalise)} | search_queries.QUERIES | change_queries.QUERIES | store_queries.QUERIES

@@ -99,20 +99,20 @@ def merge_into(changes: DataFrame, table: str, key: str = "id", op: str = "op_ty
 
 
 def create_table_ddl(name: str, schema: T.StructType, keys: Sequence[str] = ("id",), buckets: int = 3,
-                     provider: str = "parquet") -> str:
-    """DDL of a catalog table for a schema: keys first and NOT NULL, hashed on the keys into buckets."""
+                     provider: str = "parquet", path: str | None = None) -> str:
+    """DDL of a catalog table for a schema: keys first and NOT NULL, hashed on the keys into buckets; ``path`` says where."""
     ordered = sorted(schema.fields, key=lambda f: list(keys).index(f.name) if f.name in keys else len(keys))
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}{' NOT NULL' if f.name in keys else ''}"
                         for f in ordered)
     by = ", ".join(f"`{k}`" for k in keys)
     return (f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING {provider} "
-            f"CLUSTERED BY ({by}) INTO {buckets} BUCKETS")
+            f"CLUSTERED BY ({by}) INTO {buckets} BUCKETS" + (f" LOCATION '{path}'" if path else ""))
 
 
 def create_table(spark: SparkSession, name: str, schema: T.StructType, keys: Sequence[str] = ("id",), buckets: int = 3,
-                 provider: str = "parquet") -> DataFrame:
+                 provider: str = "parquet", path: str | None = None) -> DataFrame:
     """The catalog table of that name, made first if it is not there."""
-    spark.sql(create_table_ddl(name, schema, keys, buckets, provider))
+    spark.sql(create_table_ddl(name, schema, keys, buckets, provider, path))
     return spark.table(name)
 
 
