@@ -17,7 +17,7 @@ from pyspark.sql.streaming import StreamingQuery
 from quayline.operators.cdc import check_tables, has_text, parse, typed_rows, where_json_path
 from quayline.operators.keyed import BATCH, FEED, KeyedTable
 from quayline.schemas import Table
-from quayline.session import finished_folders, stream_id
+from quayline.session import finished_folders, fresh_path, stream_id
 from quayline.streaming.supervision import observed
 
 TABLES_AT_A_TIME = 8
@@ -123,7 +123,12 @@ def start_keyed_sink(rows: DataFrame, table: KeyedTable, name: str, checkpoint:
 
 def start_console(rows: DataFrame, name: str, lines: int = 20, kind: str = "console", checkpoint: str | None = None,
                   available_now: bool = False) -> StreamingQuery:
-    """Print the rows of every batch; ``kind="memory"`` keeps them as a table of that name instead."""
+    """Print the rows of every batch; ``kind="memory"`` keeps them all as a temporary view of that name instead.
+
+    What is kept lies in the shared folder, a folder per batch, which a repeated batch replaces: the driver holds no rows.
+    """
+    if kind == "memory":
+        return _start_kept(rows, name, checkpoint, available_now)
     writer = (rows.writeStream.queryName(name).outputMode("append").format(kind)
               .option("numRows", lines).option("truncate", "false"))
     if checkpoint:
@@ -131,6 +136,24 @@ def start_console(rows: DataFrame, name: str, lines: int = 20, kind: str = "cons
     return (writer.trigger(availableNow=True) if available_now else writer).start()
 
 
+def _start_kept(rows: DataFrame, name: str, checkpoint: str | None, available_now: bool) -> StreamingQuery:
+    spark, schema = rows.sparkSession, rows.schema
+    checkpoint = checkpoint or fresh_path(spark, "checkpoint")
+    path = f"{checkpoint}/kept"  # with the checkpoint, so that a query that goes on from it still has them
+
+    def show() -> None:
+        folders = finished_folders(spark, f"{path}/{BATCH}=*")
+        kept = spark.read.schema(schema).parquet(*folders) if folders else spark.createDataFrame([], schema)
+        kept.createOrReplaceTempView(name)
+
+    def on_batch(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(f"{path}/{BATCH}={number}")
+        show()
+
+    show()
+    return _start(rows, on_batch, name, checkpoint, available_now)
+
+
 def _start(rows: DataFrame, on_batch: Callable[[DataFrame, int], None], name: str, checkpoint: str,
            available_now: bool, output_mode: str = "append") -> StreamingQuery:
     writer = (rows.writeStream.queryName(name).outputMode(output_mode)

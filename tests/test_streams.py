@@ -158,3 +158,20 @@ def test_a_failing_batch_fails_the_query(spark, tmp_path):
                                    output_mode="append")
     with pytest.raises(Exception, match="unknown operation"):
         query.awaitTermination()
+
+
+def test_what_a_stream_prints_is_kept_outside_the_driver(spark, rows, tmp_path):
+    inbox, state, name = str(tmp_path / "in"), fresh_path(spark, "state"), "quay_kept"
+
+    def run():
+        feeds.start_console(streams.file_stream(spark, inbox, max_files=1), name, kind="memory", checkpoint=state,
+                            available_now=True).awaitTermination()
+
+    put(inbox, "1", ["a", "b"])
+    put(inbox, "2", ["a"])
+    run()
+    assert rows(spark.table(name)) == [("a",), ("a",), ("b",)]
+    assert spark.table(name).inputFiles()  # files, not rows that the driver holds
+    put(inbox, "3", ["c"])
+    run()
+    assert rows(spark.table(name)) == [("a",), ("a",), ("b",), ("c",)]
