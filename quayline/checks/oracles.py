@@ -479,9 +479,13 @@ ORACLES: dict[str, str] = {
     "stream_to_memory": "SELECT event_id, event_type, value FROM events",
     "rows_to_frame": "SELECT r_name AS name, count(*) AS nations FROM nation JOIN region ON n_regionkey = r_regionkey GROUP BY 1",
     "sorted_wide": f"""
-        WITH {_BILL}
-        SELECT cdt, count(*) AS rows, row_number() OVER (ORDER BY cdt NULLS FIRST) AS first_place,
-               row_number() OVER (ORDER BY cdt NULLS FIRST) AS last_place FROM wide GROUP BY cdt""",
+        WITH {_BILL},
+        times AS (
+            SELECT cdt AS time, count(*) AS rows, row_number() OVER (ORDER BY cdt NULLS FIRST) AS first_place,
+                   row_number() OVER (ORDER BY cdt NULLS FIRST) AS last_place FROM wide GROUP BY cdt)
+        SELECT wide.*, rows, first_place, last_place,
+               row_number() OVER (PARTITION BY substring(cdt, 1, 10) ORDER BY cdt NULLS FIRST, id) AS n
+        FROM wide JOIN times ON cdt IS NOT DISTINCT FROM time""",
     "day_texts": """
         SELECT CASE strftime(o_orderdate, '%Y%m%d') WHEN '19980616' THEN '1998-06-16' WHEN '19980615' THEN '1998-06-15'
                ELSE 'other' END AS day, count(*) AS orders FROM orders GROUP BY 1""",

@@ -462,7 +462,7 @@ def stream_word_count_windows(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def stream_to_memory(spark: SparkSession, folder: str) -> DataFrame:
-    """What a stream prints: the rows of every batch, kept by the sink that has the console's interface."""
+    """What a stream prints: the rows of every batch, kept as a view by the console's function."""
     name = f"quay_{uuid.uuid4().hex}"
     rows = table_stream(spark, f"{folder}/events.parquet").select("event_id", "event_type", "value")
     feeds.start_console(rows, name, kind="memory", checkpoint=fresh_path(spark, "checkpoint"), available_now=True).awaitTermination()
@@ -478,13 +478,18 @@ def rows_to_frame(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def sorted_wide(spark: SparkSession, folder: str) -> DataFrame:
-    """The wide table in the order of its time: for every time its rows and the place of its first and its last one among
-    those of all times, by the numbers that the rows have where they lie."""
-    rows = wide.wide_table(wide.EXPRESS_BILL, DerivedTables(spark, folder), ordered=True)
-    times = rows.withColumn("_at", F.monotonically_increasing_id()).groupBy("cdt").agg(
+    """The whole wide table in the order of its time. Every row with the number of rows of its time, the place of that time's
+    first and last row among those of all times, by the numbers that the rows have where they lie, and its own number in the
+    day: in that order, then by id."""
+    rows = stored_rows(wide.wide_table(wide.EXPRESS_BILL, DerivedTables(spark, folder), ordered=True)
+                       .withColumn("_at", F.monotonically_increasing_id()), "sorted")
+    times = rows.groupBy(F.col("cdt").alias("_cdt")).agg(
         F.count(F.lit(1)).alias("rows"), F.min("_at").alias("_first"), F.max("_at").alias("_last"))
     place = lambda c: F.row_number().over(Window.orderBy(c))  # noqa: E731  # a row per time, some thousands
-    return times.select("cdt", "rows", place("_first").alias("first_place"), place("_last").alias("last_place"))
+    times = times.select("_cdt", "rows", place("_first").alias("first_place"), place("_last").alias("last_place"))
+    number = F.row_number().over(Window.partitionBy(F.substring("cdt", 1, 10)).orderBy("first_place", "id"))
+    return (rows.join(F.broadcast(times), F.col("cdt").eqNullSafe(F.col("_cdt"))).drop("_cdt", "_at")
+            .withColumn("n", number))
 
 
 def day_texts(spark: SparkSession, folder: str) -> DataFrame:

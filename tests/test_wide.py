@@ -169,3 +169,11 @@ def test_null_keys_are_spread(spark, small_skew):
     found = widen(job, {"ships": ships, "owners": owners}.__getitem__)
     assert found.count() == 300_000 and found.where("owner IS NULL").count() == 100_000
     assert "skew=true" not in _final_plan(found)
+
+
+def test_the_sorted_wide_table_keeps_every_row_and_column(spark, folder):
+    from quayline.checks.queries import QUERIES
+    found, whole = QUERIES["sorted_wide"](spark, folder), QUERIES["wide_express_bill"](spark, folder)
+    assert found.columns == [*whole.columns, "rows", "first_place", "last_place", "n"]
+    assert found.count() == whole.count() == spark.read.parquet(f"{folder}/orders.parquet").count()
+    assert found.where("first_place <> last_place").count() == 0
