@@ -37,13 +37,15 @@ def _among(df: DataFrame, column: Column, keys: DataFrame) -> DataFrame:
 
 
 def _keys(df: DataFrame, column: str) -> DataFrame:
-    # as text, as codes are numbers in some tables and texts in others; '02' and '2' are one code
-    value = F.coalesce(F.col(column).try_cast("bigint").cast("string"), F.col(column).cast("string"))
-    return df.select(value.alias("_wanted")).where(F.col("_wanted").isNotNull())
+    return df.select(_normal(column).alias("_wanted")).where(F.col("_wanted").isNotNull())
 
 
 def _normal(column: str) -> Column:
-    return F.coalesce(F.col(column).try_cast("bigint").cast("string"), F.col(column).cast("string"))
+    # as text, as codes are numbers in some tables and texts in others; '02' and '2' are one code
+    text = F.col(column).cast("string")
+    # a cast that fails costs an exception, many times what a row costs else; a text with letters is no number
+    number = F.when(~text.rlike("[A-Za-z]"), F.col(column).try_cast("bigint"))
+    return F.coalesce(number.cast("string"), text)
 
 
 def reached(job: WideJob, tables: Tables, changed: Mapping[str, DataFrame]) -> DataFrame:

@@ -172,3 +172,15 @@ def test_listings_do_not_grow_with_the_table(spark, rows, monkeypatch):
         table.apply(spark.createDataFrame([(1, "x", "update")], SMALL), 3, order=None)
     table.apply(spark.createDataFrame([(1, "other", "update")], SMALL), 23, order=None)  # a repeat of what the base holds
     assert (1, "other") not in rows(table.snapshot())
+
+
+def test_keys_as_text_without_casts_that_fail_on_words(spark):
+    from pyspark.sql import functions as F
+    from quayline.plans.increments import _normal
+    texts = [None, "", "EB17", "2", "02", " 2 ", "+2", "-2", "1.5", "1e3", "1L", "é", "99999999999999999999", "0x1f", "2\t", "\u0000" + "3"]
+    found = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    old = F.coalesce(F.col("t").try_cast("bigint").cast("string"), F.col("t"))
+    assert found.where(~_normal("t").eqNullSafe(old)).collect() == []
+    assert spark.range(3).where(_normal("id") != F.col("id").cast("string")).collect() == []
+    plan = found.select(_normal("t"))._jdf.queryExecution().optimizedPlan().toString()
+    assert "[A-Za-z]" in plan  # words don't reach the cast, which would raise for each of them
