@@ -13,6 +13,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from quayline.operators.search import words_of
@@ -21,6 +24,7 @@ BLOCK = 1 << 14  # document numbers in a block, and so the longest list in a row
 PARTS = 64
 POSTINGS = ("term string, block long, docs int, first long, after array<int>, times array<int>, lengths array<int>, "
             "part int")
+LISTS = POSTINGS.rsplit(",", 1)[0]  # without the folder
 SATURATION, LENGTH_SHARE = 1.2, 0.75  # fixed values: the customary k1 and b
 
 
@@ -28,6 +32,26 @@ def _part(term: Column, parts: int) -> Column:
     return F.pmod(F.xxhash64(term), F.lit(parts)).cast("int")
 
 
+def _lists(docs: pa.Table) -> pa.Table:
+    """The rows of one block: for each word its documents in order. Rows with the same key and length count as one document."""
+    docs = docs.combine_chunks()
+    key, inverse = np.unique(np.stack([docs["doc"].to_numpy(), docs["length"].to_numpy()]), axis=1, return_inverse=True)
+    words = pc.split_pattern(docs["words"].chunk(0), " ").flatten().dictionary_encode()
+    row = np.repeat(inverse.ravel(), docs["length"].to_numpy())
+    pairs, times = np.unique(words.indices.to_numpy().astype(np.int64) * key.shape[1] + row, return_counts=True)
+    term, row = np.divmod(pairs, key.shape[1])
+    doc, length = key[:, row]
+    order = np.lexsort((length, times, doc, term))
+    term, doc, length, times = term[order], doc[order], length[order], times[order]
+    starts = np.flatnonzero(np.r_[True, term[1:] != term[:-1]])
+    size, ends = np.diff(np.r_[starts, len(term)]), pa.array(np.r_[starts, len(term)].astype(np.int32))
+    listed = lambda values: pa.ListArray.from_arrays(ends, pa.array(values.astype(np.int32)))
+    return pa.table({
+        "term": words.dictionary.take(pa.array(term[starts])), "block": pa.array(np.repeat(docs["block"][0].as_py(), len(starts))),
+        "docs": pa.array(size.astype(np.int32)), "first": pa.array(doc[starts]),
+        "after": listed(doc - np.repeat(doc[starts], size)), "times": listed(times), "lengths": listed(length)})
+
+
 class SearchIndex:
     """The index under a folder, of documents with a number as key that differs from document to document."""
 
@@ -37,21 +61,20 @@ class SearchIndex:
     def build(self, docs: DataFrame, key: str, text: str) -> None:
         """Index all documents; what was there is replaced. A document without a key or without words is in no list."""
         worded = docs.where(F.col(key).isNotNull()).select(F.col(key).cast("long").alias("doc"), words_of(F.col(text)).alias("words"))
-        # a document is in one task, so this is a count in the task; the shuffle moves one row per document and word
-        counted = (worded.select("doc", F.size("words").alias("length"), F.explode("words").alias("term"))
-                   .groupBy("term", F.expr(f"doc div {self.block}").alias("block"), "doc", "length")
-                   .agg(F.count(F.lit(1)).cast("int").alias("times")))
-        posting = F.struct("doc", "times", "length")
-        lists = (counted.groupBy("term", "block").agg(F.array_sort(F.collect_list(posting)).alias("p"))
-                 .select(_part(F.col("term"), self.parts).alias("part"), "term", "block", F.size("p").alias("docs"),
-                         F.col("p")[0]["doc"].alias("first"),
-                         F.transform("p", lambda x: (x["doc"] - F.col("p")[0]["doc"]).cast("int")).alias("after"),
-                         F.transform("p", lambda x: x["times"]).alias("times"),
-                         F.transform("p", lambda x: x["length"]).alias("lengths")))
+        # the shuffle moves a row per document, its words as one text; the lists of a block are made where it lies
+        lists = (worded.where(F.size("words") > 0)
+                 .select(F.expr(f"doc div {self.block}").alias("block"), "doc", F.size("words").alias("length"),
+                         F.array_join("words", " ").alias("words"))
+                 .groupBy("block").applyInArrow(_lists, LISTS)
+                 .select(_part(F.col("term"), self.parts).alias("part"), "*"))
         (lists.hint("rebalance", "part").sortWithinPartitions("part", "term", "block")
          .write.mode("overwrite").option("partitionOverwriteMode", "static").option("parquet.block.size", 8 << 20)
          .partitionBy("part").parquet(f"{self.path}/postings"))
-        (worded.where(F.size("words") > 0).agg(F.count(F.lit(1)).alias("docs"), F.sum(F.size("words")).alias("words"))
+        # a document's words add up to its length, so the words of all documents of a length tell how many these are
+        rows = self.spark.read.schema(POSTINGS).parquet(f"{self.path}/postings")
+        by_length = (rows.select(F.explode(F.arrays_zip("times", "lengths")).alias("p"))
+                     .groupBy(F.col("p.lengths").alias("length")).agg(F.sum("p.times").alias("words")))
+        (by_length.agg(F.coalesce(F.sum(F.expr("words div length")), F.lit(0)).alias("docs"), F.sum("words").alias("words"))
          .coalesce(1).write.mode("overwrite").parquet(f"{self.path}/totals"))
 
     def postings(self, terms: Sequence[str]) -> DataFrame:

@@ -102,3 +102,15 @@ def test_best_fragments(spark):
         expected = {i: brute_fragment(t, {"red", "blue", "green"}, width) for i, t in enumerate(texts) if t}
         assert found == {i: f for i, f in expected.items() if f is not None}
     assert search.best_fragments(df.limit(0), "text", ["red"]).columns == ["id", "text", "fragment_", "fragment"]
+
+
+def test_rows_of_one_key_and_the_shuffle_of_an_index(spark, tmp_path):
+    """Rows with the same key and length count as one document, in totals as two; what is shuffled is texts, not their words."""
+    rows = [(1, "a b a"), (1, "a b a"), (1, "c"), (-3, "b b"), (700, "a")]
+    index = SearchIndex(spark, str(tmp_path / "x"), block=10)
+    index.build(spark.createDataFrame(rows, "id long, text string").repartition(4), "id", "text")
+    found = sorted(tuple(r) for r in index.matches(["a", "b", "c"]).select("term", "doc", "times", "length").collect())
+    assert found == [("a", 1, 4, 3), ("a", 700, 1, 1), ("b", -3, 2, 2), ("b", 1, 2, 3), ("c", 1, 1, 1)]
+    assert tuple(spark.read.parquet(f"{index.path}/totals").select("docs", "words").first()) == (5, 10)
+    build = SearchIndex.build.__code__.co_names
+    assert "applyInArrow" in build and "collect_list" not in build
