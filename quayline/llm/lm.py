@@ -20,7 +20,7 @@ import bisect
 import hashlib
 import math
 from array import array
-from collections import defaultdict
+from collections import Counter, defaultdict
 from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
@@ -34,8 +34,9 @@ from quayline.llm import bitmix
 from quayline.llm.common import by_frequency, from_planes, id_remainder, key_type, planes, table, whole_text, written
 
 BLOCK_BYTES = 4 << 20
-STATES, ANCHORS, SAMPLE = 6, 256, 4000  # the states are learned from about so many texts
-SPLIT_BLOCKS = 400  # and the borders of pages from about so many blocks
+STATES, ANCHORS = 6, 256
+ROWS, HELD_WORDS = 2000, 500_000  # texts in a block of counts, and words that a task counts before it passes them on
+SPLIT_WORDS = 80_000  # the borders of pages are made from about so many words, of every block alike
 RATES = np.array([0.0, 0.04, 0.12, 0.3, 0.6, 0.9])
 FOLLOW = (10.0, 300.0)  # so many tokens' weight has a word's own probability beside the counts of what follows a word
 PAIR_BITS = 50  # of 10^9 different pairs fewer than a thousand share a hash with another
@@ -54,42 +55,118 @@ def tokens(text: str) -> list[bytes]:
     return words
 
 
-def learn_states(docs: DataFrame) -> Evidence:
-    """Per frequent word how much it speaks for each state: classes of texts by their frequent words."""
-    total = docs.count()
-    sample = written(docs.where(F.rand(4) < SAMPLE / max(1, total)).select("_text"), "sample")
-    word = F.explode(F.split(F.translate("_text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"),
-                             r"[\x20\x09-\x0D]+")).alias("word")
-    top = sample.select(word).where("word != ''").groupBy("word").count().orderBy(F.desc("count"), "word").limit(ANCHORS)
-    anchors = [r["word"].encode() for r in top.collect()]
-    at = {w: i for i, w in enumerate(anchors)}
-
-    def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def split_words(texts: pa.Array) -> pa.ListArray:
+    """The words of texts in lower case, as ``tokens`` has them, without the end; there may be empty ones at the sides."""
+    return pc.ascii_split_whitespace(pc.ascii_lower(texts))
+
+
+def frequent_words(docs: DataFrame) -> list[str]:
+    """The ``ANCHORS`` commonest words of all texts."""
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total: Counter[str] = Counter()
+
+        def counted() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(list(total), pa.string()), pa.array(list(total.values()), pa.int64())],
+                                              ["word", "n"])
+
         for batch in batches:
-            rows = []
-            for text in batch.column(0).to_pylist():
-                seen = [at[w] for w in tokens(text) if w in at]
-                rows.append(np.bincount(seen, minlength=len(at)).astype(np.float32))
-            yield pa.RecordBatch.from_arrays([pa.array(rows, pa.list_(pa.float32()))], ["v"])
-
-    rows = sample.mapInArrow(vectors, "v array<float>").toPandas()["v"].tolist() if anchors else []
-    x = np.array(rows, float).reshape(len(rows), len(anchors))
-    x = x[x.sum(axis=1) > 0]
-    if not len(x):
+            found = pc.value_counts(split_words(batch.column(0)).flatten())
+            for w, n in zip(found.field("values").to_pylist(), found.field("counts").to_pylist()):
+                total[w] += n
+            if len(total) > HELD_WORDS:
+                yield counted()
+                total.clear()
+        yield counted()
+
+    words = docs.select("_text").mapInArrow(count, "word string, n long").where("word != ''")
+    top = words.groupBy("word").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "word").limit(ANCHORS)
+    return [r["word"] for r in top.collect()]
+
+
+def anchor_counts(docs: DataFrame, anchors: list[str]) -> DataFrame:
+    """How often each text has each anchor, texts with none left out, in numbered blocks of at most ``ROWS`` texts."""
+    wanted = pa.array(anchors, pa.string())
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number = TaskContext.get().partitionId() << 32
+        for batch in batches:
+            for start in range(0, batch.num_rows, ROWS):
+                words = split_words(batch.column(0).slice(start, ROWS))
+                at = pc.index_in(words.flatten(), wanted)
+                there = at.is_valid().to_numpy(zero_copy_only=False)
+                row = np.repeat(np.arange(len(words)), pc.list_value_length(words).to_numpy(zero_copy_only=False))[there]
+                x = np.bincount(row * len(wanted) + at.drop_null().to_numpy(), minlength=len(words) * len(wanted))
+                x = x.reshape(len(words), -1)
+                x = x[x.any(axis=1)]
+                if len(x):
+                    yield pa.RecordBatch.from_arrays([pa.array([number], pa.int64()), pa.array([len(x)], pa.int64()), pa.array(
+                        [zstandard.compress(x.astype("<u4").tobytes(), 1)], pa.binary())], ["number", "n", "x"])
+                    number += 1
+
+    return written(docs.select("_text").mapInArrow(count, "number long, n long, x binary"), "anchors")
+
+
+def learn_states(docs: DataFrame) -> Evidence:
+    """Per frequent word how much it speaks for each state: classes of texts by their frequent words, learned from all texts.
+
+    The driver holds the centres; each round is a pass over the counts, from which every task sends a sum.
+    """
+    anchors = frequent_words(docs)
+    if not anchors:
+        return {}
+    width, blocks = len(anchors), anchor_counts(docs, anchors)
+    texts = blocks.agg(F.sum("n").alias("n")).first()["n"]
+    if not texts:
         return {}
-    unit = np.sqrt(x / x.sum(axis=1, keepdims=True))
-    centres = [unit[0]]
-    while len(centres) < min(STATES, len(unit)):  # the text least like any so far
-        centres.append(unit[np.argmin(np.max([unit @ c for c in centres], axis=0))])
+
+    def matrix(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+        x = np.frombuffer(zstandard.decompress(data), "<u4").reshape(-1, width).astype(float)
+        return x, np.sqrt(x / x.sum(axis=1, keepdims=True))
+
+    def farthest(centres: list[np.ndarray]) -> np.ndarray:
+        def least(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for number, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                    unit = matrix(data)[1]
+                    near = np.max([unit @ c for c in centres], axis=0)
+                    at = int(np.argmin(near))
+                    yield pa.RecordBatch.from_arrays([pa.array([near[at]], pa.float64()), pa.array([number], pa.int64()),
+                                                      pa.array([unit[at].tobytes()], pa.binary())], ["near", "number", "unit"])
+
+        row = (blocks.select("number", "x").mapInArrow(least, "near double, number long, unit binary")
+               .orderBy("near", "number").first())
+        return np.frombuffer(bytes(row["unit"]))
+
+    centres = [matrix(bytes(blocks.orderBy("number").first()["x"]))[1][0]]
+    while len(centres) < min(STATES, texts):  # the text least like any so far
+        centres.append(farthest(centres))
     centres = np.array(centres)
+
+    def shares(centres: np.ndarray) -> np.ndarray:
+        def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            total = np.zeros((len(centres), 2 * width + 1))
+            for batch in batches:
+                for data in batch.column(0).to_pylist():
+                    x, unit = matrix(data)
+                    own = np.eye(len(centres))[np.argmax(unit @ centres.T, axis=1)]
+                    total += own.T @ np.hstack([unit, x, np.ones((len(x), 1))])
+            yield pa.RecordBatch.from_arrays([pa.array([TaskContext.get().partitionId() % PARTS], pa.int32()),
+                                              pa.array([total.tobytes()], pa.binary())], ["slot", "value"])
+
+        found = summed(blocks.select("x").mapInArrow(add, "slot int, value binary"))
+        return sum(found[slot] for slot in sorted(found)).reshape(len(centres), -1)
+
+    found = None
     for _ in range(20):
-        own = np.argmax(unit @ centres.T, axis=1)
-        sums = np.array([unit[own == k].sum(axis=0) + 1e-9 for k in range(len(centres))])
+        last, found = found, shares(centres)
+        if last is not None and np.array_equal(last[:, width:], found[:, width:]):
+            break  # the classes stay as they are
+        sums = found[:, :width] + 1e-9
         centres = sums / np.linalg.norm(sums, axis=1, keepdims=True)
-    counts = np.array([x[own == k].sum(axis=0) + 0.5 for k in range(len(centres))])
+    counts = found[:, width:2 * width] + 0.5
     logs = np.rint(1000 * np.log(counts / counts.sum(axis=1, keepdims=True))).astype(np.int32)
-    order = np.argsort(-np.bincount(own, minlength=len(centres)), kind="stable")  # without evidence: the commonest
-    return {w: logs[order, i] for w, i in at.items()}
+    order = np.argsort(-found[:, -1], kind="stable")  # without evidence: the commonest
+    return {w.encode(): logs[order, i] for i, w in enumerate(anchors)}
 
 
 def make_blocks(docs: DataFrame, evidence: Evidence, kind: T.DataType) -> DataFrame:
@@ -176,10 +253,10 @@ def borders(blocks: DataFrame) -> list[bytes]:
         for batch in batches:
             for spelled in batch.column(0).to_pylist():
                 words = spelled.split(b" ")[:-1]
-                yield pa.RecordBatch.from_arrays([pa.array([words[:: max(1, len(words) // 200)]], pa.list_(pa.binary()))], ["w"])
+                yield pa.RecordBatch.from_arrays([pa.array([words[:: max(1, len(words) // each)]], pa.list_(pa.binary()))], ["w"])
 
-    rows = (blocks.where(F.rand(5) < SPLIT_BLOCKS / max(1, number)).select("spelled")
-            .mapInArrow(spread, "w array<binary>").collect())
+    each = min(200, max(1, SPLIT_WORDS // max(1, number)))
+    rows = blocks.select("spelled").mapInArrow(spread, "w array<binary>").collect()
     words, pages = sorted({bytes(w) + b" " for r in rows for w in r["w"]}), max(8, number // 6)
     return sorted({words[len(words) * i // pages] for i in range(1, pages)}) if words else []
 

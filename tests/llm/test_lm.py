@@ -142,3 +142,23 @@ def test_probabilities_after_a_word_sum_to_one():
         assert abs((10 ** log).sum() - 1) < 1e-9
     numbers = np.array([0, 1, 2**40, 2**64 - 1], np.uint64)
     assert (lm.unpacked(lm.packed(numbers)) == numbers).all()
+
+
+def test_states_are_learned_from_every_text(spark):
+    """More texts than the old sample of 4000 had: every one counts, so two runs and any partitioning agree, and the counts of a
+    frequent word add up to all its occurrences."""
+    from pyspark.sql import functions as F
+    from quayline.llm import lm
+    docs = spark.range(9000).select(F.when(F.col("id") % 3 == 0, "Der und die").when(F.col("id") % 3 == 1, "the and of")
+                                    .otherwise("le la\tles").alias("_text"))
+    docs = docs.unionByName(spark.createDataFrame([("rare rare rare " * 5,), ("",), ("  ",)], "_text string"))
+    assert sorted(lm.frequent_words(docs)) == sorted("der und die the and of le la les rare".split())
+    blocks = lm.anchor_counts(docs, ["the", "rare"])
+    assert blocks.agg(F.sum("n")).first()[0] == 3001
+    evidence = lm.learn_states(docs)
+    assert set(evidence) == {w.encode() for w in "der und die the and of le la les rare".split()}
+    other = lm.learn_states(docs.repartition(5))
+    best = {w: int(e.argmax()) for w, e in evidence.items()}
+    assert best[b"the"] == best[b"and"] != best[b"der"] == best[b"und"] and best[b"rare"] not in (best[b"the"], best[b"le"])
+    assert {w: e.max() for w, e in evidence.items()} == {w: e.max() for w, e in other.items()}
+    assert lm.learn_states(docs.limit(0)) == {}
