@@ -281,7 +281,7 @@ def feed_to_kpi(spark: SparkSession, folder: str) -> DataFrame:
     """From a stream of change events of all ten tables through stored tables and the wide table to the KPIs."""
     derived, inbox = DerivedTables(spark, folder), fresh_path(spark, "messages")
     for name in dict.fromkeys([wide.EXPRESS_BILL.table, *[lookup.table for lookup in wide.EXPRESS_BILL.lookups]]):
-        row_messages(derived(name), name).write.mode("append").text(inbox)
+        row_messages(derived(name), name).write.mode("append").option("compression", "gzip").text(inbox)
     root, catalogue = fresh_path(spark, "tables"), load_catalogue()
     feeds.start_change_feed(file_stream(spark, inbox), "oracle", root, fresh_path(spark, "checkpoint"), catalogue,
                             available_now=True, tasks=spark.sparkContext.defaultParallelism).awaitTermination()
