@@ -226,6 +226,7 @@ class Model:
     def log10(self, page: Page, outside: dict, before: int, after: int) -> np.ndarray:
         """The log10 probability of every word of a page."""
         score, context, weights = np.zeros(len(page.counts)), None, self.weights.astype(np.float32)
+        byte = None  # the probability of the byte's bits so far; that of eight is far from too small for a number
         for words, j, value, b, bit, total, ones in page.nodes(outside, before, after):
             if not np.any(j):
                 continue  # the state
@@ -239,8 +240,11 @@ class Model:
             p = (_sigmoid(z) + self.refine[gate * LEVELS + _level(z)]) / 2
             p = np.clip(p.astype(np.float64), LEAST, 1 - LEAST)
             p = np.where(j > 0, np.where(bit == 1, p, 1 - p), 1.0)
+            byte = p if b == 0 else byte * p
+            if b < 7:
+                continue
             if np.ndim(j):
-                score += np.bincount(words, np.log10(p), len(score))
+                score += np.bincount(words, np.log10(byte), len(score))
             else:
-                score[words] += np.log10(p)
+                score[words] += np.log10(byte)
         return score

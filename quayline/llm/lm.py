@@ -19,8 +19,7 @@ from __future__ import annotations
 import bisect
 import hashlib
 import math
-from array import array
-from collections import Counter, defaultdict
+from collections import defaultdict
 from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
@@ -31,56 +30,85 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from quayline.llm import bitmix
-from quayline.llm.common import by_frequency, from_planes, id_remainder, key_type, planes, table, whole_text, written
+from quayline.llm.common import by_frequency, forget, from_planes, id_remainder, key_type, planes, table, whole_text, written
 
 BLOCK_BYTES = 4 << 20
 STATES, ANCHORS = 6, 256
-ROWS, HELD_WORDS = 2000, 500_000  # texts in a block of counts, and words that a task counts before it passes them on
+ROWS = 2000  # texts in a block of counts
+RARE, DOUBTFUL = 1e-5, 100_000  # share of a part's words up to which it keeps a word's count back; words to count again
 SPLIT_WORDS = 80_000  # the borders of pages are made from about so many words, of every block alike
 RATES = np.array([0.0, 0.04, 0.12, 0.3, 0.6, 0.9])
 FOLLOW = (10.0, 300.0)  # so many tokens' weight has a word's own probability beside the counts of what follows a word
 PAIR_BITS = 50  # of 10^9 different pairs fewer than a thousand share a hash with another
 PARTS = 64
 PART_TOKENS = 200_000
-LOG10_2 = math.log10(2)
+LOG10_2, LN10 = math.log10(2), math.log(10)
 LEAD = [bytes([i + 1]) for i in range(8)]  # the byte of a state
 
 Evidence = dict[bytes, np.ndarray]
 
 
-def tokens(text: str) -> list[bytes]:
-    """The words of a text in lower case and, last, the end, an empty word."""
-    words = text.encode("utf-8", "replace").lower().split()
-    words.append(b"")
-    return words
-
-
 def split_words(texts: pa.Array) -> pa.ListArray:
-    """The words of texts in lower case, as ``tokens`` has them, without the end; there may be empty ones at the sides."""
+    """The words of texts in lower case, without the end; there may be empty ones at the sides."""
     return pc.ascii_split_whitespace(pc.ascii_lower(texts))
 
 
-def frequent_words(docs: DataFrame) -> list[str]:
-    """The ``ANCHORS`` commonest words of all texts."""
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total: Counter[str] = Counter()
+def parts_of(texts: pa.Array) -> Iterator[pa.Array]:
+    """Texts in runs of at most ``ROWS`` and, but for a longer text alone, ``BLOCK_BYTES``."""
+    ends, start = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False), dtype=np.int64), 0
+    while start < len(texts):
+        before = ends[start - 1] if start else 0
+        end = min(start + ROWS, max(start + 1, int(np.searchsorted(ends, before + BLOCK_BYTES, "right"))))
+        yield texts.slice(start, end - start)
+        start = end
 
-        def counted() -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array(list(total), pa.string()), pa.array(list(total.values()), pa.int64())],
-                                              ["word", "n"])
 
+def word_counts(docs: DataFrame, share: float = 0.0, wanted: list[str] | None = None) -> DataFrame:
+    """How often all texts have each word, or each of ``wanted``, and what bounds the rest: a part of the texts keeps back
+    the counts of words with at most ``share`` of its tokens. ``cut`` adds up what the parts that passed a word on may keep
+    back of others, so a word's count is at most ``n`` and the NULL word's ``cut`` without its own, and ``n`` if both agree.
+    """
+    only = None if wanted is None else pa.array(wanted, pa.string())
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = pc.value_counts(split_words(batch.column(0)).flatten())
-            for w, n in zip(found.field("values").to_pylist(), found.field("counts").to_pylist()):
-                total[w] += n
-            if len(total) > HELD_WORDS:
-                yield counted()
-                total.clear()
-        yield counted()
+            for texts in parts_of(batch.column(0)):
+                words = split_words(texts).flatten()
+                most = int(len(words) * share)
+                if only is not None:
+                    words = words.filter(pc.is_in(words, only))
+                found = pc.value_counts(words)
+                found = found.filter(pc.greater(found.field("counts"), most))
+                word, n = found.field("values").cast(pa.string()), found.field("counts")
+                yield pa.RecordBatch.from_arrays([
+                    pa.concat_arrays([word, pa.nulls(1, pa.string())]), pa.concat_arrays([n, pa.array([0], pa.int64())]),
+                    pa.array([most] * (len(n) + 1), pa.int64())], ["word", "n", "cut"])
+
+    return (docs.select("_text").mapInArrow(count, "word string, n long, cut long").where("word is null or word != ''")
+            .groupBy("word").agg(F.sum("n").alias("n"), F.sum("cut").alias("cut")))
 
-    words = docs.select("_text").mapInArrow(count, "word string, n long").where("word != ''")
-    top = words.groupBy("word").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "word").limit(ANCHORS)
-    return [r["word"] for r in top.collect()]
+
+def frequent_words(docs: DataFrame) -> list[str]:
+    """The ``ANCHORS`` commonest words of all texts, of equally common ones the first.
+
+    Words that are rare in a part of the texts are not passed on. Where that leaves in doubt which words are the commonest,
+    those that may be are counted again, and all words if these are too many.
+    """
+    def commonest(counts: DataFrame) -> list:
+        return counts.where("word is not null").orderBy(F.desc("n"), "word").limit(ANCHORS).collect()
+
+    counts = written(word_counts(docs, RARE), "words")
+    top, rest = commonest(counts), counts.where("word is null").first()
+    kept_back = rest["cut"] if rest else 0
+    if kept_back:
+        least = top[-1]["n"] if len(top) == ANCHORS else 0
+        maybe = counts.where("word is not null").where(F.col("n") - F.col("cut") + kept_back >= least)
+        if least <= kept_back or maybe.count() > DOUBTFUL:
+            top = commonest(word_counts(docs))
+        elif not maybe.where(F.col("cut") < kept_back).isEmpty():
+            top = commonest(word_counts(docs, wanted=[r["word"] for r in maybe.select("word").collect()]))
+    forget(counts)
+    return [r["word"] for r in top]
 
 
 def anchor_counts(docs: DataFrame, anchors: list[str]) -> DataFrame:
@@ -90,8 +118,8 @@ def anchor_counts(docs: DataFrame, anchors: list[str]) -> DataFrame:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = TaskContext.get().partitionId() << 32
         for batch in batches:
-            for start in range(0, batch.num_rows, ROWS):
-                words = split_words(batch.column(0).slice(start, ROWS))
+            for texts in parts_of(batch.column(0)):
+                words = split_words(texts)
                 at = pc.index_in(words.flatten(), wanted)
                 there = at.is_valid().to_numpy(zero_copy_only=False)
                 row = np.repeat(np.arange(len(words)), pc.list_value_length(words).to_numpy(zero_copy_only=False))[there]
@@ -148,8 +176,10 @@ def learn_states(docs: DataFrame) -> Evidence:
             for batch in batches:
                 for data in batch.column(0).to_pylist():
                     x, unit = matrix(data)
-                    own = np.eye(len(centres))[np.argmax(unit @ centres.T, axis=1)]
-                    total += own.T @ np.hstack([unit, x, np.ones((len(x), 1))])
+                    own = np.eye(len(centres))[np.argmax(unit @ centres.T, axis=1)].T
+                    total[:, :width] += own @ unit
+                    total[:, width:-1] += own @ x
+                    total[:, -1] += own.sum(axis=1)
             yield pa.RecordBatch.from_arrays([pa.array([TaskContext.get().partitionId() % PARTS], pa.int32()),
                                               pa.array([total.tobytes()], pa.binary())], ["slot", "value"])
 
@@ -169,17 +199,46 @@ def learn_states(docs: DataFrame) -> Evidence:
     return {w.encode(): logs[order, i] for i, w in enumerate(anchors)}
 
 
+def spaced(words: pa.Array) -> bytes:
+    """Words one after another, a blank after each."""
+    with_blanks = pc.binary_join_element_wise(words, pa.scalar(b"", pa.binary()), pa.scalar(b" ", pa.binary()))
+    first, last = (np.frombuffer(with_blanks.buffers()[1], "<i4")[with_blanks.offset + i] for i in (0, len(with_blanks)))
+    return with_blanks.buffers()[2][int(first):int(last)].to_pybytes()
+
+
+def numbered_words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:
+    """For every word of every text in lower case, and an empty one that ends each text, its number among the distinct
+    words; the texts' numbers of words; and the distinct words, sorted with a blank after each."""
+    lists = split_words(texts)
+    flat = lists.flatten().dictionary_encode()
+    code, known = flat.indices.to_numpy(zero_copy_only=False).astype(np.int32), flat.dictionary.cast(pa.binary())
+    end = pc.index(known, pa.scalar(b"", pa.binary())).as_py()
+    if end < 0:
+        end, known = len(known), pa.concat_arrays([known, pa.array([b""], pa.binary())])
+    word = code != end  # not an empty one at the sides
+    text = np.repeat(np.arange(len(texts)), pc.list_value_length(lists).to_numpy(zero_copy_only=False))
+    length = np.bincount(text[word], minlength=len(texts)) + 1
+    place = np.ones(int(length.sum()), bool)
+    place[np.cumsum(length) - 1] = False
+    order = pc.sort_indices(pc.binary_join_element_wise(known, pa.scalar(b"", pa.binary()), pa.scalar(b" ", pa.binary())))
+    rank = np.empty(len(known), np.int32)
+    rank[order.to_numpy()] = np.arange(len(known), dtype=np.int32)
+    out = np.full(len(place), rank[end], np.int32)
+    out[place] = rank[code[word]]
+    return out, length, known.take(order)
+
+
 def make_blocks(docs: DataFrame, evidence: Evidence, kind: T.DataType) -> DataFrame:
     """Texts in blocks: their keys and lengths, the distinct words with states and training counts, and for every token
     the number of its word."""
     k = len(next(iter(evidence.values()))) if evidence else 1
 
-    def states(code: np.ndarray, length: np.ndarray, known: dict[bytes, int]) -> np.ndarray:
+    def states(code: np.ndarray, length: np.ndarray, known: pa.Array) -> np.ndarray:
         """The state before each token: the one that the frequent words so far speak for most."""
         speak = np.zeros((k, len(known)), np.int32)
-        for w, e in evidence.items():
-            if w in known:
-                speak[:, known[w]] = e
+        for at, e in zip(pc.index_in(pa.array(list(evidence), pa.binary()), known).to_pylist(), evidence.values()):
+            if at is not None:
+                speak[:, at] = e
         out, at = np.zeros(len(code), np.uint8), 0
         for text in np.array_split(np.arange(len(length)), max(1, len(code) // PART_TOKENS)):
             n = int(length[text].sum())
@@ -197,19 +256,9 @@ def make_blocks(docs: DataFrame, evidence: Evidence, kind: T.DataType) -> DataFr
             at += n
         return out
 
-    def block(number: int, keys: list, training: list[bool], texts: list[str]) -> pa.RecordBatch:
-        known: defaultdict[bytes, int] = defaultdict()
-        known.default_factory = known.__len__
-        codes, lengths = array("i"), []
-        for text in texts:
-            words = tokens(text)
-            lengths.append(len(words))
-            codes.extend(map(known.__getitem__, words))
-        code, length = np.frombuffer(codes, np.int32), np.array(lengths)
-        spelled = sorted([w + b" " for w in known])
-        rank = np.empty(len(known), np.int32)
-        rank[[known[w[:-1]] for w in spelled]] = np.arange(len(known), dtype=np.int32)
-        pair = rank[code] * np.int32(k) + states(code, length, known)
+    def block(number: int, keys: list, training: list[bool], texts: list[pa.Array]) -> pa.RecordBatch:
+        code, length, known = numbered_words(pa.concat_arrays(texts))
+        pair = code * np.int32(k) + states(code, length, known)
         there = np.zeros(len(known) * k, bool)
         there[pair] = True
         pairs, pair = np.flatnonzero(there), (np.cumsum(there, dtype=np.int32) - 1)[pair]
@@ -219,17 +268,21 @@ def make_blocks(docs: DataFrame, evidence: Evidence, kind: T.DataType) -> DataFr
         return pa.RecordBatch.from_arrays([
             pa.array([number], pa.int64()), pa.array([keys], pa.list_(arrow_key)), pa.array([training], pa.list_(pa.bool_())),
             pa.array([length.tolist()], pa.list_(pa.int32())), *[pa.array([v], pa.binary()) for v in (
-                planes(pair), planes(order), b"".join(spelled), met.tobytes(), planes(counts))]], schema.names)
+                planes(pair), planes(order), spaced(known), met.tobytes(), planes(counts))]], schema.names)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = TaskContext.get().partitionId() << 32
         keys, training, texts, size = [], [], [], 0
         for batch in batches:
-            for key, learn, text in zip(*[batch.column(i).to_pylist() for i in range(3)]):
-                keys.append(key)
-                training.append(learn)
-                texts.append(text)
-                size += len(text)
+            key, learn, text, start = *[batch.column(i).to_pylist() for i in range(2)], batch.column(2), 0
+            ends = np.cumsum(pc.utf8_length(text).to_numpy(zero_copy_only=False), dtype=np.int64)
+            while start < len(text):
+                before = ends[start - 1] if start else 0
+                end = min(len(text), int(np.searchsorted(ends, before + BLOCK_BYTES - size)) + 1)
+                keys += key[start:end]
+                training += learn[start:end]
+                texts.append(text.slice(start, end - start))
+                size, start = size + int(ends[end - 1] - before), end
                 if size >= BLOCK_BYTES:
                     yield block(number, keys, training, texts)
                     number, keys, training, texts, size = number + 1, [], [], [], 0
@@ -500,10 +553,11 @@ def pair_counts(blocks: DataFrame) -> DataFrame:
 def after_word(logs: np.ndarray, pair: np.ndarray, before: np.ndarray) -> list[np.ndarray]:
     """The log10 probability of every token after the word before it, for each of ``FOLLOW``, from its own, the count of
     the pair and that of the word before."""
-    out, seen = [], pair > 0
+    out, seen = [], np.flatnonzero(pair)
+    known, pair, after = np.exp(logs[seen] * LN10), pair[seen], before[seen]
     for d in FOLLOW:
-        log = logs + np.log10(d / (before + d))
-        log[seen] = np.log10((pair[seen] + d * 10.0 ** logs[seen]) / (before[seen] + d))
+        log = logs + np.log(d / (before + d)) / LN10
+        log[seen] = np.log((pair + d * known) / (after + d)) / LN10
         out.append(log)
     return out
 
@@ -517,20 +571,27 @@ def text_scores(length: np.ndarray, code: np.ndarray, word: np.ndarray, logs: np
     text = np.repeat(np.arange(len(length)), length)
     place = np.arange(len(code)) - start[text]
     key = text.astype(np.int64) * (int(word.max(initial=0)) + 1) + word[code]
-    order = np.argsort(key, kind="stable")
-    new = np.r_[True, key[order][1:] != key[order][:-1]]
-    at = np.arange(len(code))
+    at, bits = np.arange(len(code)), len(code).bit_length()
+    if int(key.max(initial=0)).bit_length() + bits < 64:  # sorted with the place in the number itself, which is quicker
+        key = np.sort(key << bits | at)
+        order, key = key & (1 << bits) - 1, key >> bits
+    else:
+        order = np.argsort(key, kind="stable")
+        key = key[order]
+    new = np.r_[True, key[1:] != key[:-1]]
     before = np.empty(len(code))
     before[order] = at - np.maximum.accumulate(np.where(new, at, 0))
-    share = before / np.maximum(place, 1)
     # in logarithms where the word is new, as a long word's probability is too small for a number
-    seen, later, sums = share > 0, place > 0, []
+    seen, sums = np.flatnonzero(before), []
+    part, where = before[seen] / place[seen], text[seen]
+    fresh = np.add.reduceat(((before == 0) & (place > 0)).astype(np.int64), start)  # the first word has none before it
     for single in (logs[code], *others):
-        known, part = 10.0 ** single[seen], share[seen]
+        known = np.exp(single[seen] * LN10)
+        every = np.add.reduceat(single, start)
+        rest = every - np.bincount(where, single[seen], len(length))
         for r in RATES:
-            log = single + np.where(later, np.log10(1 - r), 0.0)  # the first word has none before it
-            log[seen] = np.log10(known + r * (part - known)) if r else single[seen]
-            sums.append(np.add.reduceat(log, start))
+            sums.append(rest + fresh * np.log10(1 - r) + np.bincount(
+                where, np.log(known + r * (part - known)), len(length)) / LN10 if r else every)
     sums = np.stack(sums)
     best = sums.max(axis=0)
     return best + np.log10(np.mean(10.0 ** (sums - best), axis=0))

@@ -162,3 +162,35 @@ def test_states_are_learned_from_every_text(spark):
     assert best[b"the"] == best[b"and"] != best[b"der"] == best[b"und"] and best[b"rare"] not in (best[b"the"], best[b"le"])
     assert {w: e.max() for w, e in evidence.items()} == {w: e.max() for w, e in other.items()}
     assert lm.learn_states(docs.limit(0)) == {}
+
+
+def test_commonest_words_are_exact_though_rare_ones_are_kept_back(spark, monkeypatch):
+    """Parts of texts pass on few words; all three ways from these to the commonest give what counting every word gives."""
+    r = random.Random(12)
+    monkeypatch.setattr(lm, "ANCHORS", 8)
+    common, rare = [f"c{i}" for i in range(12)], [f"r{i}" for i in range(3000)]
+    texts = [" ".join(r.choices(common, range(12, 0, -1), k=30) + r.sample(rare, 20)) for _ in range(400)]
+    sided = [t + " side" for t in texts[:20]] + texts[20:] + ["Side " * 300] * 3  # common in one part, rare in another
+    flat = [" ".join(rare[i::40]) for i in range(40)]
+    recounts = []
+    counts = lm.word_counts
+    monkeypatch.setattr(lm, "word_counts", lambda docs, share=0.0, wanted=None: recounts.append((share, wanted)) or counts(docs, share, wanted))
+    for rows, share, ways in ((texts, 0.01, 1), (sided, 0.01, 2), (flat, 0.9, 2), ([], 0.01, 1), (["", " "], 0.01, 1)):
+        docs = spark.createDataFrame(spark.sparkContext.parallelize([(t,) for t in rows], 9), "_text string")
+        n = Counter(w for t in rows for w in t.lower().split())
+        monkeypatch.setattr(lm, "RARE", share)
+        recounts.clear()
+        assert lm.frequent_words(docs) == sorted(n, key=lambda w: (-n[w], w))[:8]
+        assert len(recounts) == ways
+        if rows is texts:
+            assert counts(docs, share).count() < 200 < len(n)
+
+
+def test_words_are_numbered_as_plain_python_does():
+    texts = ["", "  ", " a\tB\x0b\x1c\x01 a ", "É é Ä x", "a", "a\x01 a\x01b a", "\x00", "the THE\r\nthe"]
+    parts = lm.pa.array(["not this", *texts]).slice(1)
+    code, length, known = lm.numbered_words(parts)
+    words = [words_of(t) for t in texts]
+    spelled = sorted({w + b" " for t in words for w in t})
+    assert lm.spaced(known) == b"".join(spelled) and length.tolist() == [len(t) for t in words]
+    assert [spelled[c][:-1] for c in code] == [w for t in words for w in t]
