@@ -146,6 +146,14 @@ def table_counts(page: Page, tables: np.ndarray) -> None:
                 np.add.at(tables, slots(c, k, node) + SLOTS * bit, count)
 
 
+def _class(seen: np.ndarray) -> np.ndarray:
+    """The number of borders in ``SEEN`` up to each count; a few comparisons are quicker than a search."""
+    found = np.zeros(len(seen), np.uint8)
+    for border in SEEN:
+        found += seen >= border
+    return found.astype(np.int64)
+
+
 def odds(ones: np.ndarray, zeros: np.ndarray) -> np.ndarray:
     return np.log((ones.astype(np.float32) + ALPHA) / (zeros.astype(np.float32) + ALPHA))
 
@@ -184,21 +192,23 @@ class Learner:
                 continue
             weight, node = page.counts[words], (value >> 8 - b) | (1 << b)
             inputs = [odds(ones - bit, total - ones - (1 - bit))]
+            one = bit.astype(np.float32)
+            zero = 1 - one
             for k, c in enumerate(context):
                 at = slots(c, k, node)
-                inputs.append(odds(np.maximum(self.ones[at] - bit, 0), np.maximum(self.zeros[at] - (1 - bit), 0)))
-            gate = b * CLASSES + np.searchsorted(SEEN, total - 1, "right")
-            weights = self.weights.astype(np.float32)
-            z = weights[gate, INPUTS - 1]
+                inputs.append(odds(np.maximum(self.ones.take(at) - one, 0), np.maximum(self.zeros.take(at) - zero, 0)))
+            gate = b * CLASSES + _class(total - 1)
+            weights = np.ascontiguousarray(self.weights.T, np.float32)
+            z = weights[INPUTS - 1].take(gate)
             for i, x in enumerate(inputs):
-                z = z + x * weights[gate, i]
+                z += x * weights[i].take(gate)
             p = _sigmoid(z)
             bucket = gate * LEVELS + _level(z)
             self.seen += np.bincount(bucket, weight, GATES * LEVELS)
             self.hits += np.bincount(bucket, weight * bit, GATES * LEVELS)
             mass = np.bincount(gate, weight, GATES)
             error = weight * (bit - p)
-            slope = np.stack([np.bincount(gate, error * x, GATES) for x in [*inputs, np.ones(len(p))]], axis=1)
+            slope = np.stack([np.bincount(gate, x, GATES) for x in [*(error * x for x in inputs), error]], axis=1)
             self.squares += slope ** 2
             self.weights += RATE * slope / np.sqrt(self.squares)
             self.mass += mass
@@ -225,7 +235,7 @@ class Model:
 
     def log10(self, page: Page, outside: dict, before: int, after: int) -> np.ndarray:
         """The log10 probability of every word of a page."""
-        score, context, weights = np.zeros(len(page.counts)), None, self.weights.astype(np.float32)
+        score, context, weights = np.zeros(len(page.counts)), None, np.ascontiguousarray(self.weights.T, np.float32)
         byte = None  # the probability of the byte's bits so far; that of eight is far from too small for a number
         for words, j, value, b, bit, total, ones in page.nodes(outside, before, after):
             if not np.any(j):
@@ -233,10 +243,10 @@ class Model:
             if b == 0:
                 context = page.contexts(words, j)
             node = (value >> 8 - b) | (1 << b)
-            gate = b * CLASSES + np.searchsorted(SEEN, total, "right")
-            z = odds(ones, total - ones) * weights[gate, 0] + weights[gate, INPUTS - 1]
+            gate = b * CLASSES + _class(total)
+            z = odds(ones, total - ones) * weights[0].take(gate) + weights[INPUTS - 1].take(gate)
             for k, c in enumerate(context):
-                z += self.table[slots(c, k, node)] * weights[gate, k + 1]
+                z += self.table.take(slots(c, k, node)) * weights[k + 1].take(gate)
             p = (_sigmoid(z) + self.refine[gate * LEVELS + _level(z)]) / 2
             p = np.clip(p.astype(np.float64), LEAST, 1 - LEAST)
             p = np.where(j > 0, np.where(bit == 1, p, 1 - p), 1.0)

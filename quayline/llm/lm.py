@@ -26,7 +26,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import zstandard
-from pyspark import TaskContext
+from pyspark import StorageLevel, TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from quayline.llm import bitmix
@@ -43,7 +43,8 @@ PAIR_BITS = 50  # of 10^9 different pairs fewer than a thousand share a hash wit
 PARTS = 64
 PART_TOKENS = 200_000
 LOG10_2, LN10 = math.log10(2), math.log(10)
-LEAD = [bytes([i + 1]) for i in range(8)]  # the byte of a state
+LEADS = [[bytes([i + 1]) for i in range(8) if m >> i & 1] for m in range(256)]  # the bytes of the states in a set of them
+LONG_WORD = 64  # bytes up to which words are hashed together
 
 Evidence = dict[bytes, np.ndarray]
 
@@ -89,7 +90,7 @@ def word_counts(docs: DataFrame, share: float = 0.0, wanted: list[str] | None =
 
 
 def frequent_words(docs: DataFrame) -> list[str]:
-    """The ``ANCHORS`` commonest words of all texts, of equally common ones the first.
+    """The ``ANCHORS`` commonest words of all texts, of equally common ones the first, in the order of their letters.
 
     Words that are rare in a part of the texts are not passed on. Where that leaves in doubt which words are the commonest,
     those that may be are counted again, and all words if these are too many.
@@ -97,18 +98,18 @@ def frequent_words(docs: DataFrame) -> list[str]:
     def commonest(counts: DataFrame) -> list:
         return counts.where("word is not null").orderBy(F.desc("n"), "word").limit(ANCHORS).collect()
 
-    counts = written(word_counts(docs, RARE), "words")
+    counts = word_counts(docs, RARE).persist(StorageLevel.DISK_ONLY)
     top, rest = commonest(counts), counts.where("word is null").first()
     kept_back = rest["cut"] if rest else 0
     if kept_back:
         least = top[-1]["n"] if len(top) == ANCHORS else 0
         maybe = counts.where("word is not null").where(F.col("n") - F.col("cut") + kept_back >= least)
-        if least <= kept_back or maybe.count() > DOUBTFUL:
+        if least <= kept_back or (number := maybe.count()) > DOUBTFUL:
             top = commonest(word_counts(docs))
-        elif not maybe.where(F.col("cut") < kept_back).isEmpty():
+        elif number > ANCHORS and not maybe.where(F.col("cut") < kept_back).isEmpty():
             top = commonest(word_counts(docs, wanted=[r["word"] for r in maybe.select("word").collect()]))
-    forget(counts)
-    return [r["word"] for r in top]
+    counts.unpersist()
+    return sorted(r["word"] for r in top)
 
 
 def anchor_counts(docs: DataFrame, anchors: list[str]) -> DataFrame:
@@ -144,8 +145,6 @@ def learn_states(docs: DataFrame) -> Evidence:
         return {}
     width, blocks = len(anchors), anchor_counts(docs, anchors)
     texts = blocks.agg(F.sum("n").alias("n")).first()["n"]
-    if not texts:
-        return {}
 
     def matrix(data: bytes) -> tuple[np.ndarray, np.ndarray]:
         x = np.frombuffer(zstandard.decompress(data), "<u4").reshape(-1, width).astype(float)
@@ -193,6 +192,7 @@ def learn_states(docs: DataFrame) -> Evidence:
             break  # the classes stay as they are
         sums = found[:, :width] + 1e-9
         centres = sums / np.linalg.norm(sums, axis=1, keepdims=True)
+    forget(blocks)
     counts = found[:, width:2 * width] + 0.5
     logs = np.rint(1000 * np.log(counts / counts.sum(axis=1, keepdims=True))).astype(np.int32)
     order = np.argsort(-found[:, -1], kind="stable")  # without evidence: the commonest
@@ -333,7 +333,7 @@ def requests(blocks: DataFrame, cuts: list[bytes]) -> DataFrame:
 
 def _asked(spelled: bytes, met: bytes) -> list[bytes]:
     """The words of a request, each led by its state and once per state."""
-    return [LEAD[i] + w for w, m in zip(spelled.split(b" "), met) for i in range(STATES) if m >> i & 1]
+    return [lead + w for w, m in zip(spelled.split(b" "), met) for lead in LEADS[m]]
 
 
 def make_pages(asked: DataFrame) -> DataFrame:
@@ -510,11 +510,30 @@ def word_numbers(met: bytes, order: bytes) -> np.ndarray:
     return np.repeat(np.arange(len(met), dtype=np.int32), np.bitwise_count(met))[from_planes(order)]
 
 
+def word_digests(spelled: bytes) -> np.ndarray:
+    """A hash of 64 bits for each of the words that a blank follows, eight bytes of all words at a time."""
+    flat = np.frombuffer(spelled + bytes(8), np.uint8)
+    ends = np.flatnonzero(flat[:len(spelled)] == 32)
+    starts = np.r_[0, ends[:-1] + 1][:len(ends)]
+    length = ends - starts
+    eight = np.ndarray(len(spelled) + 1, "<u8", flat, strides=(1,))  # from every byte on
+    out, at = length.astype(np.uint64), np.flatnonzero((length > 0) & (length <= LONG_WORD))
+    for j in range(0, LONG_WORD, 8):
+        at = at[length[at] > j]
+        keep = np.minimum(length[at] - j, 8).astype(np.uint64)
+        x = out[at] * np.uint64(0x9E3779B97F4A7C15) ^ eight[starts[at] + j] << (np.uint64(64) - np.uint64(8) * keep)
+        x = (x ^ x >> np.uint64(30)) * np.uint64(0xBF58476D1CE4E5B9)
+        x = (x ^ x >> np.uint64(27)) * np.uint64(0x94D049BB133111EB)
+        out[at] = x ^ x >> np.uint64(31)
+    for i in np.flatnonzero(length > LONG_WORD):
+        out[i] = int.from_bytes(hashlib.blake2b(spelled[starts[i]:ends[i]], digest_size=8).digest(), "little")
+    return out
+
+
 def block_pairs(codes: bytes, order: bytes, met: bytes, spelled: bytes) -> tuple[np.ndarray, np.ndarray]:
     """The hashes of a block's distinct pairs of a word and the one before it, sorted, and for every token the place of its
     pair. Before a text's first word stands the end of another text, as before a block's first one stands its last end."""
-    digests = np.frombuffer(b"".join(hashlib.blake2b(w, digest_size=8).digest() for w in spelled.split(b" ")[:-1]), "<u8")
-    own = digests[word_numbers(met, order)][from_planes(codes)]
+    own = word_digests(spelled)[word_numbers(met, order)][from_planes(codes)]
     both = (np.roll(own, 1) * np.uint64(0x9E3779B97F4A7C15) + own) * np.uint64(0xC2B2AE3D27D4EB4F)
     return np.unique((both ^ (both >> np.uint64(31))) >> np.uint64(64 - PAIR_BITS), return_inverse=True)
 
@@ -536,14 +555,22 @@ def pair_counts(blocks: DataFrame) -> DataFrame:
                     pa.int32(), pa.int64(), pa.binary(), pa.binary()))], ["page", "block", "pairs", "counts"])
 
     def answer(questions: pa.Table) -> pa.Table:
-        asked = [np.cumsum(unpacked(p), dtype=np.uint64) for p in questions.column("pairs").to_pylist()]
-        counts = np.concatenate([from_planes(c) for c in questions.column("counts").to_pylist()])
-        pairs, at = np.unique(np.concatenate(asked), return_inverse=True)
-        total = np.bincount(at, counts, len(pairs)).astype(np.uint64)[at]
-        own = np.split(total, np.cumsum([len(a) for a in asked])[:-1])
+        asked = [np.cumsum(unpacked(p.as_py()), dtype=np.uint64) for p in questions.column("pairs")]
+        ends, pairs = np.cumsum([len(a) for a in asked]), np.concatenate(asked)
+        del asked  # a task has memory for few arrays of all pairs at a time
+        order = np.argsort(pairs)
+        pairs = pairs[order]
+        start = np.flatnonzero(np.r_[True, pairs[1:] != pairs[:-1]])
+        sizes = np.diff(start, append=len(pairs))
+        del pairs
+        total = np.concatenate([from_planes(c.as_py()) for c in questions.column("counts")])
+        found = np.add.reduceat(total[order], start, dtype=np.int64)
+        del total
+        total = np.empty(len(order), np.int64)
+        total[order] = np.repeat(found, sizes)
         return pa.table({"block": questions.column("block"), "page": questions.column("page"),
-                         "counts": pa.array([packed(c) for c in own], pa.binary()),
-                         "logs": pa.array([b""] * len(own), pa.binary())})
+                         "counts": pa.array([packed(c) for c in np.split(total, ends[:-1])], pa.binary()),
+                         "logs": pa.array([b""] * len(ends), pa.binary())})
 
     return (blocks.select("block", "training", "lengths", "codes", "order", "met", "spelled")
             .mapInArrow(ask, "page int, block long, pairs binary, counts binary")
@@ -624,7 +651,7 @@ def score_texts(docs: DataFrame, training: Column, key: str = "doc_id", text: st
         count = np.frombuffer(b"".join(answer.column("counts").to_pylist()), "<i8")[order]
         logs = np.frombuffer(b"".join(answer.column("logs").to_pylist()), "<f4")[order].astype(np.float64)
         word = word_numbers(row["met"], row["order"])
-        letters = np.fromiter((len(w) for w in row["spelled"].split(b" ")[:-1]), np.int64, len(met))[word] + 1
+        letters = np.diff(np.flatnonzero(np.frombuffer(row["spelled"], np.uint8) == 32), prepend=-1)[word]  # with the blank
         single = np.log10((count + 1) / (n + v + 1))
         code, length, at, parts = from_planes(row["codes"]), np.array(row["lengths"]), 0, []
         pair = np.concatenate([unpacked(c) for c in pairs.column("counts").to_pylist()])[

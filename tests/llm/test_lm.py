@@ -170,7 +170,7 @@ def test_commonest_words_are_exact_though_rare_ones_are_kept_back(spark, monkeyp
     monkeypatch.setattr(lm, "ANCHORS", 8)
     common, rare = [f"c{i}" for i in range(12)], [f"r{i}" for i in range(3000)]
     texts = [" ".join(r.choices(common, range(12, 0, -1), k=30) + r.sample(rare, 20)) for _ in range(400)]
-    sided = [t + " side" for t in texts[:20]] + texts[20:] + ["Side " * 300] * 3  # common in one part, rare in another
+    sided = [t + " side" for t in texts[:20]] + texts[20:] + ["Side " * 255] * 3  # common in one part, rare in another
     flat = [" ".join(rare[i::40]) for i in range(40)]
     recounts = []
     counts = lm.word_counts
@@ -180,10 +180,12 @@ def test_commonest_words_are_exact_though_rare_ones_are_kept_back(spark, monkeyp
         n = Counter(w for t in rows for w in t.lower().split())
         monkeypatch.setattr(lm, "RARE", share)
         recounts.clear()
-        assert lm.frequent_words(docs) == sorted(n, key=lambda w: (-n[w], w))[:8]
+        assert lm.frequent_words(docs) == sorted(sorted(n, key=lambda w: (-n[w], w))[:8])
         assert len(recounts) == ways
         if rows is texts:
             assert counts(docs, share).count() < 200 < len(n)
+        if rows is sided:
+            assert n["side"] == 785 > n["c7"]
 
 
 def test_words_are_numbered_as_plain_python_does():
@@ -194,3 +196,13 @@ def test_words_are_numbered_as_plain_python_does():
     spelled = sorted({w + b" " for t in words for w in t})
     assert lm.spaced(known) == b"".join(spelled) and length.tolist() == [len(t) for t in words]
     assert [spelled[c][:-1] for c in code] == [w for t in words for w in t]
+
+
+def test_words_have_hashes_of_their_own_wherever_they_stand():
+    r = random.Random(5)
+    words = sorted({bytes(r.choices(b"ab\x00\x01\xc3", k=r.randint(0, 20))) for _ in range(5000)} | {b"a" * n for n in range(100)})
+    found = lm.word_digests(b"".join(w + b" " for w in words))
+    assert len(set(found.tolist())) == len(words) and len(set((found >> np.uint64(32)).tolist())) > len(words) - 20
+    mixed = r.sample(range(len(words)), 500)
+    assert (lm.word_digests(b"".join(words[i] + b" " for i in mixed)) == found[mixed]).all()
+    assert len(lm.word_digests(b"")) == 0
