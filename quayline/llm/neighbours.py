@@ -6,12 +6,15 @@ tree by binary search to the vectors that share the longest prefix with its own
 one bit at a time, until the prefixes they have reached hold enough vectors. The candidates of all trees are compared
 with the query itself, in double precision, and the best of all shards are the answer.
 
-Queries meet shards in blocks, a group of shards after the other in one task, which keeps the best so far. How many candidates are enough is a share of the shard, so that recall does not depend on
-the number of rows. Inner products are turned into angles by one more coordinate that gives all vectors one length.
+A task builds the trees of a group of shards once and then takes blocks of queries one after the other. Every block meets
+every group, so the groups are as large as memory allows, and both sides are copied no more often than it takes to keep all
+tasks busy; nothing is joined or broadcast. How many candidates are enough is a share of the shard, so that recall does not
+depend on the number of rows. Inner products are turned into angles by one more coordinate that gives all vectors one length.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -24,7 +27,8 @@ from quayline.llm.common import shuffle_partitions, table, written
 TREES, BITS = 40, 32
 SHARE = 0.9  # candidates, counted once per tree that finds them, by vectors of the shard
 SHARD, BLOCK = 2048, 256
-TOGETHER = 64  # shards that a block of queries meets in one task
+HELD = 128 << 20  # bytes of trees and vectors that a task holds
+AT_ONCE = 32  # queries whose candidates are marked at once
 SEED = 20
 
 
@@ -71,32 +75,48 @@ class Forest:
         """Per query and tree the range of sorted strings that the query has reached when it has enough."""
         norm = np.sqrt((queries ** 2).sum(axis=1, keepdims=True))
         strings = _strings(np.c_[queries / norm * self.length, np.zeros(len(queries))], self.trees, self.bits)
-        low, high = np.zeros(strings.shape, np.int64), np.zeros(strings.shape, np.int64)
-        waiting = np.arange(len(queries))
-        for depth in range(self.bits, -1, -1):
-            rest = self.bits - depth
-            first = strings[:, waiting] >> rest << rest
-            for t in range(self.trees):
-                low[t, waiting] = np.searchsorted(self.sorted[t], first[t])
-                high[t, waiting] = np.searchsorted(self.sorted[t], first[t] + (1 << rest))
-            waiting = waiting[(high - low)[:, waiting].sum(axis=0) < enough]
-            if not len(waiting):
-                break
-        return low, high
+        # ranges grow as prefixes get shorter: the longest prefix that has enough is found by halving, 0 bits if none has
+        least, most = np.zeros(len(queries), np.int64), np.full(len(queries), self.bits)
+        while (open_ := least < most).any():
+            depth = (least + most + 1) // 2
+            low, high = self._at(strings, depth)
+            fine = (high - low).sum(axis=0) >= enough
+            least, most = np.where(open_ & fine, depth, least), np.where(open_ & ~fine, depth - 1, most)
+        return self._at(strings, least)
+
+    def _at(self, strings: np.ndarray, depth: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where the first ``depth`` bits of each query's strings stand in the sorted ones."""
+        rest = self.bits - depth
+        first = strings >> rest << rest
+        last = first + (np.int64(1) << rest)
+        return (np.array([np.searchsorted(s, f) for s, f in zip(self.sorted, first)]),
+                np.array([np.searchsorted(s, f) for s, f in zip(self.sorted, last)]))
+
+    def _seen(self, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+        """Per query which vectors its ranges hold."""
+        seen, kinds = np.zeros((low.shape[1], len(self.vectors)), bool), len(self.vectors)
+        for q in range(0, low.shape[1], AT_ONCE):
+            some = slice(q, q + AT_ONCE)
+            sizes = (high - low)[:, some].ravel()
+            places = (low[:, some] + np.arange(self.trees)[:, None] * kinds).ravel()
+            at = np.arange(sizes.sum()) + np.repeat(places - (sizes.cumsum() - sizes), sizes)
+            rows = np.repeat(np.tile(np.arange(len(seen))[some] * kinds, self.trees), sizes)
+            seen.ravel()[self.order.ravel()[at] + rows] = True
+        return seen
 
     def nearest(self, own: np.ndarray, queries: np.ndarray, k: int, enough: int) -> Iterator[tuple[int, int, float]]:
         """For each query (number, id, score) of its best, ties to smaller ids; ``own`` ids are left out."""
-        low, high = self.ranges(queries, enough)
+        if not len(self.vectors):
+            return
+        seen = self._seen(*self.ranges(queries, enough))
+        rough = np.where(seen, queries @ self.vectors.T, -np.inf)
+        if len(self.vectors) > k + 1:
+            at = len(self.vectors) - k - 1
+            least = np.partition(rough, at, axis=1)[:, at:at + 1]
+            seen &= rough >= least - 1e-9 * (1 + np.abs(least))
         for q, query in enumerate(queries):
-            seen = np.zeros(len(self.vectors), bool)
-            for t in range(self.trees):
-                seen[self.order[t, low[t, q]:high[t, q]]] = True
-            at = np.flatnonzero(seen)
-            rough = self.vectors[at] @ query
-            if len(at) > k + 1:
-                least = np.partition(rough, len(at) - k - 1)[len(at) - k - 1]
-                at = at[rough >= least - 1e-9 * (1 + abs(least))]
-            found = [(-s, i) for s, v in zip(_exact(self.vectors[at], query), at) for i in self.ids[v] if i != own[q]]
+            at = np.flatnonzero(seen[q])
+            found = [(-s, i) for s, v in zip(_exact(self.vectors[at], query).tolist(), at) for i in self.ids[v] if i != own[q]]
             for s, i in sorted(found)[:k]:
                 yield q, i, -s
 
@@ -113,6 +133,17 @@ def _packed(df: DataFrame, number: str, *group: str) -> DataFrame:
     return df.groupBy(*group).applyInArrow(pack, ", ".join(f"{g} int" for g in group) + ", ids binary, vectors binary")
 
 
+def _grid(shards: int, blocks: int, held: int, rows_per_query: float, tasks: int) -> tuple[int, int]:
+    """In how many turns the queries come, which is how often shards are copied, and in how many groups the shards lie, which
+    is how often queries are.
+
+    Together they make about ``tasks`` meetings, or more where a group would pass ``HELD`` with ``held`` bytes a shard. A query
+    with its answers weighs about as much as four rows.
+    """
+    groups = max(-(-shards // max(1, HELD // held)), min(shards, math.ceil(math.sqrt(tasks * max(rows_per_query, 1) / 4))))
+    return min(blocks, -(-tasks // groups)), groups
+
+
 def search(rows: DataFrame, queries: DataFrame, key: str = "vec_id", vector: str = "embedding", k: int = 20,
            trees: int = TREES, bits: int = BITS, share: float = SHARE, shard_rows: int = SHARD,
            block_rows: int = BLOCK) -> DataFrame:
@@ -133,48 +164,50 @@ def search(rows: DataFrame, queries: DataFrame, key: str = "vec_id", vector: str
                 .withColumn("_size", F.size("_vector")))
 
     index, asked = clean(rows), clean(queries).dropDuplicates(["_id", "_vector"])
-    shards, blocks = (max(1, -(-df.count() // n)) for df, n in ((index, shard_rows), (asked, block_rows)))
+    (indexed, size), questions = index.agg(F.count(F.lit(1)), F.max("_size")).first(), asked.count()
+    shards, blocks = (max(1, -(-n // each)) for n, each in ((indexed, shard_rows), (questions, block_rows)))
+    turns, groups = _grid(shards, blocks, shard_rows * (8 * (1 + (size or 0)) + 16 * trees), indexed / max(1, questions),
+                          shuffle_partitions(rows.sparkSession))
     # repeated ids are spread by their vectors
     dealt = lambda df, n: df.withColumn("_part", F.pmod(F.xxhash64("_id", "_vector"), F.lit(n)).cast("int"))
+    each = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
     left = written(_packed(dealt(asked, blocks), number, "_part", "_size"), "queries").select(
-        F.col("_part").alias("_block"), "_size", F.col("ids").alias("_q_ids"), F.col("vectors").alias("_q_vectors"),
-        F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("_part"))
-    right = written(_packed(dealt(index, shards), number, "_part", "_size"), "shards")
+        "_part", "_size", "ids", "vectors", F.lit(True).alias("_asks"), F.pmod("_part", F.lit(turns)).alias("_turn"),
+        each(groups).alias("_group"))
+    right = written(_packed(dealt(index, shards), number, "_part", "_size"), "shards").select(
+        "_part", "_size", "ids", "vectors", F.lit(False).alias("_asks"), each(turns).alias("_turn"),
+        F.pmod("_part", F.lit(groups)).alias("_group"))
 
     def match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def result() -> pa.RecordBatch:
-            lines = [(q, own[q], i, s) for q, found in enumerate(best) for i, s in found]
-            at, query, found, score = zip(*lines) if lines else ((), (), (), ())
-            return pa.RecordBatch.from_arrays(
-                [pa.array([task[0]] * len(at), pa.int32()), pa.array(at, pa.int32()), pa.array([task[2]] * len(at), pa.int32()),
-                 pa.array(query, pa.int64()), pa.array(found, pa.int64()), pa.array(score, pa.float64())],
-                ["_block", "_at", "_size", "query_id", "_found", "score"])
-
-        task, own, best = None, np.zeros(0, np.int64), []
+        task, forests = None, []
         for batch in batches:
             for r in range(batch.num_rows):
                 row = {n: batch.column(n)[r] for n in batch.schema.names}
-                block, group, size = (row[c].as_py() for c in ("_block", "_group", "_size"))
-                if task != (block, group, size):
-                    if task:
-                        yield result()
-                    task, own = (block, group, size), np.frombuffer(row["_q_ids"].as_buffer(), "<i8")
-                    asked_for = np.frombuffer(row["_q_vectors"].as_buffer(), number).reshape(len(own), size).astype("<f8")
-                    best: list[list[tuple[int, float]]] = [[] for _ in own]
+                turn, group, size, asks, part = (row[c].as_py() for c in (*by, "_asks", "_part"))
+                if task != (turn, group, size):
+                    task, forests = (turn, group, size), []
                 ids = np.frombuffer(row["ids"].as_buffer(), "<i8")
                 vectors = np.frombuffer(row["vectors"].as_buffer(), number).reshape(len(ids), size).astype("<f8")
-                forest = Forest(ids, vectors, trees, bits, k + 1)
-                new = [[] for _ in own]
-                for q, i, score in forest.nearest(own, asked_for, k, max(2 * k, int(share * len(forest.vectors)))):
-                    new[q].append((i, score))
-                best = [sorted(a + b, key=lambda f: (-f[1], f[0]))[:k] for a, b in zip(best, new)]
-        if task:
-            yield result()
-
-    by = ["_block", "_group", "_size"]
-    pairs = (left.join(right, ["_part", "_size"]).withColumn("_group", F.expr(f"_part div {TOGETHER}").cast("int"))
-             .repartition(shuffle_partitions(rows.sparkSession), *by).sortWithinPartitions(*by))
-    best = pairs.mapInArrow(match, "_block int, _at int, _size int, query_id long, _found long, score double")
+                if not asks:
+                    forests.append(Forest(ids, vectors, trees, bits, k + 1))
+                    continue
+                best: list[list[tuple[int, float]]] = [[] for _ in ids]
+                for forest in forests:
+                    new = [[] for _ in ids]
+                    for q, i, score in forest.nearest(ids, vectors, k, max(2 * k, int(share * len(forest.vectors)))):
+                        new[q].append((i, score))
+                    best = [sorted(a + b, key=lambda f: (-f[1], f[0]))[:k] for a, b in zip(best, new)]
+                lines = [(q, ids[q], i, s) for q, found in enumerate(best) for i, s in found]
+                at, query, found, score = zip(*lines) if lines else ((), (), (), ())
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([part] * len(at), pa.int32()), pa.array(at, pa.int32()), pa.array([size] * len(at), pa.int32()),
+                     pa.array(query, pa.int64()), pa.array(found, pa.int64()), pa.array(score, pa.float64())],
+                    ["_block", "_at", "_size", "query_id", "_found", "score"])
+
+    by = ["_turn", "_group", "_size"]
+    # more partitions than meetings, so that few of them share one; the shards of a meeting come before its queries
+    meetings = left.unionByName(right).repartition(4 * turns * groups, *by).sortWithinPartitions(*by, "_asks", "_part")
+    best = meetings.mapInArrow(match, "_block int, _at int, _size int, query_id long, _found long, score double")
     order = W.partitionBy("_block", "_at", "_size").orderBy(F.col("score").desc(), "_found")
     return (best.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
             .select("query_id", "rank", F.col("_found").alias(key), "score"))

@@ -65,3 +65,46 @@ def test_many_copies_of_a_vector_dont_crowd_out_others(spark):
     hits = sum(len({i for i, _ in expected[q]} & {i for i, _ in found[q]}) for q, _ in queries)
     assert hits >= 0.9 * 20 * len(queries)
     assert found[7] == [(2000 + i, found[7][0][1]) for i in range(20)]
+
+
+def test_blocks_and_shards_meet_without_a_join_and_each_is_copied_few_times(spark):
+    """A join of them was planned by the size of the blocks before each was repeated for every shard, and was broadcast."""
+    r = np.random.default_rng(3)
+    rows = [(i, v.tolist()) for i, v in enumerate(r.standard_normal((600, 8)))]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    found = neighbours.search(df, df.where("vec_id < 200"), k=5, share=1e9, shard_rows=10, block_rows=5)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan and "Broadcast" not in plan
+    assert result(found) == {q: [(i, s) for i, s in best] for q, best in exact(rows, rows[:200], 5).items()}
+    for tasks in (1, 24, 1000):
+        for shards, blocks, ratio in ((1, 1, 20), (26, 11, 20), (300, 121, 20), (300, 2400, 1)):
+            turns, groups = neighbours._grid(shards, blocks, 2 << 20, ratio, tasks)
+            assert 1 <= turns <= blocks and 1 <= groups <= shards and shards / groups <= 64
+            assert turns * groups >= min(tasks, blocks * groups) and (turns - 1) * groups < tasks
+
+
+def exact(rows, queries, k):
+    out = {}
+    for q, v in queries:
+        scores = sorted((-float((np.array(v) * np.array(w)).sum()), i) for i, w in rows if i != q)
+        out[q] = [(i, -s) for s, i in scores[:k]]
+    return out
+
+
+def test_trees_ascend_to_the_longest_prefix_that_holds_enough():
+    r = np.random.default_rng(4)
+    vectors, queries = r.standard_normal((200, 6)), np.r_[r.standard_normal((40, 6)), [[1e3] * 6]]
+    forest = neighbours.Forest(np.arange(200), vectors, 8, 16)
+    strings = neighbours._strings(np.c_[queries / np.linalg.norm(queries, axis=1, keepdims=True) * forest.length, np.zeros(41)], 8, 16)
+    for enough in (1, 30, 900, 10 ** 6):
+        low, high = forest.ranges(queries, enough)
+        for q in range(41):
+            for rest in range(17):
+                held = [np.flatnonzero(s >> rest == x >> rest) for s, x in zip(forest.sorted, strings[:, q])]
+                if sum(map(len, held)) >= enough or rest == 16:
+                    break
+            assert [len(h) for h in held] == (high - low)[:, q].tolist()
+            assert all(h[0] == a for h, a in zip(held, low[:, q]) if len(h))
+        seen = forest._seen(low, high)
+        assert all(set(np.flatnonzero(seen[q])) == {int(v) for t in range(8) for v in forest.order[t, low[t, q]:high[t, q]]}
+                   for q in range(41))
