@@ -1,8 +1,8 @@
 """Streams into keyed tables.
 
-One query reads the messages once and serves all tables: a batch is parsed once, kept, and its rows are written per
-table, several tables at a time. Every write goes to the batch's own folder, so a batch that is repeated after a failure
-leaves the same state.
+One query reads the messages once and serves all tables: a batch is parsed once, kept in a folder per table, and its rows
+are written per table, several tables at a time. Every write goes to the batch's own folder, so a batch that is repeated
+after a failure leaves the same state.
 """
 
 from __future__ import annotations
@@ -10,18 +10,19 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark import StorageLevel, inheritable_thread_target
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from quayline.operators.cdc import check_tables, has_text, parse, typed_rows, where_json_path
 from quayline.operators.keyed import BATCH, FEED, KeyedTable
 from quayline.schemas import Table
-from quayline.session import finished_folders, fresh_path, stream_id
+from quayline.session import finished_folders, fresh_path, remove_folder, stream_id
 from quayline.streaming.supervision import observed
 
 TABLES_AT_A_TIME = 8
 REJECTS = "rejects"
+PARSED, TARGET = "parsed", "_target"  # the folder of batches in work, and the column that names its folders
 
 
 def keyed_tables(spark: SparkSession, root: str, catalogue: Mapping[str, Table],
@@ -51,16 +52,18 @@ def apply_changes(changes: DataFrame, batch: int, root: str, catalogue: Mapping[
                   by_event: bool = False) -> None:
     """``apply_batch`` for messages that are parsed and checked."""
     spark = changes.sparkSession
-    # sorted, so that the rows of a table lie together in the cache and the other blocks are skipped
-    changes = changes.sortWithinPartitions("table").persist(StorageLevel.MEMORY_AND_DISK)
+    # in files, not in a cache, whose blocks are built and serialized on the heap and grow with the batch
+    path = f"{root}/{PARSED}/{FEED}={feed}/{BATCH}={batch}"
     try:
-        # at most one row per table of the catalogue, and one for the bad messages
-        present = changes.groupBy(F.when(F.col("problem").isNull(), F.col("table")).alias("table")).count().collect()
-        names = [r["table"] for r in present if r["table"] is not None]
+        # at most one folder per table of the catalogue, and one for the bad messages
+        changes = changes.withColumn(TARGET, F.when(F.col("problem").isNull(), F.col("table")))
+        changes.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(TARGET).parquet(path)
+        changes = spark.read.schema(changes.schema).parquet(path)
+        present = {r[TARGET] for r in changes.select(TARGET).distinct().collect()}
         stored = keyed_tables(spark, root, catalogue, by_event)
 
         def write(name: str) -> None:
-            rows = typed_rows(changes, catalogue[name], null_numbers_as_zero)
+            rows = typed_rows(changes.where(F.col(TARGET) == name), catalogue[name], null_numbers_as_zero)
             if not deletes:
                 rows = rows.withColumn("op_type", F.lit("update"))
             stored[name].apply(rows, batch, feed=feed)
@@ -68,12 +71,12 @@ def apply_changes(changes: DataFrame, batch: int, root: str, catalogue: Mapping[
                 stored[name].compact()
 
         with ThreadPoolExecutor(TABLES_AT_A_TIME) as pool:
-            list(pool.map(inheritable_thread_target(spark)(write), names))  # jobs stay part of the query
-        if len(names) < len(present):
-            (changes.where(F.col("problem").isNotNull()).select("table", "problem", "value").write.mode("overwrite")
+            list(pool.map(inheritable_thread_target(spark)(write), present - {None}))  # jobs stay part of the query
+        if None in present:
+            (changes.where(F.col(TARGET).isNull()).select("table", "problem", "value").write.mode("overwrite")
              .option("partitionOverwriteMode", "static").parquet(f"{root}/{REJECTS}/{FEED}={feed}/{BATCH}={batch}"))
     finally:
-        changes.unpersist()
+        remove_folder(spark, path)
 
 
 def rejects(spark: SparkSession, root: str) -> DataFrame:

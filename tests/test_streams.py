@@ -1,4 +1,5 @@
 import os
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -56,6 +57,38 @@ def test_a_repeated_batch_changes_nothing(spark, rows):
     assert spark.read.parquet(f"{root}/rejects").count() == 1
 
 
+def test_a_batch_is_kept_in_files_per_table_and_not_in_memory(spark, rows, monkeypatch):
+    root, seen = fresh_path(spark, "tables"), []
+    apply = KeyedTable.apply
+
+    def watched(self, changes, *args, **options):
+        plan = changes._jdf.queryExecution().executedPlan().toString()
+        folders = set(re.findall(r"PartitionFilters: [^]]*_target#\d+ = (\w+)", plan))
+        seen.append((folders, spark._jsparkSession.sharedState().cacheManager().isEmpty()))
+        apply(self, changes, *args, **options)
+        if fail:
+            raise OSError("no disk")
+
+    monkeypatch.setattr(KeyedTable, "apply", watched)
+    lines = [oracle(after=job(1, "a")), oracle(after=job(2, "b")), oracle("SRC.tbl_department", after={"id": 7, "dep_name": "x"}),
+             oracle("SRC.tbl_no/where=%", after=job(1)), oracle(after={"job_name": "no id"}), "{broken"]
+    batch = spark.createDataFrame([(x,) for x in lines], "value string").repartition(3)
+    spark.catalog.clearCache()
+    for fail in (True, False):
+        seen.clear()
+        try:
+            feeds.apply_batch(batch, 0, "oracle", root, CATALOGUE)
+        except OSError:
+            assert fail
+        assert sorted(seen, key=repr) == [({"tbl_department"}, True), ({"tbl_job"}, True)]
+        assert not os.path.exists(f"{root}/parsed/_feed=main/_batch=0")
+    tables = feeds.keyed_tables(spark, root, CATALOGUE)
+    assert rows(tables["tbl_job"].snapshot().select("id", "jobName")) == [(1, "a"), (2, "b")]
+    assert tables["tbl_department"].snapshot().count() == 1
+    assert rows(feeds.rejects(spark, root).select("table", "problem", "value")) == sorted(
+        [("tbl_no/where=%", "unknown table", lines[3]), ("tbl_job", "no key", lines[4]), (None, "unreadable", lines[5])], key=repr)
+
+
 def test_two_feeds_keep_their_rejects_and_a_new_checkpoint_is_applied(spark, rows, tmp_path):
     root = fresh_path(spark, "tables")
     for category, name, lines in (("oracle", "a", [oracle(after=job(1, "a")), "bad"]), ("mysql", "b", ["worse"]),
