@@ -201,7 +201,7 @@ class DerivedTables:
             made = self.spark.sql(text, **{n: self.generic(n) for n in generic_names(text)})
             if name in STORED:
                 path = fresh_path(self.spark, name)
-                made.coalesce(1).write.parquet(path)
+                made.repartition(1).write.parquet(path)  # coalesce would run all partitions of all aggregates in one task
                 made = self.spark.read.parquet(path)
             self._made[name] = made
         return self._made[name]
